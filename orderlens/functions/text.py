@@ -17,9 +17,14 @@ def as_str(c) -> Column:
     return _c(c).cast("string")
 
 
+# Every character Python's str.isspace() accepts (derived by rule, not listed).
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
 def strip_ws(c) -> Column:
-    """Strip leading/trailing whitespace of every kind (``trim`` only strips blanks)."""
-    return F.regexp_replace(as_str(c), r"^\s+|\s+$", "")
+    """Strip leading/trailing whitespace of every kind (plain ``trim`` only
+    strips blanks).  Character-set trim, no regex."""
+    return F.trim(as_str(c), F.lit(WHITESPACE))
 
 
 def squeeze_ws(c) -> Column:

@@ -58,33 +58,80 @@ def _zone_ids() -> tuple[str, ...]:
     return tuple(sorted(z for z in zones if "/" in z or z == "UTC"))
 
 
-def valid_zone(z) -> Column:
-    """Zone id if it is a known region id, else NULL (Spark raises on unknown ids)."""
-    z = _c(z)
-    return F.when(z.isin(list(_zone_ids())), z)
+def valid_zone(zone_sql: str) -> Column:
+    """Zone id if it is a known region id, else NULL (Spark raises on unknown ids).
 
+    ``zone_sql`` is SQL text (a column name or expression).  The check is one
+    SQL ``IN`` list, which Catalyst plans as a hash-set lookup; building it as
+    text costs one JVM call instead of one per literal.
+    """
+    zones = ", ".join("'" + x + "'" for x in _zone_ids())
+    return F.expr(f"CASE WHEN ({zone_sql}) IN ({zones}) THEN ({zone_sql}) END")
+
+
+def _zone_sql(tz_sql: str | None, company_tz: str) -> str:
+    return f"coalesce({tz_sql}, '{company_tz}')" if tz_sql else f"'{company_tz}'"
+
+
+def local_to_utc(local: str, tz_sql: str | None, company_tz: str) -> Column:
+    """Wall clock in its own (validated) zone -> UTC wall clock (NTZ).
+    ``tz_sql`` is SQL text for the zone; NULL means the company zone."""
+    return F.convert_timezone(valid_zone(_zone_sql(tz_sql, company_tz)), F.lit("UTC"), F.col(local))
 
-def to_company_ts(local, tz, company_tz: str) -> tuple[Column, Column]:
-    """Localise a naive wall clock in its own zone and convert to the company zone.
 
-    Returns ``(utc_ntz, company_ntz)``; both NULL when the wall time does not
-    exist (DST gap), is ambiguous (DST overlap) or the zone id is unknown.
-    A NULL zone means the company zone.
+def utc_to_company(utc: str, local: str, tz_sql: str | None, company_tz: str) -> Column:
+    """UTC wall clock -> company wall clock, NULL when the local wall time does
+    not exist (DST gap) or is ambiguous (DST overlap).
+
+    Spark resolves an overlap to the earlier instant, so an overlap shows as
+    "the same wall clock again 60 (or, for the one zone with half-hour DST,
+    30) minutes later"; a gap shows as a round trip that changes the clock.
     """
-    local = _c(local)
-    z = valid_zone(F.coalesce(_c(tz), F.lit(company_tz)))
-    utc = F.convert_timezone(z, F.lit("UTC"), local)
+    zsql = _zone_sql(tz_sql, company_tz)
+    z = valid_zone(zsql)
+    u, l = F.col(utc), F.col(local)
 
     def back(shift_minutes: int) -> Column:
-        u = utc if shift_minutes == 0 else F.timestamp_add("MINUTE", F.lit(shift_minutes), utc)
-        return F.convert_timezone(F.lit("UTC"), z, u)
-
-    gap = back(0) != local
-    overlap = (back(60) == local) | (back(-60) == local) | (back(30) == local) | (back(-30) == local)
-    ok = ~gap & ~overlap
-    utc_ok = F.when(ok, utc)
-    company = F.convert_timezone(F.lit("UTC"), F.lit(company_tz), utc_ok)
-    return utc_ok, company
+        x = u if shift_minutes == 0 else F.timestamp_add("MINUTE", F.lit(shift_minutes), u)
+        return F.convert_timezone(F.lit("UTC"), z, x)
+
+    gap = back(0) != l
+    overlap = (back(60) == l) | (F.expr(f"{zsql} = 'Australia/Lord_Howe'") & (back(30) == l))
+    return F.convert_timezone(F.lit("UTC"), F.lit(company_tz), F.when(~gap & ~overlap, u))
+
+
+def to_company_ts(local: str, tz_sql: str | None, company_tz: str) -> tuple[Column, Column]:
+    """Single-expression form ``(utc_ntz, company_ntz)`` for small inputs;
+    ``with_company_ts`` is the plan-friendly form for pipelines."""
+    utc = local_to_utc(local, tz_sql, company_tz)
+    zsql = _zone_sql(tz_sql, company_tz)
+    z = valid_zone(zsql)
+    l = F.col(local)
+    gap = F.convert_timezone(F.lit("UTC"), z, utc) != l
+    overlap = ((F.convert_timezone(F.lit("UTC"), z, F.timestamp_add("MINUTE", F.lit(60), utc)) == l)
+               | (F.expr(f"{zsql} = 'Australia/Lord_Howe'")
+                  & (F.convert_timezone(F.lit("UTC"), z, F.timestamp_add("MINUTE", F.lit(30), utc)) == l)))
+    utc_ok = F.when(~gap & ~overlap, utc)
+    return utc_ok, F.convert_timezone(F.lit("UTC"), F.lit(company_tz), utc_ok)
+
+
+def evaluate_once(df, name: str, expr: Column):
+    """Add ``name`` = ``expr`` so that the expression is evaluated once per row.
+
+    Filters on a projected column are pushed below the projection with the
+    expression substituted, which re-evaluates an expensive expression in
+    every filter.  A one-element ``explode`` (a Generate node) is opaque to
+    that rewrite, so the expression runs exactly once.
+    """
+    return df.select("*", F.explode(F.array(expr)).alias(name))
+
+
+def with_company_ts(df, local: str, tz_col: str | None, company_tz: str, name: str = "order_datetime_company"):
+    """PR2 on a DataFrame: adds ``name`` (company wall clock, NULL if invalid)
+    with four zone conversions per row."""
+    df = evaluate_once(df, "_utc", local_to_utc(local, tz_col, company_tz))
+    df = evaluate_once(df, name, utc_to_company("_utc", local, tz_col, company_tz))
+    return df.drop("_utc")
 
 
 def quarter_label(ts) -> Column:

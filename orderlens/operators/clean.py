@@ -15,24 +15,27 @@ SALES_KEY = ["order_id", "buyer_id", "sku_id"]
 
 
 # --------------------------------------------------------------------------- sales
-def clean_sales(raw: DataFrame, params: Params = Params()) -> tuple[DataFrame, DataFrame]:
-    """CS11: returns ``(sales_clean, audit)``; audit is long ``(metric, value)``."""
+def clean_sales(raw: DataFrame, params: Params = Params(), keep=None) -> tuple[DataFrame, DataFrame]:
+    """CS11: returns ``(sales_clean, audit)``; audit is long ``(metric, value)``.
+
+    ``keep`` (optional ``DataFrame -> DataFrame``) cuts lineage before the
+    quantile cap, so the cap's scalar subquery scans one stored column
+    instead of re-running parsing and de-duplication.
+    """
     if "_ord" not in raw.columns:
         raw = raw.withColumn("_ord", F.monotonically_increasing_id())
-    df = raw
-    for c in SALES_KEY:                                                      # CS1
-        df = df.withColumn(c, strip_ws(c))
     status = F.col("order_status")
-    df = df.withColumn("order_status", F.when(status == "Deliverred", F.lit("Delivered")).otherwise(status))  # CS2
+    df = raw.withColumns({**{c: strip_ws(c) for c in SALES_KEY},             # CS1
+                          "order_status": F.when(status == "Deliverred", F.lit("Delivered")).otherwise(status)})  # CS2
     df = df.where(F.col("order_status").isNotNull())                         # CS3
     df = df.where(F.col("order_id").isNotNull() & F.col("buyer_id").isNotNull() & F.col("sku_id").isNotNull())
-    ts, branch = parse_ts("order_datetime", SALES_TS_FORMATS, with_branch=True)  # CS4
-    df = df.withColumn("order_datetime", ts).withColumn("_ts_branch", branch)
+    _, branch = parse_ts("order_datetime", SALES_TS_FORMATS, with_branch=True)  # CS4
     audit_parse = long_rows(df, {                                             # CS5
-        "datetime_strict_parsed_count": F.count_if(F.col("_ts_branch") == 0),
-        "datetime_fallback_parsed_count": F.count_if(F.col("_ts_branch") > 0),
-        "datetime_unparsed_dropped_count": F.count_if(F.col("_ts_branch").isNull()),
+        "datetime_strict_parsed_count": F.count_if(branch == 0),
+        "datetime_fallback_parsed_count": F.count_if(branch > 0),
+        "datetime_unparsed_dropped_count": F.count_if(branch.isNull()),
     })
+    df = df.withColumn("order_datetime", parse_ts("order_datetime", SALES_TS_FORMATS))
     df = df.where(F.col("order_datetime").isNotNull())                       # CS6
     if params.sales_date_bounds:
         lo, hi = params.sales_date_bounds
@@ -43,13 +46,19 @@ def clean_sales(raw: DataFrame, params: Params = Params()) -> tuple[DataFrame, D
     audit_qty = long_rows(df, {"invalid_quantity_dropped_count":
                                F.count_if(F.col("quantity").isNull() | (F.col("quantity") <= 0))})
     df = df.where(F.col("quantity") > 0)
+    df = df.withColumn("sku_id", norm_key("sku_id"))                         # CS10
+    if keep is not None:
+        df = keep(df)
     df = cap_at_quantile(df, "quantity", params.quantity_cap_quantile, params.quantity_cap_floor)  # CS9
     audit_cap = long_rows(df, {"quantity_cap_value": F.max("quantity_cap_value"),
                                "quantity_capped_row_count": F.count_if("quantity_was_capped")})
-    df = df.withColumn("sku_id", norm_key("sku_id")).drop("_ts_branch")     # CS10
     return df, audit_parse.unionByName(audit_qty).unionByName(audit_cap)
 
 
+def branch_of(ts, branch):
+    return F.struct(ts.alias("ts"), branch.alias("b"))
+
+
 def cap_at_quantile(df: DataFrame, col: str, q: float = 0.999, floor_value: float = 3.0) -> DataFrame:
     """CS9 winsorise: cap = max(floor_value, floor(exact q-quantile)); ``floor_value`` when empty.
 
@@ -62,9 +71,9 @@ def cap_at_quantile(df: DataFrame, col: str, q: float = 0.999, floor_value: floa
                                           F.lit(float(floor_value)))).alias("cap")).scalar()
     c = F.col(col)
     return (df.withColumn("quantity_cap_value", cap)
-              .withColumn(f"{col}_original", c)
-              .withColumn(f"{col}_was_capped", c > F.col("quantity_cap_value"))
-              .withColumn(col, F.least(c, F.col("quantity_cap_value"))))
+              .withColumns({f"{col}_original": c,
+                            f"{col}_was_capped": c > F.col("quantity_cap_value"),
+                            col: F.least(c, F.col("quantity_cap_value"))}))
 
 
 # --------------------------------------------------------------------------- products
@@ -76,33 +85,32 @@ def clean_products(raw: DataFrame, params: Params = Params(), flags: str = "robu
     """CP12: text normalisation, price/margin typing, imputation, flags, sku key."""
     if "profit_margin" not in raw.columns and "pct_profit_margin" not in raw.columns:
         raise ValueError("neither profit_margin nor pct_profit_margin found in products data")  # CP3
-    df = raw
-    for c in PRODUCT_TEXT_COLS:                                              # CP1
-        if c in df.columns:
-            df = df.withColumn(c, squeeze_ws(c))
-    if "price" in df.columns:                                                # CP2
-        df = df.withColumn("price", money("price"))
-    pm = try_num("profit_margin") if "profit_margin" in df.columns else F.lit(None).cast("double")
-    pct = try_num("pct_profit_margin") if "pct_profit_margin" in df.columns else F.lit(None).cast("double")
-    if "pct_profit_margin" in df.columns:
-        df = df.withColumn("pct_profit_margin", pct)
-    if "profit_margin" in df.columns:
-        df = df.withColumn("profit_margin", pm)
-    df = df.withColumn("margin", F.coalesce(pm, pct / F.lit(100.0)))         # CP3
+    cols = raw.columns
+    pm = try_num("profit_margin") if "profit_margin" in cols else F.lit(None).cast("double")
+    pct = try_num("pct_profit_margin") if "pct_profit_margin" in cols else F.lit(None).cast("double")
+    new = {c: squeeze_ws(c) for c in PRODUCT_TEXT_COLS if c in cols}         # CP1
+    if "price" in cols:                                                      # CP2
+        new["price"] = money("price")
+    new["margin"] = F.coalesce(pm, pct / F.lit(100.0))                       # CP3
+    if "pct_profit_margin" in cols:
+        new["pct_profit_margin"] = pct
+    if "profit_margin" in cols:
+        new["profit_margin"] = pm
+    df = raw.withColumns(new)
     df = impute_mean(df, "margin", "subcategory_id", flag="margin_imputed")  # CP4
     if flags == "compat":                                                    # CP5
         df = flags_compat(df, [c for c in FLAG_COLS if c in df.columns])
     else:                                                                    # CP6
-        for c in FLAG_COLS:
-            df = df.withColumn(f"{c}_num", flag_robust(c) if c in df.columns else F.lit(None).cast("int"))
+        df = df.withColumns({f"{c}_num": flag_robust(c) if c in df.columns else F.lit(None).cast("int")
+                             for c in FLAG_COLS})
     stock = try_num("current_stock") if "current_stock" in df.columns else F.lit(None).cast("double")
-    df = df.withColumn("current_stock_num", stock)
     a, v = F.col("active_product_num"), F.col("currently_active_vendor_num")
-    df = df.withColumn("vendor_product_conflict", F.coalesce((a == 1) & (v == 0), F.lit(False)).cast("int"))  # CP7
-    df = df.withColumn("inactive_with_stock_flag", F.coalesce((a == 0) & (F.col("current_stock_num") > 0),
-                                                              F.lit(False)))  # CP8
-    df = df.withColumn("sku_id", product_key(df))                           # CP9
-    return df
+    return df.withColumns({
+        "current_stock_num": stock,
+        "vendor_product_conflict": F.coalesce((a == 1) & (v == 0), F.lit(False)).cast("int"),    # CP7
+        "inactive_with_stock_flag": F.coalesce((a == 0) & (stock > 0), F.lit(False)),            # CP8
+        "sku_id": product_key(df),                                                               # CP9
+    })
 
 
 def product_key(df: DataFrame):
@@ -158,9 +166,8 @@ def impute_mode(df: DataFrame, cols, by: str) -> DataFrame:
     modes = (df.where(F.col(by).isNotNull())
                .groupBy(by).agg(*[F.mode(c, deterministic=True).alias(f"_{c}_mode") for c in cols]))
     df = group_lookup(df, by, modes)
-    for c in cols:
-        df = df.withColumn(c, F.coalesce(F.col(c), F.col(f"_{c}_mode"))).drop(f"_{c}_mode")
-    return df
+    return df.withColumns({c: F.coalesce(F.col(c), F.col(f"_{c}_mode")) for c in cols}) \
+             .drop(*[f"_{c}_mode" for c in cols])
 
 
 def first_order_times(sales_clean: DataFrame) -> DataFrame:
@@ -171,8 +178,8 @@ def clean_buyers(raw: DataFrame, sales_clean: DataFrame, params: Params = Params
     """CB11: CB1..CB8 in order."""
     if "_ord" not in raw.columns:
         raw = raw.withColumn("_ord", F.monotonically_increasing_id())
-    df = raw.withColumn("buyer_id", strip_ws("buyer_id"))                   # CB1
-    df = df.withColumn("signup_date", parse_ts("signup_date", SIGNUP_TS_FORMATS))
+    df = raw.withColumns({"buyer_id": strip_ws("buyer_id"),                  # CB1
+                          "signup_date": parse_ts("signup_date", SIGNUP_TS_FORMATS)})
     if "is_active_buyer" in df.columns:
         df = df.drop("is_active_buyer")
     fill = [c for c in ("timezone", "region") if c in df.columns]
@@ -199,9 +206,8 @@ def best_record(df: DataFrame, key: str, score: str, order: str) -> DataFrame:
 def validate_codes(df: DataFrame, col: str, allowed) -> DataFrame:
     """CB8: ``{col}_invalid`` = not in allowed (NULL counts as invalid); invalid -> NULL int."""
     num = try_num(col)
-    invalid = ~F.coalesce(num.isin(*allowed), F.lit(False))
-    return (df.withColumn(f"{col}_invalid", invalid)
-              .withColumn(col, F.when(~F.col(f"{col}_invalid"), num).cast("int")))
+    valid = F.coalesce(num.isin(*allowed), F.lit(False))
+    return df.withColumns({f"{col}_invalid": ~valid, col: F.when(valid, num).cast("int")})
 
 
 def reclassify_dormant(buyers: DataFrame, sales_clean: DataFrame,

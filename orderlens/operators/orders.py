@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StringType
 
 from orderlens.functions.numeric import MONEY, SUM_TYPE, dec, try_num
-from orderlens.functions.timefn import SALES_TS_FORMATS, holiday_date, parse_ts, quarter_label, to_company_ts
+from orderlens.functions.timefn import SALES_TS_FORMATS, holiday_date, parse_ts, quarter_label, with_company_ts
 from orderlens.operators.common import group_lookup
 from orderlens.params import Params
 
@@ -39,22 +39,25 @@ def _ts(df: DataFrame, col: str) -> F.Column:
 
 def prepare_lines(lines: DataFrame, params: Params = Params()) -> DataFrame:
     """PR1-PR6: typing, company time, sanity year, line money, holiday flag."""
-    df = (lines.withColumn("order_datetime", _ts(lines, "order_datetime"))       # PR1
-               .withColumn("price", try_num("price"))
-               .withColumn("quantity", try_num("quantity"))
-               .withColumn("margin", try_num("margin"))
-               .withColumn("is_referred", F.coalesce(try_num("is_referred"), F.lit(0.0)).cast("int"))
+    df = (lines.withColumns({                                                   # PR1
+                "order_datetime": _ts(lines, "order_datetime"),
+                "price": try_num("price"),
+                "quantity": try_num("quantity"),
+                "margin": try_num("margin"),
+                "is_referred": F.coalesce(try_num("is_referred"), F.lit(0.0)).cast("int")})
                .where(F.col("order_datetime").isNotNull() & F.col("price").isNotNull()
                       & F.col("quantity").isNotNull() & F.col("margin").isNotNull()))
-    tz = F.col("timezone") if "timezone" in df.columns else F.lit(None).cast("string")
-    _, company = to_company_ts("order_datetime", tz, params.company_timezone)   # PR2
-    df = df.withColumn("order_datetime_company", company).where(F.col("order_datetime_company").isNotNull())
+    tz = "timezone" if "timezone" in df.columns else None
+    df = with_company_ts(df, "order_datetime", tz, params.company_timezone)    # PR2
+    df = df.where(F.col("order_datetime_company").isNotNull())
     ts = F.col("order_datetime_company")
     df = df.where(F.year(ts) >= params.line_min_year)                          # PR3
     rev = F.col("price") * F.col("quantity")                                    # PR4
-    df = (df.withColumn("line_base_revenue", dec(rev))
-            .withColumn("line_cogs", dec(rev * (F.lit(1.0) - F.col("margin")))))
-    return df.withColumn("is_black_friday", F.to_date(ts) == holiday_date(F.year(ts)))  # PR5, PR6
+    return df.withColumns({
+        "line_base_revenue": dec(rev),
+        "line_cogs": dec(rev * (F.lit(1.0) - F.col("margin"))),
+        "is_black_friday": F.to_date(ts) == holiday_date(F.year(ts)),           # PR5, PR6
+    })
 
 
 def flag_first_orders(df: DataFrame, ts: str = "order_datetime_company") -> DataFrame:
@@ -74,7 +77,7 @@ def apply_discounts(df: DataFrame, params: Params = Params(), policy: str = "max
     ref = F.when((F.col("is_referred") == 1) & F.col("is_first_order"),
                  _d(params.referral_discount_rate)).otherwise(_d(0))
     bf = F.when(F.col("is_black_friday"), _d(params.black_friday_discount_rate)).otherwise(_d(0))
-    df = df.withColumn("ref_disc_rate", ref).withColumn("bf_disc_rate", bf)
+    df = df.withColumns({"ref_disc_rate": ref, "bf_disc_rate": bf})
     ref, bf = F.col("ref_disc_rate"), F.col("bf_disc_rate")
     one = _d(1)
     if policy == "max":
@@ -87,10 +90,11 @@ def apply_discounts(df: DataFrame, params: Params = Params(), policy: str = "max
         bf_amt = rev * (one - ref) * bf
     else:
         raise ValueError(f"unknown discount policy {policy!r}")
-    return (df.withColumn("discount_rate", F.greatest(ref, bf) if policy == "max" else one - (one - ref) * (one - bf))
-              .withColumn("line_referral_discount", ref_amt.cast(MONEY))
-              .withColumn("line_black_friday_discount", bf_amt.cast(MONEY))
-              .withColumn("line_net_revenue_before_shipping", net.cast(MONEY)))
+    return df.withColumns({
+        "discount_rate": F.greatest(ref, bf) if policy == "max" else one - (one - ref) * (one - bf),
+        "line_referral_discount": ref_amt.cast(MONEY),
+        "line_black_friday_discount": bf_amt.cast(MONEY),
+        "line_net_revenue_before_shipping": net.cast(MONEY)})
 
 
 def shipping_fee(basis: F.Column, params: Params = Params()) -> F.Column:
@@ -118,14 +122,18 @@ def roll_up_orders(lines: DataFrame, params: Params = Params(), shipping_basis:
     )
     basis = F.col("order_base_revenue" if shipping_basis == "base" else "order_net_revenue_before_shipping")
     ts = F.col("order_datetime_company")
-    o = (o.withColumn("customer_shipping_fee", shipping_fee(basis, params))      # PR12
-          .withColumn("company_shipping_cost", _d(params.company_shipping_cost).cast(MONEY))
-          .withColumn("order_revenue", F.col("order_net_revenue_before_shipping") + F.col("customer_shipping_fee"))
-          .withColumn("order_profit", F.col("order_revenue") - F.col("order_cogs") - F.col("company_shipping_cost"))
-          .withColumn("year", F.year(ts))                                        # PR14
-          .withColumn("quarter", quarter_label(ts))
-          .withColumn("hour_company", F.hour(ts))
-          .withColumn("is_referral_discount", F.col("referral_discount_amount") > 0))
+    fee = shipping_fee(basis, params)                                            # PR12
+    cost = _d(params.company_shipping_cost).cast(MONEY)
+    revenue = F.col("order_net_revenue_before_shipping") + fee                   # PR13
+    o = o.withColumns({
+        "customer_shipping_fee": fee,
+        "company_shipping_cost": cost,
+        "order_revenue": revenue,
+        "order_profit": revenue - F.col("order_cogs") - cost,
+        "year": F.year(ts),                                                      # PR14
+        "quarter": quarter_label(ts),
+        "hour_company": F.hour(ts),
+        "is_referral_discount": F.col("referral_discount_amount") > 0})
     lo, hi = params.order_year_band
     o = o.where(F.col("year").between(lo, hi))                                   # PR15
     return o.select(*[F.col(c).cast("double").alias(c) if c in MONEY_COLUMNS else F.col(c) for c in ORDER_COLUMNS])

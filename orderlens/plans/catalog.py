@@ -24,8 +24,17 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
+_PIPELINES: dict[tuple[str, str], Pipeline] = {}
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
-    return Pipeline.from_testbed(spark, sf_dir, TESTBED)
+    """One pipeline per (application, data folder): all queries share its
+    DataFrames, and the order table is written once (shared checkpoint
+    folder) and read by every metric."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PIPELINES:
+        _PIPELINES[key] = Pipeline.from_testbed(spark, sf_dir, TESTBED, materialize=True)
+    return _PIPELINES[key]
 
 
 def queries() -> dict[str, QueryFn]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.operators import clean, lines as lines_op, orders as orders_op
 from orderlens.params import TESTBED, Params
+from orderlens.session import materialize_table
 from orderlens.sources.testbed import Testbed
 
 
@@ -21,15 +22,24 @@ class Pipeline:
     products_raw: DataFrame
     params: Params = Params()
     flags: str = "robust"
+    materialize: bool = False
 
     @classmethod
-    def from_testbed(cls, spark: SparkSession, sf_dir: str, params: Params = TESTBED) -> "Pipeline":
+    def from_testbed(cls, spark: SparkSession, sf_dir: str, params: Params = TESTBED,
+                     materialize: bool = False) -> "Pipeline":
         tb = Testbed(spark, sf_dir)
-        return cls(tb.sales_raw(), tb.buyers_raw(), tb.products_raw(), params)
+        return cls(tb.sales_raw(), tb.buyers_raw(), tb.products_raw(), params, materialize=materialize)
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Stage tables are written once (shared checkpoint folder) when
+        ``materialize`` is set, so each downstream branch scans Parquet
+        (pruned to the columns it needs) instead of recomputing the stage."""
+        return materialize_table(df, name) if self.materialize else df
 
     @cached_property
     def _sales(self):
-        return clean.clean_sales(self.sales_raw, self.params)
+        keep = (lambda d: self._keep(d, "sales_dedup")) if self.materialize else None
+        return clean.clean_sales(self.sales_raw, self.params, keep=keep)
 
     @property
     def sales(self) -> DataFrame:
@@ -41,21 +51,27 @@ class Pipeline:
 
     @cached_property
     def products(self) -> DataFrame:
-        return clean.clean_products(self.products_raw, self.params, self.flags)
+        return self._keep(clean.clean_products(self.products_raw, self.params, self.flags), "products_clean")
 
     @cached_property
     def buyers(self) -> DataFrame:
-        return clean.clean_buyers(self.buyers_raw, self.sales, self.params)
+        return self._keep(clean.clean_buyers(self.buyers_raw, self.sales, self.params), "buyers_clean")
 
     @cached_property
     def lines(self) -> DataFrame:
         return lines_op.build_lines(self.buyers, self.sales, self.products)
 
+    @cached_property
+    def prepared_lines(self) -> DataFrame:
+        """Line fact with company time, money and holiday flag (written once)."""
+        return self._keep(orders_op.prepare_lines(self.lines, self.params), "final_line_level")
+
     @cached_property
     def priced_lines(self) -> DataFrame:
-        p = orders_op.prepare_lines(self.lines, self.params)
-        return orders_op.apply_discounts(orders_op.flag_first_orders(p), self.params, "max")
+        return orders_op.apply_discounts(orders_op.flag_first_orders(self.prepared_lines), self.params, "max")
 
     @cached_property
     def orders(self) -> DataFrame:
-        return orders_op.roll_up_orders(self.priced_lines, self.params)
+        """Order-level table; with ``materialize`` it is written once to the
+        shared checkpoint folder and every metric reads it from there."""
+        return self._keep(orders_op.roll_up_orders(self.priced_lines, self.params), "order_level")

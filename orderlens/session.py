@@ -21,8 +21,9 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
-    "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    # Broadcast only what is measured small (Spark's 10MB default); the AQE
+    # threshold applies to runtime sizes of shuffle stages.
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -69,3 +70,19 @@ def materialize(df: DataFrame) -> DataFrame:
     (survives executor loss, unlike cache or localCheckpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Columnar and compressed (later scans prune columns and push filters),
+    reliable across executor loss, and it cuts the lineage of a table that
+    several downstream jobs reuse.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/orderlens-tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
