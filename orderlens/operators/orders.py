@@ -154,7 +154,10 @@ def year_distribution(orders_unfiltered: DataFrame) -> DataFrame:
 def lines_max_amount(lines: DataFrame, params: Params = Params(), fee: float = 4.99) -> DataFrame:
     """PR10: per-line discount = max(referral on the buyer's first line, holiday);
     the flat fee is both charged and paid.  First line = rank 1 by (time, order, sku)."""
-    df = prepare_lines(lines, params)
+    return lines_max_amount_from_prepared(prepare_lines(lines, params), params, fee)
+
+
+def lines_max_amount_from_prepared(df: DataFrame, params: Params = Params(), fee: float = 4.99) -> DataFrame:
     w = Window.partitionBy("buyer_id").orderBy("order_datetime", "order_id", "sku_id")
     rev = F.col("line_base_revenue")
     df = df.withColumn("order_number", F.row_number().over(w))

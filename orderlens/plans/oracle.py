@@ -182,8 +182,63 @@ order_level AS (
          CAST(hour(order_datetime_company) AS INTEGER) AS hour_company, r > 0 AS is_referral_discount
   FROM o2
   WHERE year(order_datetime_company) BETWEEN {p.order_year_band[0]} AND {p.order_year_band[1]}),
-ow AS (SELECT * FROM order_level WHERE year BETWEEN {p.metric_years[0]} AND {p.metric_years[1]})"""
+ow AS (SELECT * FROM order_level WHERE year BETWEEN {p.metric_years[0]} AND {p.metric_years[1]}),
+pr10a AS (SELECT *, CAST(row_number() OVER (PARTITION BY buyer_id ORDER BY order_datetime, order_id, sku_id) AS INTEGER) AS order_number FROM l2),
+pr10b AS (
+  SELECT *, CAST(CASE WHEN is_referred = 1 AND order_number = 1 THEN line_base_revenue * {ref} ELSE 0 END AS DECIMAL(20,6)) AS referral_discount_amount,
+         CAST(CASE WHEN is_black_friday THEN line_base_revenue * {bf} ELSE 0 END AS DECIMAL(20,6)) AS black_friday_discount_amount
+  FROM pr10a),
+lines_max_amount AS (
+  SELECT *, greatest(referral_discount_amount, black_friday_discount_amount) AS total_discount,
+         CAST(line_base_revenue - greatest(referral_discount_amount, black_friday_discount_amount) + 4.99 AS DECIMAL(20,6)) AS revenue,
+         CAST(CAST(line_base_revenue AS DOUBLE) * (1.0 - coalesce(margin, 0.0)) AS DECIMAL(20,6)) AS cost,
+         CAST(CAST(line_base_revenue - greatest(referral_discount_amount, black_friday_discount_amount) + 4.99 AS DECIMAL(20,6))
+              - CAST(CAST(line_base_revenue AS DOUBLE) * (1.0 - coalesce(margin, 0.0)) AS DECIMAL(20,6)) - 4.99 AS DECIMAL(20,6)) AS profit
+  FROM pr10b)"""
 
 
 def with_base(select: str, p: Params = TESTBED) -> str:
     return f"WITH {base_ctes(p)}\n{select}"
+
+
+def variant_orders_sql(policy: str, basis: str, p: Params = TESTBED) -> str:
+    """Extra CTEs ``order_level_v`` for a discount policy / shipping basis variant."""
+    ref, bf = Params.dec(p.referral_discount_rate), Params.dec(p.black_friday_discount_rate)
+    if policy == "stacked":
+        amounts = (f"CAST(line_base_revenue * (1 - ref_rate) * (1 - bf_rate) AS DECIMAL(20,6)) AS line_net_revenue_before_shipping, "
+                   f"CAST(line_base_revenue * ref_rate AS DECIMAL(20,6)) AS line_referral_discount, "
+                   f"CAST(line_base_revenue * (1 - ref_rate) * bf_rate AS DECIMAL(20,6)) AS line_black_friday_discount")
+    else:
+        amounts = (f"CAST(line_base_revenue * (1 - greatest(ref_rate, bf_rate)) AS DECIMAL(20,6)) AS line_net_revenue_before_shipping, "
+                   f"CAST(line_base_revenue * CASE WHEN ref_rate >= bf_rate THEN ref_rate ELSE 0 END AS DECIMAL(20,6)) AS line_referral_discount, "
+                   f"CAST(line_base_revenue * CASE WHEN bf_rate > ref_rate THEN bf_rate ELSE 0 END AS DECIMAL(20,6)) AS line_black_friday_discount")
+    fee_basis = "b" if basis == "base" else "n"
+    return f""", lpv AS (SELECT *, {amounts} FROM l4),
+o1v AS (
+  SELECT order_id, buyer_id, customer_segment, state, region,
+         min(order_datetime_company) AS order_datetime_company, max(is_referred) AS is_referred,
+         bool_or(is_first_order) AS is_first_order, bool_or(is_black_friday) AS is_black_friday,
+         SUM(line_base_revenue) AS b, SUM(line_net_revenue_before_shipping) AS n, SUM(line_cogs) AS c,
+         SUM(line_referral_discount) AS r, SUM(line_black_friday_discount) AS f
+  FROM lpv
+  WHERE order_id IS NOT NULL AND buyer_id IS NOT NULL AND customer_segment IS NOT NULL AND state IS NOT NULL AND region IS NOT NULL
+  GROUP BY order_id, buyer_id, customer_segment, state, region),
+o2v AS (
+  SELECT *, CAST(CASE WHEN {fee_basis} < {Params.dec(p.shipping_threshold_1)} THEN {Params.dec(p.shipping_fee_low)}
+                      WHEN {fee_basis} < {Params.dec(p.shipping_threshold_2)} THEN {Params.dec(p.shipping_fee_mid)}
+                      ELSE {Params.dec(p.shipping_fee_high)} END AS DECIMAL(20,6)) AS fee,
+         CAST({Params.dec(p.company_shipping_cost)} AS DECIMAL(20,6)) AS ship
+  FROM o1v),
+order_level_v AS (
+  SELECT order_id, buyer_id, customer_segment, state, region, order_datetime_company, is_referred,
+         is_first_order, is_black_friday, CAST(b AS DOUBLE) AS order_base_revenue,
+         CAST(n AS DOUBLE) AS order_net_revenue_before_shipping, CAST(c AS DOUBLE) AS order_cogs,
+         CAST(r AS DOUBLE) AS referral_discount_amount, CAST(f AS DOUBLE) AS black_friday_discount_amount,
+         CAST(fee AS DOUBLE) AS customer_shipping_fee, CAST(ship AS DOUBLE) AS company_shipping_cost,
+         CAST(n + fee AS DOUBLE) AS order_revenue, CAST(n + fee - c - ship AS DOUBLE) AS order_profit,
+         CAST(year(order_datetime_company) AS INTEGER) AS year,
+         CAST(year(order_datetime_company) AS STRING) || 'Q' || CAST(quarter(order_datetime_company) AS STRING) AS quarter,
+         CAST(hour(order_datetime_company) AS INTEGER) AS hour_company, r > 0 AS is_referral_discount
+  FROM o2v
+  WHERE year(order_datetime_company) BETWEEN {p.order_year_band[0]} AND {p.order_year_band[1]})
+"""

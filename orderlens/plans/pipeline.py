@@ -75,3 +75,8 @@ class Pipeline:
         """Order-level table; with ``materialize`` it is written once to the
         shared checkpoint folder and every metric reads it from there."""
         return self._keep(orders_op.roll_up_orders(self.priced_lines, self.params), "order_level")
+
+
+def lines_max_amount(p: Pipeline) -> DataFrame:
+    """PR10 line table of a pipeline."""
+    return orders_op.lines_max_amount_from_prepared(p.prepared_lines, p.params)

@@ -62,8 +62,7 @@ def q3_referral_impact(spark, sf):
     return M.referral_impact(pipeline(spark, sf).orders, P)
 
 
-@register("q4_black_friday_impact", O.with_base(f"""
-, d AS (
+Q4_SQL = f"""WITH d AS (
   SELECT year, customer_segment, CAST(order_datetime_company AS DATE) AS day,
          count(DISTINCT order_id) AS daily_orders, SUM(CAST(order_revenue AS DECIMAL(20,6))) AS daily_revenue,
          SUM(CAST(order_profit AS DECIMAL(20,6))) AS daily_profit,
@@ -86,7 +85,10 @@ SELECT *, {O.ratio('bf_orders', 'median_daily_orders')} AS volume_lift_x,
        bf_profit - median_daily_profit AS bf_profit_impact,
        {O.ratio('bf_orders', 'annual_orders')} * 100 AS bf_order_share_pct,
        {O.ratio('bf_revenue', 'annual_revenue')} * 100 AS bf_revenue_share_pct
-FROM g ORDER BY 1, 2""".replace("\n, d AS", ", d AS")))
+FROM g"""
+
+
+@register("q4_black_friday_impact", O.with_base(", q4 AS (" + Q4_SQL + ") SELECT * FROM q4 ORDER BY 1, 2"))
 def q4_black_friday_impact(spark, sf):
     return M.peak_day_impact(pipeline(spark, sf).orders, P)
 
@@ -115,8 +117,7 @@ def _derived_sql(src: str) -> str:
   FROM {src}"""
 
 
-@register("q5_customer_base_kpis", O.with_base(f"""
-, s AS ({_segment_sql('customer_segment')}),
+Q5_SQL = f"""WITH s AS ({_segment_sql('customer_segment')}),
 t AS ({_derived_sql('s')}),
 u AS (SELECT *, {O.ratio('total_profit', 'unique_customers')} AS profit_per_customer,
              median_profit_per_order * orders_per_customer AS ltv_proxy,
@@ -124,7 +125,10 @@ u AS (SELECT *, {O.ratio('total_profit', 'unique_customers')} AS profit_per_cust
              order_count >= quantile_cont(order_count, 0.5) OVER () AS hv FROM t)
 SELECT * EXCLUDE (hp, hv), CASE WHEN hp AND hv THEN 'CORE' WHEN hp AND NOT hv THEN 'EXPAND'
        WHEN NOT hp AND hv THEN 'OPTIMIZE' ELSE 'DEPRIORITIZE' END AS strategic_bucket
-FROM u ORDER BY total_profit DESC""".replace("\n, s AS", ", s AS")))
+FROM u"""
+
+
+@register("q5_customer_base_kpis", O.with_base(", q5 AS (" + Q5_SQL + ") SELECT * FROM q5 ORDER BY total_profit DESC"))
 def q5_customer_base_kpis(spark, sf):
     return M.segment_kpis(pipeline(spark, sf).orders, P)
 
