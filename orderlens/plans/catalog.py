@@ -49,4 +49,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load():
     # Importing the modules registers their queries.
-    from orderlens.plans import queries_core, queries_derived  # noqa: F401
+    from orderlens.plans import queries_core, queries_derived, queries_quality  # noqa: F401
