@@ -22,14 +22,17 @@ def q1_hourly_order_volume(spark, sf):
     return M.hourly_volume(pipeline(spark, sf).orders, P)
 
 
-@register("q2_profit_by_quarter_segment", O.with_base(f"""
+Q2_SELECT = f"""
 SELECT *, q75_profit - q25_profit AS profit_iqr,
        (q75_profit - q25_profit) / (abs(median_profit_per_order) + 1.0) AS profit_volatility
 FROM (SELECT quarter, customer_segment, {O.mean('order_profit')} AS avg_profit_per_order,
              {O.q('order_profit', 0.5)} AS median_profit_per_order, {O.q('order_profit', 0.25)} AS q25_profit,
              {O.q('order_profit', 0.75)} AS q75_profit, {O.msum('order_profit')} AS total_profit,
              count(DISTINCT order_id) AS order_count, {O.msum('order_revenue')} AS total_revenue
-      FROM ow GROUP BY 1, 2) t ORDER BY 1, 2"""))
+      FROM ow GROUP BY 1, 2) t"""
+
+
+@register("q2_profit_by_quarter_segment", O.with_base(Q2_SELECT + " ORDER BY 1, 2"))
 def q2_profit_by_quarter_segment(spark, sf):
     return M.profit_by_quarter_segment(pipeline(spark, sf).orders, P)
 
