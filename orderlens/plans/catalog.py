@@ -49,4 +49,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load():
     # Importing the modules registers their queries.
-    from orderlens.plans import queries_audit, queries_clean, queries_core, queries_derived, queries_profile, queries_quality  # noqa: F401
+    from orderlens.plans import queries_audit, queries_clean, queries_core, queries_derived, queries_profile, queries_quality, queries_stream  # noqa: F401
