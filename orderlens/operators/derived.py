@@ -14,7 +14,8 @@ from orderlens.operators import metrics as M
 from orderlens.params import Params
 
 NIGHT_HOURS = (0, 5)
-W_ALL = Window.partitionBy()
+def _all():
+    return Window.partitionBy()
 
 
 # ------------------------------------------------------------------ Q1 family
@@ -33,7 +34,7 @@ def hourly_profile(orders: DataFrame, params: Params = Params()) -> DataFrame:
     counts = orders.groupBy(F.col("hour_company").alias("hour")).agg(F.count(F.lit(1)).alias("order_count"))
     hours = orders.sparkSession.range(24).select(F.col("id").cast("int").alias("hour"))
     d = hours.join(counts, "hour", "left").na.fill(0, ["order_count"])
-    return (d.withColumn("pct", F.col("order_count") / F.sum("order_count").over(W_ALL) * 100)
+    return (d.withColumn("pct", F.col("order_count") / F.sum("order_count").over(_all()) * 100)
              .orderBy("hour"))
 
 
@@ -304,7 +305,7 @@ def repeat_analysis(orders: DataFrame) -> DataFrame:
         F.count_distinct("order_id").alias("orders")).withColumn("has_repeat", F.col("orders") > 1)
     g = b.groupBy("has_repeat").agg(F.count(F.lit(1)).alias("customers"),
                                     exact_mean("total_profit").alias("avg_lifetime_profit"))
-    return g.withColumn("pct", F.col("customers") / F.sum("customers").over(W_ALL) * 100)
+    return g.withColumn("pct", F.col("customers") / F.sum("customers").over(_all()) * 100)
 
 
 def referred_segment_value(orders: DataFrame) -> DataFrame:
@@ -394,8 +395,8 @@ QUADRANTS = {"hh": "Defend and Scale", "lh": "High Demand, Improve Margin", "hl"
 
 def segment_quadrants(q5: DataFrame) -> DataFrame:
     """Quadrant of each segment by medians across segments; segments listed by profit."""
-    x_mid = F.percentile("median_profit_per_order", F.lit(0.5)).over(W_ALL)
-    y_mid = F.percentile("order_count", F.lit(0.5)).over(W_ALL)
+    x_mid = F.percentile("median_profit_per_order", F.lit(0.5)).over(_all())
+    y_mid = F.percentile("order_count", F.lit(0.5)).over(_all())
     hx, hy = F.col("median_profit_per_order") >= x_mid, F.col("order_count") >= y_mid
     quad = (F.when(hx & hy, QUADRANTS["hh"]).when(~hx & hy, QUADRANTS["lh"])
              .when(hx & ~hy, QUADRANTS["hl"]).otherwise(QUADRANTS["ll"]))
@@ -414,7 +415,7 @@ def bucket_rollup(q5: DataFrame) -> DataFrame:
         money_sum("total_revenue").alias("total_revenue"), money_sum("total_cogs").alias("total_cogs"),
         money_sum("total_discounts").alias("total_discounts"),
         F.sum("order_count").alias("orders"), F.sum("unique_customers").alias("customers"))
-    return (g.withColumn("profit_share_pct", rounded(F.col("total_profit") / F.sum("total_profit").over(W_ALL) * 100))
+    return (g.withColumn("profit_share_pct", rounded(F.col("total_profit") / F.sum("total_profit").over(_all()) * 100))
              .withColumn("margin_pct", rounded(safe_ratio(F.col("total_revenue") - F.col("total_cogs"), "total_revenue") * 100))
              .withColumn("orders_per_customer", safe_ratio("orders", "customers"))
              .withColumn("discount_pct", rounded(safe_ratio("total_discounts", "total_revenue") * 100))
@@ -443,7 +444,7 @@ def state_share(orders: DataFrame, top: int = 10) -> DataFrame:
     g = orders.groupBy("state").agg(F.count_distinct("buyer_id").alias("buyers"),
                                     F.count_distinct("order_id").alias("orders"),
                                     money_sum("order_profit").alias("total_profit"))
-    return (g.withColumn("market_share_pct", F.col("buyers") / F.sum("buyers").over(W_ALL) * 100)
+    return (g.withColumn("market_share_pct", F.col("buyers") / F.sum("buyers").over(_all()) * 100)
              .orderBy(F.col("buyers").desc(), "state").limit(top))
 
 

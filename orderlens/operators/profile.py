@@ -13,7 +13,8 @@ from orderlens.functions.numeric import exact_mean, money_sum, rounded
 from orderlens.operators.common import long_rows
 from orderlens.operators.quality import union_rules
 
-W_ALL = Window.partitionBy()
+def _all():
+    return Window.partitionBy()
 
 
 def null_profile(df: DataFrame, dataset: str) -> DataFrame:
@@ -25,7 +26,7 @@ def distribution(df: DataFrame, col: str, top_n: int = 20) -> DataFrame:
     """EDA2: top-n values by count (ties by value), pct of all rows to 4 dp, NULL is its own value."""
     g = df.groupBy(F.col(col).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("count"))
     w = Window.orderBy(F.col("count").desc(), F.col("value").asc_nulls_last())
-    return (g.withColumn("pct", F.round(F.col("count") / F.sum("count").over(W_ALL) * 100, 4))
+    return (g.withColumn("pct", F.round(F.col("count") / F.sum("count").over(_all()) * 100, 4))
              .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
              .select(F.lit(col).alias("column"), "value", "count", "pct", "rank"))
 

@@ -105,3 +105,17 @@ def j11(spark, sf):
     from orderlens.operators.joins import key_overlap
     p = pipeline(spark, sf)
     return key_overlap(p.sales, p.buyers_raw, "buyer_id")
+
+
+@register("cp11_canonical_map", None)
+def cp11(spark, sf):
+    """Iterative (leader fixed point): no SQL twin; tested against a brute-force fixture."""
+    from orderlens.operators.canon import canonical_map
+    return canonical_map(pipeline(spark, sf).products_raw, "vendor")
+
+
+@register("cp11_canonicalise_report", None)
+def cp11r(spark, sf):
+    from orderlens.operators.canon import canonicalise
+    _, rep = canonicalise(pipeline(spark, sf).products_raw, ["vendor", "category_name"])
+    return rep
