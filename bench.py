@@ -2,8 +2,9 @@
 
 Prints ONE JSON line.  ``pipeline`` is the end-to-end batch (raw testbed
 tables -> clean -> lines -> orders, every stage table written once, as the
-reference's batch run writes them); each metric is then the median of three
-warm runs over the written order table, forced with a ``noop`` write.
+reference's batch run writes them), median of two runs after a JVM warm-up on
+sf0.001; each metric is then the median of three warm runs over the written
+order table, forced with a ``noop`` write.
 ``value`` = pipeline + sum of metric medians.
 """
 
@@ -28,12 +29,23 @@ def main():
     qs = catalog.queries()
     out: dict[str, float] = {}
 
-    t0 = time.time()
-    orders = catalog.pipeline(spark, sf_dir).orders          # builds and writes every stage
-    orders.write.format("noop").mode("overwrite").save()
-    out["pipeline"] = round(time.time() - t0, 3)
+    # JVM warm-up on the smallest data set (JIT + code generation), then the
+    # pipeline at the bench scale twice with fresh stage tables each time.
+    warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+    if os.path.isdir(warm) and os.path.abspath(warm) != os.path.abspath(sf_dir):
+        catalog.Pipeline.from_testbed(spark, warm, catalog.TESTBED, materialize=True).orders.count()
+    runs = []
+    for _ in range(2):
+        t0 = time.time()
+        p = catalog.Pipeline.from_testbed(spark, sf_dir, catalog.TESTBED, materialize=True)
+        p.orders.write.format("noop").mode("overwrite").save()   # builds and writes every stage
+        runs.append(time.time() - t0)
+    catalog._PIPELINES[(spark.sparkContext.applicationId, sf_dir)] = p
+    out["pipeline"] = round(statistics.median(runs), 3)
 
-    headline = [k for k in qs if k != "pr16_order_level"]
+    headline = ["q1_hourly_order_volume", "q2_profit_by_quarter_segment", "q3_referral_impact",
+                "q4_black_friday_impact", "q5_customer_base_kpis", "q5_quarterly_segment_analysis",
+                "dq14_quality_report", "eda13_orders_summary"]
     for k in headline:
         runs = []
         for _ in range(3):

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.params import TESTBED
-from orderlens.plans.pipeline import Pipeline
+from orderlens.plans.pipeline import Pipeline  # noqa: F401  (re-exported for the bench)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
