@@ -486,3 +486,19 @@ def state_value(orders: DataFrame, pattern: str = r"^[A-Z]{2}$") -> DataFrame:
         money_sum("order_profit").alias("total_profit"))
     return (g.withColumn("profit_per_customer", safe_ratio("total_profit", "buyers"))
              .withColumn("profit_per_order", safe_ratio("total_profit", "orders")).orderBy(F.col("total_profit").desc()))
+
+
+def peak_day_revenue_impact(orders: DataFrame, params: Params = Params()) -> DataFrame:
+    """Q4e: holiday base and net revenue, discount impact and share of annual net revenue."""
+    bf = F.col("is_black_friday")
+    g = M.in_window(orders, params).groupBy("year", "customer_segment").agg(
+        F.sum(F.when(bf, F.col("order_base_revenue").cast("decimal(20,6)"))).alias("_b"),
+        F.sum(F.when(bf, F.col("order_net_revenue_before_shipping").cast("decimal(20,6)"))).alias("_n"),
+        F.sum(F.col("order_net_revenue_before_shipping").cast("decimal(20,6)")).alias("_a"))
+    return g.select(
+        "year", "customer_segment",
+        F.coalesce(F.col("_b").cast("double"), F.lit(0.0)).alias("bf_base_revenue"),
+        F.coalesce(F.col("_n").cast("double"), F.lit(0.0)).alias("bf_net_revenue"),
+        F.coalesce((F.col("_b") - F.col("_n")).cast("double"), F.lit(0.0)).alias("discount_impact"),
+        (safe_ratio(F.coalesce(F.col("_n").cast("double"), F.lit(0.0)), F.col("_a").cast("double")) * 100).alias("pct_of_annual"),
+    ).orderBy("year", "customer_segment")

@@ -291,3 +291,136 @@ def headline_shares(buyers: DataFrame) -> DataFrame:
     return buyers.agg((F.avg((F.col("is_referred") == 1).cast("double")) * 100).alias("referred_pct"),
                       rounded(F.avg("wishlist_size")).alias("mean_wishlist"),
                       F.count_distinct("customer_segment").alias("segments"))
+
+
+def issue_table(df: DataFrame, checks: dict[str, tuple[str, str]], pass_fail: bool = False) -> DataFrame:
+    """EDA19 / EDA43: one row per named check ``(predicate SQL, severity)`` with
+    affected rows, % of rows and CHECK/OK (or FAIL/PASS) — one aggregate pass."""
+    names = list(checks)
+    a = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.expr(checks[k][0])).alias(f"_c{i}") for i, k in enumerate(names)])
+    rows = [F.struct(F.lit(k).alias("issue"), F.col(f"_c{i}").alias("rows"),
+                     F.round(F.when(F.col("_n") > 0, F.col(f"_c{i}") / F.col("_n") * 100).otherwise(0.0), 2).alias("pct"),
+                     F.lit(checks[k][1]).alias("severity"),
+                     F.when(F.col(f"_c{i}") > 0, "FAIL" if pass_fail else "CHECK").otherwise("PASS" if pass_fail else "OK")
+                     .alias("status")) for i, k in enumerate(names)]
+    return a.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def margin_consistency(products: DataFrame) -> DataFrame:
+    """EDA23: agreement of percent margin with 100 x fractional margin."""
+    d = F.abs(F.col("pct_profit_margin").try_cast("double") - F.col("profit_margin").try_cast("double") * 100)
+    return products.agg(F.max(d).alias("max_abs_diff"), rounded(F.avg(d)).alias("mean_abs_diff"),
+                        F.count_if(d < 0.001).alias("matches"), F.count(d).alias("compared"))
+
+
+def breakdown(df: DataFrame, by: str, value: str, pattern: str | None = None, on: str | None = None) -> DataFrame:
+    """EDA24: rows, NULLs, mean and median of ``value`` per ``by``; optional
+    case-insensitive regex filter on column ``on``."""
+    if pattern is not None:
+        df = df.where(F.col(on or by).rlike(f"(?i){pattern}"))
+    v = F.col(value).try_cast("double")
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), F.count_if(v.isNull()).alias("nulls"),
+                              exact_mean(v, 10).alias("mean"), rounded(F.median(v)).alias("median")).orderBy(by)
+
+
+def top_by(df: DataFrame, col: str, n: int = 20, where: str | None = None) -> DataFrame:
+    """EDA25: top ``n`` rows by a numeric column, optionally filtered."""
+    if where:
+        df = df.where(where)
+    return df.orderBy(F.col(col).try_cast("double").desc_nulls_last()).limit(n)
+
+
+def flag_redundancy(df: DataFrame, stored: str, derived: F.Column) -> DataFrame:
+    """EDA27: does a stored flag equal a derived one? match % and mismatch count."""
+    eq = F.coalesce(F.col(stored).try_cast("int") == derived.cast("int"), F.lit(False))
+    return df.agg((F.avg(eq.cast("double")) * 100).alias("match_pct"), F.count_if(~eq).alias("mismatches"))
+
+
+def predictive_spread(df: DataFrame, group: str, value: str) -> DataFrame:
+    """EDA28: sample std over groups of the group mean of ``value``."""
+    g = df.groupBy(group).agg(exact_mean(F.col(value).try_cast("double"), 10).alias("m"))
+    return g.agg(rounded(F.stddev_samp("m")).alias("std_of_group_means"), F.count(F.lit(1)).alias("groups"))
+
+
+def slice_vs_all(df: DataFrame, predicate: str, col: str) -> DataFrame:
+    """EDA31: share of each value inside a slice vs overall, difference in points."""
+    s = F.expr(predicate)
+    g = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"), F.count_if(s).alias("n_slice"))
+    return (g.withColumn("pct_all", F.col("n") / F.sum("n").over(_all()) * 100)
+             .withColumn("pct_slice", F.col("n_slice") / F.sum("n_slice").over(_all()) * 100)
+             .withColumn("skew_points", F.col("pct_slice") - F.col("pct_all")).orderBy("value"))
+
+
+def modal_in_null_slice(df: DataFrame, col: str, other: str) -> DataFrame:
+    """EDA35: most common ``other`` where ``col`` is NULL vs where it is not."""
+    n = F.col(col).isNull()
+    return df.agg(F.mode(F.when(n, F.col(other)), True).alias("mode_null_slice"),
+                  F.mode(F.when(~n, F.col(other)), True).alias("mode_valid_slice")).withColumn(
+        "verdict", F.when(F.col("mode_null_slice") == F.col("mode_valid_slice"), "Same").otherwise("DIFFERENT"))
+
+
+def duplicate_scenarios(df: DataFrame, keys, payload) -> DataFrame:
+    """EDA38: per key with copies, identical payload copies (A) vs differing payloads (B)."""
+    h = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in payload])
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), F.count_distinct(h).alias("payloads")).where(
+        F.col("copies") > 1)
+    return g.groupBy(F.when(F.col("payloads") == 1, "A_same_payload").otherwise("B_different_payload").alias("scenario")).agg(
+        F.count(F.lit(1)).alias("keys"), F.sum("copies").alias("rows")).orderBy("scenario")
+
+
+def sales_totals(sales: DataFrame) -> DataFrame:
+    """EDA41: rows, distinct orders / buyers / SKUs, items per order, cancelled share."""
+    return sales.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("order_id").alias("orders"),
+                     F.count_distinct("buyer_id").alias("buyers"), F.count_distinct("sku_id").alias("skus"),
+                     money_sum("quantity").alias("total_quantity")).withColumn(
+        "items_per_order", F.col("rows") / F.col("orders"))
+
+
+def suspicious_buyers(buyers_raw: DataFrame, sales: DataFrame, active_groups=("Regular", "Occasional", "Frequent", "VIP")) -> DataFrame:
+    """EDA42: NULL signup + active group, split by having sales, with their order counts."""
+    orders = sales.groupBy("buyer_id").agg(F.count_distinct("order_id").alias("orders"))
+    s = buyers_raw.where(F.col("signup_date").isNull() & F.col("customer_group").isin(*active_groups)).select("buyer_id").distinct()
+    j = s.join(orders, "buyer_id", "left")
+    return j.groupBy(F.col("orders").isNotNull().alias("has_sales")).agg(
+        F.count(F.lit(1)).alias("buyers"), F.coalesce(F.sum("orders"), F.lit(0)).alias("orders"),
+        rounded(F.avg("orders")).alias("mean_orders")).orderBy("has_sales")
+
+
+def date_stats_by(df: DataFrame, by: str, col: str) -> DataFrame:
+    """EDA44: min, max and mean date of ``col`` per group (mean via epoch seconds)."""
+    secs = F.unix_timestamp(F.col(col).cast("timestamp"))
+    return df.groupBy(by).agg(F.min(col).alias("min_date"), F.max(col).alias("max_date"),
+                              F.timestamp_seconds(F.floor(F.avg(secs))).cast("timestamp_ntz").alias("mean_date"),
+                              F.count(col).alias("n")).orderBy(by)
+
+
+def slice_profile(df: DataFrame, predicate: str, cols, top: int = 5) -> DataFrame:
+    """EDA45: NULLs and top values with share for each column inside a slice."""
+    s = df.where(predicate)
+    parts = [distribution(s, c, top) for c in cols]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def imputation_audit(raw: DataFrame, col: str, by: str) -> DataFrame:
+    """EDA46: NULLs of ``col`` fillable from a non-NULL ``by`` mapping, nulls before / after."""
+    modes = raw.where(F.col(by).isNotNull() & F.col(col).isNotNull()).groupBy(by).agg(F.mode(col, True).alias("_m"))
+    j = raw.join(modes, by, "left")
+    n = F.col(col).isNull()
+    return j.agg(F.count_if(n).alias("nulls_before"), F.count_if(n & F.col("_m").isNotNull()).alias("fillable"),
+                 F.count_if(n & F.col("_m").isNull()).alias("not_fillable"),
+                 F.count_if(F.coalesce(F.col(col), F.col("_m")).isNull()).alias("nulls_after"))
+
+
+def region_states(buyers: DataFrame) -> DataFrame:
+    """EDA47: per region its states, state count and modal zone; plus whether
+    every state of the region occurs under this region only."""
+    per_state = buyers.where(F.col("state").isNotNull()).groupBy("state").agg(
+        F.count_distinct("region").alias("regions"))
+    b = buyers.where(F.col("region").isNotNull()).join(per_state, "state", "left")
+    return b.groupBy("region").agg(F.sort_array(F.collect_set("state")).alias("states"),
+                                   F.count_distinct("state").alias("n_states"),
+                                   F.mode("timezone", True).alias("modal_timezone"),
+                                   F.bool_and(F.col("regions") == 1).alias("states_exclusive")).orderBy("region")

@@ -32,6 +32,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
     DataFrames, and the order table is written once (shared checkpoint
     folder) and read by every metric."""
     key = (spark.sparkContext.applicationId, sf_dir)
+    # wall clocks are TimestampNTZ; string -> timestamp parsing must not pass
+    # through a DST-observing session zone
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     if key not in _PIPELINES:
         _PIPELINES[key] = Pipeline.from_testbed(spark, sf_dir, TESTBED, materialize=True)
     return _PIPELINES[key]
@@ -49,4 +53,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load():
     # Importing the modules registers their queries.
-    from orderlens.plans import queries_audit, queries_clean, queries_core, queries_derived, queries_profile, queries_quality, queries_stream  # noqa: F401
+    from orderlens.plans import queries_audit, queries_clean, queries_core, queries_derived, queries_explore, queries_profile, queries_quality, queries_stream  # noqa: F401
