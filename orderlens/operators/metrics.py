@@ -19,7 +19,8 @@ def in_window(orders: DataFrame, params: Params) -> DataFrame:
 
 
 def _quartiles(col: str, prefix: str = "") -> list:
-    return [F.percentile(F.col(col), F.lit(q)).alias(f"_{prefix}q{int(q * 100)}") for q in (0.25, 0.5, 0.75)]
+    """One exact percentile buffer (value -> count map) per group for all three quartiles."""
+    return [F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"_{prefix}qs")]
 
 
 # ------------------------------------------------------------------ Q1
@@ -43,9 +44,9 @@ def profit_by_quarter_segment(orders: DataFrame, params: Params = Params()) -> D
     ))
     return (g.select(
         "quarter", "customer_segment", "avg_profit_per_order",
-        rounded(F.col("_q50")).alias("median_profit_per_order"),
-        rounded(F.col("_q25")).alias("q25_profit"),
-        rounded(F.col("_q75")).alias("q75_profit"),
+        rounded(F.col("_qs")[1]).alias("median_profit_per_order"),
+        rounded(F.col("_qs")[0]).alias("q25_profit"),
+        rounded(F.col("_qs")[2]).alias("q75_profit"),
         "total_profit", "order_count", "total_revenue")
         .withColumn("profit_iqr", F.col("q75_profit") - F.col("q25_profit"))
         .withColumn("profit_volatility", F.col("profit_iqr") / (F.abs("median_profit_per_order") + F.lit(1.0)))

@@ -51,7 +51,8 @@ class Pipeline:
 
     @cached_property
     def products(self) -> DataFrame:
-        return self._keep(clean.clean_products(self.products_raw, self.params, self.flags), "products_clean")
+        # read by the line join only: no reuse, so not written
+        return clean.clean_products(self.products_raw, self.params, self.flags)
 
     @cached_property
     def buyers(self) -> DataFrame:
