@@ -323,11 +323,12 @@ def breakdown(df: DataFrame, by: str, value: str, pattern: str | None = None, on
                               exact_mean(v, 10).alias("mean"), rounded(F.median(v)).alias("median")).orderBy(by)
 
 
-def top_by(df: DataFrame, col: str, n: int = 20, where: str | None = None) -> DataFrame:
-    """EDA25: top ``n`` rows by a numeric column, optionally filtered."""
+def top_by(df: DataFrame, col: str, n: int = 20, where: str | None = None, tie: str | None = None) -> DataFrame:
+    """EDA25: top ``n`` rows by a numeric column (``tie`` breaks ties), optionally filtered."""
     if where:
         df = df.where(where)
-    return df.orderBy(F.col(col).try_cast("double").desc_nulls_last()).limit(n)
+    keys = [F.col(col).try_cast("double").desc_nulls_last()] + ([F.col(tie)] if tie else [])
+    return df.orderBy(*keys).limit(n)
 
 
 def flag_redundancy(df: DataFrame, stored: str, derived: F.Column) -> DataFrame:

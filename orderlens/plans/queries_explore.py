@@ -107,3 +107,103 @@ def q4e(spark, sf):
 
 
 _ = F
+
+
+@register("eda22_non_numeric_values", O.with_base("""
+SELECT price AS value, count(*) AS count FROM products_raw WHERE price IS NOT NULL AND TRY_CAST(price AS DOUBLE) IS NULL
+GROUP BY 1 ORDER BY 2 DESC, 1"""))
+def eda22(spark, sf):
+    return PF.non_numeric_values(pipeline(spark, sf).products_raw, "price")
+
+
+@register("eda23_margin_consistency", None)
+def eda23(spark, sf):
+    p = pipeline(spark, sf).products.withColumn("pct_profit_margin", F.col("margin") * 100)
+    return PF.margin_consistency(p)
+
+
+@register("eda25_top_by_stock", O.with_base("""
+SELECT sku_id, TRY_CAST(current_stock AS DOUBLE) AS stock FROM products_clean
+WHERE NOT coalesce(lower(trim(active_product)) IN ('1', 'true', 'y'), false)
+ORDER BY stock DESC NULLS LAST, sku_id LIMIT 20"""))
+def eda25(spark, sf):
+    d = PF.top_by(pipeline(spark, sf).products.where(~F.coalesce(F.col("active_product_num") == 1, F.lit(False))),
+                  "current_stock", 20, tie="sku_id")
+    return d.select("sku_id", F.col("current_stock").try_cast("double").alias("stock"))
+
+
+@register("eda26_price_histogram", O.with_base("""
+, mm AS (SELECT min(price) AS lo, max(price) AS hi FROM products_clean)
+SELECT CAST(least(CASE WHEN price < lo THEN 0 WHEN price >= hi + 1e-9 THEN 51
+                       ELSE floor((price - lo) / (hi + 1e-9 - lo) * 50) + 1 END, 50) AS BIGINT) AS bin, count(*) AS count
+FROM products_clean, mm WHERE price IS NOT NULL GROUP BY 1 ORDER BY 1"""))
+def eda26(spark, sf):
+    return PF.histogram(pipeline(spark, sf).products, "price", 50)
+
+
+@register("eda27_flag_redundancy", O.with_base("""
+SELECT avg(CAST(coalesce(CAST(is_referred_invalid AS INTEGER) = CAST(is_referred IS NULL AS INTEGER), false) AS DOUBLE)) * 100 AS match_pct,
+       count_if(NOT coalesce(CAST(is_referred_invalid AS INTEGER) = CAST(is_referred IS NULL AS INTEGER), false)) AS mismatches
+FROM buyers_clean"""))
+def eda27(spark, sf):
+    return PF.flag_redundancy(pipeline(spark, sf).buyers, "is_referred_invalid", F.col("is_referred").isNull())
+
+
+@register("eda30_co_nulls", O.with_base("\nUNION ALL ".join(
+    f"SELECT 'null_region' AS dataset, 'null_profile.{c}' AS metric, CAST(count_if({c} IS NULL) AS DOUBLE) AS value "
+    f"FROM buyers_raw WHERE region IS NULL" for c in
+    ["buyer_id", "customer_group", "customer_segment", "preferred_channel", "signup_date", "region", "state",
+     "timezone", "is_referred", "wishlist_size", "_ord"])))
+def eda30(spark, sf):
+    return PF.co_nulls(pipeline(spark, sf).buyers_raw, "region")
+
+
+@register("eda32_multi_valued_keys", O.with_base("""
+SELECT state, count(DISTINCT region) AS n_region, count(DISTINCT timezone) AS n_timezone FROM buyers_raw
+GROUP BY 1 HAVING count(DISTINCT region) > 1 OR count(DISTINCT timezone) > 1 ORDER BY 1"""))
+def eda32(spark, sf):
+    return PF.multi_valued_keys(pipeline(spark, sf).buyers_raw, "state", ["region", "timezone"])
+
+
+@register("eda33_dependency_profile", None)
+def eda33(spark, sf):
+    return PF.dependency_profile(pipeline(spark, sf).buyers_raw, "state", "timezone")
+
+
+@register("eda35_modal_in_null_slice", None)
+def eda35(spark, sf):
+    return PF.modal_in_null_slice(pipeline(spark, sf).buyers_raw, "region", "timezone")
+
+
+@register("eda37_duplicate_diff", None)
+def eda37(spark, sf):
+    return PF.duplicate_diff(pipeline(spark, sf).sales_raw.select("order_id", "sku_id", "quantity", "buyer_id"), "order_id")
+
+
+@register("eda39_constant_columns", O.with_base("""
+SELECT * FROM (SELECT 'subcategory_id' AS "column", count(DISTINCT subcategory_id) AS distinct_values FROM products_clean
+               UNION ALL SELECT 'vendor', count(DISTINCT vendor) FROM products_clean
+               UNION ALL SELECT 'category_name', count(DISTINCT category_name) FROM products_clean) t
+WHERE distinct_values <= 1"""))
+def eda39(spark, sf):
+    return PF.constant_columns(pipeline(spark, sf).products.select("subcategory_id", "vendor", "category_name"))
+
+
+@register("eda40_whitespace_audit", O.with_base("\nUNION ALL ".join(
+    f"SELECT 'whitespace' AS dataset, 'padded.{c}' AS metric, CAST(count_if(length({c}) <> length(trim({c}))) AS DOUBLE) AS value FROM sales_raw"
+    for c in ["order_id", "buyer_id", "sku_id"])))
+def eda40(spark, sf):
+    return PF.whitespace_audit(pipeline(spark, sf).sales_raw, ["order_id", "buyer_id", "sku_id"])
+
+
+@register("eda42_suspicious_buyers", None)
+def eda42(spark, sf):
+    from orderlens.functions.timefn import SIGNUP_TS_FORMATS, parse_ts
+    p = pipeline(spark, sf)
+    raw = p.buyers_raw.withColumn("signup_date", parse_ts("signup_date", SIGNUP_TS_FORMATS))
+    return PF.suspicious_buyers(raw, p.sales)
+
+
+@register("eda45_slice_profile", None)
+def eda45(spark, sf):
+    return PF.slice_profile(pipeline(spark, sf).buyers, "is_referred_invalid", ["customer_segment", "region", "timezone"])
