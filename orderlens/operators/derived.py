@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from orderlens.functions.numeric import exact_mean, money_sum, rounded, safe_ratio
 from orderlens.operators import metrics as M
+from orderlens.operators.running import running_rank_sum
 from orderlens.params import Params
 
 NIGHT_HOURS = (0, 5)
@@ -221,12 +222,12 @@ def payback_curve(orders: DataFrame, params: Params = Params()) -> DataFrame:
     """Q3d: cumulative revenue by order rank per buyer (time, then order id);
     per rank the cohort means / std / n, difference, SE and 95 % band; ranks
     capped at ``params.payback_max_rank``."""
-    w = Window.partitionBy("buyer_id").orderBy("order_datetime_company", "order_id")
-    d = (orders.where(F.col("order_datetime_company").isNotNull())
-         .select("buyer_id", "is_referred", "order_datetime_company", "order_id", "order_revenue")
-         .withColumn("order_rank", F.row_number().over(w))
-         .withColumn("cum", F.sum(F.col("order_revenue").cast("decimal(20,6)")).over(
-             w.rowsBetween(Window.unboundedPreceding, 0)).cast("double")))
+    base = (orders.where(F.col("order_datetime_company").isNotNull())
+            .select("buyer_id", "is_referred", "order_datetime_company", "order_id", "order_revenue"))
+    # per-buyer running order: distributed prefix scan (a hot buyer spans many tasks)
+    d = running_rank_sum(base, "buyer_id", ["order_datetime_company", "order_id"], "order_revenue",
+                         rank_col="order_rank", sum_col="cum")
+    d = d.withColumn("cum", F.col("cum").cast("double"))
     ref = F.col("is_referred") == 1
     r = d.where(F.col("order_rank") <= params.payback_max_rank).groupBy("order_rank").agg(
         exact_mean(F.when(ref, F.col("cum"))).alias("mean_ref"),

@@ -158,9 +158,11 @@ def lines_max_amount(lines: DataFrame, params: Params = Params(), fee: float = 4
 
 
 def lines_max_amount_from_prepared(df: DataFrame, params: Params = Params(), fee: float = 4.99) -> DataFrame:
-    w = Window.partitionBy("buyer_id").orderBy("order_datetime", "order_id", "sku_id")
+    from orderlens.operators.running import running_rank_sum
+
     rev = F.col("line_base_revenue")
-    df = df.withColumn("order_number", F.row_number().over(w))
+    # buyer line number by (time, order, sku): distributed prefix scan, not a window over the buyer
+    df = running_rank_sum(df, "buyer_id", ["order_datetime", "order_id", "sku_id"], None, rank_col="order_number")
     ref_amt = F.when((F.col("is_referred") == 1) & (F.col("order_number") == 1),
                      rev * _d(params.referral_discount_rate)).otherwise(_d(0))
     bf_amt = F.when(F.col("is_black_friday"), rev * _d(params.black_friday_discount_rate)).otherwise(_d(0))
