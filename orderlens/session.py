@@ -72,7 +72,7 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize_table(df: DataFrame, name: str) -> DataFrame:
+def materialize_table(df: DataFrame, name: str, partition_by=()) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Columnar and compressed (later scans prune columns and push filters),
@@ -84,5 +84,9 @@ def materialize_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/orderlens-tables/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    out = spark.read.parquet(path)
+    return out.select(*df.columns) if partition_by else out
