@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from orderlens.functions.numeric import exact_mean, money_sum, rounded, safe_ratio
 from orderlens.operators import metrics as M
+from orderlens.operators.quantiles import with_group_quantiles
 from orderlens.operators.running import running_rank_sum
 from orderlens.params import Params
 
@@ -158,11 +159,13 @@ def segment_highlights(q2: DataFrame) -> DataFrame:
 
 def segment_rank_by_profit(orders: DataFrame) -> DataFrame:
     """Q2i: mean, median and sample std of order profit per segment."""
-    return orders.groupBy("customer_segment").agg(
+    g = orders.groupBy("customer_segment").agg(
         exact_mean("order_profit").alias("mean_profit"),
-        rounded(F.median("order_profit")).alias("median_profit"),
         rounded(F.stddev_samp("order_profit")).alias("std_profit"),
-        F.count(F.lit(1)).alias("orders")).orderBy(F.col("mean_profit").desc())
+        F.count(F.lit(1)).alias("orders"))
+    g = with_group_quantiles(g, orders, ["customer_segment"], "order_profit", [0.5], ["_m"])
+    return g.select("customer_segment", "mean_profit", rounded(F.col("_m")).alias("median_profit"),
+                    "std_profit", "orders").orderBy(F.col("mean_profit").desc())
 
 
 def peak_flag_profit(orders: DataFrame) -> DataFrame:
@@ -322,10 +325,14 @@ def referred_segment_value(orders: DataFrame) -> DataFrame:
 
 def cohort_profile(orders: DataFrame) -> DataFrame:
     """Q3l: customers, orders, mean / median profit, discount and profit per cohort."""
-    return orders.groupBy(M.referral_group().alias("cohort")).agg(
+    src = orders.withColumn("cohort", M.referral_group())
+    g = src.groupBy("cohort").agg(
         F.count_distinct("buyer_id").alias("customers"), F.count(F.lit(1)).alias("orders"),
-        exact_mean("order_profit").alias("avg_profit"), rounded(F.median("order_profit")).alias("median_profit"),
+        exact_mean("order_profit").alias("avg_profit"),
         money_sum("referral_discount_amount").alias("total_discount"), money_sum("order_profit").alias("total_profit"))
+    g = with_group_quantiles(g, src, ["cohort"], "order_profit", [0.5], ["_m"])
+    return g.select("cohort", "customers", "orders", "avg_profit", rounded(F.col("_m")).alias("median_profit"),
+                    "total_discount", "total_profit")
 
 
 # ------------------------------------------------------------------ Q4 family

@@ -2,7 +2,10 @@
 
 All take ``(orders, params)`` and return small aggregated DataFrames.  Money
 aggregates are exact fixed-point sums; means are exact sum / count; quantiles
-are Spark's exact ``percentile`` (linear interpolation), never approximate.
+are exact (linear interpolation, as Spark's ``percentile``), never
+approximate.  Quantiles over order rows (groups as large as a whole segment)
+come from ``quantiles.with_group_quantiles``, a distributed rank selection,
+so no group's values are ever gathered in one task.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from orderlens.functions.numeric import exact_mean, money_sum, rounded, safe_ratio
+from orderlens.operators.quantiles import with_group_quantiles
 from orderlens.params import Params
 
 
@@ -18,9 +22,10 @@ def in_window(orders: DataFrame, params: Params) -> DataFrame:
     return orders.where(F.col("year").between(lo, hi))
 
 
-def _quartiles(col: str, prefix: str = "") -> list:
-    """One exact percentile buffer (value -> count map) per group for all three quartiles."""
-    return [F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"_{prefix}qs")]
+def _with_median(agg: DataFrame, src: DataFrame, keys: list[str]) -> DataFrame:
+    """``median_profit_per_order`` of ``src`` per group, attached to ``agg``."""
+    m = with_group_quantiles(agg, src, keys, "order_profit", [0.5], ["_median"])
+    return m.withColumn("_median", rounded(F.col("_median")))
 
 
 # ------------------------------------------------------------------ Q1
@@ -35,18 +40,20 @@ def hourly_volume(orders: DataFrame, params: Params = Params()) -> DataFrame:
 # ------------------------------------------------------------------ Q2
 def profit_by_quarter_segment(orders: DataFrame, params: Params = Params()) -> DataFrame:
     """Q2: profit distribution per (quarter, segment) with IQR and volatility."""
-    g = (in_window(orders, params).groupBy("quarter", "customer_segment").agg(
+    src = in_window(orders, params)
+    keys = ["quarter", "customer_segment"]
+    g = src.groupBy(*keys).agg(
         exact_mean("order_profit").alias("avg_profit_per_order"),
-        *_quartiles("order_profit"),
         money_sum("order_profit").alias("total_profit"),
         F.count_distinct("order_id").alias("order_count"),
         money_sum("order_revenue").alias("total_revenue"),
-    ))
+    )
+    g = with_group_quantiles(g, src, keys, "order_profit", [0.25, 0.5, 0.75], ["_q25", "_q50", "_q75"])
     return (g.select(
         "quarter", "customer_segment", "avg_profit_per_order",
-        rounded(F.col("_qs")[1]).alias("median_profit_per_order"),
-        rounded(F.col("_qs")[0]).alias("q25_profit"),
-        rounded(F.col("_qs")[2]).alias("q75_profit"),
+        rounded(F.col("_q50")).alias("median_profit_per_order"),
+        rounded(F.col("_q25")).alias("q25_profit"),
+        rounded(F.col("_q75")).alias("q75_profit"),
         "total_profit", "order_count", "total_revenue")
         .withColumn("profit_iqr", F.col("q75_profit") - F.col("q25_profit"))
         .withColumn("profit_volatility", F.col("profit_iqr") / (F.abs("median_profit_per_order") + F.lit(1.0)))
@@ -62,12 +69,11 @@ def referral_impact(orders: DataFrame, params: Params = Params()) -> DataFrame:
     """Q3: referred vs non-referred economics, counterfactual and quality delta."""
     cf = (F.col("order_revenue").cast("decimal(20,6)") + F.col("referral_discount_amount").cast("decimal(20,6)")
           - F.col("order_cogs").cast("decimal(20,6)") - F.col("company_shipping_cost").cast("decimal(20,6)"))
-    g = (in_window(orders, params).withColumn("referral_group", referral_group())
-         .groupBy("referral_group").agg(
+    src = in_window(orders, params).withColumn("referral_group", referral_group())
+    g = (src.groupBy("referral_group").agg(
              F.count_distinct("buyer_id").alias("unique_customers"),
              F.count_distinct("order_id").alias("order_count"),
              exact_mean("order_profit").alias("avg_profit_per_order"),
-             rounded(F.percentile("order_profit", F.lit(0.5))).alias("median_profit_per_order"),
              money_sum("order_profit").alias("total_profit"),
              money_sum("order_revenue").alias("total_revenue"),
              money_sum("referral_discount_amount").alias("total_referral_discount"),
@@ -77,6 +83,10 @@ def referral_impact(orders: DataFrame, params: Params = Params()) -> DataFrame:
              F.sum(cf).alias("_cf"),
              F.sum(F.col("order_profit").cast("decimal(20,6)")).alias("_tp"),
          ))
+    g = _with_median(g, src, ["referral_group"])
+    names = [c for c in g.columns if c != "_median"]
+    i = names.index("avg_profit_per_order") + 1
+    g = g.select(*names[:i], F.col("_median").alias("median_profit_per_order"), *names[i:])
     # At most two rows (one per group): the cross-row window is over that.
     w = Window.partitionBy()
     ref_avg = F.max(F.when(F.col("referral_group") == "referred", F.col("avg_profit_per_order"))).over(w)
@@ -114,6 +124,8 @@ def peak_day_impact(orders: DataFrame, params: Params = Params()) -> DataFrame:
     def off_bf(c):
         return F.when(~bf, F.col(c).cast("double"))
 
+    # Medians here are over days (at most 366 values per segment-year), so
+    # the exact in-aggregate percentile buffer is bounded.
     g = d.groupBy("year", "customer_segment").agg(
         F.sum("daily_orders").alias("annual_orders"),
         F.sum("daily_revenue").cast("double").alias("annual_revenue"),
@@ -136,12 +148,11 @@ def peak_day_impact(orders: DataFrame, params: Params = Params()) -> DataFrame:
 
 # ------------------------------------------------------------------ Q5
 def segment_aggs() -> list:
-    """The ten per-segment aggregates."""
+    """The per-segment aggregates but the median (see ``segment_table``)."""
     return [
         F.count_distinct("buyer_id").alias("unique_customers"),
         F.count_distinct("order_id").alias("order_count"),
         exact_mean("order_profit").alias("avg_profit_per_order"),
-        rounded(F.percentile("order_profit", F.lit(0.5))).alias("median_profit_per_order"),
         money_sum("order_profit").alias("total_profit"),
         money_sum("order_revenue").alias("total_revenue"),
         money_sum("order_cogs").alias("total_cogs"),
@@ -151,6 +162,14 @@ def segment_aggs() -> list:
     ]
 
 
+def segment_table(src: DataFrame, keys: list[str]) -> DataFrame:
+    """The ten aggregates per group (median attached by distributed selection)."""
+    g = _with_median(src.groupBy(*keys).agg(*segment_aggs()), src, keys)
+    names = [c for c in g.columns if c != "_median"]
+    i = names.index("avg_profit_per_order") + 1
+    return g.select(*names[:i], F.col("_median").alias("median_profit_per_order"), *names[i:])
+
+
 def add_derived(df: DataFrame) -> DataFrame:
     """Five derived ratios (guarded divisions -> 0)."""
     return (df.withColumn("total_referral_discount", F.col("_ref").cast("double"))
@@ -165,7 +184,7 @@ def add_derived(df: DataFrame) -> DataFrame:
 
 def segment_kpis(orders: DataFrame, params: Params = Params()) -> DataFrame:
     """Q5: segment KPIs with strategic bucket by medians across segments."""
-    seg = add_derived(in_window(orders, params).groupBy("customer_segment").agg(*segment_aggs()))
+    seg = add_derived(segment_table(in_window(orders, params), ["customer_segment"]))
     seg = (seg.withColumn("profit_per_customer", safe_ratio("total_profit", "unique_customers"))
               .withColumn("ltv_proxy", F.col("median_profit_per_order") * F.col("orders_per_customer")))
     # One row per segment: medians across segments over that small table.
@@ -181,7 +200,7 @@ def segment_kpis(orders: DataFrame, params: Params = Params()) -> DataFrame:
 
 def segment_kpis_quarterly(orders: DataFrame, params: Params = Params()) -> DataFrame:
     """The same aggregates per (quarter, segment)."""
-    q = add_derived(in_window(orders, params).groupBy("quarter", "customer_segment").agg(*segment_aggs()))
+    q = add_derived(segment_table(in_window(orders, params), ["quarter", "customer_segment"]))
     return q.orderBy(F.col("quarter").asc(), F.col("total_profit").desc())
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from orderlens.functions.numeric import exact_mean, money_sum, rounded
 from orderlens.operators.common import long_rows
+from orderlens.operators.quantiles import quantiles_row
 from orderlens.operators.quality import union_rules
 
 def _all():
@@ -31,13 +32,21 @@ def distribution(df: DataFrame, col: str, top_n: int = 20) -> DataFrame:
              .select(F.lit(col).alias("column"), "value", "count", "pct", "rank"))
 
 
+def quantile_rows(df: DataFrame, c, named: dict[str, float], dataset: str) -> DataFrame:
+    """Exact global quantiles as long rows, by distributed rank selection
+    (``quantiles_row``): the column's values never meet in one task."""
+    q = quantiles_row(df, c, list(named.values()), [f"m{i}" for i in range(len(named))])
+    pairs = ", ".join(f"'{k}', round(m{i}, 8)" for i, k in enumerate(named))
+    return q.selectExpr(f"stack({len(named)}, {pairs}) AS (metric, value)").select(
+        F.lit(dataset).alias("dataset"), "metric", "value")
+
+
 def five_number(df: DataFrame, col: str, dataset: str, prefix: str) -> DataFrame:
     """EDA4: count, min, p25, median, p75, max of a numeric column (exact percentiles)."""
     c = F.col(col).try_cast("double")
-    return long_rows(df, {
-        f"{prefix}.count": F.count(c), f"{prefix}.min": F.min(c),
-        f"{prefix}.p25": rounded(F.percentile(c, F.lit(0.25))), f"{prefix}.median": rounded(F.percentile(c, F.lit(0.5))),
-        f"{prefix}.p75": rounded(F.percentile(c, F.lit(0.75))), f"{prefix}.max": F.max(c)}, dataset)
+    plain = long_rows(df, {f"{prefix}.count": F.count(c), f"{prefix}.min": F.min(c), f"{prefix}.max": F.max(c)}, dataset)
+    return plain.unionByName(quantile_rows(df, c, {f"{prefix}.p25": 0.25, f"{prefix}.median": 0.5,
+                                                   f"{prefix}.p75": 0.75}, dataset))
 
 
 def sales_monthly(sales: DataFrame) -> DataFrame:
@@ -159,14 +168,14 @@ def describe_percentiles(df: DataFrame, col: str, dataset: str) -> DataFrame:
     ps = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
     m = {"count": F.count(c), "mean": exact_mean(c, 10), "std": rounded(F.stddev_samp(c)),
          "min": F.min(c), "max": F.max(c)}
-    m.update({f"p{int(p * 100)}": rounded(F.percentile(c, F.lit(p))) for p in ps})
-    return long_rows(df, {f"{col}.{k}": v for k, v in m.items()}, dataset)
+    plain = long_rows(df, {f"{col}.{k}": v for k, v in m.items()}, dataset)
+    return plain.unionByName(quantile_rows(df, c, {f"{col}.p{int(p * 100)}": p for p in ps}, dataset))
 
 
 def iqr_outliers(df: DataFrame, col: str) -> DataFrame:
     """EDA17: 1.5 IQR fences and outlier count (fences are a scalar subquery)."""
     c = F.col(col).try_cast("double")
-    q = df.select(F.percentile(c, F.lit(0.25)).alias("q1"), F.percentile(c, F.lit(0.75)).alias("q3"))
+    q = quantiles_row(df, c, [0.25, 0.75], ["q1", "q3"])
     q1 = q.select("q1").scalar()
     q3 = q.select("q3").scalar()
     lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)

@@ -22,7 +22,10 @@ from orderlens.session import materialize_table
 
 def running_rank_sum(df: DataFrame, key: str, order_cols: list[str], value: str | None = None,
                      rank_col: str = "rank", sum_col: str = "running", partitions: int | None = None,
-                     sum_type: str = "decimal(20,6)") -> DataFrame:
+                     sum_type: str = "decimal(20,6)", total_col: str | None = None) -> DataFrame:
+    """``rank_col`` / ``sum_col``: 1-based rank and inclusive running sum of
+    ``value`` per ``key`` in ``order_cols`` order.  ``total_col`` (needs
+    ``value``) adds the key's grand total, taken from the small totals table."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     r = (df.repartitionByRange(n, key, *order_cols)
@@ -41,6 +44,8 @@ def running_rank_sum(df: DataFrame, key: str, order_cols: list[str], value: str
     off = tot.withColumn("_ocnt", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
     if value is not None:
         off = off.withColumn("_osum", F.coalesce(F.sum("_tot").over(before), F.lit(0).cast(sum_type)))
+        if total_col:
+            off = off.withColumn(total_col, F.sum("_tot").over(Window.partitionBy(key)))
     out = loc.join(off.drop("_cnt", "_tot"), ["_pid", key])
     out = out.withColumn(rank_col, (F.col("_lrank") + F.col("_ocnt")).cast("int"))
     if value is not None:
