@@ -315,6 +315,53 @@ def issue_table(df: DataFrame, checks: dict[str, tuple[str, str]], pass_fail: bo
     return a.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+# The buyer issue list of the final buyer check (EDA43), in order.
+BUYER_ISSUES = [
+    "Missing Primary Identifier (buyer_id)",
+    "Duplicate buyer_id",
+    "Missing region",
+    "Missing timezone",
+    "Missing signup_date",
+    "Invalid is_referred encoding (!=0/1)",
+    "Redundancy: is_active_buyer duplicates customer_group",
+]
+STILL_REDUNDANT = "INFO: still perfectly redundant"
+
+
+def buyer_issue_table(buyers: DataFrame) -> DataFrame:
+    """EDA43: remaining rows per buyer issue with PASS / FAIL.
+
+    Issue 2 counts every copy of a duplicated id (NULL ids count as equal);
+    it is a scalar subquery over the per-id counts.  Issue 7 needs an
+    ``is_active_buyer`` column; without it the count is NULL.  For 1-6 PASS
+    means no rows remain; issue 7 passes when the flag is *not* redundant."""
+    cols = buyers.columns
+    dup = (buyers.groupBy("buyer_id").agg(F.count(F.lit(1)).alias("n"))
+                 .agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0))).scalar())
+
+    def miss(c):
+        return F.count_if(F.col(c).isNull()) if c in cols else F.lit(None).cast("long")
+
+    ref = (F.count_if(~F.col("is_referred").isin(0, 1) & F.col("is_referred").isNotNull())
+           if "is_referred" in cols else F.lit(None).cast("long"))
+    if "is_active_buyer" in cols and "customer_group" in cols:
+        derived = (~(F.lower(F.trim(F.col("customer_group").cast("string"))) == "dormant")).cast("int")
+        red = F.count_if(F.col("is_active_buyer").isNotNull() & derived.isNotNull()
+                         & (F.col("is_active_buyer").cast("int") != derived))
+    else:
+        red = F.lit(None).cast("long")
+    counts = [miss("buyer_id"), dup, miss("region"), miss("timezone"), miss("signup_date"), ref, red]
+    a = buyers.agg(*[c.cast("long").alias(f"_c{i}") for i, c in enumerate(counts)])
+    rows = []
+    for i, label in enumerate(BUYER_ISSUES):
+        c = F.col(f"_c{i}")
+        status = (F.when(c > 0, "PASS").otherwise(STILL_REDUNDANT) if i == 6
+                  else F.when(c == 0, "PASS").otherwise("FAIL"))
+        rows.append(F.struct(F.lit(i + 1).alias("issue_no"), F.lit(label).alias("issue"),
+                             c.alias("remaining_issue_rows"), status.alias("status")))
+    return a.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def margin_consistency(products: DataFrame) -> DataFrame:
     """EDA23: agreement of percent margin with 100 x fractional margin."""
     d = F.abs(F.col("pct_profit_margin").try_cast("double") - F.col("profit_margin").try_cast("double") * 100)

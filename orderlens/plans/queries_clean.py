@@ -27,14 +27,17 @@ def cs11(spark, sf):
     return pipeline(spark, sf).sales.select(*SALES_COLS)
 
 
-@register("cs5_sales_audit", O.with_base("""
+CS5_SQL = """
 SELECT metric, CAST(value AS DOUBLE) AS value FROM (
   SELECT 'datetime_strict_parsed_count' AS metric, count_if(_ts_branch = 0) AS value FROM s2
   UNION ALL SELECT 'datetime_fallback_parsed_count', count_if(_ts_branch > 0) FROM s2
   UNION ALL SELECT 'datetime_unparsed_dropped_count', count_if(_ts_branch IS NULL) FROM s2
   UNION ALL SELECT 'invalid_quantity_dropped_count', count_if(quantity IS NULL OR quantity <= 0) FROM s3
   UNION ALL SELECT 'quantity_cap_value', max(quantity_cap_value) FROM sales_clean
-  UNION ALL SELECT 'quantity_capped_row_count', count_if(quantity_was_capped) FROM sales_clean) t"""))
+  UNION ALL SELECT 'quantity_capped_row_count', count_if(quantity_was_capped) FROM sales_clean) t"""
+
+
+@register("cs5_sales_audit", O.with_base(CS5_SQL))
 def cs5(spark, sf):
     return pipeline(spark, sf).sales_audit
 

@@ -116,7 +116,9 @@ def eda22(spark, sf):
     return PF.non_numeric_values(pipeline(spark, sf).products_raw, "price")
 
 
-@register("eda23_margin_consistency", None)
+@register("eda23_margin_consistency", O.with_base("""
+, d AS (SELECT CASE WHEN NOT margin_imputed THEN abs(margin * 100 - margin * 100) END AS d FROM products_clean)
+SELECT max(d) AS max_abs_diff, round(avg(d), 8) AS mean_abs_diff, count_if(d < 0.001) AS matches, count(d) AS compared FROM d"""))
 def eda23(spark, sf):
     p = pipeline(spark, sf).products.withColumn("pct_profit_margin", F.col("margin") * 100)
     return PF.margin_consistency(p)
@@ -165,17 +167,33 @@ def eda32(spark, sf):
     return PF.multi_valued_keys(pipeline(spark, sf).buyers_raw, "state", ["region", "timezone"])
 
 
-@register("eda33_dependency_profile", None)
+@register("eda33_dependency_profile", O.with_base("""
+, c AS (SELECT state, timezone, count(*) AS m FROM buyers_raw WHERE timezone IS NOT NULL GROUP BY ALL),
+mc AS (SELECT state, timezone AS most_common, m FROM c QUALIFY row_number() OVER (PARTITION BY state ORDER BY m DESC, timezone) = 1),
+g AS (SELECT state, coalesce(list_sort(list(DISTINCT timezone) FILTER (WHERE timezone IS NOT NULL)), []::VARCHAR[]) AS vals,
+             count(timezone) AS n FROM buyers_raw GROUP BY state)
+SELECT g.state, vals AS "values", len(vals) = 1 AS single_valued, mc.most_common,
+       CASE WHEN g.state IS NOT NULL AND n > 0 THEN mc.m / n * 100 END AS most_common_pct
+FROM g LEFT JOIN mc ON g.state IS NOT DISTINCT FROM mc.state ORDER BY 1"""))
 def eda33(spark, sf):
     return PF.dependency_profile(pipeline(spark, sf).buyers_raw, "state", "timezone")
 
 
-@register("eda35_modal_in_null_slice", None)
+@register("eda35_modal_in_null_slice", O.with_base("""
+, c AS (SELECT region IS NULL AS sl, timezone, count(*) AS m FROM buyers_raw WHERE timezone IS NOT NULL GROUP BY ALL),
+mc AS (SELECT sl, timezone FROM c QUALIFY row_number() OVER (PARTITION BY sl ORDER BY m DESC, timezone) = 1),
+r AS (SELECT max(timezone) FILTER (WHERE sl) AS mode_null_slice, max(timezone) FILTER (WHERE NOT sl) AS mode_valid_slice FROM mc)
+SELECT *, CASE WHEN mode_null_slice = mode_valid_slice THEN 'Same' ELSE 'DIFFERENT' END AS verdict FROM r"""))
 def eda35(spark, sf):
     return PF.modal_in_null_slice(pipeline(spark, sf).buyers_raw, "region", "timezone")
 
 
-@register("eda37_duplicate_diff", None)
+@register("eda37_duplicate_diff", O.with_base("""
+, d AS (SELECT * FROM sales_raw WHERE order_id IN (SELECT order_id FROM sales_raw GROUP BY 1 HAVING count(*) > 1)),
+per AS (SELECT 'sku_id' AS "column", order_id, count(DISTINCT coalesce(CAST(sku_id AS STRING), chr(0) || 'NULL')) AS n FROM d GROUP BY order_id
+        UNION ALL SELECT 'quantity', order_id, count(DISTINCT coalesce(CAST(quantity AS STRING), chr(0) || 'NULL')) FROM d GROUP BY order_id
+        UNION ALL SELECT 'buyer_id', order_id, count(DISTINCT coalesce(CAST(buyer_id AS STRING), chr(0) || 'NULL')) FROM d GROUP BY order_id)
+SELECT "column", count(*) AS keys_with_difference FROM per WHERE n > 1 GROUP BY 1 ORDER BY 2 DESC, 1"""))
 def eda37(spark, sf):
     return PF.duplicate_diff(pipeline(spark, sf).sales_raw.select("order_id", "sku_id", "quantity", "buyer_id"), "order_id")
 
@@ -196,7 +214,13 @@ def eda40(spark, sf):
     return PF.whitespace_audit(pipeline(spark, sf).sales_raw, ["order_id", "buyer_id", "sku_id"])
 
 
-@register("eda42_suspicious_buyers", None)
+@register("eda42_suspicious_buyers", O.with_base("""
+, o AS (SELECT buyer_id, count(DISTINCT order_id) AS orders FROM sales_clean GROUP BY 1),
+s AS (SELECT DISTINCT buyer_id FROM (SELECT buyer_id, try_strptime(""" + O.strip("signup_date") + """, '%m/%d/%y %H:%M') AS sd, customer_group
+                                     FROM buyers_raw) r
+      WHERE sd IS NULL AND customer_group IN ('Regular', 'Occasional', 'Frequent', 'VIP'))
+SELECT o.orders IS NOT NULL AS has_sales, count(*) AS buyers, coalesce(sum(o.orders), 0) AS orders, round(avg(o.orders), 8) AS mean_orders
+FROM s LEFT JOIN o USING (buyer_id) GROUP BY 1 ORDER BY 1"""))
 def eda42(spark, sf):
     from orderlens.functions.timefn import SIGNUP_TS_FORMATS, parse_ts
     p = pipeline(spark, sf)
@@ -204,6 +228,10 @@ def eda42(spark, sf):
     return PF.suspicious_buyers(raw, p.sales)
 
 
-@register("eda45_slice_profile", None)
+@register("eda45_slice_profile", O.with_base("\nUNION ALL ".join(f"""
+SELECT * FROM (SELECT '{c}' AS "column", value, count, round(count / sum(count) OVER () * 100, 4) AS pct,
+       CAST(row_number() OVER (ORDER BY count DESC, value ASC NULLS LAST) AS INTEGER) AS rank
+FROM (SELECT CAST({c} AS STRING) AS value, count(*) AS count FROM buyers_clean WHERE is_referred_invalid GROUP BY 1) g
+QUALIFY rank <= 5) t{i}""" for i, c in enumerate(["customer_segment", "region", "timezone"]))))
 def eda45(spark, sf):
     return PF.slice_profile(pipeline(spark, sf).buyers, "is_referred_invalid", ["customer_segment", "region", "timezone"])

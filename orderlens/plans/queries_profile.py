@@ -205,3 +205,70 @@ SELECT avg(CAST(is_referred = 1 AS DOUBLE)) * 100 AS referred_pct, round(avg(wis
        count(DISTINCT customer_segment) AS segments FROM buyers_clean"""))
 def eda48(spark, sf):
     return PF.headline_shares(pipeline(spark, sf).buyers)
+
+
+# ------------------------------------------------------------------ EDA7, EDA15, EDA20, EDA43
+def _cs5_sql() -> str:
+    from orderlens.plans.queries_clean import CS5_SQL
+    return CS5_SQL
+
+
+@register("eda7_sales_summary", O.with_base(_long("sales", [
+    ("rows", "count(*)"), ("duplicate_line_grain_count", _dups("sales_clean", "order_id, buyer_id, sku_id"))]
+    + _five("quantity", "quantity_summary") + _five("quantity_original", "quantity_original_summary"), "sales_clean")
+    + "\nUNION ALL SELECT 'sales', 'cleaning_audit.' || metric, value FROM (" + _cs5_sql() + ") a"))
+def eda7(spark, sf):
+    p = pipeline(spark, sf)
+    return PF.sales_summary(p.sales, p.sales_audit)
+
+
+def _year_profile_sql(year: int) -> str:
+    src = f"(SELECT * FROM order_level WHERE year = {year}) y{year}"
+    items = [("rows", "count(*)"), ("duplicate_order_id_count", _dups(src, "order_id")),
+             ("order_profit_summary.negative_order_profit_count", "count_if(order_profit < 0)")]
+    items += _five("order_profit", "order_profit_summary")
+    return _long("order_level", items, src)
+
+
+_DRIFT_YEAR = P.metric_years[1]
+
+
+@register("eda15_drift", O.with_base(f"""
+, cur AS ({_year_profile_sql(_DRIFT_YEAR)}), prev AS ({_year_profile_sql(_DRIFT_YEAR - 1)})
+SELECT dataset, metric, prev.value AS previous, cur.value AS current, cur.value - prev.value AS delta,
+       CASE WHEN prev.value <> 0 THEN (cur.value - prev.value) / abs(prev.value) * 100 END AS pct_change
+FROM cur JOIN prev USING (dataset, metric) ORDER BY 1, 2"""))
+def eda15(spark, sf):
+    """Drift of the order-table profile: the latest metric year against the
+    year before (the profile snapshot of the previous period)."""
+    from pyspark.sql import functions as F
+    o = pipeline(spark, sf).orders
+    return PF.drift(PF.orders_summary(o.where(F.col("year") == _DRIFT_YEAR)),
+                    PF.orders_summary(o.where(F.col("year") == _DRIFT_YEAR - 1)))
+
+
+@register("eda20_vendor_summary", O.with_base(f"""
+SELECT vendor, count(*) AS rows, count(DISTINCT sku_id) AS skus, {O.mean('price', 10)} AS mean_price
+FROM products_clean GROUP BY 1 ORDER BY 2 DESC, 1"""))
+def eda20(spark, sf):
+    return PF.group_summary(pipeline(spark, sf).products, "vendor", "price")
+
+
+@register("eda20b_category_summary", O.with_base(f"""
+SELECT category_name, count(*) AS rows, count(DISTINCT sku_id) AS skus, {O.mean('margin', 10)} AS mean_margin
+FROM products_clean GROUP BY 1 ORDER BY 2 DESC, 1"""))
+def eda20b(spark, sf):
+    return PF.group_summary(pipeline(spark, sf).products, "category_name", "margin")
+
+
+@register("eda43_buyer_issue_table", O.with_base("\nUNION ALL ".join(
+    f"SELECT {i + 1} AS issue_no, '{label}' AS issue, CAST({expr} AS BIGINT) AS remaining_issue_rows, "
+    f"CASE WHEN {'CAST(' + expr + ' AS BIGINT) > 0' if i == 6 else 'CAST(' + expr + ' AS BIGINT) = 0'} "
+    f"THEN 'PASS' ELSE '{PF.STILL_REDUNDANT if i == 6 else 'FAIL'}' END AS status FROM buyers_clean"
+    for i, (label, expr) in enumerate(zip(PF.BUYER_ISSUES, [
+        "count_if(buyer_id IS NULL)",
+        "max((SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM buyers_clean GROUP BY buyer_id HAVING count(*) > 1) d))",
+        "count_if(region IS NULL)", "count_if(timezone IS NULL)", "count_if(signup_date IS NULL)",
+        "count_if(is_referred NOT IN (0, 1) AND is_referred IS NOT NULL)", "max(NULL)"])))))
+def eda43(spark, sf):
+    return PF.buyer_issue_table(pipeline(spark, sf).buyers)
