@@ -444,10 +444,12 @@ def suspicious_buyers(buyers_raw: DataFrame, sales: DataFrame, active_groups=("R
 
 
 def date_stats_by(df: DataFrame, by: str, col: str) -> DataFrame:
-    """EDA44: min, max and mean date of ``col`` per group (mean via epoch seconds)."""
-    secs = F.unix_timestamp(F.col(col).cast("timestamp"))
+    """EDA44: min, max and mean date of ``col`` per group.  The mean is the
+    exact (fixed-point) sum of epoch seconds integer-divided (``div``) by the
+    count, so it does not depend on summation order."""
+    mean_secs = F.expr(f"sum(CAST(unix_timestamp(CAST(`{col}` AS TIMESTAMP)) AS DECIMAL(38,0))) div count(`{col}`)")
     return df.groupBy(by).agg(F.min(col).alias("min_date"), F.max(col).alias("max_date"),
-                              F.timestamp_seconds(F.floor(F.avg(secs))).cast("timestamp_ntz").alias("mean_date"),
+                              F.timestamp_seconds(mean_secs).cast("timestamp_ntz").alias("mean_date"),
                               F.count(col).alias("n")).orderBy(by)
 
 

@@ -65,7 +65,11 @@ def eda41(spark, sf):
     return PF.sales_totals(pipeline(spark, sf).sales)
 
 
-@register("eda44_date_stats", None)
+@register("eda44_date_stats", O.with_base("""
+SELECT customer_segment, min(signup_date) AS min_date, max(signup_date) AS max_date,
+       make_timestamp(CAST(sum(CAST(epoch(signup_date) AS BIGINT)) // count(signup_date) AS BIGINT) * 1000000) AS mean_date,
+       count(signup_date) AS n
+FROM buyers_clean GROUP BY 1 ORDER BY 1"""))
 def eda44(spark, sf):
     return PF.date_stats_by(pipeline(spark, sf).buyers, "customer_segment", "signup_date")
 
