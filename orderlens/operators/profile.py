@@ -417,8 +417,11 @@ def modal_in_null_slice(df: DataFrame, col: str, other: str) -> DataFrame:
 
 
 def duplicate_scenarios(df: DataFrame, keys, payload) -> DataFrame:
-    """EDA38: per key with copies, identical payload copies (A) vs differing payloads (B)."""
-    h = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in payload])
+    """EDA38: per key with copies, identical payload copies (A) vs differing payloads (B).
+
+    Payloads are compared whole (distinct structs, NULL as its own value), not
+    by hash, so the split is exact."""
+    h = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")).alias(c) for c in payload])
     g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), F.count_distinct(h).alias("payloads")).where(
         F.col("copies") > 1)
     return g.groupBy(F.when(F.col("payloads") == 1, "A_same_payload").otherwise("B_different_payload").alias("scenario")).agg(

@@ -50,7 +50,13 @@ def eda31(spark, sf):
     return PF.slice_vs_all(pipeline(spark, sf).buyers, "is_referred_invalid", "customer_segment")
 
 
-@register("eda38_duplicate_scenarios", None)
+@register("eda38_duplicate_scenarios", O.with_base("""
+, g AS (SELECT order_id, buyer_id, sku_id, count(*) AS copies,
+               count(DISTINCT [coalesce(CAST(quantity AS STRING), chr(0)), coalesce(CAST(order_datetime AS STRING), chr(0)),
+                               coalesce(CAST(order_status AS STRING), chr(0))]) AS payloads
+        FROM sales_raw GROUP BY order_id, buyer_id, sku_id HAVING count(*) > 1)
+SELECT CASE WHEN payloads = 1 THEN 'A_same_payload' ELSE 'B_different_payload' END AS scenario, count(*) AS keys, sum(copies) AS rows
+FROM g GROUP BY 1 ORDER BY 1"""))
 def eda38(spark, sf):
     return PF.duplicate_scenarios(pipeline(spark, sf).sales_raw, ["order_id", "buyer_id", "sku_id"],
                                   ["quantity", "order_datetime", "order_status"])
