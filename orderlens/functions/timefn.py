@@ -73,17 +73,38 @@ def _zone_sql(tz_sql: str | None, company_tz: str) -> str:
     return f"coalesce({tz_sql}, '{company_tz}')" if tz_sql else f"'{company_tz}'"
 
 
+def _utc_session() -> bool:
+    spark = SparkSession.getActiveSession()
+    return spark is not None and spark.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "GMT", "Z")
+
+
 def local_to_utc(local: str, tz_sql: str | None, company_tz: str) -> Column:
     """Wall clock in its own (validated) zone -> UTC wall clock (NTZ).
-    ``tz_sql`` is SQL text for the zone; NULL means the company zone."""
-    return F.convert_timezone(valid_zone(_zone_sql(tz_sql, company_tz)), F.lit("UTC"), F.col(local))
+    ``tz_sql`` is SQL text for the zone; NULL means the company zone.
+
+    ``convert_timezone`` parses both zone ids on every row.  In a UTC session
+    (the library's convention, so NTZ <-> LTZ casts are the identity)
+    ``to_utc_timestamp`` / ``from_utc_timestamp`` give the same wall clocks
+    with the same java.time gap / overlap resolution, parse only the non-UTC
+    zone, and parse a literal zone once per task."""
+    z = valid_zone(_zone_sql(tz_sql, company_tz))
+    if _utc_session():
+        return F.to_utc_timestamp(F.col(local), z).cast("timestamp_ntz")
+    return F.convert_timezone(z, F.lit("UTC"), F.col(local))
+
+
+def _from_utc(x: Column, zone: Column) -> Column:
+    """UTC wall clock (NTZ) -> wall clock in ``zone`` (see ``local_to_utc``)."""
+    if _utc_session():
+        return F.from_utc_timestamp(x, zone).cast("timestamp_ntz")
+    return F.convert_timezone(F.lit("UTC"), zone, x)
 
 
 def utc_to_company(utc: str, local: str, tz_sql: str | None, company_tz: str) -> Column:
     """UTC wall clock -> company wall clock, NULL when the local wall time does
     not exist (DST gap) or is ambiguous (DST overlap).
 
-    Spark resolves an overlap to the earlier instant, so an overlap shows as
+    The zone resolves an overlap to the earlier instant, so an overlap shows as
     "the same wall clock again 60 (or, for the one zone with half-hour DST,
     30) minutes later"; a gap shows as a round trip that changes the clock.
     """
@@ -93,11 +114,11 @@ def utc_to_company(utc: str, local: str, tz_sql: str | None, company_tz: str) ->
 
     def back(shift_minutes: int) -> Column:
         x = u if shift_minutes == 0 else F.timestamp_add("MINUTE", F.lit(shift_minutes), u)
-        return F.convert_timezone(F.lit("UTC"), z, x)
+        return _from_utc(x, z)
 
     gap = back(0) != l
     overlap = (back(60) == l) | (F.expr(f"{zsql} = 'Australia/Lord_Howe'") & (back(30) == l))
-    return F.convert_timezone(F.lit("UTC"), F.lit(company_tz), F.when(~gap & ~overlap, u))
+    return _from_utc(F.when(~gap & ~overlap, u), F.lit(company_tz))
 
 
 def to_company_ts(local: str, tz_sql: str | None, company_tz: str) -> tuple[Column, Column]:
@@ -107,12 +128,12 @@ def to_company_ts(local: str, tz_sql: str | None, company_tz: str) -> tuple[Colu
     zsql = _zone_sql(tz_sql, company_tz)
     z = valid_zone(zsql)
     l = F.col(local)
-    gap = F.convert_timezone(F.lit("UTC"), z, utc) != l
-    overlap = ((F.convert_timezone(F.lit("UTC"), z, F.timestamp_add("MINUTE", F.lit(60), utc)) == l)
+    gap = _from_utc(utc, z) != l
+    overlap = ((_from_utc(F.timestamp_add("MINUTE", F.lit(60), utc), z) == l)
                | (F.expr(f"{zsql} = 'Australia/Lord_Howe'")
-                  & (F.convert_timezone(F.lit("UTC"), z, F.timestamp_add("MINUTE", F.lit(30), utc)) == l)))
+                  & (_from_utc(F.timestamp_add("MINUTE", F.lit(30), utc), z) == l)))
     utc_ok = F.when(~gap & ~overlap, utc)
-    return utc_ok, F.convert_timezone(F.lit("UTC"), F.lit(company_tz), utc_ok)
+    return utc_ok, _from_utc(utc_ok, F.lit(company_tz))
 
 
 def evaluate_once(df, name: str, expr: Column):

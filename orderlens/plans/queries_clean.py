@@ -122,3 +122,19 @@ def cp11r(spark, sf):
     from orderlens.operators.canon import canonicalise
     _, rep = canonicalise(pipeline(spark, sf).products_raw, ["vendor", "category_name"])
     return rep
+
+
+@register("cp10_loss_products", O.with_base("""
+SELECT coalesce(margin < 0, false) AS is_loss_product, count(*) AS products FROM products_clean GROUP BY 1 ORDER BY 1"""))
+def cp10(spark, sf):
+    return (C.loss_products(pipeline(spark, sf).products).groupBy("is_loss_product")
+             .agg(F.count(F.lit(1)).alias("products")).orderBy("is_loss_product"))
+
+
+@register("cb10_exact_duplicates", O.with_base("""
+SELECT count(*) AS rows_before, (SELECT count(*) FROM (SELECT DISTINCT * EXCLUDE (_ord) FROM buyers_raw) d) AS rows_after
+FROM buyers_raw"""))
+def cb10(spark, sf):
+    raw = pipeline(spark, sf).buyers_raw
+    after = C.drop_exact_duplicates(raw).agg(F.count(F.lit(1))).scalar()
+    return raw.agg(F.count(F.lit(1)).alias("rows_before"), F.first(after).alias("rows_after"))

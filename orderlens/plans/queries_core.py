@@ -141,3 +141,9 @@ def q5_customer_base_kpis(spark, sf):
 {_derived_sql('s')} ORDER BY quarter, total_profit DESC""".replace("\n, s AS", ", s AS")))
 def q5_quarterly_segment_analysis(spark, sf):
     return M.segment_kpis_quarterly(pipeline(spark, sf).orders, P)
+
+
+@register("pr15_year_distribution", O.with_base("SELECT year, count(*) AS orders FROM order_level GROUP BY 1 ORDER BY 1"))
+def pr15_year_distribution(spark, sf):
+    from orderlens.operators.orders import year_distribution
+    return year_distribution(pipeline(spark, sf).orders)
