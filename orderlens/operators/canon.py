@@ -17,8 +17,9 @@ reliable checkpoint per round.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from orderlens.operators.running import global_rank
 from orderlens.session import ensure_checkpoint_dir
 
 
@@ -67,7 +68,8 @@ def canonical_map(df: DataFrame, col: str, threshold: float = 0.92, max_rounds:
     ensure_checkpoint_dir(df.sparkSession)
     raw = df.select(F.col(col).cast("string").alias("raw")).where(F.col("raw").isNotNull())
     freq = raw.select(token("raw").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
-    tokens = freq.withColumn("rank", F.row_number().over(Window.orderBy(F.col("freq").desc(), "token"))).checkpoint()
+    # rank of every distinct token by (frequency desc, token): a distributed rank
+    tokens = global_rank(freq, [F.col("freq").desc(), F.col("token")])
     pairs = similar_pairs(tokens, threshold).checkpoint()
     # status: leader (own token) / follower (leader token); NULL = undecided
     status = tokens.select("token", "rank", F.lit(None).cast("string").alias("leader"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from orderlens.functions.numeric import exact_mean, money_sum, rounded, safe_ratio
 from orderlens.operators import metrics as M
 from orderlens.operators.quantiles import with_group_quantiles
-from orderlens.operators.running import running_rank_sum
+from orderlens.operators.running import global_rank, running_rank_sum
 from orderlens.params import Params
 
 NIGHT_HOURS = (0, 5)
@@ -264,7 +264,8 @@ def payback_point(orders: DataFrame, q3: DataFrame, params: Params = Params()) -
 def referred_cumulative_revenue(orders: DataFrame) -> DataFrame:
     """Q3f: final cumulative revenue per referred buyer, ranked descending."""
     t = orders.where(F.col("is_referred") == 1).groupBy("buyer_id").agg(money_sum("order_revenue").alias("cum_revenue"))
-    return t.withColumn("rank", F.row_number().over(Window.orderBy(F.col("cum_revenue").desc(), "buyer_id")))
+    # one row per referred buyer (grows with the data): a distributed rank
+    return global_rank(t, [F.col("cum_revenue").desc(), F.col("buyer_id")]).select("buyer_id", "cum_revenue", "rank")
 
 
 def order_frequency(orders: DataFrame, top: int = 15) -> DataFrame:

@@ -26,9 +26,14 @@ def null_profile(df: DataFrame, dataset: str) -> DataFrame:
 def distribution(df: DataFrame, col: str, top_n: int = 20) -> DataFrame:
     """EDA2: top-n values by count (ties by value), pct of all rows to 4 dp, NULL is its own value."""
     g = df.groupBy(F.col(col).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("count"))
-    w = Window.orderBy(F.col("count").desc(), F.col("value").asc_nulls_last())
-    return (g.withColumn("pct", F.round(F.col("count") / F.sum("count").over(_all()) * 100, 4))
-             .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
+    # The total is a scalar subquery and the top n is an ordered limit (each
+    # task keeps n rows), so however many distinct values the column has, only
+    # the n survivors are numbered in one place.
+    total = df.agg(F.count(F.lit(1))).scalar()
+    order = [F.col("count").desc(), F.col("value").asc_nulls_last()]
+    return (g.orderBy(*order).limit(top_n)
+             .withColumn("pct", F.round(F.col("count") / total * 100, 4))
+             .withColumn("rank", F.row_number().over(Window.orderBy(*order)))
              .select(F.lit(col).alias("column"), "value", "count", "pct", "rank"))
 
 

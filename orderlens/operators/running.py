@@ -46,3 +46,21 @@ def running_rank_sum(df: DataFrame, key: str, order_cols: list[str], value: str
     if value is not None:
         out = out.withColumn(sum_col, F.col("_lsum") + F.col("_osum"))
     return out.drop("_pid", "_lrank", "_lsum", "_ocnt", "_osum")
+
+
+def global_rank(df: DataFrame, order_cols: list, rank_col: str = "rank", partitions: int | None = None) -> DataFrame:
+    """1-based ``row_number`` over the whole table in ``order_cols`` order
+    (columns or sort orders, unique together) without a single-task window:
+    range-partition on the order, write the block id once, rank inside each
+    block, and add the row count of the earlier blocks (a table of at most
+    ``partitions`` rows)."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    r = materialize_table(df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id()),
+                          "global-rank")
+    loc = r.withColumn("_lrank", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols)))
+    cnt = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = cnt.select("_pid", F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)).alias("_off"))
+    return (loc.join(off, "_pid").withColumn(rank_col, (F.col("_lrank") + F.col("_off")).cast("int"))
+               .drop("_pid", "_lrank", "_off"))

@@ -21,3 +21,12 @@ def test_prefix_scan_matches_window_on_skewed_key(spark):
     parts = (df.repartitionByRange(6, "k", "t", "oid").where(F.col("k") == "hot")
                .select(F.spark_partition_id().alias("p")).distinct().count())
     assert parts > 1
+
+
+def test_global_rank_matches_row_number(spark):
+    from orderlens.operators.running import global_rank
+    df = spark.range(2500).select(F.col("id").alias("oid"), ((F.col("id") * 7919) % 97).alias("v"))
+    order = [F.col("v").desc(), F.col("oid")]
+    got = sorted((r.oid, r.rank) for r in global_rank(df, order, partitions=7).collect())
+    exp = sorted((r.oid, r.rank) for r in df.withColumn("rank", F.row_number().over(Window.orderBy(*order))).collect())
+    assert got == exp
