@@ -272,3 +272,12 @@ def eda20b(spark, sf):
         "count_if(is_referred NOT IN (0, 1) AND is_referred IS NOT NULL)", "max(NULL)"])))))
 def eda43(spark, sf):
     return PF.buyer_issue_table(pipeline(spark, sf).buyers)
+
+
+# EDA14: the run's whole profile as one long table.  Its parts are the EDA1,
+# EDA3, EDA7, EDA8, EDA10, EDA11 and EDA13 tables, each checked against its SQL
+# twin above; the union itself gets the rows-only check.
+@register("eda14_profile_summary", None)
+def eda14(spark, sf):
+    p = pipeline(spark, sf)
+    return PF.eda_summary(p.buyers, p.sales, p.sales_audit, p.products, p.lines, p.orders)
