@@ -53,3 +53,28 @@ def test_text_and_money(spark):
 def test_safe_ratio(spark):
     r = spark.range(1).select(safe_ratio(F.lit(1), F.lit(0)).alias("a"), safe_ratio(F.lit(1), F.lit(4)).alias("b")).first()
     assert r.a == 0.0 and r.b == 0.25
+
+
+def test_zone_paths_agree(spark):
+    """The UTC-session form (to/from_utc_timestamp) and the convert_timezone
+    fallback used in other session zones give the same wall clocks."""
+    zones = ["America/Chicago", "America/New_York", "America/Los_Angeles", "Europe/London", "Australia/Lord_Howe",
+             "Asia/Kolkata", None, "Bad/Zone"]
+    stamps = ["2024-03-10 01:59:00", "2024-03-10 02:30:00", "2024-03-10 03:00:00", "2024-11-03 00:59:00",
+              "2024-11-03 01:30:00", "2024-11-03 02:00:00", "2024-03-31 01:30:00", "2024-10-27 01:30:00",
+              "2024-04-07 01:45:00", "2024-10-06 02:15:00", "2024-07-04 12:00:00"]
+    df = spark.createDataFrame([(s, z) for s in stamps for z in zones], "s string, z string") \
+        .withColumn("l", F.col("s").cast("timestamp_ntz"))
+
+    def run():
+        return sorted(((r.s, r.z or ""), r.c) for r in with_company_ts(df, "l", "z", "America/Chicago", "c").collect())
+
+    fast = run()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        slow = run()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert fast == slow
+    assert any(c is None for _, c in fast) and any(c is not None for _, c in fast)
