@@ -9,6 +9,7 @@ from orderlens.functions.numeric import exact_mean, money, try_num
 from orderlens.functions.text import norm_key, squeeze_ws, strip_ws
 from orderlens.functions.timefn import SALES_TS_FORMATS, SIGNUP_TS_FORMATS, parse_ts
 from orderlens.operators.common import dedup_first, group_lookup, long_rows
+from orderlens.operators.quantiles import quantiles_row
 from orderlens.params import Params
 
 SALES_KEY = ["order_id", "buyer_id", "sku_id"]
@@ -62,12 +63,13 @@ def branch_of(ts, branch):
 def cap_at_quantile(df: DataFrame, col: str, q: float = 0.999, floor_value: float = 3.0) -> DataFrame:
     """CS9 winsorise: cap = max(floor_value, floor(exact q-quantile)); ``floor_value`` when empty.
 
-    The cap is a scalar subquery (one value), not a join.  ``percentile`` is
-    exact; its per-task buffer is a value->count map, bounded by the number of
-    distinct quantities.
+    The cap is a scalar subquery (one value), not a join.  The quantile is the
+    distributed exact selection of ``quantiles_row`` (same interpolation as
+    ``percentile``), so no single task merges the column's value counts.
     """
-    cap = df.select(F.greatest(F.lit(float(floor_value)),
-                               F.coalesce(F.floor(F.percentile(F.col(col), F.lit(q))).cast("double"),
+    qv = quantiles_row(df, col, [q], ["_q"])
+    cap = qv.select(F.greatest(F.lit(float(floor_value)),
+                               F.coalesce(F.floor(F.col("_q")).cast("double"),
                                           F.lit(float(floor_value)))).alias("cap")).scalar()
     c = F.col(col)
     return (df.withColumn("quantity_cap_value", cap)
