@@ -97,8 +97,10 @@ class Testbed:
     def sales_raw(self) -> DataFrame:
         li = self.table("lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_linenumber")
         o = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-        # orders grows with lineitem: a shuffle join (never a broadcast) at any scale.
-        return li.join(o.hint("shuffle_hash"), li.l_orderkey == o.o_orderkey).selectExpr(*_select(SALES_EXPRS))
+        # orders grows with lineitem: a shuffle join (never a broadcast) at any
+        # scale, and sort-merge rather than shuffled-hash, because a hash build
+        # side cannot spill and an orders partition at 100 TB is gigabytes.
+        return li.join(o.hint("shuffle_merge"), li.l_orderkey == o.o_orderkey).selectExpr(*_select(SALES_EXPRS))
 
     def products_raw(self) -> DataFrame:
         return self.table("part").selectExpr(*_select(PRODUCT_EXPRS))
