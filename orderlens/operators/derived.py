@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from orderlens.functions.numeric import exact_mean, money_sum, rounded, safe_ratio
 from orderlens.operators import metrics as M
-from orderlens.operators.quantiles import with_group_quantiles
+from orderlens.operators.quantiles import quantiles_row, with_group_quantiles
 from orderlens.operators.running import global_rank, running_rank_sum
 from orderlens.params import Params
 
@@ -216,9 +216,11 @@ def referred_order_counts(orders: DataFrame) -> DataFrame:
 def referred_orders_per_buyer(orders: DataFrame) -> DataFrame:
     """Distinct orders per referred buyer: median (int) and mean."""
     c = referred_order_counts(orders)
-    return c.agg(F.floor(F.median("orders")).cast("long").alias("median_orders_per_buyer"),
-                 rounded(F.avg("orders")).alias("mean_orders_per_buyer"),
-                 F.count(F.lit(1)).alias("referred_buyers"))
+    # one row per referred buyer: the median is the distributed exact selection
+    med = quantiles_row(c, "orders", [0.5], ["m"]).select(F.floor("m").cast("long")).scalar()
+    return c.agg(rounded(F.avg("orders")).alias("mean_orders_per_buyer"),
+                 F.count(F.lit(1)).alias("referred_buyers")).select(
+        med.alias("median_orders_per_buyer"), "mean_orders_per_buyer", "referred_buyers")
 
 
 def payback_curve(orders: DataFrame, params: Params = Params()) -> DataFrame:
