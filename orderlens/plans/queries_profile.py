@@ -274,10 +274,60 @@ def eda43(spark, sf):
     return PF.buyer_issue_table(pipeline(spark, sf).buyers)
 
 
-# EDA14: the run's whole profile as one long table.  Its parts are the EDA1,
-# EDA3, EDA7, EDA8, EDA10, EDA11 and EDA13 tables, each checked against its SQL
-# twin above; the union itself gets the rows-only check.
-@register("eda14_profile_summary", None)
+# EDA14: the run's whole profile as one long table: the EDA3, EDA7, EDA8,
+# EDA10, EDA11 and EDA13 tables (their SQL bodies are reused) plus the NULL
+# profile of the five stage tables.  The oracle's product table lacks the
+# derived flag columns the Spark table carries; ``px`` restates them from the
+# raw rows (one row per sku), and the line table takes them by sku.
+def _body(key: str) -> str:
+    from orderlens.plans.catalog import _REGISTRY
+    pre = "WITH " + O.base_ctes() + "\n"
+    sql = _REGISTRY[key][1]
+    assert sql.startswith(pre), key
+    return sql[len(pre):]
+
+
+def _flag(c: str) -> str:
+    return f"CASE WHEN lower(trim({c})) IN ('1', 'true', 'y') THEN 1 WHEN lower(trim({c})) IN ('0', 'false', 'n') THEN 0 END"
+
+
+_PX = f"""px AS (SELECT upper({O.strip('sku_id')}) AS sku_id, subcategory_name, TRY_CAST(profit_margin AS DOUBLE) AS profit_margin, _ord,
+  {_flag('active_product')} AS active_product_num, {_flag('currently_active_vendor')} AS currently_active_vendor_num,
+  TRY_CAST(current_stock AS DOUBLE) AS current_stock_num,
+  CAST(coalesce({_flag('active_product')} = 1 AND {_flag('currently_active_vendor')} = 0, false) AS INTEGER) AS vendor_product_conflict,
+  coalesce({_flag('active_product')} = 0 AND TRY_CAST(current_stock AS DOUBLE) > 0, false) AS inactive_with_stock_flag
+  FROM products_raw)"""
+_PX_COLS = ["subcategory_name", "profit_margin", "active_product_num", "currently_active_vendor_num", "current_stock_num",
+            "vendor_product_conflict", "inactive_with_stock_flag"]
+_NULL_PROFILES = [
+    ("buyers", "buyers_clean", ["buyer_id", "state", "customer_group", "customer_segment", "preferred_channel", "signup_date",
+                                "region", "timezone", "is_referred", "wishlist_size", "_ord", "is_referred_invalid"]),
+    ("sales", "sales_clean", ["order_id", "buyer_id", "sku_id", "quantity", "order_datetime", "order_status", "_ord",
+                              "quantity_cap_value", "quantity_original", "quantity_was_capped"]),
+    ("products", "products_clean", ["subcategory_id", "category_name", "vendor", "product_num", "sku_id", "price",
+                                    "active_product", "currently_active_vendor", "current_stock", "margin", "margin_imputed"]),
+    ("products", "px", _PX_COLS + ["_ord"]),
+    ("final_line", "line_fact", ["sku_id", "buyer_id", "order_id", "quantity", "order_datetime", "order_status",
+                                 "quantity_cap_value", "quantity_original", "quantity_was_capped", "state", "customer_group",
+                                 "customer_segment", "preferred_channel", "signup_date", "region", "timezone", "is_referred",
+                                 "wishlist_size", "is_referred_invalid", "subcategory_id", "category_name", "vendor",
+                                 "product_num", "price", "active_product", "currently_active_vendor", "current_stock",
+                                 "margin", "margin_imputed"]),
+    ("final_line", "(SELECT px.* FROM line_fact JOIN px USING (sku_id)) lpx", _PX_COLS),
+    ("order_level", "order_level", ORDER_COLUMNS),
+]
+
+
+def _eda14_sql() -> str:
+    parts = [f"SELECT * FROM ({_body(k)}) t{i}" for i, k in enumerate(
+        ["eda3_buyers_summary", "eda7_sales_summary", "eda10_products_summary", "eda8_numeric_bounds",
+         "eda11_line_summary", "eda13_orders_summary"])]
+    parts += [_long(ds, [(f"null_profile.{c}", f"count_if({c} IS NULL)") for c in cols], src)
+              for ds, src, cols in _NULL_PROFILES]
+    return O.with_base(", " + _PX + "\n" + "\nUNION ALL ".join(parts))
+
+
+@register("eda14_profile_summary", _eda14_sql())
 def eda14(spark, sf):
     p = pipeline(spark, sf)
     return PF.eda_summary(p.buyers, p.sales, p.sales_audit, p.products, p.lines, p.orders)
