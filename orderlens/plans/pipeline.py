@@ -60,7 +60,9 @@ class Pipeline:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return lines_op.build_lines(self.buyers, self.sales, self.products)
+        # J2 line fact: read by the line rules, profiles, key diagnostics and
+        # the priced lines, so the three-way join is computed and written once
+        return self._keep(lines_op.build_lines(self.buyers, self.sales, self.products), "line_fact")
 
     @cached_property
     def prepared_lines(self) -> DataFrame:
