@@ -1 +1,8 @@
 """Operators for preparing language-model training corpora."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions of this package travel with the job, so that executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import exact_dedup, mixing, quality
+from orderlens.llm import exact_dedup, mixing, ngram_join, quality
 from orderlens.llm.common import Scratch, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.join(docs).select(F.col("id").alias("doc_id"), "class_id", "links")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = quality.score(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
@@ -50,6 +55,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {
+    "op6_ngram_join": (op6_ngram_join, None),
     "op8_quality_rules": (op8_quality_rules, None),
     "op9_exact_dedup": (op9_exact_dedup, OP9_SQL),
     "op10_mixing": (op10_mixing, None),
