@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import (
-    chat_format, exact_dedup, language_id, license_scan, mixing, ngram_join, piece_encoding, quality, toxicity,
+    chat_format, exact_dedup, language_id, license_scan, mixing, ngram_join, piece_encoding, quality,
+    substring_dedup, toxicity,
 )
 from orderlens.llm.common import Scratch, table
 
@@ -30,6 +31,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "passages")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 #: A conversation whose texts look like control strings of common chat templates.
 HOSTILE = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
 
@@ -118,6 +125,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op1_language_id": (op1_language_id, None),
     "op2_toxicity": (op2_toxicity, None),
+    "op3_substring_dedup": (op3_substring_dedup, None),
     "op4_chat_format": (op4_chat_format, OP4_SQL),
     "op5_piece_encoding": (op5_piece_encoding, None),
     "op6_ngram_join": (op6_ngram_join, None),
