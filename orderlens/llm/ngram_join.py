@@ -1,18 +1,21 @@
 """N-gram Jaccard self-join by MinHash banding, verified on full n-gram sets.
 
-1. Every document gets the set of its 5-word shingles, a digest of that set and
-   one hash per band.  Documents with the same set form a *class*; only one
-   representative per class goes on, so exact copies never meet each other.
+1. Every document gets the set of its 5-word shingles, a digest of that set, one
+   hash per band and a sketch (one byte of every MinHash).  Documents with the
+   same set form a *class*; only one representative per class goes on, so exact
+   copies never meet each other.
 2. Representatives that share a band hash are candidates.  Bands and rows per
    band follow from the similarity threshold and the recall wanted there.
-3. Groups of near copies are not expanded into pairs.  Each representative joins
-   the cluster of its most connected neighbour; a large cluster gets a pivot set
-   (the shingles that most members of a bounded sample hold).  Jaccard distance
-   is a metric, so two members that both lie within half the allowed distance of
-   the pivot are linked for certain: they form the *core* of the cluster and are
-   only counted.  A pivot decides how much work is saved, never what is found.
-4. Every other candidate pair is verified on the full sets.
-5. Links and cores give connected components, by repeated joins on the links.
+3. Candidates are compared in blocks instead of row by row: each representative
+   joins the cluster of its most connected neighbour, clusters are cut into blocks
+   of bounded size, and two blocks meet in a task when any of their members share
+   a band hash.  A pair of representatives has exactly one pair of blocks.  No
+   pair becomes a row, however many near copies a group has.
+4. In a pair of blocks the sketches sort out what cannot be similar; the rest is
+   verified on the full sets, which are only made for representatives still in
+   question.  A task returns the number of links of each member, and the links
+   that connect its members (a spanning forest).
+5. These links give connected components, by repeated joins.
 
 Result: one row per document with the number of documents it is linked to and
 its class, the smallest id of its component.
@@ -39,10 +42,13 @@ from orderlens.llm.hashing import U64, mix64, row_grams, separator_table, text_g
 NGRAM = 5
 SIMILARITY = 0.8
 RECALL = 0.9999
-#: Clusters of at least so many representatives get a pivot; smaller ones are verified pair by pair.
-PIVOT_MEMBERS = 32
-#: Members of a cluster that its pivot is made of.
-PIVOT_SAMPLE = 64
+#: Members of a block, about.
+BLOCK = 256
+#: Share of equal sketch bytes below which a pair is not verified: at the similarity
+#: threshold it falls short of that by chance in less than one of 10^6 pairs.
+SKETCH_SHARE = 0.6
+#: Shingles that are compared at once in a pair of blocks.
+COLUMNS = 1 << 16
 #: Keeps rounding errors on the side of verification.
 MARGIN = 1e-9
 
@@ -76,6 +82,7 @@ def signature_task(n: int, bands: int, rows: int, seed: int = 1):
                 count = len(at) - 1
                 full = np.flatnonzero(np.diff(at))
                 bandh = np.zeros((count, bands), U64)
+                sketch = np.zeros((count, bands * rows), np.uint8)
                 sizes = np.zeros(count, np.int32)
                 digests = [None] * count
                 for r in full:
@@ -87,13 +94,16 @@ def signature_task(n: int, bands: int, rows: int, seed: int = 1):
                         h = np.full(len(full), b + 1, U64)
                         for k in range(b * rows, (b + 1) * rows):
                             # rows without grams take no room, so the starts of the others are strictly rising
-                            h = mix64(h * U64(31) + np.minimum.reduceat((grams ^ salts[k]) * factors[k], at[full]))
+                            least = np.minimum.reduceat((grams ^ salts[k]) * factors[k], at[full])
+                            h = mix64(h * U64(31) + least)
+                            sketch[full, k] = mix64(least) & U64(255)
                         bandh[full, b] = h
                 flat = pa.array(bandh.reshape(-1).view(np.int64))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(count + 1, dtype=np.int32) * bands), flat)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(lo, count), keys.slice(lo, count), pa.array(digests, pa.binary()),
-                     pa.array(sizes), lists], ["id", "text_key", "node", "n_grams", "bands"])
+                     pa.array(sizes), lists, pa.array([x.tobytes() for x in sketch], pa.binary())],
+                    ["id", "text_key", "node", "n_grams", "bands", "sketch"])
     return run
 
 
@@ -113,13 +123,114 @@ def grams_task(n: int):
     return run
 
 
-def pivot_task(batches):
-    """Consensus set of each cluster's sampled members: shingles that more than half of them hold."""
-    frame = batches
-    values = np.concatenate([np.asarray(g, np.int64) for g in frame["grams"]])
-    seen, times = np.unique(values, return_counts=True)
-    import pandas as pd
-    return pd.DataFrame({"cluster": [frame["cluster"].iloc[0]], "pivot": [seen[2 * times > len(frame)]]})
+def groups(batches, names: list[str]):
+    """Runs of rows with equal (u, v) of a partition sorted by them, as lists per column."""
+    key, held = None, None
+    for batch in batches:
+        u, v = batch.column("u").to_numpy(), batch.column("v").to_numpy()
+        cut = np.flatnonzero((u[1:] != u[:-1]) | (v[1:] != v[:-1])) + 1
+        for lo, hi in zip([0, *cut], [*cut, len(u)]):
+            if lo == hi:
+                continue
+            part = batch.slice(lo, hi - lo)
+            if key == (u[lo], v[lo]):
+                held.append(part)
+            else:
+                if held:
+                    yield key, [pa.chunked_array([p.column(n) for p in held]) for n in names]
+                key, held = (u[lo], v[lo]), [part]
+    if held:
+        yield key, [pa.chunked_array([p.column(n) for p in held]) for n in names]
+
+
+def opposite(side: np.ndarray, same: bool) -> np.ndarray:
+    """Pairs that belong to this pair of blocks: each once, in a block with itself or across two."""
+    if same:
+        return np.triu(np.ones((len(side), len(side)), bool), 1)
+    return (side[:, None] == 0) & (side[None, :] == 1)
+
+
+def sketch_task(similarity: float):
+    """Members of pairs of blocks -> those with a partner that their sketches leave possible."""
+    def run(batches):
+        for (u, v), (side, node, n, sketch) in groups(batches, ["side", "node", "n_grams", "sketch"]):
+            if len(node) < 2:
+                continue
+            sides, size = side.to_numpy(), n.to_numpy()
+            rows = np.frombuffer(b"".join(sketch.to_pylist()), np.uint8).reshape(len(node), -1)
+            maybe = opposite(sides, u == v)
+            maybe &= np.minimum(size[:, None], size) >= (similarity - MARGIN) * np.maximum(size[:, None], size)
+            for i in np.flatnonzero(maybe.any(axis=1)):
+                j = np.flatnonzero(maybe[i])
+                maybe[i, j] = (rows[j] == rows[i]).sum(axis=1) >= SKETCH_SHARE * rows.shape[1]
+            pick = np.flatnonzero(maybe.any(axis=0) | maybe.any(axis=1))
+            if len(pick):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(pick), u)), pa.array(np.full(len(pick), v)),
+                     pa.array(sides[pick]), node.take(pa.array(pick)).combine_chunks()], ["u", "v", "side", "node"])
+    return run
+
+
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections, by packed bits over the shingles that occur twice."""
+    count = len(sets)
+    out = np.zeros((count, count), np.int64)
+    owner = np.repeat(np.arange(count), [len(s) for s in sets])
+    values, back, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.cumsum(times > 1) - 1
+    use = times[back] > 1
+    owner, column = owner[use], column[back[use]]
+    for lo in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
+        here = (column >= lo) & (column < lo + COLUMNS)
+        width = min(COLUMNS, -(-(int(column.max()) + 1 - lo) // 64) * 64)
+        bits = np.zeros((count, width), bool)
+        bits[owner[here], column[here] - lo] = True
+        packed = np.packbits(bits, axis=1).view(np.uint64)
+        for i in range(count):
+            out[i] += np.bitwise_count(packed & packed[i]).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def verify_task(similarity: float):
+    """Members of pairs of blocks with their sets -> (a, null, linked documents) and connecting links (a, z, 0)."""
+    def run(batches):
+        for (u, v), (side, node, docs, grams) in groups(batches, ["side", "node", "docs", "grams"]):
+            if len(node) < 2:
+                continue
+            flat = grams.combine_chunks()
+            values, ends = flat.values.to_numpy(), flat.offsets.to_numpy()
+            sets = [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
+            size = np.diff(ends)
+            both = intersections(sets)
+            linked = both >= (similarity - MARGIN) * (size[:, None] + size - both)
+            linked &= opposite(side.to_numpy(), u == v)
+            linked |= linked.T
+            near = linked @ docs.to_numpy()
+            hit = np.flatnonzero(near)
+            if not len(hit):
+                continue
+            forest = spanning(linked)
+            names = node.to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([names[i] for i in hit] + [names[i] for i, _ in forest], pa.binary()),
+                 pa.array([None] * len(hit) + [names[j] for _, j in forest], pa.binary()),
+                 pa.array(near[hit].tolist() + [0] * len(forest), pa.int64())], ["a", "z", "near"])
+    return run
+
+
+def spanning(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Links of a spanning forest."""
+    left, out = set(range(len(linked))), []
+    while left:
+        todo = [left.pop()]
+        while todo:
+            i = todo.pop()
+            for j in np.flatnonzero(linked[i]):
+                if j in left:
+                    left.discard(j)
+                    out.append((i, int(j)))
+                    todo.append(int(j))
+    return out
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = NGRAM,
@@ -129,12 +240,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text")).mapInArrow(
         signature_task(n, bands, rows),
-        f"id {dict(docs.dtypes)[id_col]}, text_key bigint, node binary, n_grams int, bands array<bigint>")
-
-
-def jaccard(a, b):
-    both = F.size(F.array_intersect(a, b))
-    return both / (F.size(a) + F.size(b) - both)
+        f"id {dict(docs.dtypes)[id_col]}, text_key bigint, node binary, n_grams int, bands array<bigint>, sketch binary")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = NGRAM,
@@ -146,90 +252,64 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     classes = scratch.write(
         sig.where("node is not null").groupBy("node").agg(
             F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")).alias("rep"),
-            F.count(F.lit(1)).alias("docs"), F.first("n_grams").alias("n_grams"), F.first("bands").alias("bands")),
-        "classes")
+            F.count(F.lit(1)).alias("docs"), F.first("n_grams").alias("n_grams"), F.first("bands").alias("bands"),
+            F.first("sketch").alias("sketch")), "classes")
 
-    # candidates: representatives by shared band hash
+    # candidates: representatives by shared band hash, each in the cluster of the best connected one
     buckets = classes.select("node", F.explode("bands").alias("b"))
-    shared = buckets.groupBy("b").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = scratch.write(buckets.groupBy("b").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared")
     rows = scratch.write(buckets.join(shared, "b"), "rows")
     ranks = rows.groupBy("node").agg(F.sum("size").alias("rank"))
     ranked = scratch.write(rows.select("b", "node").join(ranks, "node"), "ranked")
-    centres = ranked.groupBy("b").agg(F.max(F.struct("rank", "node")).alias("centre"))
+    centres = scratch.write(ranked.groupBy("b").agg(F.max(F.struct("rank", "node")).alias("centre")), "centres")
     cluster = scratch.write(
-        ranked.join(centres, "b").groupBy("node").agg(F.max("centre").alias("centre"))
+        ranked.select("b", "node").join(centres, "b").groupBy("node").agg(F.max("centre").alias("centre"))
         .select("node", F.col("centre.node").alias("cluster")), "cluster")
 
-    # full sets of the candidates' representatives
-    reps = classes.join(cluster, "node").select("node", "cluster", "docs", "n_grams", "rep.id", "rep.text_key")
+    # blocks, and the pairs of blocks that share a bucket
+    cut = cluster.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
+    blocked = scratch.write(
+        cluster.join(cut, "cluster").select("node", F.xxhash64(
+            "cluster", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("block")), "blocked")
+    meeting = scratch.write(rows.select("b", "node").join(blocked, "node").select("b", "block").distinct(), "meeting")
+    pairs = meeting.select("b", F.col("block").alias("u")).join(
+        meeting.select("b", F.col("block").alias("v")), "b").where("u <= v").select("u", "v").distinct()
+    sides = pairs.select("u", "v", F.explode(F.when(F.col("u") == F.col("v"), F.array(
+        F.struct(F.col("u").alias("block"), F.lit(0).alias("side")))).otherwise(F.array(
+            F.struct(F.col("u").alias("block"), F.lit(0).alias("side")),
+            F.struct(F.col("v").alias("block"), F.lit(1).alias("side"))))).alias("s")).select("u", "v", "s.*")
+    members = classes.select("node", "n_grams", "sketch").join(blocked, "node")
+    possible = scratch.write(
+        sides.join(members, "block").select("u", "v", "side", "node", "n_grams", "sketch")
+        .repartition("u", "v").sortWithinPartitions("u", "v")
+        .mapInArrow(sketch_task(similarity), "u bigint, v bigint, side int, node binary"), "possible")
+    scratch.drop("shared", "rows", "ranked", "centres", "cluster", "blocked", "meeting")
+
+    # full sets of the representatives in question
+    wanted = possible.select("node").distinct().join(classes.select("node", "docs", "rep"), "node")
+    keys = wanted.select(F.col("rep.id").alias("rid"), F.col("rep.text_key").alias("rkey"))
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
         .withColumn("text_key", F.xxhash64("text"))
-    members = reps.select("node", "cluster", "docs", F.col("id").alias("rid"), F.col("text_key").alias("rkey"))
-    wanted = texts.join(members.select("rid", "rkey").hint("shuffle_hash"),
-                        texts["id"].eqNullSafe(F.col("rid")) & (texts["text_key"] == F.col("rkey")), "left_semi")
-    grams = wanted.select("text").mapInArrow(grams_task(n), "node binary, grams array<bigint>").dropDuplicates(["node"])
-    sets = scratch.write(grams.join(members.select("node", "cluster", "docs"), "node"), "sets")
-
-    # cores of large clusters
-    far = 1 - similarity
-    sizes = cluster.groupBy("cluster").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= PIVOT_MEMBERS)
-    order = Window.partitionBy("cluster").orderBy("node")
-    sample = cluster.join(sizes, "cluster").withColumn("k", F.row_number().over(order)) \
-        .where(F.col("k") <= PIVOT_SAMPLE).select("node")
-    pivots = scratch.write(
-        sets.join(sample, "node").select("cluster", "grams").groupBy("cluster")
-        .applyInPandas(pivot_task, "cluster binary, pivot array<bigint>"), "pivots")
-    core = scratch.write(
-        sets.join(pivots, "cluster").where(1 - jaccard(F.col("grams"), F.col("pivot")) <= far / 2 - MARGIN)
-        .select("node", "cluster", "docs"), "core")
-
-    # pairs to verify: not both in the core of one cluster
-    flags = reps.select("node", "cluster", "docs", "n_grams").join(
-        core.select("node", F.lit(True).alias("core")), "node", "left").withColumn(
-        "core", F.coalesce("core", F.lit(False)))
-    placed = scratch.write(rows.select("b", "node").join(flags, "node"), "placed")
-    # of a bucket's members only those outside its largest core look for partners
-    largest = placed.where("core").groupBy("b", "cluster").agg(F.count(F.lit(1)).alias("k")) \
-        .groupBy("b").agg(F.max(F.struct("k", "cluster")).alias("top")) \
-        .select("b", F.col("top.cluster").alias("top"))
-    active = placed.join(largest, "b", "left").where(~F.col("core") | (F.col("cluster") != F.col("top"))) \
-        .select("b", F.col("node").alias("a"), F.col("cluster").alias("a_cluster"), F.col("core").alias("a_core"),
-                F.col("n_grams").alias("a_n"))
-    other = placed.select("b", F.col("node").alias("z"), F.col("cluster").alias("z_cluster"),
-                          F.col("core").alias("z_core"), F.col("n_grams").alias("z_n"))
-    pairs = active.join(other, "b").where(
-        (F.col("a") != F.col("z"))
-        & ~(F.col("a_core") & F.col("z_core") & (F.col("a_cluster") == F.col("z_cluster")))
-        # sets of too different a size cannot be similar
-        & (F.least("a_n", "z_n") >= F.lit(similarity - MARGIN) * F.greatest("a_n", "z_n"))
-    ).select(F.least("a", "z").alias("a"), F.greatest("a", "z").alias("z")).distinct()
-    left = sets.select(F.col("node").alias("a"), F.col("grams").alias("a_grams"))
-    right = sets.select(F.col("node").alias("z"), F.col("grams").alias("z_grams"))
-    links = scratch.write(
-        pairs.join(left, "a").join(right, "z")
-        .where(jaccard(F.col("a_grams"), F.col("z_grams")) >= similarity - MARGIN).select("a", "z"), "links")
-    scratch.drop("rows", "ranked", "placed", "pivots", "sets")
-
-    # number of linked documents: own class, core, verified links
-    info = classes.select("node", "docs", "rep")
-    core_docs = core.groupBy("cluster").agg(F.sum("docs").alias("core_docs"))
-    in_core = core.join(core_docs, "cluster").select("node", "cluster", (F.col("core_docs") - F.col("docs")).alias("near"))
-    both = links.unionByName(links.select(F.col("z").alias("a"), F.col("a").alias("z")))
-    explicit = both.join(info.select(F.col("node").alias("z"), F.col("docs").alias("z_docs")), "z") \
-        .groupBy(F.col("a").alias("node")).agg(F.sum("z_docs").alias("near_explicit"))
-    counted = info.join(in_core, "node", "left").join(explicit, "node", "left").select(
-        "node", "rep", F.when(F.col("cluster").isNull(), F.col("node")).otherwise(core_vertex()).alias("vertex"),
-        (F.col("docs") - 1 + F.coalesce("near", F.lit(0)) + F.coalesce("near_explicit", F.lit(0))).alias("links"))
-    counted = scratch.write(counted, "counted")
-
-    vertices = counted.select("node", "vertex")
-    edges = links.join(vertices.select(F.col("node").alias("a"), F.col("vertex").alias("u")), "a") \
-        .join(vertices.select(F.col("node").alias("z"), F.col("vertex").alias("v")), "z") \
-        .select("u", "v").where("u != v").distinct()
-    label = components(edges, scratch)
-    placed = counted.join(label, "vertex", "left").withColumn("root", F.coalesce("label", "vertex"))
-    first = placed.groupBy("root").agg(F.min("rep").alias("first"))
-    named = scratch.write(placed.join(first, "root").select("node", "links", "first"), "named")
+    hit = texts.join(keys.hint("shuffle_hash"),
+                     texts["id"].eqNullSafe(F.col("rid")) & (texts["text_key"] == F.col("rkey")), "left_semi")
+    sets = scratch.write(
+        hit.select("text").mapInArrow(grams_task(n), "node binary, grams array<bigint>").dropDuplicates(["node"])
+        .join(wanted.select("node", "docs"), "node"), "sets")
+    verified = scratch.write(
+        possible.join(sets, "node").select("u", "v", "side", "node", "docs", "grams")
+        .repartition("u", "v").sortWithinPartitions("u", "v")
+        .mapInArrow(verify_task(similarity), "a binary, z binary, near bigint"), "verified")
+    scratch.drop("possible", "sets")
+
+    # number of linked documents: own class and verified links
+    near = verified.where("z is null").groupBy(F.col("a").alias("node")).agg(F.sum("near").alias("near"))
+    counted = classes.select("node", "rep", "docs").join(near, "node", "left").select(
+        "node", "rep", (F.col("docs") - 1 + F.coalesce("near", F.lit(0))).alias("links"))
+    edges = verified.where("z is not null").select(F.col("a").alias("u"), F.col("z").alias("v")).distinct()
+    label = components(edges, scratch).withColumnRenamed("vertex", "node")
+    placed = scratch.write(counted.join(label, "node", "left").withColumn("root", F.coalesce("label", "node")), "placed")
+    first = scratch.write(placed.groupBy("root").agg(F.min("rep").alias("first")), "first")
+    named = placed.join(first, "root").select("node", "links", "first")
 
     out = sig.select("id", "text_key", "node").join(named, "node", "left")
     return out.select(
@@ -240,11 +320,6 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
                                    & (F.col("text_key") == F.col("first.text_key")))).alias("keeps"))
 
 
-def core_vertex():
-    """All members of a core are one vertex; one byte keeps it apart from the nodes' own keys."""
-    return F.concat(F.lit(b"c"), F.col("cluster"))
-
-
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(vertex, label): the smallest vertex of each connected component.
 
