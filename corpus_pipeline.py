@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from orderlens.llm import exact_dedup, mixing, quality  # noqa: E402
+from orderlens.llm import exact_dedup, mixing, ngram_join, piece_encoding, quality  # noqa: E402
 from orderlens.llm.common import Scratch, table  # noqa: E402
 
 
@@ -25,6 +25,11 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_duplicates(docs, exact_dedup.index_batch(docs, index, "documents"))
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies (word 5-gram Jaccard similarity of 0.8 or more)."""
+    return ngram_join.drop_near_copies(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many copies of each document as the mix takes."""
     mixed = mixing.mix(docs, F.array("source"), mixing.word_count(F.col("text")),
@@ -32,12 +37,20 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.select(*docs.columns, F.explode("copies").alias("copy_source")).select(*docs.columns)
 
 
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    return piece_encoding.round_trip(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("exact_dedup", exact),
+    ("ngram_join", near_copies),
     ("mix_sources", mix_sources),
+    ("piece_encoding", encode_pieces),
 ]
 
+#: SQL has neither the hashes of the ratio and the MinHash bands nor the encoding.
 ORACLE_SQL = None
 
 

@@ -136,8 +136,14 @@ QUERIES: dict[str, tuple[QueryFn, str | None]] = {
 }
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, QueryFn]:
-    return {k: f for k, (f, _) in QUERIES.items()}
+    return {k: f for k, (f, _) in QUERIES.items()} | {"pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -68,3 +68,10 @@ def free_name(df: DataFrame, stem: str) -> str:
 def row_blocks(rows: int, per_block: int, least: int) -> int:
     """Number of blocks such that a block holds about ``per_block`` of ``rows``."""
     return max(least, -(-rows // per_block))
+
+
+def one_of_repeats(rows: DataFrame, copies: str, keys: list[str]) -> DataFrame:
+    """``rows`` with one row for each of ``keys``; ``copies`` says how many there are,
+    so that only rows that do repeat need a further exchange."""
+    repeated = rows.where(F.col(copies) > 1).dropDuplicates(keys)
+    return rows.where(F.col(copies) == 1).unionByName(repeated)

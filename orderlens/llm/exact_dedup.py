@@ -16,10 +16,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import Scratch, free_name
+from orderlens.llm.common import Scratch, free_name, one_of_repeats
 
 INDEX_SCHEMA = "digest string, keep_id bigint, rows bigint, keep_rows bigint, batch string"
 
@@ -101,10 +101,9 @@ def drop_duplicates(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id",
 
     ``groups`` holds the digests of this batch that the index did not have before.
     """
-    d, keep, n = (free_name(docs, x) for x in ("digest", "keep", "row"))
-    keepers = groups.select(F.col("digest").alias(d), F.col("keep_id").alias(keep))
+    d, keep, n = (free_name(docs, x) for x in ("digest", "keep", "rows"))
+    keepers = groups.select(F.col("digest").alias(d), F.col("keep_id").alias(keep), F.col("keep_rows").alias(n))
     hit = docs.withColumn(d, digest(F.col(text_col)))
-    # join on (digest, id): as many rows per key as fully repeated rows exist
-    joined = hit.join(keepers, (hit[d] == keepers[d]) & hit[id_col].eqNullSafe(keepers[keep]), "left_semi")
-    first = Window.partitionBy(d, id_col).orderBy(F.lit(1))
-    return joined.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).select(*docs.columns)
+    # (digest, id): each keeper is one row, and repeated rows of the same id are rare
+    joined = hit.join(keepers, (hit[d] == keepers[d]) & hit[id_col].eqNullSafe(keepers[keep])).drop(keepers[d])
+    return one_of_repeats(joined, n, [d, id_col]).select(*docs.columns)

@@ -33,10 +33,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import Scratch, free_name
+from orderlens.llm.common import Scratch, free_name, one_of_repeats
 from orderlens.llm.hashing import U64, mix64, row_grams, separator_table, text_groups, word_hashes, word_spans
 
 NGRAM = 5
@@ -349,11 +349,9 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> DataFrame:
     """Rows of ``docs`` of which one stays for each class of near copies."""
-    kept = join(docs, id_col, text_col, **kwargs).where("keeps").select(
-        F.col("id").alias("keep_id"), F.col("text_key").alias("keep_key")).distinct()
-    key, row = free_name(docs, "key"), free_name(docs, "row")
-    mine = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    hit = mine.join(kept.hint("shuffle_hash"), mine[id_col].eqNullSafe(kept["keep_id"])
-                    & (mine[key] == kept["keep_key"]), "left_semi")
-    first = Window.partitionBy(id_col, key).orderBy(F.lit(1))
-    return hit.withColumn(row, F.row_number().over(first)).where(F.col(row) == 1).select(*docs.columns)
+    keep, key, mine, n = (free_name(docs, x) for x in ("keep", "key", "mine", "rows"))
+    kept = join(docs, id_col, text_col, **kwargs).where("keeps").groupBy(
+        F.col("id").alias(keep), F.col("text_key").alias(key)).agg(F.count(F.lit(1)).alias(n))
+    rows = docs.withColumn(mine, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    hit = rows.join(kept.hint("shuffle_hash"), rows[id_col].eqNullSafe(kept[keep]) & (rows[mine] == kept[key]))
+    return one_of_repeats(hit, n, [id_col, mine]).select(*docs.columns)
