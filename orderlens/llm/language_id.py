@@ -51,15 +51,16 @@ class Network:
     def logits(self, pooled: np.ndarray) -> np.ndarray:
         return np.maximum(pooled, 0) @ self.top + self.top_bias
 
-    def pooled(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Maxima per window; ``data`` is padded by PAD bytes, windows begin at ``starts`` and end at the next."""
+    def pooled(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Maxima over the places ``start <= i < end`` of each window; PAD bytes and more follow the last end."""
+        bounds = np.stack([starts, ends], axis=1).reshape(-1)
         out = np.empty((len(starts), FILTERS * len(WIDTHS)), np.float32)
         n = len(data) - PAD
         for k, (w, table) in enumerate(zip(WIDTHS, self.tables)):
             total = table[0].take(data[:n], axis=0)
             for j in range(1, w):
                 total += table[j].take(data[j:n + j], axis=0)
-            out[:, k * FILTERS:(k + 1) * FILTERS] = np.maximum.reduceat(total, starts, axis=0) + self.bias[k]
+            out[:, k * FILTERS:(k + 1) * FILTERS] = np.maximum.reduceat(total, bounds, axis=0)[::2] + self.bias[k]
         return out
 
 
@@ -153,14 +154,15 @@ def has_letter(text: Column) -> Column:
 def predict_group(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Mean class probabilities over the windows of each row (zero for empty rows)."""
     length = np.diff(offsets)
-    # rows are set apart by PAD zero bytes, so that no filter mixes two of them
-    padded = np.zeros(len(data) + PAD * len(length), np.uint8)
+    # PAD zero bytes after each row, so that the filters at a row's places see nothing of the next
+    padded = np.zeros(len(data) + PAD * len(length) + 1, np.uint8)
     place = offsets[:-1] + PAD * np.arange(len(length))
     padded[np.arange(len(data)) + PAD * np.repeat(np.arange(len(length)), length)] = data
     count = -(-length // WINDOW)
     row = np.repeat(np.arange(len(length)), count)
     k = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     starts = place[row] + WINDOW * k
+    ends = np.minimum(starts + WINDOW, (place + length)[row])
     out = np.zeros((len(length), len(net.top_bias)))
     if not len(starts):
         return out
@@ -168,8 +170,8 @@ def predict_group(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.nda
     for lo in range(0, len(starts), step):
         hi = min(lo + step, len(starts))
         begin = starts[lo]
-        end = starts[hi] if hi < len(starts) else len(padded) - PAD
-        p = softmax(net.logits(net.pooled(padded[begin:end + PAD], starts[lo:hi] - begin)))
+        piece = padded[begin:ends[hi - 1] + PAD + 1]
+        p = softmax(net.logits(net.pooled(piece, starts[lo:hi] - begin, ends[lo:hi] - begin)))
         np.add.at(out, row[lo:hi], p)
     full = count > 0
     out[full] /= count[full, None]
