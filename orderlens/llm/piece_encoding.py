@@ -36,10 +36,15 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Characters of a chunk; texts of up to twice as many are encoded in one piece.
 CHUNK = 1 << 15
+BREAK = "\n"
 #: Words that a task's memo holds before it starts anew.
-MEMO = 200_000
+MEMO = 100_000
+#: Texts that a task turns into ids or back at once.
+SLICE = 256
 #: Longest run of a word's characters that is encoded by merging.
-SHORT = 20
+SHORT = 24
+#: Strings that are merged at once.
+STRINGS = 4096
 NEG = -np.inf
 
 
@@ -49,6 +54,8 @@ class Vocabulary:
     def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int], unknown: int, surface: list[bytes]):
         self.pieces, self.byte_ids, self.unknown, self.surface = pieces, byte_ids, unknown, surface
         self.longest = max(map(len, pieces))
+        #: Neighbouring characters that some piece holds; a merge never crosses any others.
+        self.neighbours = {piece[i:i + 2] for piece in pieces for i in range(len(piece) - 1)}
 
     @classmethod
     def load(cls, model_file: str = MODEL) -> "Vocabulary":
@@ -77,6 +84,102 @@ class Vocabulary:
         return cls(pieces, byte_ids, model.unk_id(), surface)
 
 
+class Merges:
+    """The model's merges on many short strings at once (NumPy)."""
+
+    #: Numbers of characters that are no piece: beyond those of the pieces.
+    SHIFT = 21
+
+    def __init__(self, vocabulary: Vocabulary):
+        pieces = vocabulary.pieces
+        size = 1 + max(i for i, _ in pieces.values())
+        self.unknown = size
+        self.score = np.full(size + 1, NEG)
+        for i, score in pieces.values():
+            self.score[i] = score
+        single = sorted((ord(p), i) for p, (i, _) in pieces.items() if len(p) == 1)
+        self.points = np.array([c for c, _ in single], np.int64)
+        self.numbers = np.array([i for _, i in single], np.int64)
+        number = lambda x: pieces[x][0] if x in pieces else size + ord(x) if len(x) == 1 else None
+        keys, merged = [], []
+        for piece, (i, _) in pieces.items():
+            for cut in range(1, len(piece)):
+                a, b = number(piece[:cut]), number(piece[cut:])
+                if a is not None and b is not None:
+                    keys.append(a << self.SHIFT | b)
+                    merged.append(i)
+        # open addressing with linear probing, filled a round of probes at a time
+        bits = max(4, (4 * len(keys)).bit_length())
+        self.mask, self.down = (1 << bits) - 1, np.uint64(64 - bits)
+        self.keys, self.merged = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int64)
+        left, value = np.array(keys, np.int64), np.array(merged, np.int64)
+        slot = self.slot(left)
+        while len(left):
+            free = np.flatnonzero(self.keys[slot] < 0)
+            _, first = np.unique(slot[free], return_index=True)
+            take = free[first]
+            self.keys[slot[take]], self.merged[slot[take]] = left[take], value[take]
+            rest = np.ones(len(left), bool)
+            rest[take] = False
+            left, value, slot = left[rest], value[rest], (slot[rest] + 1) & self.mask
+
+    def slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.down).astype(np.int64)
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Number of the piece that ``a`` and ``b`` make, or -1; negative numbers make none."""
+        out = np.full(len(a), -1, np.int64)
+        todo = np.flatnonzero((a >= 0) & (b >= 0))
+        key = a[todo] << self.SHIFT | b[todo]
+        slot = self.slot(key)
+        while len(todo):
+            held = self.keys[slot]
+            hit = held == key
+            out[todo[hit]] = self.merged[slot[hit]]
+            on = ~hit & (held >= 0)
+            todo, key, slot = todo[on], key[on], (slot[on] + 1) & self.mask
+        return out
+
+    def encode(self, strings: list[str]) -> list[list[int] | bytes]:
+        """Piece numbers of each string as bytes; a list where a character is no piece."""
+        length = np.array([len(x) for x in strings])
+        width = int(length.max())
+        point = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        at = np.minimum(np.searchsorted(self.points, point), len(self.points) - 1)
+        flat = np.where(self.points[at] == point, self.numbers[at], self.unknown + point)
+        row = np.repeat(np.arange(len(strings)), length)
+        column = np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)
+        ids = np.full((len(strings), width + 1), -1, np.int64)
+        ids[row, column] = flat
+        pair = self.find(ids[:, :-1].reshape(-1), ids[:, 1:].reshape(-1)).reshape(len(strings), width)
+        pair = np.concatenate([pair, np.full((len(strings), 1), -1, np.int64)], axis=1)
+        score = self.score[pair]
+        columns, live = np.arange(width + 1), np.arange(len(strings))
+        while len(live):
+            best = score[live].argmax(axis=1)
+            on = score[live, best] > NEG
+            live, best = live[on], best[on]
+            if not len(live):
+                break
+            made = pair[live, best]
+            after = np.minimum(columns + (columns > best[:, None]), width)
+            new = np.take_along_axis(ids[live], after, axis=1)
+            new[np.arange(len(live)), best] = made
+            ids[live] = new
+            after = np.minimum(columns + (columns >= best[:, None]), width)
+            pair[live] = np.take_along_axis(pair[live], after, axis=1)
+            pair[live, best] = self.find(made, ids[live, np.minimum(best + 1, width)])
+            inner = best > 0
+            pair[live[inner], best[inner] - 1] = self.find(ids[live[inner], best[inner] - 1], made[inner])
+            score[live] = self.score[pair[live]]
+        used = ids >= 0
+        ends = np.cumsum(used.sum(axis=1))
+        out = ids[used].astype(np.int32)
+        raw, odd = out.tobytes(), (ids >= self.unknown).any(axis=1)
+        return [out[a:b].tolist() if o else raw[4 * a:4 * b]
+                for a, b, o in zip((ends - used.sum(axis=1)).tolist(), ends.tolist(), odd.tolist())]
+
+
 class Lattice:
     """Paths of compatible pieces over strings of marks and characters."""
 
@@ -84,22 +187,31 @@ class Lattice:
         self.v = vocabulary
         self.pieces = vocabulary.pieces
         self.longest = vocabulary.longest
+        self.neighbours = vocabulary.neighbours
+        self.joins_lines = any(BREAK in pair for pair in self.neighbours)
         self.known: dict[tuple[str, str], bool] = {}
-        self.runs = Memo(self.encode_run)
+        self.parts = Memo(self.encode_part)
         self.words = Memo(lambda w: self.encode_run(MARK + w))
+        self.heads = Memo(self.encode_run)
+        self.merges = Merges(vocabulary)
 
     def merge(self, text: str) -> list[str]:
         """The model's own procedure on a short string: best pair first, leftmost of equals."""
-        parts = list(text)
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                found = self.pieces.get(parts[i] + parts[i + 1])
-                if found is not None and (best is None or found[1] > best):
-                    best, at = found[1], i
-            if best is None:
-                return parts
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        get, parts = self.pieces.get, list(text)
+        worst = (0, NEG)
+        scores = [get(a + b, worst)[1] for a, b in zip(parts, parts[1:])]
+        while scores:
+            best = max(scores)
+            if best == NEG:
+                break
+            i = scores.index(best)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del scores[i]
+            if i:
+                scores[i - 1] = get(parts[i - 1] + parts[i], worst)[1]
+            if i < len(scores):
+                scores[i] = get(parts[i] + parts[i + 1], worst)[1]
+        return parts
 
     def compatible(self, left: str, right: str) -> bool:
         key = (left, right)
@@ -142,20 +254,82 @@ class Lattice:
                 out += [self.v.byte_ids[b] for b in piece.encode()]
         return np.array(out, np.int32).tobytes()
 
-    def encode_run(self, run: str) -> bytes:
+    def encode_part(self, part: str) -> bytes:
         # on a few characters the merges themselves are cheaper than the lattice, with the same result
-        return self.ids(self.merge(run) if len(run) <= SHORT else self.path(run))
+        return self.ids(self.merge(part) if len(part) <= SHORT else self.path(part))
+
+    def encode_run(self, run: str) -> bytes:
+        """Ids of a string between two borders, cut where no piece joins two characters."""
+        known, begin, out = self.neighbours, 0, []
+        for i in range(1, len(run)):
+            if run[i - 1:i + 1] not in known:
+                out.append(self.parts[run[begin:i]])
+                begin = i
+        out.append(self.parts[run[begin:]])
+        return b"".join(out)
+
+    def plain(self, text: str) -> bool:
+        """Whether every blank of ``text`` stands between two words, so that words can be split off by blanks."""
+        return not (MARK in text or "  " in text or text[0] == " " or text[-1] == " "
+                    or BREAK + " " in text or " " + BREAK in text or self.joins_lines)
+
+    def learn(self, memo: "Memo", words: set[str], prefix: str) -> None:
+        """Put the short ones of ``words`` into ``memo``, all at once."""
+        new = [w for w in words if w not in memo and 0 < len(w) < SHORT]
+        if len(memo) + len(new) > MEMO:
+            memo.clear()
+            new = [w for w in words if 0 < len(w) < SHORT]
+        new.sort(key=len)       # the arrays of a call are as wide as its longest string
+        for lo in range(0, len(new), STRINGS):
+            some = new[lo:lo + STRINGS]
+            for w, ids in zip(some, self.merges.encode([prefix + w for w in some])):
+                memo[w] = ids if isinstance(ids, bytes) else self.spelled(ids)
+
+    def spelled(self, ids: list[int]) -> bytes:
+        out = []
+        for i in ids:
+            out += [i] if i < self.merges.unknown else [
+                self.v.byte_ids[b] for b in chr(i - self.merges.unknown).encode("utf-8", "surrogatepass")]
+        return np.array(out, np.int32).tobytes()
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        words: set[str] = set()
+        heads: set[str] = set()
+        for text in texts:
+            if text and self.plain(text):
+                first, *lines = text.split(BREAK)
+                words.update(first.split(" "))
+                for line in lines:
+                    head, *rest = line.split(" ")
+                    heads.add(head)
+                    words.update(rest)
+            elif text:
+                heads.update(RUN.findall(MARK + text.replace(" ", MARK)))
+        self.learn(self.words, words, MARK)
+        self.learn(self.heads, heads, "")
+        return [self.encode(text) for text in texts]
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text."""
         if not text:
             return b""
-        if MARK in text or "  " in text or text[0] == " " or text[-1] == " ":
+        if not self.plain(text):
             return self.encode_marked(MARK + text.replace(" ", MARK))
-        return b"".join(map(self.words.__getitem__, text.split(" ")))
+        words, heads, line_feed, out = self.words.__getitem__, self.heads, self.parts[BREAK], []
+        for k, line in enumerate(text.split(BREAK)):
+            # a line's first word follows a line feed, no mark
+            first, *rest = line.split(" ")
+            if k:
+                out.append(line_feed)
+                if first:
+                    out.append(heads[first])
+            else:
+                out.append(words(first))
+            out.extend(map(words, rest))
+        return b"".join(out)
 
     def encode_marked(self, marked: str) -> bytes:
-        return b"".join(map(self.runs.__getitem__, RUN.findall(marked)))
+        return b"".join(map(self.heads.__getitem__, RUN.findall(marked)))
 
     # --- chunks of giant texts -------------------------------------------------
 
@@ -309,13 +483,18 @@ def encode_task(vocabulary: Vocabulary, columns: list[str]):
     """Batches whose last column is the text: the text is replaced by its ids."""
     def run(batches):
         lattice = Lattice(vocabulary)
-        for batch in batches:
-            text = batch.column(batch.num_columns - 1)
-            ids = [lattice.encode(t) for t in text.to_pylist()]
+        for batch in slices(batches):
+            ids = lattice.encode_all(batch.column(batch.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays(batch.columns[:-1] + [id_lists(ids)], columns + ["ids"])
     return run
 
 
+def slices(batches):
+    for batch in batches:
+        for lo in range(0, batch.num_rows, SLICE):
+            yield batch.slice(lo, SLICE)
+
+
 def id_lists(ids: list[bytes]) -> pa.Array:
     ends = np.zeros(len(ids) + 1, np.int64)
     np.cumsum([len(x) // 4 for x in ids], out=ends[1:])
@@ -436,10 +615,9 @@ def encode(docs: DataFrame, text_col: str = "text", out: str = "ids", model_file
 def decode_task(surface: list[bytes], columns: list[str]):
     def run(batches):
         get = surface.__getitem__
-        for batch in batches:
-            lists = batch.column(batch.num_columns - 1)
+        for batch in slices(batches):
             texts = []
-            for ids in lists:
+            for ids in batch.column(batch.num_columns - 1):
                 raw = b"".join(map(get, ids.values.to_numpy().tolist())) if ids.is_valid else b""
                 texts.append(raw.decode("utf-8", "replace")[1:])
             yield pa.RecordBatch.from_arrays(batch.columns[:-1] + [pa.array(texts, pa.string())], columns + ["text"])
