@@ -12,14 +12,26 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: A decimal number with optional sign, fraction and exponent; no suffix, no NaN, no infinity.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def _finite(text: Column) -> Column:
+    value = text.try_cast("double")
+    return F.when(text.rlike(NUMBER) & (F.abs(value) < F.lit(float("inf"))), value)
+
+
 def try_num(c) -> Column:
-    """Coerce to double; unparsable -> NULL (never raises under ANSI)."""
-    return _c(c).try_cast("double")
+    """Coerce to a finite double; unparsable, NaN and infinite -> NULL (never raises under ANSI).
+
+    A cast alone accepts type suffixes (``12d``) and ``NaN``, which would pass ``> 0``.
+    """
+    return _finite(_c(c).cast("string"))
 
 
 def money(c) -> Column:
-    """Currency text such as ``$12.50`` -> double."""
-    return F.regexp_replace(_c(c).cast("string"), r"\$", "").try_cast("double")
+    """Currency text such as ``$12.50`` -> finite double."""
+    return _finite(F.regexp_replace(_c(c).cast("string"), r"\$", ""))
 
 
 def safe_ratio(n, d, default=0.0) -> Column:
@@ -29,11 +41,6 @@ def safe_ratio(n, d, default=0.0) -> Column:
     return out if default is None else out.otherwise(F.lit(default).cast("double"))
 
 
-def isclose(a, b, rtol: float = 1e-5, atol: float = 1e-8) -> Column:
-    a, b = _c(a), _c(b)
-    return F.abs(a - b) <= F.lit(atol) + F.lit(rtol) * F.abs(b)
-
-
 def dec(c, t: str = MONEY) -> Column:
     return _c(c).cast(t)
 

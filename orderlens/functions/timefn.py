@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import zoneinfo
 from functools import lru_cache
 
 from pyspark.sql import Column, SparkSession, functions as F
@@ -46,16 +45,21 @@ def holiday_date(year) -> Column:
     return F.date_add(first_thu, 22)
 
 
+# Zone ids that Spark resolves although the JVM lists them as aliases only.
+ALIAS_ZONES = ("EST", "HST", "MST")
+
+
 @lru_cache(maxsize=1)
 def _zone_ids() -> tuple[str, ...]:
-    zones = set(zoneinfo.available_timezones())
+    """Every zone id of the JVM that evaluates the conversions (legacy ids like GMT or
+    EST5EDT included), so the check agrees with the engine and needs no Python zone files."""
     spark = SparkSession.getActiveSession()
-    try:  # intersect with the JVM's tz database when reachable (classic mode)
-        jvm_zones = set(spark._jvm.java.time.ZoneId.getAvailableZoneIds())  # type: ignore[union-attr]
-        zones &= jvm_zones
-    except Exception:
-        pass
-    return tuple(sorted(z for z in zones if "/" in z or z == "UTC"))
+    ids = spark._jvm.java.time.ZoneId.getAvailableZoneIds()  # type: ignore[union-attr]
+    joined = spark._jvm.java.lang.String.join("|", ids)
+    found = set(joined.split("|")) | set(ALIAS_ZONES)
+    if len(found) < 100:
+        raise RuntimeError("the JVM lists no time zones")
+    return tuple(sorted(found))
 
 
 def valid_zone(zone_sql: str) -> Column:

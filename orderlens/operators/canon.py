@@ -6,13 +6,14 @@ similarity is >= threshold, else it leads a new group; every raw value maps to
 its group's leader.  Similarity is ``1 - levenshtein / max(length)`` (a
 built-in, deterministic stand-in for a per-row sequence matcher).
 
-Candidate pairs are exact without comparing all pairs: if two tokens are
-within edit distance k they share a string obtained by deleting at most k
-characters from each (deletion neighbourhood), so tokens are joined on such
-variants only.  k per token follows from the threshold and its length.
-Leaders are then fixed by a short iterative job over the distinct-token table
-(each round decides at least the lowest-ranked undecided token), with a
-reliable checkpoint per round.
+Candidate pairs are exact without comparing all pairs.  Let ``k`` be the edits
+that the threshold allows for the longer of two tokens.  Cut the shorter one into
+``k + 1`` parts: at most k of them are touched by k edits, so the longer one holds
+some part unchanged, shifted by at most k places.  Tokens are joined on (length,
+edits, part number, part) - at most a few k^3 short strings per token, whatever
+the alphabet - and then verified.  Leaders are fixed by an iterative job over the
+distinct tokens: each round decides at least the lowest-ranked undecided token,
+rounds go on until none is left, and each is a written table.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from orderlens.operators.running import global_rank
-from orderlens.session import ensure_checkpoint_dir
+from orderlens.session import materialize_table
 
 
 def token(c) -> F.Column:
@@ -28,33 +29,51 @@ def token(c) -> F.Column:
     return F.upper(F.regexp_replace(col.cast("string"), r"\s+", ""))
 
 
-def _max_edits(length_col: F.Column, threshold: float) -> F.Column:
-    # partner length <= L / t, so edits <= (1 - t) * L / t
-    return F.floor(length_col * F.lit((1 - threshold) / threshold) + F.lit(1e-9)).cast("int")
+def _edits(length, threshold: float) -> F.Column:
+    """Edits that a pair may have whose longer token has ``length`` characters."""
+    return F.floor(length * F.lit(1 - threshold) + F.lit(1e-9)).cast("int")
 
 
-def _variants(tokens: DataFrame, threshold: float) -> DataFrame:
-    """(token, variant) for every deletion variant with <= k(token) deletions."""
-    t = tokens.withColumn("k", _max_edits(F.length("token"), threshold))
-    k_max = t.agg(F.max("k")).first()[0] or 0
-    level = t.select("token", "k", F.array(F.col("token")).alias("vs"))
-    out = level.select("token", F.col("token").alias("variant"))
-    for depth in range(1, int(k_max) + 1):
-        nxt = F.array_distinct(F.flatten(F.transform("vs", lambda s: F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1))),
-            lambda i: F.concat(F.substr(s, F.lit(1), i - 1), F.substr(s, i + 1, F.length(s)))))))
-        level = level.where(F.col("k") >= depth).select("token", "k", nxt.alias("vs"))
-        out = out.unionByName(level.select("token", F.explode("vs").alias("variant")))
-    return out.distinct()
+def _parts(tokens: DataFrame, threshold: float) -> DataFrame:
+    """(token, short, k, part, piece): the parts of a token as the shorter one of a pair,
+    for every number of edits that a longer partner can allow."""
+    length = F.length("token")
+    longest = F.floor(length / F.lit(threshold) + F.lit(1e-9)).cast("int")
+    ks = F.array_distinct(F.transform(F.sequence(length, F.greatest(longest, length)), lambda x: _edits(x, threshold)))
+    t = tokens.select("token", length.alias("short"), F.explode(ks).alias("k")).where("k > 0")
+    t = t.select("*", F.explode(F.sequence(F.lit(0), F.col("k"))).alias("part"))
+    begin, end = _bounds("short", "k", "part")
+    return t.select("token", "short", "k", "part", F.substr("token", begin + 1, end - begin).alias("piece"))
+
+
+def _bounds(short: str, k: str, part: str):
+    cut = lambda i: F.floor(F.col(short) * i / (F.col(k) + 1)).cast("int")
+    return cut(F.col(part)), cut(F.col(part) + 1)
+
+
+def _probes(tokens: DataFrame, threshold: float) -> DataFrame:
+    """(token, short, k, part, piece): what a token holds where such a part may stand,
+    for every length of a shorter or equal partner."""
+    t = tokens.select("token", F.length("token").alias("n"), _edits(F.length("token"), threshold).alias("k")).where("k > 0")
+    t = t.select("*", F.explode(F.sequence(F.greatest(F.lit(1), F.col("n") - F.col("k")), F.col("n"))).alias("short"))
+    t = t.select("*", F.explode(F.sequence(F.lit(0), F.col("k"))).alias("part"))
+    begin, end = _bounds("short", "k", "part")
+    t = t.select("*", begin.alias("begin"), (end - begin).alias("size"))
+    t = t.select("*", F.explode(F.filter(
+        F.sequence(F.col("begin") - F.col("k"), F.col("begin") + F.col("k")),
+        lambda p: (p >= 0) & (p + F.col("size") <= F.col("n")))).alias("at"))
+    return t.select("token", "short", "k", "part", F.substr("token", F.col("at") + 1, F.col("size")).alias("piece")).distinct()
 
 
 def similar_pairs(tokens: DataFrame, threshold: float = 0.92) -> DataFrame:
     """(token, earlier) pairs: ``earlier`` ranks before ``token`` and is similar enough."""
-    v = _variants(tokens.select("token"), threshold)
-    a, b = v.alias("a"), v.alias("b")
-    cand = (a.join(b, F.col("a.variant") == F.col("b.variant"))
-             .where(F.col("a.token") != F.col("b.token"))
-             .select(F.col("a.token").alias("token"), F.col("b.token").alias("earlier")).distinct())
+    t = tokens.select("token")
+    on = ["short", "k", "part", "piece"]
+    met = (_parts(t, threshold).withColumnRenamed("token", "a")
+           .join(_probes(t, threshold).withColumnRenamed("token", "b"), on)
+           .where("a != b").select("a", "b").distinct())
+    cand = met.select(F.col("a").alias("token"), F.col("b").alias("earlier")).unionByName(
+        met.select(F.col("b").alias("token"), F.col("a").alias("earlier"))).distinct()
     r = tokens.select("token", "rank")
     cand = (cand.join(r, "token").join(r.withColumnRenamed("token", "earlier").withColumnRenamed("rank", "earlier_rank"),
                                        "earlier").where(F.col("earlier_rank") < F.col("rank")))
@@ -63,20 +82,18 @@ def similar_pairs(tokens: DataFrame, threshold: float = 0.92) -> DataFrame:
     return cand.where(sim >= F.lit(threshold)).select("token", "rank", "earlier", "earlier_rank")
 
 
-def canonical_map(df: DataFrame, col: str, threshold: float = 0.92, max_rounds: int = 10_000) -> DataFrame:
-    """Mapping ``(raw, token, canonical)`` for one text column."""
-    ensure_checkpoint_dir(df.sparkSession)
+def canonical_map(df: DataFrame, col: str, threshold: float = 0.92) -> DataFrame:
+    """Mapping ``(raw, token, canonical)`` for one text column; every value gets a leader."""
     raw = df.select(F.col(col).cast("string").alias("raw")).where(F.col("raw").isNotNull())
     freq = raw.select(token("raw").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
     # rank of every distinct token by (frequency desc, token): a distributed rank
-    tokens = global_rank(freq, [F.col("freq").desc(), F.col("token")])
-    pairs = similar_pairs(tokens, threshold).checkpoint()
+    tokens = materialize_table(global_rank(freq, [F.col("freq").desc(), F.col("token")]), "canon-tokens")
+    pairs = materialize_table(similar_pairs(tokens, threshold), "canon-pairs")
     # status: leader (own token) / follower (leader token); NULL = undecided
     status = tokens.select("token", "rank", F.lit(None).cast("string").alias("leader"))
-    for _ in range(max_rounds):
+    left = status.count()
+    while left:
         undecided = status.where(F.col("leader").isNull())
-        if undecided.isEmpty():
-            break
         # earlier similar tokens with their current decision
         e = pairs.join(status.select(F.col("token").alias("earlier"), F.col("leader").alias("e_leader")), "earlier")
         agg = e.groupBy("token").agg(
@@ -85,8 +102,11 @@ def canonical_map(df: DataFrame, col: str, threshold: float = 0.92, max_rounds:
         decided = (undecided.join(agg, "token", "left")
                    .where(F.coalesce(F.col("open"), F.lit(0)) == 0)
                    .select("token", F.coalesce(F.col("lead"), F.col("token")).alias("new_leader")))
-        status = (status.join(decided, "token", "left")
-                  .select("token", "rank", F.coalesce("leader", "new_leader").alias("leader")).checkpoint())
+        status = materialize_table(status.join(decided, "token", "left").select(
+            "token", "rank", F.coalesce("leader", "new_leader").alias("leader")), "canon-status")
+        before, left = left, status.where(F.col("leader").isNull()).count()
+        if left == before:
+            raise RuntimeError(f"{left} tokens cannot be decided")
     m = raw.distinct().withColumn("token", token("raw"))
     return m.join(status.select("token", F.col("leader").alias("canonical")), "token").select("raw", "token", "canonical")
 

@@ -65,19 +65,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a *reliable* checkpoint in the shared checkpoint folder
-    (survives executor loss, unlike cache or localCheckpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize_table(df: DataFrame, name: str, partition_by=()) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Columnar and compressed (later scans prune columns and push filters),
     reliable across executor loss, and it cuts the lineage of a table that
-    several downstream jobs reuse.
+    several downstream jobs reuse.  The table goes when the application ends.
     """
     import uuid
 
@@ -88,5 +81,12 @@ def materialize_table(df: DataFrame, name: str, partition_by=()) -> DataFrame:
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    drop_at_exit(spark, path)
     out = spark.read.parquet(path)
     return out.select(*df.columns) if partition_by else out
+
+
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system remove a temporary table when the application ends."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)

@@ -78,3 +78,21 @@ def test_zone_paths_agree(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert fast == slow
     assert any(c is None for _, c in fast) and any(c is not None for _, c in fast)
+
+
+def test_numbers_take_no_suffix_nan_or_infinity(spark):
+    from orderlens.functions.numeric import try_num
+    texts = ["12", " 3.5 ", "-.5", "1e3", "12d", "12f", "NaN", " NaN ", "Infinity", "1e999", "", "0x1", "1,2", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "s string").select(try_num("s").alias("n"), money("s").alias("m")).collect()
+    assert [r.n for r in rows] == [12.0, 3.5, -0.5, 1000.0] + [None] * 10 and [r.m for r in rows] == [r.n for r in rows]
+    d = spark.createDataFrame([(1.25,), (float("nan"),), (float("inf"),)], "x double").select(try_num("x").alias("n")).collect()
+    assert [r.n for r in d] == [1.25, None, None]
+
+
+def test_legacy_zone_ids_are_valid(spark):
+    zones = ["GMT", "EST", "Japan", "EST5EDT", "MST", "Etc/GMT+5", "America/Chicago", "UTC", "Nope"]
+    df = spark.createDataFrame([("2024-06-01 12:00:00", z) for z in zones], "s string, z string") \
+        .withColumn("l", F.col("s").cast("timestamp_ntz"))
+    got = {r.z: r.c and r.c.hour for r in with_company_ts(df, "l", "z", "America/Chicago", "c").collect()}
+    assert got == {"GMT": 7, "EST": 12, "Japan": 22, "EST5EDT": 11, "MST": 14, "Etc/GMT+5": 12, "America/Chicago": 12,
+                   "UTC": 7, "Nope": None}

@@ -1,14 +1,18 @@
 """Sources, sinks, rule tables, drift, canonicalisation and streaming."""
 
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from orderlens.operators import profile as PF, quality as Q
 from orderlens.operators.canon import brute_force_map, canonical_map
 from orderlens.sinks import run_audit, write_metrics, write_table
-from orderlens.sources.files import read_clean, read_metrics, read_profile_snapshot, read_registry, read_sales
+from orderlens.sources.files import (
+    read_buyers, read_clean, read_metrics, read_products, read_profile_snapshot, read_registry, read_sales, read_table,
+)
 from orderlens.streaming import hourly_volume_batch, run_hourly_volume_stream
 from orderlens.params import Params
 
@@ -85,3 +89,61 @@ def test_stream_equals_batch(spark):
     batch = sorted(tuple(r) for r in hourly_volume_batch(spark.read.parquet(f"{SF_SMALL}/events.parquet"), p).collect())
     stream = sorted(tuple(r) for r in run_hourly_volume_stream(spark, f"{SF_SMALL}/events*.parquet", p).collect())
     assert batch == stream and len(batch) > 0
+
+
+def test_stream_is_exact_over_several_batches(spark, tmp_path):
+    """Late events and repeats more than a day apart, one file per micro-batch."""
+    import datetime as dt
+    rows = [(i, i % 7, dt.datetime(2024, 1, 2 + (i * 5) % 28, i % 24), "purchase", 1.0) for i in range(60)]
+    rows += rows[::3]
+    for k in range(4):
+        spark.createDataFrame(rows[k::4][::-1], "event_id bigint, user_id bigint, ts timestamp_ntz, event_type string, value double") \
+            .coalesce(1).write.mode("append").parquet(str(tmp_path / "events"))
+    p = Params()
+    batch = sorted(tuple(r) for r in hourly_volume_batch(spark.read.parquet(str(tmp_path / "events")), p).collect())
+    stream = run_hourly_volume_stream(spark, str(tmp_path / "events"), p, files_per_batch=1)
+    assert sorted(tuple(r) for r in stream.collect()) == batch and sum(r[2] for r in batch) == 60
+
+
+def test_canonical_map_decides_long_chains_and_long_texts(spark):
+    rng = random.Random(3)
+    chain = ["A" * 30]
+    for i in range(25):                       # each similar to its neighbours only
+        chain.append(chain[-1][:i] + "B" + chain[-1][i + 1:])
+    words = ["".join(rng.choice("ABCDE") for _ in range(rng.randint(8, 30))) for _ in range(60)]
+    near = []
+    for w in words:
+        x = list(w)
+        x[rng.randrange(len(x))] = rng.choice(["", "Z", "QQ"])
+        near.append("".join(x))
+    long = "".join(rng.choice("ABCDEFGH") for _ in range(300))
+    vals = chain + words + near + [long, long[:150] + "zz" + long[155:], "", None]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    for threshold in (0.85, 0.92):
+        got = {r.token: r.canonical for r in canonical_map(df, "v", threshold).collect()}
+        assert got == brute_force_map(vals, threshold) and None not in got.values()
+
+
+def test_quoted_header_commas_and_line_breaks(spark, tmp_path):
+    (tmp_path / "s.csv").write_text('"order_id","a,b",quantity\n1,"x\ny",2\n3,"say ""hi""",4\n')
+    rows = read_sales(spark, str(tmp_path / "s.csv")).orderBy("_ord").collect()
+    assert [(r["order_id"], r["a,b"], r["quantity"]) for r in rows] == [("1", "x\ny", "2"), ("3", 'say "hi"', "4")]
+    buyers = read_buyers(spark, str(tmp_path / "s.csv"), multi_line=True)
+    assert buyers.columns == ["order_id", "a,b", "quantity", "_ord"] and buyers.count() == 2
+
+
+def test_catalogues_of_several_layouts_keep_file_order(spark, tmp_path):
+    (tmp_path / "b.csv").write_text("sku_id,price\ns1,1\n")
+    (tmp_path / "a.csv").write_text("price,sku_id,vendor\n2,s1,v\n" + "".join(f"{i},s{i},w\n" for i in range(3, 200)))
+    (tmp_path / "c.csv").write_text("sku_id,price\ns1,9\ns2,8\n")
+    df = read_products(spark, str(tmp_path))
+    rows = df.orderBy("_ord").collect()
+    assert [r["_file"] for r in rows][:1] + [r["_file"] for r in rows][-3:] == ["a.csv", "b.csv", "c.csv", "c.csv"]
+    assert (rows[0]["price"], rows[0]["vendor"]) == ("2", "v") and rows[-1]["vendor"] is None
+    from orderlens.operators.common import dedup_first
+    assert dedup_first(df, ["sku_id"], ["_ord"]).where("sku_id = 's1'").first()["price"] == "2"
+    assert read_clean(spark, str(tmp_path / "b")).count() == 1      # no Parquet: the CSV branch
+    df.select("sku_id", "price").write.parquet(str(tmp_path / "t"))
+    assert read_table(spark, str(tmp_path / "t"), ["sku_id"]).count() == df.count()
+    with pytest.raises(ValueError):
+        read_table(spark, str(tmp_path / "t"), ["nope"])
