@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.session import ensure_checkpoint_dir
+from orderlens.session import drop_at_exit, ensure_checkpoint_dir
 
 #: Separators of words: blank and the five ASCII controls from tab to carriage return.
 SEPARATORS = r"[\x20\x09-\x0D]+"
@@ -35,12 +35,14 @@ class Scratch:
     """Tables under the session's shared checkpoint folder.
 
     ``write`` stores a DataFrame as Parquet and reads it back (short lineage that
-    survives lost executors); ``drop`` removes tables that no later step reads.
+    survives lost executors); ``drop`` removes tables that no later step reads,
+    and the rest goes when the application ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/orderlens-llm/{name}-{uuid.uuid4().hex[:12]}"
+        drop_at_exit(spark, self.base)
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"

@@ -24,7 +24,6 @@ same start; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
@@ -33,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import Scratch, row_blocks, words
-from orderlens.llm.hashing import gram_hashes, separator_table, text_groups, word_hashes, word_spans
+from orderlens.llm.hashing import gram_hashes, mix64, separator_table, text_groups, word_hashes, word_spans
 
 WINDOW = 20
 #: Words of the runs among which a window's anchor is chosen.
@@ -104,43 +103,67 @@ def anchor_task(with_place: bool):
 
 # --- segments ----------------------------------------------------------------
 
-_SEGMENT = [("sig", pa.binary()), ("shard", pa.int64()), ("id", pa.int64()), ("text_key", pa.int64()),
-            ("start", pa.int64()), ("windows", pa.int32()), ("segment", pa.string())]
-SEGMENT = "sig binary, shard bigint, id bigint, text_key bigint, start bigint, windows int"
+SEGMENT = "sig bigint, sig2 bigint, shard bigint, id bigint, text_key bigint, start bigint, windows int"
+#: Odd bases of the two hashes that name a sequence of words, and their inverses modulo 2^64.
+BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+
+
+def sequence_hashes(words: np.ndarray, begin: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
+    """Hash of ``words[b:e]`` for all pairs, from prefix sums of a polynomial modulo 2^64."""
+    n = len(words) + 1
+    power = np.full(n, base, np.uint64)
+    down = np.full(n, pow(base, -1, 1 << 64), np.uint64)
+    power[0] = down[0] = 1
+    power, down = np.multiply.accumulate(power), np.multiply.accumulate(down)
+    prefix = np.zeros(n, np.uint64)
+    np.cumsum(words * power[:-1], out=prefix[1:])
+    return mix64((prefix[end] - prefix[begin]) * down[begin] + (end - begin).astype(np.uint64)).view(np.int64)
 
 
 def segment_task(with_text: bool):
-    """(id, text_key, text, runs) -> segments; a run is (place, anchor, common)."""
-    fields = _SEGMENT if with_text else _SEGMENT[:-1]
+    """(id, text_key, text, runs) -> segments; a run is (place, anchor, common).
+
+    The text of a segment is the stretch of its document; what separates its words
+    does not matter, equal segments are those with equal words.
+    """
+    lut = separator_table()
 
     def run(batches):
         for batch in batches:
-            out: list[tuple] = []
-            for number, key, text, runs in zip(*(c.to_pylist() for c in batch.columns)):
-                own = SPLIT.findall(text)
-                number = LAST if number is None else number
-                for r in runs:
-                    start, size = divmod(r["place"], 256)
-                    if start + size + WINDOW - 1 > len(own):
-                        continue        # a place of another row with the same id
-                    step = 1 if r["common"] else size
-                    for at in range(start, start + size, step):
-                        segment = " ".join(own[at:at + step + WINDOW - 1])
-                        sig = hashlib.blake2b(segment.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                        shard = int.from_bytes(sig[:8], "little", signed=True) if r["common"] else r["anchor"]
-                        out.append((sig, shard, number, key, at, step, segment))
-                if len(out) >= 20_000:
-                    yield columns(out, fields)
-                    out = []
-            yield columns(out, fields)
+            ids = batch.column(0).fill_null(LAST).to_numpy()
+            keys, lists = batch.column(1).to_numpy(), batch.column(3)
+            at = lists.offsets.to_numpy()
+            place, anchor, common = (lists.values.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+            for lo, data, offsets in text_groups(batch.column(2)):
+                starts, ends, first = word_spans(data, offsets, lut)
+                hashes = word_hashes(data, starts, ends)
+                count = np.diff(first)
+                mine = slice(at[lo], at[lo + len(count)])
+                row = np.repeat(np.arange(len(count)), np.diff(at[lo:lo + len(count) + 1]))
+                start, size, name, many = place[mine] // 256, place[mine] % 256, anchor[mine], common[mine]
+                # leave out places of another row with the same id
+                real = start + size + WINDOW - 1 <= count[row]
+                row, start, size, name, many = row[real], start[real], size[real], name[real], many[real]
+                pieces = np.where(many, size, 1)
+                step = np.where(many, 1, size)
+                k = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                row, step, name, many = (np.repeat(x, pieces) for x in (row, step, name, many))
+                start = np.repeat(start, pieces) + k * many
+                begin = first[row] + start
+                end = begin + step + WINDOW - 1
+                sig, sig2 = (sequence_hashes(hashes, begin, end, base) for base in BASES)
+                cols = [sig, sig2, np.where(many, sig, name), ids[lo:][row], keys[lo:][row], start, step.astype(np.int32)]
+                raw = data.tobytes()
+                for p in range(0, len(row), 20_000):
+                    q = min(p + 20_000, len(row))
+                    out = [pa.array(c[p:q]) for c in cols]
+                    if with_text:
+                        out.append(pa.array([raw[x:y] for x, y in zip(
+                            starts[begin[p:q]].tolist(), ends[end[p:q] - 1].tolist())], pa.binary()).cast(pa.string()))
+                    yield pa.RecordBatch.from_arrays(out, [f.split()[0] for f in SEGMENT.split(", ")] + ["segment"] * with_text)
     return run
 
 
-def columns(rows: list[tuple], fields) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [()] * len(fields)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, fields)], [n for n, _ in fields])
-
-
 # --- FM-index ------------------------------------------------------------------
 
 class Bits:
@@ -230,7 +253,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 def repeated_runs(segments: list[str], ids: np.ndarray, starts: np.ndarray):
     """(segment, first window, windows) of the runs of windows that also start earlier,
     where ``ids`` and ``starts`` give the first occurrence of each segment."""
-    split = [s.split(" ") for s in segments]
+    split = [SPLIT.findall(s) for s in segments]
     size = np.array([len(s) for s in split])
     m = len(split)
     # one end mark per segment, all different and smaller than any word
@@ -325,18 +348,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     segments = open_rows.select("id", "text_key", "text", "runs")
     distinct = scratch.write(
-        segments.mapInArrow(segment_task(True), f"{SEGMENT}, segment string").groupBy("sig").agg(
+        segments.mapInArrow(segment_task(True), f"{SEGMENT}, segment string").groupBy("sig", "sig2").agg(
             F.min(F.struct("id", "start", "text_key")).alias("first"), F.first("shard").alias("shard"),
             F.first("segment").alias("segment"), F.count(F.lit(1)).alias("n")), "distinct")
 
     # a shard gets whole anchors; its size follows from the words of all distinct segments
-    total = distinct.agg(F.sum(F.length("segment"))).first()[0] or 0
+    total = distinct.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
     shards = row_blocks(total // 6, SHARD_WORDS, 12)
     inside = distinct.select(
         F.pmod(F.xxhash64("shard"), F.lit(shards)).alias("shard"), "first.id", "first.start", "first.text_key", "segment") \
         .groupBy("shard").applyInPandas(shard_task, "id bigint, text_key bigint, start bigint, windows int")
-    first = distinct.where("n > 1").select("sig", F.col("first.id").alias("first_id"), F.col("first.start").alias("first_start"))
-    later = segments.mapInArrow(segment_task(False), SEGMENT).join(first, "sig") \
+    first = distinct.where("n > 1").select("sig", "sig2", F.col("first.id").alias("first_id"), F.col("first.start").alias("first_start"))
+    later = segments.mapInArrow(segment_task(False), SEGMENT).join(first, ["sig", "sig2"]) \
         .where("id != first_id or start != first_start").select("id", "text_key", "start", "windows")
     gone = inside.unionByName(later).groupBy("id", "text_key").agg(
         F.collect_list(F.struct("start", "windows")).alias("gone"))

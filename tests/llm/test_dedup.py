@@ -5,6 +5,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
+from llm_fixtures import edge, empty, labels, small  # noqa: F401  (fixtures)
 from orderlens.llm import exact_dedup, hashing, ngram_join, substring_dedup
 from orderlens.llm.common import Scratch
 

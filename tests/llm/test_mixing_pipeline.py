@@ -4,6 +4,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
+from llm_fixtures import edge, empty, labels, small  # noqa: F401  (fixtures)
 import corpus_pipeline
 from orderlens.llm import catalog, mixing
 

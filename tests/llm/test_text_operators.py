@@ -7,6 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from llm_fixtures import edge, empty, labels, small  # noqa: F401  (fixtures)
 from orderlens.llm import catalog, chat_format, language_id, license_scan, piece_encoding, quality, toxicity
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
