@@ -16,6 +16,23 @@ SALES_KEY = ["order_id", "buyer_id", "sku_id"]
 
 
 # --------------------------------------------------------------------------- sales
+def stripped_sales(raw: DataFrame) -> DataFrame:
+    """CS1-CS3: stripped keys, corrected status, rows without status or key dropped."""
+    if "_ord" not in raw.columns:
+        raw = raw.withColumn("_ord", F.monotonically_increasing_id())
+    status = F.col("order_status")
+    df = raw.withColumns({**{c: strip_ws(c) for c in SALES_KEY},             # CS1
+                          "order_status": F.when(status == "Deliverred", F.lit("Delivered")).otherwise(status)})  # CS2
+    df = df.where(F.col("order_status").isNotNull())                         # CS3
+    return df.where(F.col("order_id").isNotNull() & F.col("buyer_id").isNotNull() & F.col("sku_id").isNotNull())
+
+
+def typed_sales(raw: DataFrame) -> DataFrame:
+    """Rows as they stand before de-duplication: CS1-CS4 and CS6, quantity still as text."""
+    df = stripped_sales(raw).withColumn("order_datetime", parse_ts("order_datetime", SALES_TS_FORMATS))
+    return df.where(F.col("order_datetime").isNotNull())
+
+
 def clean_sales(raw: DataFrame, params: Params = Params(), keep=None) -> tuple[DataFrame, DataFrame]:
     """CS11: returns ``(sales_clean, audit)``; audit is long ``(metric, value)``.
 
@@ -23,13 +40,7 @@ def clean_sales(raw: DataFrame, params: Params = Params(), keep=None) -> tuple[D
     quantile cap, so the cap's scalar subquery scans one stored column
     instead of re-running parsing and de-duplication.
     """
-    if "_ord" not in raw.columns:
-        raw = raw.withColumn("_ord", F.monotonically_increasing_id())
-    status = F.col("order_status")
-    df = raw.withColumns({**{c: strip_ws(c) for c in SALES_KEY},             # CS1
-                          "order_status": F.when(status == "Deliverred", F.lit("Delivered")).otherwise(status)})  # CS2
-    df = df.where(F.col("order_status").isNotNull())                         # CS3
-    df = df.where(F.col("order_id").isNotNull() & F.col("buyer_id").isNotNull() & F.col("sku_id").isNotNull())
+    df = stripped_sales(raw)
     _, branch = parse_ts("order_datetime", SALES_TS_FORMATS, with_branch=True)  # CS4
     audit_parse = long_rows(df, {                                             # CS5
         "datetime_strict_parsed_count": F.count_if(branch == 0),
@@ -56,10 +67,6 @@ def clean_sales(raw: DataFrame, params: Params = Params(), keep=None) -> tuple[D
     return df, audit_parse.unionByName(audit_qty).unionByName(audit_cap)
 
 
-def branch_of(ts, branch):
-    return F.struct(ts.alias("ts"), branch.alias("b"))
-
-
 def cap_at_quantile(df: DataFrame, col: str, q: float = 0.999, floor_value: float = 3.0) -> DataFrame:
     """CS9 winsorise: cap = max(floor_value, floor(exact q-quantile)); ``floor_value`` when empty.
 

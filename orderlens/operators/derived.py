@@ -236,10 +236,10 @@ def payback_curve(orders: DataFrame, params: Params = Params()) -> DataFrame:
     ref = F.col("is_referred") == 1
     r = d.where(F.col("order_rank") <= params.payback_max_rank).groupBy("order_rank").agg(
         exact_mean(F.when(ref, F.col("cum"))).alias("mean_ref"),
-        rounded(F.stddev_samp(F.when(ref, F.col("cum")))).alias("std_ref"),
+        rounded(F.stddev_samp(F.when(ref, F.col("cum"))), 5).alias("std_ref"),
         F.count(F.when(ref, F.lit(1))).alias("n_ref"),
         exact_mean(F.when(~ref, F.col("cum"))).alias("mean_nonref"),
-        rounded(F.stddev_samp(F.when(~ref, F.col("cum")))).alias("std_nonref"),
+        rounded(F.stddev_samp(F.when(~ref, F.col("cum"))), 5).alias("std_nonref"),
         F.count(F.when(~ref, F.lit(1))).alias("n_nonref"))
     r = r.where((F.col("n_ref") > 0) & (F.col("n_nonref") > 0))
     se = F.sqrt(F.col("std_ref") ** 2 / F.col("n_ref") + F.col("std_nonref") ** 2 / F.col("n_nonref"))
@@ -419,21 +419,37 @@ def segment_quadrants(q5: DataFrame) -> DataFrame:
 
 
 def bucket_rollup(q5: DataFrame) -> DataFrame:
-    """Q5d: per strategic bucket: segments, profit, profit share, mean margin,
-    orders per customer, discount % and COGS %."""
-    g = q5.groupBy("strategic_bucket").agg(
+    """Q5d: per strategic bucket: segments, profit, profit share, and the means over its
+    segments of median profit per order, orders per customer, discount % and COGS %.
+    The pooled ratios (sums over sums) carry that word in their names."""
+    def mean_of(c):
+        return rounded(F.avg(c))
+
+    share = lambda c: safe_ratio(c, "total_revenue") * 100
+    g = q5.withColumns({"_discount": share("total_discounts"), "_cogs": share("total_cogs")}) \
+        .groupBy("strategic_bucket").agg(
         F.count(F.lit(1)).alias("segments"), money_sum("total_profit").alias("total_profit"),
         money_sum("total_revenue").alias("total_revenue"), money_sum("total_cogs").alias("total_cogs"),
         money_sum("total_discounts").alias("total_discounts"),
-        F.sum("order_count").alias("orders"), F.sum("unique_customers").alias("customers"))
+        F.sum("order_count").alias("orders"), F.sum("unique_customers").alias("customers"),
+        mean_of("median_profit_per_order").alias("mean_margin_per_order"),
+        mean_of("orders_per_customer").alias("mean_orders_per_customer"),
+        mean_of("_discount").alias("mean_discount_pct"), mean_of("_cogs").alias("mean_cogs_pct"))
     return (g.withColumn("profit_share_pct", rounded(F.col("total_profit") / F.sum("total_profit").over(_all()) * 100))
-             .withColumn("margin_pct", rounded(safe_ratio(F.col("total_revenue") - F.col("total_cogs"), "total_revenue") * 100))
-             .withColumn("orders_per_customer", safe_ratio("orders", "customers"))
-             .withColumn("discount_pct", rounded(safe_ratio("total_discounts", "total_revenue") * 100))
-             .withColumn("cogs_pct", rounded(safe_ratio("total_cogs", "total_revenue") * 100))
+             .withColumn("pooled_margin_pct", rounded(safe_ratio(F.col("total_revenue") - F.col("total_cogs"), "total_revenue") * 100))
+             .withColumn("pooled_orders_per_customer", safe_ratio("orders", "customers"))
              .orderBy(F.col("total_profit").desc()))
 
 
+def top_segments(q5: DataFrame, n: int = 3) -> DataFrame:
+    """Q5d labels: the ``n`` segments of largest profit with their shares of all profit and all customers."""
+    shared = q5.select(
+        "customer_segment", "strategic_bucket", "total_profit", "unique_customers",
+        rounded(safe_ratio("total_profit", F.sum("total_profit").over(_all())) * 100).alias("profit_share_pct"),
+        rounded(safe_ratio("unique_customers", F.sum("unique_customers").over(_all())) * 100).alias("customer_share_pct"))
+    return shared.orderBy(F.col("total_profit").desc(), "customer_segment").limit(n)
+
+
 def line_segment_ranking(priced_lines: DataFrame) -> DataFrame:
     """Q5e: line-level segment ranking (buyers, lines, profit, revenue, quantity, per-customer ratios)."""
     profit = F.col("line_net_revenue_before_shipping") - F.col("line_cogs")

@@ -104,7 +104,8 @@ def shipping_fee(basis: F.Column, params: Params = Params()) -> F.Column:
              .otherwise(_d(params.shipping_fee_high))).cast(MONEY)
 
 
-def roll_up_orders(lines: DataFrame, params: Params = Params(), shipping_basis: str = "base") -> DataFrame:
+def roll_up_orders(lines: DataFrame, params: Params = Params(), shipping_basis: str = "base",
+                   year_band: bool = True) -> DataFrame:
     """PR11-PR15 on priced lines."""
     keyed = lines.where(F.col("order_id").isNotNull() & F.col("buyer_id").isNotNull()
                         & F.col("customer_segment").isNotNull() & F.col("state").isNotNull()
@@ -134,8 +135,9 @@ def roll_up_orders(lines: DataFrame, params: Params = Params(), shipping_basis:
         "quarter": quarter_label(ts),
         "hour_company": F.hour(ts),
         "is_referral_discount": F.col("referral_discount_amount") > 0})
-    lo, hi = params.order_year_band
-    o = o.where(F.col("year").between(lo, hi))                                   # PR15
+    if year_band:
+        lo, hi = params.order_year_band
+        o = o.where(F.col("year").between(lo, hi))                               # PR15
     return o.select(*[F.col(c).cast("double").alias(c) if c in MONEY_COLUMNS else F.col(c) for c in ORDER_COLUMNS])
 
 
@@ -147,7 +149,7 @@ def build_orders(lines: DataFrame, params: Params = Params(), policy: str = "max
 
 
 def year_distribution(orders_unfiltered: DataFrame) -> DataFrame:
-    """PR15 side output: order count per year."""
+    """PR15 side output: order count per year, before the year band drops any."""
     return orders_unfiltered.groupBy("year").agg(F.count(F.lit(1)).alias("orders")).orderBy("year")
 
 

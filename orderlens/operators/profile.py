@@ -227,7 +227,7 @@ def null_rate_by(df: DataFrame, col: str, by: str, top: int = 20) -> DataFrame:
     """EDA29: NULL share of ``col`` per group of ``by`` (NULL group kept), top groups by rate."""
     return (df.groupBy(by).agg((F.avg(F.col(col).isNull().cast("double")) * 100).alias("null_pct"),
                                F.count(F.lit(1)).alias("rows"))
-              .orderBy(F.col("null_pct").desc(), F.col("rows").desc()).limit(top))
+              .orderBy(F.col("null_pct").desc(), F.col("rows").desc(), F.col(by).asc_nulls_first()).limit(top))
 
 
 def co_nulls(df: DataFrame, col: str) -> DataFrame:
@@ -275,6 +275,18 @@ def duplicate_rows(df: DataFrame, key) -> DataFrame:
     return df.join(dup, keys, "left_semi")
 
 
+def exact_copies(df: DataFrame, key, payload) -> DataFrame:
+    """EDA36 counts: rows and keys with copies; rows that equal another in every column, and their patterns."""
+    keys = [key] if isinstance(key, str) else list(key)
+    patterns = df.groupBy(*keys, *payload).agg(F.count(F.lit(1)).alias("n"))
+    per_key = patterns.groupBy(*keys).agg(
+        F.sum("n").alias("copies"), F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("same"),
+        F.count_if(F.col("n") > 1).alias("patterns")).where("copies > 1")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return per_key.agg(total("copies").alias("rows"), F.count(F.lit(1)).alias("keys"),
+                       total("same").alias("exact_copy_rows"), total("patterns").alias("exact_copy_patterns"))
+
+
 def duplicate_diff(df: DataFrame, key: str) -> DataFrame:
     """EDA37: for keys with copies, which columns differ (NULL is a value)."""
     cols = [c for c in df.columns if c != key and not c.startswith("_")]
@@ -421,16 +433,29 @@ def modal_in_null_slice(df: DataFrame, col: str, other: str) -> DataFrame:
         "verdict", F.when(F.col("mode_null_slice") == F.col("mode_valid_slice"), "Same").otherwise("DIFFERENT"))
 
 
-def duplicate_scenarios(df: DataFrame, keys, payload) -> DataFrame:
-    """EDA38: per key with copies, identical payload copies (A) vs differing payloads (B).
+def duplicate_scenarios(df: DataFrame, order_key: str, strict_key, loose_key) -> DataFrame:
+    """EDA38: rows that repeat an order id, the strict key and the loose key; of the last,
+    full copies (A) and groups with differing rows (B).  Rows are compared whole.
+
+    One pass to whole-row patterns with a count, then small aggregates of it per key.
+    """
+    columns = [c for c in df.columns if not c.startswith("_")]
+    pattern = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+
+    def repeated(keys):
+        return pattern.groupBy(*keys).agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("versions"),
+                                          F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)).alias("copies")).where("rows > 1")
+
+    def line(name, keys, rows, groups, where="true"):
+        return repeated(keys).where(where).agg(
+            F.lit(name).alias("scenario"), F.coalesce(F.sum(rows), F.lit(0)).cast("bigint").alias("rows"),
+            F.coalesce(F.sum(groups), F.lit(0)).cast("bigint").alias("groups"))
 
-    Payloads are compared whole (distinct structs, NULL as its own value), not
-    by hash, so the split is exact."""
-    h = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")).alias(c) for c in payload])
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), F.count_distinct(h).alias("payloads")).where(
-        F.col("copies") > 1)
-    return g.groupBy(F.when(F.col("payloads") == 1, "A_same_payload").otherwise("B_different_payload").alias("scenario")).agg(
-        F.count(F.lit(1)).alias("keys"), F.sum("copies").alias("rows")).orderBy("scenario")
+    one = F.lit(1)
+    return line("duplicate_order_id", [order_key], F.col("rows"), one) \
+        .unionByName(line("duplicate_strict_key", list(strict_key), F.col("rows"), one)) \
+        .unionByName(line("A_full_copies", list(loose_key), F.col("copies"), (F.col("copies") > 0).cast("int"))) \
+        .unionByName(line("B_differing_rows", list(loose_key), F.col("rows"), one, "versions > 1")).orderBy("scenario")
 
 
 def sales_totals(sales: DataFrame) -> DataFrame:

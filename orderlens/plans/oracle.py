@@ -21,6 +21,11 @@ def squeeze(c: str) -> str:
     return f"regexp_replace({strip(c)}, '\\s+', ' ', 'g')"
 
 
+def num(c: str) -> str:
+    """Finite double of a text; DuckDB's own cast takes NaN and infinities."""
+    return f"CASE WHEN isfinite(TRY_CAST({c} AS DOUBLE)) THEN TRY_CAST({c} AS DOUBLE) END"
+
+
 def money(c: str) -> str:
     return f"CAST({c} AS DECIMAL(20,6))"
 
@@ -77,7 +82,7 @@ s2 AS (
   SELECT * EXCLUDE (order_datetime_raw), {ts} AS order_datetime, {branch} AS _ts_branch
   FROM s1 WHERE order_status IS NOT NULL AND order_id IS NOT NULL AND buyer_id IS NOT NULL AND sku_id IS NOT NULL),
 s3 AS (
-  SELECT * EXCLUDE (quantity), TRY_CAST(quantity AS DOUBLE) AS quantity FROM s2 WHERE order_datetime IS NOT NULL
+  SELECT * EXCLUDE (quantity), {num('quantity')} AS quantity FROM s2 WHERE order_datetime IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY order_id, buyer_id, sku_id ORDER BY _ord) = 1),
 s4 AS (SELECT * FROM s3 WHERE quantity > 0),
 qcap AS (SELECT greatest({p.quantity_cap_floor}, coalesce(CAST(floor(quantile_cont(quantity, {p.quantity_cap_quantile})) AS DOUBLE), {p.quantity_cap_floor})) AS cap FROM s4),
@@ -91,7 +96,7 @@ p1 AS (
          {squeeze('product_num')} AS product_num, {squeeze('category_name')} AS category_name,
          upper({strip('sku_id')}) AS sku_id,
          TRY_CAST(replace(CAST(price AS STRING), '$', '') AS DOUBLE) AS price,
-         coalesce(TRY_CAST(profit_margin AS DOUBLE), NULL) AS margin,
+         coalesce(TRY_CAST(profit_margin AS DOUBLE), TRY_CAST(pct_profit_margin AS DOUBLE) / 100) AS margin,
          active_product, currently_active_vendor, current_stock
   FROM products_raw),
 pmean AS (SELECT subcategory_id, {mean('margin', 10)} AS m FROM p1

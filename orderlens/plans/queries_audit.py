@@ -48,19 +48,33 @@ def dq17(spark, sf):
     return Q.audit_metrics(M.build_metrics(o, P), o, P)
 
 
-@register("dq18_recompute_audit", O.with_base(S.union(
-    S.literal_rule_sql("AUD_RECOMPUTE_Q2", "q2_profit_by_quarter_segment", "Q2 recomputed from order rows agrees", True, 0, 0.0, "HIGH"),
-    S.literal_rule_sql("AUD_RECOMPUTE_BUCKET", "q5_customer_base_kpis", "strategic buckets re-derive", True, 0, 0.0, "HIGH"))))
+# counted anew from order rows: groups whose two ways of summing differ (list aggregates against plain ones)
+_Q2_BAD = """SELECT count(*) AS v FROM (
+  SELECT quarter, customer_segment, avg(order_profit) AS a, median(order_profit) AS m, sum(order_profit) AS t, count(*) AS n,
+         list_sort(list(order_profit)) AS l FROM ow GROUP BY 1, 2) g
+WHERE abs(list_avg(l) - a) > 1e-6 + 1e-5 * abs(a) OR abs(list_median(l) - m) > 1e-6 + 1e-5 * abs(m)
+   OR abs(list_sum(l) - t) > 1e-6 + 1e-5 * abs(t) OR len(l) <> n"""
+_Q5_BAD = f"""SELECT count(*) AS v FROM (
+  SELECT strategic_bucket, median_profit_per_order >= (SELECT median(median_profit_per_order) FROM q5) AS hp,
+         order_count >= (SELECT median(order_count) FROM q5) AS hv FROM q5) b
+WHERE strategic_bucket <> CASE WHEN hp AND hv THEN 'CORE' WHEN hp THEN 'EXPAND' WHEN hv THEN 'OPTIMIZE' ELSE 'DEPRIORITIZE' END"""
+
+
+@register("dq18_recompute_audit", O.with_base(f", q5 AS ({Q5_SQL})\n" + S.union(
+    S.row_sql("AUD_RECOMPUTE_Q2", "q2_profit_by_quarter_segment", Q.RECOMPUTE_Q2, "v = 0", "v", 0.0, "HIGH", f"FROM ({_Q2_BAD}) a"),
+    S.row_sql("AUD_RECOMPUTE_BUCKET", "q5_customer_base_kpis", Q.RECOMPUTE_BUCKET, "v = 0", "v", 0.0, "HIGH", f"FROM ({_Q5_BAD}) a"))))
 def dq18(spark, sf):
     o = pipeline(spark, sf).orders
     # independent recomputation: from the raw order rows, not from the metric operator
     from pyspark.sql import functions as F
     from orderlens.functions.numeric import exact_mean, money_sum, rounded
-    w = M.in_window(o, P)
-    re = w.groupBy("quarter", "customer_segment").agg(
+    from orderlens.operators.quantiles import with_group_quantiles
+    w, keys = M.in_window(o, P), ["quarter", "customer_segment"]
+    re = with_group_quantiles(w.groupBy(*keys).agg(
         exact_mean("order_profit").alias("avg_profit_per_order"),
-        rounded(F.median("order_profit")).alias("median_profit_per_order"),
-        money_sum("order_profit").alias("total_profit"), F.count_distinct("order_id").alias("order_count"))
+        money_sum("order_profit").alias("total_profit"), F.count_distinct("order_id").alias("order_count")),
+        w, keys, "order_profit", [0.5], ["median_profit_per_order"]).withColumn(
+        "median_profit_per_order", rounded("median_profit_per_order"))
     return Q.recompute_audit(M.profit_by_quarter_segment(o, P), re, M.segment_kpis(o, P))
 
 

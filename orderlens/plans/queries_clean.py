@@ -101,7 +101,8 @@ def j8(spark, sf):
 
 
 @register("j11_key_overlap", O.with_base("""
-, a AS (SELECT DISTINCT buyer_id AS k FROM sales_clean), b AS (SELECT DISTINCT buyer_id AS k FROM buyers_raw)
+, a AS (SELECT DISTINCT buyer_id AS k FROM sales_clean WHERE buyer_id IS NOT NULL),
+b AS (SELECT DISTINCT buyer_id AS k FROM buyers_raw WHERE buyer_id IS NOT NULL)
 SELECT count_if(a.k IS NOT NULL AND b.k IS NOT NULL) AS both, count_if(b.k IS NULL) AS left_only,
        count_if(a.k IS NULL) AS right_only FROM a FULL OUTER JOIN b USING (k)"""))
 def j11(spark, sf):

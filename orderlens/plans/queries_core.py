@@ -143,7 +143,9 @@ def q5_quarterly_segment_analysis(spark, sf):
     return M.segment_kpis_quarterly(pipeline(spark, sf).orders, P)
 
 
-@register("pr15_year_distribution", O.with_base("SELECT year, count(*) AS orders FROM order_level GROUP BY 1 ORDER BY 1"))
+@register("pr15_year_distribution", O.with_base(
+    "SELECT CAST(year(order_datetime_company) AS INTEGER) AS year, count(*) AS orders FROM o2 GROUP BY 1 ORDER BY 1"))
 def pr15_year_distribution(spark, sf):
-    from orderlens.operators.orders import year_distribution
-    return year_distribution(pipeline(spark, sf).orders)
+    from orderlens.operators.orders import roll_up_orders, year_distribution
+    p = pipeline(spark, sf)
+    return year_distribution(roll_up_orders(p.priced_lines, p.params, year_band=False))

@@ -220,9 +220,9 @@ def q3c(spark, sf):
 
 
 CURVE = f"""SELECT CAST(order_rank AS INTEGER) AS order_rank,
-    {O.mean('CASE WHEN ref THEN cum END')} AS mean_ref, {r8('stddev_samp(CASE WHEN ref THEN cum END)')} AS std_ref,
+    {O.mean('CASE WHEN ref THEN cum END')} AS mean_ref, round(stddev_samp(CASE WHEN ref THEN cum END), 5) AS std_ref,
     count(CASE WHEN ref THEN 1 END) AS n_ref,
-    {O.mean('CASE WHEN NOT ref THEN cum END')} AS mean_nonref, {r8('stddev_samp(CASE WHEN NOT ref THEN cum END)')} AS std_nonref,
+    {O.mean('CASE WHEN NOT ref THEN cum END')} AS mean_nonref, round(stddev_samp(CASE WHEN NOT ref THEN cum END), 5) AS std_nonref,
     count(CASE WHEN NOT ref THEN 1 END) AS n_nonref
   FROM (SELECT is_referred = 1 AS ref,
                row_number() OVER (PARTITION BY buyer_id ORDER BY order_datetime_company, order_id) AS order_rank,
@@ -453,16 +453,28 @@ def q5c(spark, sf):
 , {Q5} , g AS (
   SELECT strategic_bucket, count(*) AS segments, {O.msum('total_profit')} AS total_profit, {O.msum('total_revenue')} AS total_revenue,
          {O.msum('total_cogs')} AS total_cogs, {O.msum('total_discounts')} AS total_discounts,
-         CAST(sum(order_count) AS BIGINT) AS orders, CAST(sum(unique_customers) AS BIGINT) AS customers FROM q5 GROUP BY 1)
+         CAST(sum(order_count) AS BIGINT) AS orders, CAST(sum(unique_customers) AS BIGINT) AS customers,
+         round(avg(median_profit_per_order), 8) AS mean_margin_per_order,
+         round(avg(orders_per_customer), 8) AS mean_orders_per_customer,
+         round(avg(CASE WHEN total_revenue > 0 THEN total_discounts / total_revenue ELSE 0 END * 100), 8) AS mean_discount_pct,
+         round(avg(CASE WHEN total_revenue > 0 THEN total_cogs / total_revenue ELSE 0 END * 100), 8) AS mean_cogs_pct
+  FROM q5 GROUP BY 1)
 SELECT *, round(total_profit / sum(total_profit) OVER () * 100, 8) AS profit_share_pct,
-       round({O.ratio('total_revenue - total_cogs', 'total_revenue')} * 100, 8) AS margin_pct,
-       {O.ratio('orders', 'customers')} AS orders_per_customer,
-       round({O.ratio('total_discounts', 'total_revenue')} * 100, 8) AS discount_pct,
-       round({O.ratio('total_cogs', 'total_revenue')} * 100, 8) AS cogs_pct FROM g ORDER BY total_profit DESC"""))
+       round({O.ratio('total_revenue - total_cogs', 'total_revenue')} * 100, 8) AS pooled_margin_pct,
+       {O.ratio('orders', 'customers')} AS pooled_orders_per_customer FROM g ORDER BY total_profit DESC"""))
 def q5d(spark, sf):
     return D.bucket_rollup(M.segment_kpis(orders(spark, sf), P))
 
 
+@register("q5d2_top_segments", O.with_base(f"""
+, {Q5} SELECT customer_segment, strategic_bucket, total_profit, unique_customers,
+       round(total_profit / (SELECT sum(total_profit) FROM q5) * 100, 8) AS profit_share_pct,
+       round(unique_customers / (SELECT sum(unique_customers) FROM q5) * 100, 8) AS customer_share_pct
+FROM q5 ORDER BY total_profit DESC, customer_segment LIMIT 3"""))
+def q5d2(spark, sf):
+    return D.top_segments(M.segment_kpis(orders(spark, sf), P))
+
+
 # ---------------------------------------------------------------- pricing variants
 @register("pr9_stacked_orders", O.with_base(O.variant_orders_sql("stacked", "base") + "SELECT * FROM order_level_v"))
 def pr9(spark, sf):

@@ -50,16 +50,28 @@ def eda31(spark, sf):
     return PF.slice_vs_all(pipeline(spark, sf).buyers, "is_referred_invalid", "customer_segment")
 
 
-@register("eda38_duplicate_scenarios", O.with_base("""
-, g AS (SELECT order_id, buyer_id, sku_id, count(*) AS copies,
-               count(DISTINCT [coalesce(CAST(quantity AS STRING), chr(0)), coalesce(CAST(order_datetime AS STRING), chr(0)),
-                               coalesce(CAST(order_status AS STRING), chr(0))]) AS payloads
-        FROM sales_raw GROUP BY order_id, buyer_id, sku_id HAVING count(*) > 1)
-SELECT CASE WHEN payloads = 1 THEN 'A_same_payload' ELSE 'B_different_payload' END AS scenario, count(*) AS keys, sum(copies) AS rows
-FROM g GROUP BY 1 ORDER BY 1"""))
+def _repeats(name: str, keys: str, where: str = "c > 1", rows: str = "count(*)") -> str:
+    """Rows and groups of ``keys`` in s2 (typed rows before de-duplication) by window counts."""
+    return f"""SELECT '{name}' AS scenario, CAST({rows} AS BIGINT) AS rows, count(DISTINCT k) AS groups FROM (
+  SELECT *, [{keys}] AS k, count(*) OVER (PARTITION BY {keys}) AS c, count(*) OVER (PARTITION BY order_id, buyer_id, sku_id,
+         quantity, order_datetime, order_status) AS same,
+         count(DISTINCT [buyer_id, quantity, order_status]) OVER (PARTITION BY {keys}) AS versions
+  FROM (SELECT * REPLACE (CAST(order_datetime AS VARCHAR) AS order_datetime) FROM s2 WHERE order_datetime IS NOT NULL) t) u WHERE {where}"""
+
+
+_LOOSE = "order_id, sku_id, order_datetime"
+
+
+@register("eda38_duplicate_scenarios", O.with_base("\n".join([
+    ",", "rep AS (", _repeats("duplicate_order_id", "order_id"), "UNION ALL",
+    _repeats("duplicate_strict_key", "order_id, buyer_id, sku_id, order_datetime"), "UNION ALL",
+    _repeats("A_full_copies", _LOOSE, "c > 1 AND same > 1"), "UNION ALL",
+    _repeats("B_differing_rows", _LOOSE, "c > 1 AND versions > 1"), ")", "SELECT * FROM rep ORDER BY scenario"])))
 def eda38(spark, sf):
-    return PF.duplicate_scenarios(pipeline(spark, sf).sales_raw, ["order_id", "buyer_id", "sku_id"],
-                                  ["quantity", "order_datetime", "order_status"])
+    from orderlens.operators.clean import typed_sales
+    rows = typed_sales(pipeline(spark, sf).sales_raw)
+    return PF.duplicate_scenarios(rows, "order_id", ["order_id", "buyer_id", "sku_id", "order_datetime"],
+                                  ["order_id", "sku_id", "order_datetime"])
 
 
 @register("eda41_sales_totals", O.with_base("""
@@ -127,11 +139,10 @@ def eda22(spark, sf):
 
 
 @register("eda23_margin_consistency", O.with_base("""
-, d AS (SELECT CASE WHEN NOT margin_imputed THEN abs(margin * 100 - margin * 100) END AS d FROM products_clean)
+, d AS (SELECT abs(TRY_CAST(pct_profit_margin AS DOUBLE) - TRY_CAST(profit_margin AS DOUBLE) * 100) AS d FROM products_raw)
 SELECT max(d) AS max_abs_diff, round(avg(d), 8) AS mean_abs_diff, count_if(d < 0.001) AS matches, count(d) AS compared FROM d"""))
 def eda23(spark, sf):
-    p = pipeline(spark, sf).products.withColumn("pct_profit_margin", F.col("margin") * 100)
-    return PF.margin_consistency(p)
+    return PF.margin_consistency(pipeline(spark, sf).products_raw)
 
 
 @register("eda25_top_by_stock", O.with_base("""
@@ -154,18 +165,22 @@ def eda26(spark, sf):
 
 
 @register("eda27_flag_redundancy", O.with_base("""
-SELECT avg(CAST(coalesce(CAST(is_referred_invalid AS INTEGER) = CAST(is_referred IS NULL AS INTEGER), false) AS DOUBLE)) * 100 AS match_pct,
-       count_if(NOT coalesce(CAST(is_referred_invalid AS INTEGER) = CAST(is_referred IS NULL AS INTEGER), false)) AS mismatches
-FROM buyers_clean"""))
+, f AS (SELECT CAST(is_active_buyer AS INTEGER) = CAST(coalesce(buyer_id, chr(1)) IN (SELECT coalesce(buyer_id, chr(1)) FROM sales_raw) AS INTEGER) AS eq
+        FROM buyers_raw)
+SELECT avg(CAST(coalesce(eq, false) AS DOUBLE)) * 100 AS match_pct, count_if(NOT coalesce(eq, false)) AS mismatches FROM f"""))
 def eda27(spark, sf):
-    return PF.flag_redundancy(pipeline(spark, sf).buyers, "is_referred_invalid", F.col("is_referred").isNull())
+    p = pipeline(spark, sf)
+    # a missing id on both sides counts as present
+    present = p.sales_raw.select(F.col("buyer_id").alias("_id")).distinct().withColumn("_seen", F.lit(1))
+    return PF.flag_redundancy(p.buyers_raw.join(present, F.col("buyer_id").eqNullSafe(F.col("_id")), "left"),
+                              "is_active_buyer", F.coalesce("_seen", F.lit(0)))
 
 
 @register("eda30_co_nulls", O.with_base("\nUNION ALL ".join(
     f"SELECT 'null_region' AS dataset, 'null_profile.{c}' AS metric, CAST(count_if({c} IS NULL) AS DOUBLE) AS value "
     f"FROM buyers_raw WHERE region IS NULL" for c in
     ["buyer_id", "customer_group", "customer_segment", "preferred_channel", "signup_date", "region", "state",
-     "timezone", "is_referred", "wishlist_size", "_ord"])))
+     "timezone", "is_referred", "wishlist_size", "is_active_buyer", "_ord"])))
 def eda30(spark, sf):
     return PF.co_nulls(pipeline(spark, sf).buyers_raw, "region")
 

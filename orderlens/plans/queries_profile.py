@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from orderlens.functions.text import strip_ws
 from orderlens.operators import profile as PF
+from orderlens.operators.clean import SALES_KEY
 from orderlens.operators.orders import ORDER_COLUMNS
 from orderlens.params import TESTBED as P
 from orderlens.plans import oracle as O
@@ -164,7 +168,7 @@ def eda21b(spark, sf):
 
 @register("eda29_null_rate_by_group", O.with_base("""
 SELECT state, avg(CAST(timezone IS NULL AS DOUBLE)) * 100 AS null_pct, count(*) AS rows FROM buyers_raw
-GROUP BY 1 ORDER BY null_pct DESC, rows DESC LIMIT 20"""))
+GROUP BY 1 ORDER BY null_pct DESC, rows DESC, state NULLS FIRST LIMIT 20"""))
 def eda29(spark, sf):
     return PF.null_rate_by(pipeline(spark, sf).buyers_raw, "timezone", "state")
 
@@ -184,20 +188,31 @@ def eda34(spark, sf):
     return PF.signup_vs_first_order(p.buyers, p.sales)
 
 
-@register("eda36_duplicate_rows", O.with_base("""
-SELECT s.order_id, s.buyer_id, s.sku_id, CAST(s.quantity AS DOUBLE) AS quantity, s._ord AS line
-FROM s3 s SEMI JOIN (SELECT order_id, buyer_id, sku_id FROM s2 WHERE order_datetime IS NOT NULL GROUP BY ALL HAVING count(*) > 1) d
-USING (order_id, buyer_id, sku_id)"""))
+_EDA36 = """, n AS (SELECT trim(order_id) AS order_id, trim(buyer_id) AS buyer_id, trim(sku_id) AS sku_id, quantity,
+        order_datetime, order_status, _ord FROM sales_raw),
+d AS (SELECT *, count(*) OVER (PARTITION BY order_id, buyer_id, sku_id) AS copies,
+             count(*) OVER (PARTITION BY order_id, buyer_id, sku_id, quantity, order_datetime, order_status) AS same FROM n)
+"""
+
+
+@register("eda36_duplicate_rows", O.with_base(_EDA36 + """
+SELECT order_id, buyer_id, sku_id, quantity, order_datetime, order_status, _ord AS line FROM d WHERE copies > 1"""))
 def eda36(spark, sf):
-    from pyspark.sql import functions as F
-    from orderlens.functions.text import strip_ws
-    raw = pipeline(spark, sf).sales_raw.withColumns({c: strip_ws(c) for c in ("order_id", "buyer_id", "sku_id")})
-    d = PF.duplicate_rows(raw, ["order_id", "buyer_id", "sku_id"])
-    # rows kept by de-duplication among duplicated keys
-    from orderlens.operators.common import dedup_first
-    kept = dedup_first(d, ["order_id", "buyer_id", "sku_id"], ["_ord"])
-    return kept.select("order_id", "buyer_id", "sku_id", F.col("quantity").cast("double").alias("quantity"),
-                       F.col("_ord").alias("line"))
+    return PF.duplicate_rows(_keyed_sales(spark, sf), SALES_KEY).select(
+        *SALES_KEY, "quantity", "order_datetime", "order_status", F.col("_ord").alias("line"))
+
+
+@register("eda36b_exact_copies", O.with_base(_EDA36 + """
+SELECT count(*) AS rows, count(DISTINCT [order_id, buyer_id, sku_id]) AS keys, count_if(same > 1) AS exact_copy_rows,
+       (SELECT count(*) FROM (SELECT DISTINCT order_id, buyer_id, sku_id, quantity, order_datetime, order_status
+                              FROM d WHERE same > 1) p) AS exact_copy_patterns
+FROM d WHERE copies > 1"""))
+def eda36b(spark, sf):
+    return PF.exact_copies(_keyed_sales(spark, sf), SALES_KEY, ["quantity", "order_datetime", "order_status"])
+
+
+def _keyed_sales(spark, sf):
+    return pipeline(spark, sf).sales_raw.withColumns({c: strip_ws(c) for c in SALES_KEY})
 
 
 @register("eda48_headline_shares", O.with_base("""
@@ -291,13 +306,14 @@ def _flag(c: str) -> str:
     return f"CASE WHEN lower(trim({c})) IN ('1', 'true', 'y') THEN 1 WHEN lower(trim({c})) IN ('0', 'false', 'n') THEN 0 END"
 
 
-_PX = f"""px AS (SELECT upper({O.strip('sku_id')}) AS sku_id, subcategory_name, TRY_CAST(profit_margin AS DOUBLE) AS profit_margin, _ord,
+_PX = f"""px AS (SELECT upper({O.strip('sku_id')}) AS sku_id, subcategory_name, TRY_CAST(profit_margin AS DOUBLE) AS profit_margin,
+  TRY_CAST(pct_profit_margin AS DOUBLE) AS pct_profit_margin, _ord,
   {_flag('active_product')} AS active_product_num, {_flag('currently_active_vendor')} AS currently_active_vendor_num,
   TRY_CAST(current_stock AS DOUBLE) AS current_stock_num,
   CAST(coalesce({_flag('active_product')} = 1 AND {_flag('currently_active_vendor')} = 0, false) AS INTEGER) AS vendor_product_conflict,
   coalesce({_flag('active_product')} = 0 AND TRY_CAST(current_stock AS DOUBLE) > 0, false) AS inactive_with_stock_flag
   FROM products_raw)"""
-_PX_COLS = ["subcategory_name", "profit_margin", "active_product_num", "currently_active_vendor_num", "current_stock_num",
+_PX_COLS = ["subcategory_name", "profit_margin", "pct_profit_margin", "active_product_num", "currently_active_vendor_num", "current_stock_num",
             "vendor_product_conflict", "inactive_with_stock_flag"]
 _NULL_PROFILES = [
     ("buyers", "buyers_clean", ["buyer_id", "state", "customer_group", "customer_segment", "preferred_channel", "signup_date",
