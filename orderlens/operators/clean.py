@@ -93,7 +93,7 @@ FLAG_COLS = ["active_product", "currently_active_vendor"]
 def clean_products(raw: DataFrame, params: Params = Params(), flags: str = "robust") -> DataFrame:
     """CP12: text normalisation, price/margin typing, imputation, flags, sku key."""
     if "profit_margin" not in raw.columns and "pct_profit_margin" not in raw.columns:
-        raise ValueError("neither profit_margin nor pct_profit_margin found in products data")  # CP3
+        raise ValueError("the catalogue has no margin column (profit_margin or pct_profit_margin)")  # CP3
     cols = raw.columns
     pm = try_num("profit_margin") if "profit_margin" in cols else F.lit(None).cast("double")
     pct = try_num("pct_profit_margin") if "pct_profit_margin" in cols else F.lit(None).cast("double")

@@ -12,10 +12,10 @@ T = P.min_join_coverage_pct
 
 @register("dq4_buyers_raw_rules", O.with_base(S.union(
     S.count_rules_sql("buyers_raw", "buyers_raw", [
-        Q.null_rule("RV_B001", "buyer_id", "buyer_id has no nulls"),
-        Q.Rule("RV_B003", "is_referred values are 0, 1, or null",
+        Q.null_rule("RV_B001", "buyer_id", "every row names a buyer"),
+        Q.Rule("RV_B003", "referral codes are 0, 1 or missing",
                "is_referred IS NOT NULL AND NOT coalesce(TRY_CAST(is_referred AS DOUBLE) IN (0, 1), false)", "MEDIUM")]),
-    S.dup_rule_sql("buyers_raw", ["buyer_id"], "RV_B002", "buyers_raw", "buyer_id is unique"),
+    S.dup_rule_sql("buyers_raw", ["buyer_id"], "RV_B002", "buyers_raw", "no buyer appears twice"),
     S.literal_rule_sql("RV_B004", "buyers_raw", "signup_date column present", True, 1, None, "INFO"))))
 def dq4(spark, sf):
     return Q.validate_buyers_raw(pipeline(spark, sf).buyers_raw)
@@ -23,12 +23,12 @@ def dq4(spark, sf):
 
 @register("dq5_sales_raw_rules", O.with_base(S.union(
     S.count_rules_sql("sales_raw", "sales_raw", [
-        Q.null_rule("RV_S001", "order_id", "order_id has no nulls"),
-        Q.null_rule("RV_S002", "buyer_id", "buyer_id has no nulls"),
-        Q.null_rule("RV_S003", "sku_id", "sku_id has no nulls"),
-        Q.Rule("RV_S005", "quantity values > 0", "TRY_CAST(quantity AS DOUBLE) <= 0", "MEDIUM")]),
+        Q.null_rule("RV_S001", "order_id", "every row names an order"),
+        Q.null_rule("RV_S002", "buyer_id", "every row names a buyer"),
+        Q.null_rule("RV_S003", "sku_id", "every row names a product key"),
+        Q.Rule("RV_S005", "no quantity of zero or less", "TRY_CAST(quantity AS DOUBLE) <= 0", "MEDIUM")]),
     S.literal_rule_sql("RV_S004", "sales_raw", "order_datetime column present", True, 1, None, "INFO"),
-    S.literal_rule_sql("RV_S006", "sales_raw", "all required columns present", True, 0, 0.0, "CRITICAL"))))
+    S.literal_rule_sql("RV_S006", "sales_raw", "no required column is missing", True, 0, 0.0, "CRITICAL"))))
 def dq5(spark, sf):
     return Q.validate_sales_raw(pipeline(spark, sf).sales_raw)
 
@@ -36,36 +36,36 @@ def dq5(spark, sf):
 @register("dq6_products_raw_rules", O.with_base(S.union(
     S.literal_rule_sql("RV_P001", "products_raw", "price column present", True, 1, None, "INFO"),
     S.literal_rule_sql("RV_P002", "products_raw",
-                       "products has sku_id or derivable sku components {subcategory_id,vendor,product_num}",
+                       "a product key is given or can be composed of subcategory, vendor and number",
                        True, 0, 0.0, "CRITICAL"),
-    S.literal_rule_sql("RV_P003", "products_raw", "all required columns present", True, 0, 0.0, "CRITICAL"))))
+    S.literal_rule_sql("RV_P003", "products_raw", "no required column is missing", True, 0, 0.0, "CRITICAL"))))
 def dq6(spark, sf):
     return Q.validate_products_raw(pipeline(spark, sf).products_raw)
 
 
 @register("dq7_cross_dataset_rules", O.with_base(S.union(
     S.coverage_rule_sql("sales_raw", "buyers_raw", "buyer_id", T, "RV_X001", "cross_dataset",
-                        f"sales.buyer_id coverage to buyers >= {T}%"),
+                        f"at least {T}% of the sold-to buyers are known"),
     S.coverage_rule_sql("sales_raw", "products_raw", "sku_id", T, "RV_X002", "cross_dataset",
-                        f"sales.sku_id coverage to products >= {T}%"))))
+                        f"at least {T}% of the sold keys are in the catalogue"))))
 def dq7(spark, sf):
     p = pipeline(spark, sf)
     return Q.validate_cross_dataset(p.sales_raw, p.buyers_raw, p.products_raw, P)
 
 
-B_SQL = S.union(S.count_rules_sql("buyers_clean", "buyers_clean", [Q.null_rule("DQ_B001", "buyer_id", "buyer_id null count should be 0")]),
-                S.dup_rule_sql("buyers_clean", ["buyer_id"], "DQ_B002", "buyers_clean", "buyer_id duplicate count should be 0"))
+B_SQL = S.union(S.count_rules_sql("buyers_clean", "buyers_clean", [Q.null_rule("DQ_B001", "buyer_id", "rows without a buyer")]),
+                S.dup_rule_sql("buyers_clean", ["buyer_id"], "DQ_B002", "buyers_clean", "buyers that appear more than once"))
 S_SQL = S.count_rules_sql("sales_clean", "sales_clean", Q.SALES_CLEAN_RULES)
-P_SQL = S.union(S.dup_rule_sql("products_clean", ["sku_id"], "DQ_P001", "products_clean", "sku_id duplicate count should be 0"),
+P_SQL = S.union(S.dup_rule_sql("products_clean", ["sku_id"], "DQ_P001", "products_clean", "product keys that appear more than once"),
                 S.count_rules_sql("products_clean", "products_clean", Q.PRODUCTS_CLEAN_RULES))
 J_SQL = S.union(
     S.coverage_rule_sql("sales_clean", "line_fact", "buyer_id", T, "DQ_J001", "final_dataset_line",
-                        "join coverage pct should be above minimum threshold", "MEDIUM"),
-    S.row_sql("DQ_J002", "final_dataset_line", "missing buyer IDs from sales after join (informational)", "true", "v", None,
+                        "share of sold-to buyers that reach the line table", "MEDIUM"),
+    S.row_sql("DQ_J002", "final_dataset_line", "sold-to buyers that the line table lacks", "true", "v", None,
               "INFO", "FROM (SELECT count(*) AS v FROM (SELECT DISTINCT trim(buyer_id) AS k FROM sales_clean WHERE buyer_id IS NOT NULL) s "
               "WHERE k NOT IN (SELECT trim(buyer_id) FROM line_fact WHERE buyer_id IS NOT NULL)) a"))
 OL_SQL = S.union(S.dup_rule_sql("order_level", ["order_id"], "DQ_O001", "order_level",
-                                "order_id duplicate count should be 0 at order grain"),
+                                "orders that appear more than once"),
                  S.count_rules_sql("order_level", "order_level", Q.order_rules(P)))
 
 
