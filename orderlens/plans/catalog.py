@@ -53,4 +53,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load():
     # Importing the modules registers their queries.
-    from orderlens.plans import queries_audit, queries_clean, queries_core, queries_derived, queries_explore, queries_profile, queries_quality, queries_reports, queries_stream  # noqa: F401
+    from orderlens.plans import queries_audit, queries_clean, queries_core, queries_derived, queries_explore, queries_io, queries_profile, queries_quality, queries_reports, queries_stream  # noqa: F401

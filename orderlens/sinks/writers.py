@@ -16,7 +16,9 @@ def write_table(df: DataFrame, base: str, partition_by=(), formats=("parquet", "
         if partition_by:
             w = w.partitionBy(*partition_by)
         if fmt == "csv":
-            w.option("header", True).csv(f"{base}.csv")
+            # quotes are doubled and blanks kept, as the CSV readers expect
+            w.options(header=True, escape='"', ignoreLeadingWhiteSpace=False,
+                      ignoreTrailingWhiteSpace=False).csv(f"{base}.csv")
         else:
             w.format(fmt).save(f"{base}.{fmt}")
 
