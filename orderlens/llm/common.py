@@ -48,7 +48,7 @@ class Scratch:
         return f"{self.base}/{name}"
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
@@ -57,6 +57,11 @@ class Scratch:
             path = jvm.org.apache.hadoop.fs.Path(self.path(name))
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def release(self) -> None:
+        """Ask the driver's JVM to let go of finished plans: Spark deletes a shuffle's
+        files once nothing refers to it any more, and that is noticed at a collection."""
+        self.spark._jvm.java.lang.System.gc()
+
 
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have."""

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlens.llm.common import free_name
 from orderlens.llm.hashing import text_groups
 
 WINDOW = 256
@@ -130,10 +131,17 @@ def sample_windows(raw: bytes) -> list[np.ndarray]:
 
 def fit(docs: DataFrame, trainable: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id"):
     """(languages, network) from the labelled rows for which ``trainable`` holds, or None without any."""
-    labelled = docs.where(trainable & F.col(lang_col).isNotNull() & has_letter(F.col(text_col))).select(
-        F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.lit(5)).alias("h"), F.col(text_col).alias("text"))
+    h = free_name(docs, "h")
+    labelled = docs.where(trainable & F.col(lang_col).isNotNull()).withColumn(h, F.xxhash64(F.col(id_col), F.lit(5)))
+    counts = labelled.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()
+    if not counts:
+        return None
+    # a hash threshold per language leaves about twice the sample, so that only these texts are moved
+    share = F.coalesce(*[F.when(F.col(lang_col) == r["lang"], F.lit(2 * SAMPLE_PER_LANGUAGE / r["n"])) for r in counts])
+    drawn = labelled.where(F.pmod(h, F.lit(1 << 30)) < share * (1 << 30)).where(has_letter(F.col(text_col))).select(
+        F.col(lang_col).alias("lang"), F.col(h).alias("h"), F.col(text_col).alias("text"))
     first = Window.partitionBy("lang").orderBy("h", "text")
-    rows = labelled.withColumn("k", F.row_number().over(first)).where(F.col("k") <= SAMPLE_PER_LANGUAGE) \
+    rows = drawn.withColumn("k", F.row_number().over(first)).where(F.col("k") <= SAMPLE_PER_LANGUAGE) \
         .orderBy("k", "lang").limit(SAMPLE_TOTAL) \
         .select("lang", F.encode("text", "UTF-8").alias("raw")).collect()
     if not rows:

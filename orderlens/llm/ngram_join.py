@@ -6,11 +6,12 @@
    copies never meet each other.
 2. Representatives that share a band hash are candidates.  Bands and rows per
    band follow from the similarity threshold and the recall wanted there.
-3. Candidates are compared in blocks instead of row by row: each representative
-   joins the cluster of its most connected neighbour, clusters are cut into blocks
-   of bounded size, and two blocks meet in a task when any of their members share
-   a band hash.  A pair of representatives has exactly one pair of blocks.  No
-   pair becomes a row, however many near copies a group has.
+3. Candidates are compared in blocks instead of row by row.  Every shared band
+   hash (bucket) belongs to a *context*: the cluster of its best connected
+   representative.  All members of a context's buckets are cut into blocks of
+   bounded size, and any two blocks of a context meet in one task.  A pair that
+   shares several buckets belongs to the context of the smallest of them, so it is
+   compared once.  No pair becomes a row, however many near copies a group has.
 4. In a pair of blocks the sketches sort out what cannot be similar; the rest is
    verified on the full sets, which are only made for representatives still in
    question.  A task returns the number of links of each member, and the links
@@ -123,51 +124,80 @@ def grams_task(n: int):
     return run
 
 
+GROUP = ["d", "u", "v"]
+
+
 def groups(batches, names: list[str]):
-    """Runs of rows with equal (u, v) of a partition sorted by them, as lists per column."""
-    key, held = None, None
+    """Runs of rows of one pair of blocks, of a partition sorted by ``GROUP``, as columns."""
+    key, held = None, []
     for batch in batches:
-        u, v = batch.column("u").to_numpy(), batch.column("v").to_numpy()
-        cut = np.flatnonzero((u[1:] != u[:-1]) | (v[1:] != v[:-1])) + 1
-        for lo, hi in zip([0, *cut], [*cut, len(u)]):
+        ids = np.stack([batch.column(c).to_numpy() for c in GROUP], axis=1)
+        cut = np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1
+        for lo, hi in zip([0, *cut], [*cut, len(ids)]):
             if lo == hi:
                 continue
-            part = batch.slice(lo, hi - lo)
-            if key == (u[lo], v[lo]):
-                held.append(part)
-            else:
-                if held:
-                    yield key, [pa.chunked_array([p.column(n) for p in held]) for n in names]
-                key, held = (u[lo], v[lo]), [part]
+            part, mine = batch.slice(lo, hi - lo), tuple(ids[lo].tolist())
+            if held and key != mine:
+                yield key, [pa.chunked_array([p.column(n) for p in held]).combine_chunks() for n in names]
+                held = []
+            key = mine
+            held.append(part)
     if held:
-        yield key, [pa.chunked_array([p.column(n) for p in held]) for n in names]
+        yield key, [pa.chunked_array([p.column(n) for p in held]).combine_chunks() for n in names]
+
+
+def owned_pairs(side: np.ndarray, same: bool, owner: np.ndarray, bucket: np.ndarray, context: np.ndarray, mine: int):
+    """Pairs that this pair of blocks compares: each once (in a block with itself, or
+    across the two), and only where the smallest bucket the two share is of context ``mine``.
 
+    ``owner``, ``bucket`` and ``context`` list all buckets of all members.
+    """
+    count = len(side)
+    open_ = np.triu(np.ones((count, count), bool), 1) if same else (side[:, None] == 0) & (side[None, :] == 1)
+    out = np.zeros((count, count), bool)
+    order = np.argsort(bucket, kind="stable")
+    owner, bucket, context = owner[order], bucket[order], context[order]
+    cut = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
+    for lo, hi in zip([0, *cut], [*cut, len(bucket)]):
+        if hi - lo > 1:
+            members = np.ix_(owner[lo:hi], owner[lo:hi])
+            if context[lo] == mine:
+                out[members] |= open_[members]
+            open_[members] = False
+    return out
 
-def opposite(side: np.ndarray, same: bool) -> np.ndarray:
-    """Pairs that belong to this pair of blocks: each once, in a block with itself or across two."""
-    if same:
-        return np.triu(np.ones((len(side), len(side)), bool), 1)
-    return (side[:, None] == 0) & (side[None, :] == 1)
+
+def flat(lists: pa.Array):
+    """(row, values) of a list column."""
+    ends = lists.offsets.to_numpy()
+    return np.repeat(np.arange(len(lists)), np.diff(ends)), lists.values.slice(ends[0], ends[-1] - ends[0])
 
 
 def sketch_task(similarity: float):
-    """Members of pairs of blocks -> those with a partner that their sketches leave possible."""
+    """Members of pairs of blocks -> those with a partner that their sketches leave
+    possible, each with its place in the group and those of its partners."""
     def run(batches):
-        for (u, v), (side, node, n, sketch) in groups(batches, ["side", "node", "n_grams", "sketch"]):
+        for (d, u, v), (side, node, n, sketch, buckets) in groups(
+                batches, ["side", "node", "n_grams", "sketch", "buckets"]):
             if len(node) < 2:
                 continue
-            sides, size = side.to_numpy(), n.to_numpy()
+            size = n.to_numpy()
             rows = np.frombuffer(b"".join(sketch.to_pylist()), np.uint8).reshape(len(node), -1)
-            maybe = opposite(sides, u == v)
+            owner, held = flat(buckets)
+            maybe = owned_pairs(side.to_numpy(), u == v, owner, held.field(0).to_numpy(), held.field(1).to_numpy(), d)
             maybe &= np.minimum(size[:, None], size) >= (similarity - MARGIN) * np.maximum(size[:, None], size)
             for i in np.flatnonzero(maybe.any(axis=1)):
                 j = np.flatnonzero(maybe[i])
                 maybe[i, j] = (rows[j] == rows[i]).sum(axis=1) >= SKETCH_SHARE * rows.shape[1]
             pick = np.flatnonzero(maybe.any(axis=0) | maybe.any(axis=1))
             if len(pick):
+                first, second = np.nonzero(maybe[pick])
+                ends = np.searchsorted(first, np.arange(len(pick) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(pick), u)), pa.array(np.full(len(pick), v)),
-                     pa.array(sides[pick]), node.take(pa.array(pick)).combine_chunks()], ["u", "v", "side", "node"])
+                    [pa.array(np.full(len(pick), x)) for x in (d, u, v)]
+                    + [pa.array(pick.astype(np.int32)), node.take(pa.array(pick)),
+                       pa.ListArray.from_arrays(pa.array(ends), pa.array(second.astype(np.int32)))],
+                    [*GROUP, "place", "node", "partners"])
     return run
 
 
@@ -194,17 +224,18 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
 def verify_task(similarity: float):
     """Members of pairs of blocks with their sets -> (a, null, linked documents) and connecting links (a, z, 0)."""
     def run(batches):
-        for (u, v), (side, node, docs, grams) in groups(batches, ["side", "node", "docs", "grams"]):
+        for _, (place, node, partners, docs, grams) in groups(batches, ["place", "node", "partners", "docs", "grams"]):
             if len(node) < 2:
                 continue
-            flat = grams.combine_chunks()
-            values, ends = flat.values.to_numpy(), flat.offsets.to_numpy()
+            at = {p: i for i, p in enumerate(place.to_pylist())}
+            first, second = flat(partners)
+            second = np.array([at[p] for p in second.to_pylist()], np.int64)
+            values, ends = grams.values.to_numpy(), grams.offsets.to_numpy()
             sets = [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
-            size = np.diff(ends)
-            both = intersections(sets)
-            linked = both >= (similarity - MARGIN) * (size[:, None] + size - both)
-            linked &= opposite(side.to_numpy(), u == v)
-            linked |= linked.T
+            size, both = np.diff(ends), intersections(sets)[first, second]
+            hit = both >= (similarity - MARGIN) * (size[first] + size[second] - both)
+            linked = np.zeros((len(node), len(node)), bool)
+            linked[first[hit], second[hit]] = linked[second[hit], first[hit]] = True
             near = linked @ docs.to_numpy()
             hit = np.flatnonzero(near)
             if not len(hit):
@@ -248,12 +279,14 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     """(id, text_key, class_id, links, keeps): see the module's head; ``keeps`` marks the
     rows (id, text) of which one stays when near copies are removed."""
     scratch = Scratch(docs.sparkSession, "ngram-join")
-    sig = scratch.write(signatures(docs, id_col, text_col, n, similarity, recall), "signatures")
+    every = scratch.write(signatures(docs, id_col, text_col, n, similarity, recall), "signatures")
     classes = scratch.write(
-        sig.where("node is not null").groupBy("node").agg(
+        every.where("node is not null").groupBy("node").agg(
             F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")).alias("rep"),
             F.count(F.lit(1)).alias("docs"), F.first("n_grams").alias("n_grams"), F.first("bands").alias("bands"),
             F.first("sketch").alias("sketch")), "classes")
+    sig = scratch.write(every.select("id", "text_key", "node"), "nodes")
+    scratch.drop("signatures")
 
     # candidates: representatives by shared band hash, each in the cluster of the best connected one
     buckets = classes.select("node", F.explode("bands").alias("b"))
@@ -266,40 +299,41 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
         ranked.select("b", "node").join(centres, "b").groupBy("node").agg(F.max("centre").alias("centre"))
         .select("node", F.col("centre.node").alias("cluster")), "cluster")
 
-    # blocks, and the pairs of blocks that share a bucket
-    cut = cluster.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
-    blocked = scratch.write(
-        cluster.join(cut, "cluster").select("node", F.xxhash64(
-            "cluster", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("block")), "blocked")
-    meeting = scratch.write(rows.select("b", "node").join(blocked, "node").select("b", "block").distinct(), "meeting")
-    pairs = meeting.select("b", F.col("block").alias("u")).join(
-        meeting.select("b", F.col("block").alias("v")), "b").where("u <= v").select("u", "v").distinct()
-    sides = pairs.select("u", "v", F.explode(F.when(F.col("u") == F.col("v"), F.array(
-        F.struct(F.col("u").alias("block"), F.lit(0).alias("side")))).otherwise(F.array(
-            F.struct(F.col("u").alias("block"), F.lit(0).alias("side")),
-            F.struct(F.col("v").alias("block"), F.lit(1).alias("side"))))).alias("s")).select("u", "v", "s.*")
-    members = classes.select("node", "n_grams", "sketch").join(blocked, "node")
+    # contexts of the buckets, their members in blocks, and every pair of blocks of a context
+    context = centres.select("b", F.col("centre.node").alias("node")).join(cluster, "node") \
+        .select("b", F.xxhash64("cluster").alias("d"))
+    located = scratch.write(rows.select("b", "node").join(context, "b"), "located")
+    inside = located.select("d", "node").distinct()
+    cut = inside.groupBy("d").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
+    buckets = located.groupBy("node").agg(F.collect_list(F.struct("b", "d")).alias("buckets"))
+    members = classes.select("node", "n_grams", "sketch").join(buckets, "node")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    met = inside.join(cut, "d").select("d", "node", own.alias("k"), F.explode(
+        F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("j"))
     possible = scratch.write(
-        sides.join(members, "block").select("u", "v", "side", "node", "n_grams", "sketch")
-        .repartition("u", "v").sortWithinPartitions("u", "v")
-        .mapInArrow(sketch_task(similarity), "u bigint, v bigint, side int, node binary"), "possible")
-    scratch.drop("shared", "rows", "ranked", "centres", "cluster", "blocked", "meeting")
-
-    # full sets of the representatives in question
+        met.select("d", F.least("k", "j").alias("u"), F.greatest("k", "j").alias("v"),
+                   (F.col("k") > F.col("j")).cast("int").alias("side"), "node").join(members, "node")
+        .repartition(*GROUP).sortWithinPartitions(*GROUP)
+        .mapInArrow(sketch_task(similarity), "d bigint, u bigint, v bigint, place int, node binary, partners array<int>"),
+        "possible")
+    scratch.drop("shared", "rows", "ranked", "centres", "cluster", "located")
+    scratch.release()
+
+    # full sets of the representatives in question, brought to their pairs of blocks
     wanted = possible.select("node").distinct().join(classes.select("node", "docs", "rep"), "node")
     keys = wanted.select(F.col("rep.id").alias("rid"), F.col("rep.text_key").alias("rkey"))
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
         .withColumn("text_key", F.xxhash64("text"))
     hit = texts.join(keys.hint("shuffle_hash"),
                      texts["id"].eqNullSafe(F.col("rid")) & (texts["text_key"] == F.col("rkey")), "left_semi")
-    sets = scratch.write(
-        hit.select("text").mapInArrow(grams_task(n), "node binary, grams array<bigint>").dropDuplicates(["node"])
-        .join(wanted.select("node", "docs"), "node"), "sets")
+    sets = hit.select("text").mapInArrow(grams_task(n), "node binary, grams array<bigint>").dropDuplicates(["node"])
     verified = scratch.write(
-        possible.join(sets, "node").select("u", "v", "side", "node", "docs", "grams")
-        .repartition("u", "v").sortWithinPartitions("u", "v")
+        possible.join(classes.select("node", "docs"), "node").join(sets, "node")
+        .select(*GROUP, "place", "node", "partners", "docs", "grams")
+        .repartition(*GROUP).sortWithinPartitions(*GROUP)
         .mapInArrow(verify_task(similarity), "a binary, z binary, near bigint"), "verified")
-    scratch.drop("possible", "sets")
+    scratch.drop("possible")
+    scratch.release()
 
     # number of linked documents: own class and verified links
     near = verified.where("z is null").groupBy(F.col("a").alias("node")).agg(F.sum("near").alias("near"))

@@ -333,6 +333,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     repeated = scratch.write(
         plain.mapInArrow(anchor_task(False), "anchor bigint").groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1").select("anchor", (F.col("n") > COMMON).alias("common")), "repeated")
+    scratch.release()
     places = plain.mapInArrow(anchor_task(True), "anchor bigint, id bigint, place bigint").join(repeated, "anchor")
     runs = places.groupBy(F.coalesce("id", F.lit(LAST)).alias("key")).agg(
         F.collect_list(F.struct("place", "anchor", "common")).alias("runs"))
@@ -344,6 +345,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined = scratch.write(hit.select(
         "id", F.xxhash64("text").alias("text_key"), "runs", F.when(~free, F.col("text")).alias("text"),
         F.when(free, kept).alias("kept")), "joined")
+    scratch.drop("repeated")
+    scratch.release()
     open_rows = joined.where("runs is not null")
 
     segments = open_rows.select("id", "text_key", "text", "runs")
@@ -352,6 +355,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             F.min(F.struct("id", "start", "text_key")).alias("first"), F.first("shard").alias("shard"),
             F.first("segment").alias("segment"), F.count(F.lit(1)).alias("n")), "distinct")
 
+    scratch.release()
+
     # a shard gets whole anchors; its size follows from the words of all distinct segments
     total = distinct.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
     shards = row_blocks(total // 6, SHARD_WORDS, 12)
@@ -365,6 +370,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.collect_list(F.struct("start", "windows")).alias("gone"))
     gone = scratch.write(gone.select(F.col("id").alias("gone_id"), F.col("text_key").alias("gone_key"), "gone"), "gone")
 
+    scratch.drop("distinct")
+    scratch.release()
+
     left = open_rows.select("id", F.coalesce("id", F.lit(LAST)).alias("key"), "text_key", "text").join(
         gone, (F.col("key") == F.col("gone_id")) & (F.col("text_key") == F.col("gone_key")), "left")
     cut = left.select("id", "text", F.coalesce("gone", F.array().cast("array<struct<start:bigint,windows:int>>")).alias("gone")) \

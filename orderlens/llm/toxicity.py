@@ -38,7 +38,7 @@ MIN_Z, MIN_WEIGHT = 4.0, 3.0
 VOCABULARY = 20_000
 #: Negative weight of a word that is no toxic token.
 DRIFT = 0.2
-#: Training rows, chosen by a hash, on which the final scale is fitted.
+#: Training texts, chosen by a hash, on which the final scale is fitted: about so many.
 CALIBRATION_ROWS = 20_000
 #: Segments with an expected number of chance hits below this are reported as passages.
 SIGNIFICANT = 0.05
@@ -187,7 +187,8 @@ def fit(docs: DataFrame, labels: DataFrame, trainable: Column) -> Model | None:
     mean = (total + np.mean(list(weights.values()))) / (hits + 1)
     scale = extreme_value_scale(min((hits + 1) / (words + 2), 0.5 * DRIFT / mean), mean)
     model = Model(weights, scale, 0.1, 1.0, 0.0)
-    sample = texts.orderBy("h", "toxic").limit(CALIBRATION_ROWS)
+    share = min(1.0, CALIBRATION_ROWS / (n_t + n_c))
+    sample = texts.where(F.conv(F.substring("h", 1, 8), 16, 10).cast("bigint") <= int(share * (1 << 32)))
     pairs = sample.select(F.col("toxic").alias("id"), "text").mapInArrow(
         score_task(model, ["id"]), f"id int, {SCORED}").select("id", "evidence").collect()
     x, y = np.array([r["evidence"] for r in pairs]), np.array([float(r["id"]) for r in pairs])
