@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from orderlens.functions.numeric import exact_mean, money_sum, rounded
 from orderlens.operators.common import long_rows
-from orderlens.operators.quantiles import quantiles_row
+from orderlens.operators.quantiles import quantiles_row, with_group_quantiles
 from orderlens.operators.quality import union_rules
 
 def _all():
@@ -392,8 +392,10 @@ def breakdown(df: DataFrame, by: str, value: str, pattern: str | None = None, on
     if pattern is not None:
         df = df.where(F.col(on or by).rlike(f"(?i){pattern}"))
     v = F.col(value).try_cast("double")
-    return df.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), F.count_if(v.isNull()).alias("nulls"),
-                              exact_mean(v, 10).alias("mean"), rounded(F.median(v)).alias("median")).orderBy(by)
+    g = df.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), F.count_if(v.isNull()).alias("nulls"), exact_mean(v, 10).alias("mean"))
+    # a group's values never meet in one task
+    g = with_group_quantiles(g, df.where(v.isNotNull()), [by], v, [0.5], ["median"])
+    return g.select(by, "rows", "nulls", "mean", rounded("median").alias("median")).orderBy(by)
 
 
 def top_by(df: DataFrame, col: str, n: int = 20, where: str | None = None, tie: str | None = None) -> DataFrame:
@@ -420,8 +422,10 @@ def slice_vs_all(df: DataFrame, predicate: str, col: str) -> DataFrame:
     """EDA31: share of each value inside a slice vs overall, difference in points."""
     s = F.expr(predicate)
     g = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"), F.count_if(s).alias("n_slice"))
-    return (g.withColumn("pct_all", F.col("n") / F.sum("n").over(_all()) * 100)
-             .withColumn("pct_slice", F.col("n_slice") / F.sum("n_slice").over(_all()) * 100)
+    # totals as scalar subqueries: the column may have any number of values
+    total, inside = df.agg(F.count(F.lit(1))).scalar(), df.agg(F.count_if(s)).scalar()
+    return (g.withColumn("pct_all", F.col("n") / total * 100)
+             .withColumn("pct_slice", F.col("n_slice") / inside * 100)
              .withColumn("skew_points", F.col("pct_slice") - F.col("pct_all")).orderBy("value"))
 
 

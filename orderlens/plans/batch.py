@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from orderlens.operators import metrics as M, profile as PF, quality as Q
 from orderlens.params import TESTBED, Params
 from orderlens.plans.pipeline import Pipeline
+from orderlens.session import materialize_table
 from orderlens.sinks import run_audit, write_metrics, write_report, write_table
 from orderlens.sources.files import read_buyers, read_products, read_profile_snapshot, read_registry, read_sales
 
@@ -40,7 +41,7 @@ def run_batch(p: Pipeline, out: str, formats=("parquet", "csv")) -> dict[str, Da
     out = out.rstrip("/")
     written: dict[str, DataFrame] = {}
 
-    raw = raw_rules(p)                                                   # steps 2-3 (warn only)
+    raw = materialize_table(raw_rules(p), "raw-rules")                   # steps 2-3 (warn only)
     write_report(raw, f"{out}/reports/raw_rules")
     written["raw_rules"] = raw
 
@@ -51,7 +52,7 @@ def run_batch(p: Pipeline, out: str, formats=("parquet", "csv")) -> dict[str, Da
                     formats=formats)
     written.update(tables)
 
-    rules = Q.run_quality(p.buyers, p.sales, p.products, p.lines, p.orders, p.params)   # step 7
+    rules = materialize_table(Q.run_quality(p.buyers, p.sales, p.products, p.lines, p.orders, p.params), "rules")   # step 7
     write_report(rules, f"{out}/reports/data_quality_rules")
     write_report(Q.quality_summary(p.buyers, p.sales, p.products, p.lines, p.orders), f"{out}/reports/data_quality_summary")
     written["quality"] = rules
@@ -60,9 +61,9 @@ def run_batch(p: Pipeline, out: str, formats=("parquet", "csv")) -> dict[str, Da
     previous = read_profile_snapshot(spark, snap_path)
     if previous is not None:
         # the snapshot is overwritten below: read it into a written copy first
-        from orderlens.session import materialize_table
         previous = materialize_table(previous, "profile-previous")
-    profile = PF.eda_summary(p.buyers, p.sales, p.sales_audit, p.products, p.lines, p.orders)
+    # rules, profile and raw rules are read twice each: report and gate, drift and snapshot
+    profile = materialize_table(PF.eda_summary(p.buyers, p.sales, p.sales_audit, p.products, p.lines, p.orders), "profile")
     drift = PF.drift(profile, previous)
     write_report(drift, f"{out}/processed/eda/drift_report")
     profile.write.mode("overwrite").parquet(snap_path)

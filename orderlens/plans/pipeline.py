@@ -51,8 +51,8 @@ class Pipeline:
 
     @cached_property
     def products(self) -> DataFrame:
-        # read by the line join only: no reuse, so not written
-        return clean.clean_products(self.products_raw, self.params, self.flags)
+        # read by the line join, the product rules, profiles and the audit: written once
+        return self._keep(clean.clean_products(self.products_raw, self.params, self.flags), "products_clean")
 
     @cached_property
     def buyers(self) -> DataFrame:
@@ -73,6 +73,11 @@ class Pipeline:
     def priced_lines(self) -> DataFrame:
         return orders_op.apply_discounts(orders_op.flag_first_orders(self.prepared_lines), self.params, "max")
 
+    @cached_property
+    def max_amount_lines(self) -> DataFrame:
+        """PR10 lines: the running scan over all lines is done once for PR10, Q2g and its summary."""
+        return self._keep(orders_op.lines_max_amount_from_prepared(self.prepared_lines, self.params), "lines_max_amount")
+
     @cached_property
     def orders(self) -> DataFrame:
         """Order-level table; with ``materialize`` it is written once to the
@@ -83,4 +88,4 @@ class Pipeline:
 
 def lines_max_amount(p: Pipeline) -> DataFrame:
     """PR10 line table of a pipeline."""
-    return orders_op.lines_max_amount_from_prepared(p.prepared_lines, p.params)
+    return p.max_amount_lines
