@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,9 +60,13 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def release(self) -> None:
-        """Ask the driver's JVM to let go of finished plans: Spark deletes a shuffle's
-        files once nothing refers to it any more, and that is noticed at a collection."""
-        self.spark._jvm.java.lang.System.gc()
+        """Ask the driver to let go of finished plans: Spark deletes a shuffle's files once
+        nothing refers to it any more, and that is noticed at collections.  The first one
+        frees the finished executions, the next one the shuffles that they held."""
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.java.lang.System.gc()
+            time.sleep(0.5)
 
 
 def free_name(df: DataFrame, stem: str) -> str:
