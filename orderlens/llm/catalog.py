@@ -18,14 +18,14 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     model = language_id.fit(docs, ~held_out)
     return language_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
     return toxicity.score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "passages")
