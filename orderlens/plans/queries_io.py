@@ -3,8 +3,6 @@ shared checkpoint folder and come back through the reader; the SQL states what m
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from orderlens.operators import clean, metrics as M, quality as Q
@@ -12,7 +10,7 @@ from orderlens.params import TESTBED as P
 from orderlens.plans import oracle as O
 from orderlens.plans.catalog import pipeline, register
 from orderlens.plans.queries_core import Q5_SQL
-from orderlens.session import drop_at_exit, ensure_checkpoint_dir
+from orderlens.session import temporary_folder
 from orderlens.sinks import write_metrics, write_report, write_table
 from orderlens.sources.files import (
     BUYER_COLUMNS, SALES_COLUMNS, read_buyers, read_clean, read_metrics, read_products, read_sales, read_table,
@@ -20,9 +18,7 @@ from orderlens.sources.files import (
 
 
 def _folder(spark, name: str) -> str:
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/orderlens-io/{name}-{uuid.uuid4().hex[:12]}"
-    drop_at_exit(spark, path)
-    return path
+    return temporary_folder(spark, f"orderlens-io/{name}") + "/table"
 
 
 def _no_token(c: str) -> str:

@@ -90,3 +90,14 @@ def drop_at_exit(spark: SparkSession, path: str) -> None:
     """Have the file system remove a temporary table when the application ends."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
+def temporary_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder that goes when the application ends."""
+    import uuid
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+    drop_at_exit(spark, path)
+    return path
