@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import gc
 import time
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.session import drop_at_exit, ensure_checkpoint_dir
+from orderlens.session import temporary_folder
 
 #: Separators of words: blank and the five ASCII controls from tab to carriage return.
 SEPARATORS = r"[\x20\x09-\x0D]+"
@@ -43,8 +42,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/orderlens-llm/{name}-{uuid.uuid4().hex[:12]}"
-        drop_at_exit(spark, self.base)
+        self.base = temporary_folder(spark, f"orderlens-llm/{name}")
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
