@@ -167,3 +167,28 @@ def cl1(spark, sf):
     buyers, sales, products, _ = clean.build_clean_layer(p.sales_raw, p.buyers_raw, p.products_raw, p.params)
     count = lambda name, df: df.agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows"))
     return count("sales", sales).unionByName(count("products", products)).unionByName(count("buyers", buyers))
+
+
+# ---- gates and settings of a run (SNK4 / DQ14)
+def _gate_sql(name: str, keys, severities) -> str:
+    from orderlens.plans.queries_profile import _body
+    rows = "\nUNION ALL ".join(f"SELECT severity, passed FROM ({_body(k)}) r{i}" for i, k in enumerate(keys))
+    listed = ", ".join(f"'{s}'" for s in severities)
+    return (f"SELECT '{name}' AS gate, coalesce(bool_and(passed) FILTER (severity IN ({listed})), true) AS passed, count(*) AS checks, "
+            f"count_if(NOT passed AND severity IN ({listed})) AS failed FROM ({rows}) g_{name}")
+
+
+_RAW = ["dq4_buyers_raw_rules", "dq5_sales_raw_rules", "dq6_products_raw_rules"]
+
+
+@register("snk4b_run_gates", O.with_base("\nUNION ALL ".join([
+    _gate_sql("raw", _RAW, ("HIGH", "CRITICAL")), _gate_sql("cross", ["dq7_cross_dataset_rules"], ("HIGH", "CRITICAL")),
+    _gate_sql("quality", ["dq14_quality_report"], ("HIGH", "MEDIUM"))])))
+def snk4b(spark, sf):
+    from orderlens.operators import quality as Q
+    p = pipeline(spark, sf)
+    return R.run_gates({
+        "raw": (Q.union_rules([Q.validate_buyers_raw(p.buyers_raw), Q.validate_sales_raw(p.sales_raw),
+                               Q.validate_products_raw(p.products_raw)]), ("HIGH", "CRITICAL")),
+        "cross": (Q.validate_cross_dataset(p.sales_raw, p.buyers_raw, p.products_raw, p.params), ("HIGH", "CRITICAL")),
+        "quality": (Q.run_quality(p.buyers, p.sales, p.products, p.lines, p.orders, p.params), ("HIGH", "MEDIUM"))})
