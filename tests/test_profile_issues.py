@@ -30,9 +30,10 @@ def test_duplicate_scenarios_compare_whole_payloads(spark):
         ("O2", "B1", "S1", "1", "x"), ("O2", "B1", "S1", "2", "x"),            # different payload
         ("O3", "B1", "S1", "1", "x"),                                          # single row: not a duplicate
     ], "order_id string, buyer_id string, sku_id string, quantity string, order_status string")
-    got = {r.scenario: (r.keys, r.rows) for r in
-           PF.duplicate_scenarios(df, ["order_id", "buyer_id", "sku_id"], ["quantity", "order_status"]).collect()}
-    assert got == {"A_same_payload": (1, 2), "B_different_payload": (1, 2)}
+    got = {r.scenario: (r.rows, r.groups) for r in PF.duplicate_scenarios(
+        df, "order_id", ["order_id", "buyer_id", "sku_id"], ["order_id", "sku_id"]).collect()}
+    assert got == {"duplicate_order_id": (4, 2), "duplicate_strict_key": (4, 2),
+                   "A_full_copies": (2, 1), "B_differing_rows": (2, 1)}
 
 
 def test_mean_date_is_exact(spark):
