@@ -38,7 +38,7 @@ MARK = "▁"
 CHUNK = 1 << 15
 BREAK = "\n"
 #: Words that a task's memo holds before it starts anew.
-MEMO = 100_000
+MEMO = 60_000
 #: Texts that a task turns into ids or back at once.
 SLICE = 256
 #: Longest run of a word's characters that is encoded by merging.
