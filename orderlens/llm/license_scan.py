@@ -6,7 +6,9 @@ runs of whole words.  Fuzzy search splits a notice into one part more than the
 edits it may have; whatever matches with so few edits holds at least one part
 unchanged (pigeonhole), so exact searches for the parts find every candidate.
 The ``regex`` library's bounded-error matching then verifies the edits around a
-candidate and reports the span.
+candidate and reports the span, which begins and ends at word borders.  The words
+that tell one licence from another must be words of the text too, equal or (from
+three letters on) with one edit.
 
 Defined cases: null text counts as empty; a text without words has no places, no
 labels and score 0; overlapping places all count; every row gives one row.
@@ -21,18 +23,20 @@ from pyspark.sql import functions as F
 # Exact phrases with their labels.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
-# Notices searched with errors: text, label, edits allowed.
+# Notices searched with errors: text, label, edits allowed.  Words in brackets name the licence.
 NOTICES = (
-    ("released under the mit license", "mit", 3),
-    ("permission is hereby granted free of charge to any person obtaining a copy", "mit", 6),
-    ("licensed under the apache license version 2", "apache-2", 4),
-    ("licensed under cc by nc 4", "cc-by-nc", 2),
-    ("creative commons attribution noncommercial", "cc-by-nc", 4),
-    ("gnu general public license", "gpl", 3),
-    ("gnu lesser general public license", "lgpl", 3),
-    ("mozilla public license", "mpl", 2),
-    ("redistribution and use in source and binary forms", "bsd", 4),
+    ("released under the [mit] license", "mit", 3),
+    ("permission [is hereby granted] free of charge to any person obtaining a copy", "mit", 6),
+    ("licensed under the [apache] license [version 2]", "apache-2", 4),
+    ("licensed under [cc by nc] 4", "cc-by-nc", 2),
+    ("creative commons attribution [noncommercial]", "cc-by-nc", 4),
+    ("[gnu general] public license", "gpl", 3),
+    ("[gnu lesser general] public license", "lgpl", 3),
+    ("[mozilla] public license", "mpl", 2),
+    ("[redistribution] and use in [source] and [binary] forms", "bsd", 4),
 )
+#: Shorter naming words (2, nc, by) must be equal: one edit makes another licence of them.
+LEAST_NAME = 3
 
 _UPPER = bytes(range(65, 91))
 _SEPARATORS = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
@@ -51,13 +55,30 @@ def parts(notice: str, edits: int) -> list[tuple[int, bytes]]:
     return [(a, notice[a:b].encode()) for a, b in zip(ends, ends[1:])]
 
 
+def bounded(notice: str, edits: int) -> str:
+    """Pattern of whole words: at most ``edits`` errors in all, at most one of them in each
+    naming word, and none between naming words that stand together."""
+    import regex
+
+    def naming(run: str) -> str:
+        # {s<=0} allows no error; {e<=0} would be dropped, and the outer bound would hold
+        each = (f"(?:{regex.escape(w)}){{{'e<=1' if len(w) >= LEAST_NAME else 's<=0'}}}" for w in run.split(" "))
+        return f"(?<= ){'(?: ){s<=0}'.join(each)}(?= )"
+
+    pieces = [naming(x[1:-1]) if x.startswith("[") else regex.escape(x)
+              for x in regex.split(r"(\[[^]]*\])", notice) if x]
+    return f"(?b)(?<= )(?:{''.join(pieces)}){{e<={edits}}}(?= )"
+
+
 class Scanner:
     def __init__(self, base=BASE, notices=NOTICES):
         import regex
 
         self.base = [(f" {p} ".encode(), label) for p, label in base]
-        self.notices = [(n, label, k, parts(n, k), regex.compile(f"(?b)(?:{regex.escape(n)}){{e<={k}}}"))
-                        for n, label, k in notices]
+        self.notices = []
+        for marked, label, k in notices:
+            n = marked.replace("[", "").replace("]", "")
+            self.notices.append((n, label, k, parts(n, k), regex.compile(bounded(marked, k))))
 
     def exact(self, words: bytes) -> list[tuple[int, str]]:
         """(first word, label) of every place of a base phrase."""
@@ -77,7 +98,7 @@ class Scanner:
             for offset, seed in seeds:
                 at = words.find(seed)
                 while at >= 0:
-                    ranges.append((max(0, at - offset - edits), at - offset + len(notice) + edits + 1))
+                    ranges.append((max(0, at - offset - edits - 1), at - offset + len(notice) + edits + 1))
                     at = words.find(seed, at + 1)
             end = -1
             for lo, hi in merged(ranges):

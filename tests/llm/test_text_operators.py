@@ -180,6 +180,21 @@ def test_seeds_find_every_match_within_the_bound():
                 assert label in {f[2] for f in scanner.fuzzy(words)}, "".join(x)
 
 
+@pytest.mark.parametrize("text, labels", [
+    ("released under the bsd license", []), ("released under the gpl license", []), ("released under the submit license", []),
+    ("gnu lesser general public license", ["lgpl"]), ("gnu affero general public license", []),
+    ("lesser general public license", []), ("gnu general public license", ["gpl"]),
+    ("licensed under cc by sa 4", []), ("licensed under cc by nd 4", []), ("licensed under cc by 4", []),
+    ("licensed under the apache license version 1 1", []), ("licensed under the apache license version 12", []),
+    ("licensed under the apache licence version 2 0", ["apache-2"]), ("licensed undr cc by nc 4", ["cc-by-nc"]),
+    ("creative commons attribution commercial", []), ("creative commons attribution non commercial", ["cc-by-nc"]),
+    ("permission is not hereby granted free of charge to any person obtaining a copy", []),
+    ("the gnu generel public licence", ["gpl"]), ("released under teh mitt license", ["mit"])])
+def test_notices_of_other_licences_get_no_label(text, labels):
+    found = license_scan.Scanner().fuzzy(license_scan.normalise(f"aa {text} bb"))
+    assert sorted({f[2] for f in found}) == labels
+
+
 # --- language and toxicity ----------------------------------------------------------
 
 def test_language_held_out_accuracy(spark, edge, empty):
