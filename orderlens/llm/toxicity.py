@@ -11,6 +11,11 @@ statistics (Karlin and Altschul: lambda from the score distribution of clean
 text, p-value of the sum of the r best segments), and the smallest p-value is
 calibrated to a probability on training texts.
 
+Every token above the thresholds counts.  Up to ``BROADCAST_TOKENS`` of them travel
+with the tasks; more stay a table, and the places of the texts' tokens are joined
+with it.  Of those places only the ones that pass a bitmap of fixed size are moved;
+it may let a token through that has no weight, never the other way round.
+
 Defined cases: null text counts as empty and has no segment; a label that is
 null is no label; a text with both labels counts for both; without training rows
 of both classes every text scores 0.
@@ -20,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -34,8 +40,10 @@ STEMS = (4, 5)
 #: Dirichlet prior: documents of each class that a token counts for beforehand, with it and without it.
 PRIOR = 1.0
 MIN_Z, MIN_WEIGHT = 4.0, 3.0
-#: Strongest tokens that a model holds.
-VOCABULARY = 20_000
+#: Tokens that travel with the tasks; the weights of more are joined from a table.
+BROADCAST_TOKENS = 20_000
+#: Bits of the bitmap that names the tokens worth a join.
+FILTER_BITS = 1 << 24
 #: Negative weight of a word that is no toxic token.
 DRIFT = 0.2
 #: Training texts, chosen by a hash, on which the final scale is fitted: about so many.
@@ -80,8 +88,73 @@ def training_texts(docs: DataFrame, labels: DataFrame, trainable: Column) -> Dat
     return hit.withColumn("h", F.sha2("text", 256)).dropDuplicates(["h", "toxic"]).select("text", "toxic", "h")
 
 
+class WeightTable:
+    """Weights of more tokens than a task should hold: (token, weight), and a bitmap of the tokens."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+        at = F.pmod(F.crc32(F.col("token").cast("binary")), F.lit(FILTER_BITS))
+        found = rows.select(F.shiftright(at, 3).cast("int").alias("byte"), F.lit(1).alias("one"),
+                            at.bitwiseAND(7).cast("int").alias("bit")) \
+            .groupBy("byte").agg(F.bit_or(F.expr("shiftleft(one, bit)")).alias("bits")).toArrow()
+        self.bitmap = np.zeros(FILTER_BITS // 8, np.uint8)
+        self.bitmap[found.column("byte").to_numpy()] = found.column("bits").to_numpy()
+
+    def hits(self, texts: DataFrame) -> DataFrame:
+        """(h, hits) of the texts (h, text) with a hit; equal ``h`` must have equal texts."""
+        places = texts.select("h", "text").mapInArrow(
+            candidate_task(self.bitmap), "h string, place bigint, token string").distinct()
+        return places.join(self.rows, "token").groupBy("h", "place").agg(F.max("weight").alias("weight")) \
+            .groupBy("h").agg(F.sort_array(F.collect_list(F.struct("place", "weight"))).alias("hits"))
+
+
+class Candidates(dict):
+    """Tokens of a word that the bitmap lets through; bounded memo."""
+
+    def __init__(self, bitmap: np.ndarray):
+        super().__init__()
+        self.bitmap = bitmap
+
+    def __missing__(self, word: str) -> list[str]:
+        if len(self) > 300_000:
+            self.clear()
+        at = ((t, zlib.crc32(t.encode()) % (8 * len(self.bitmap))) for t in tokens(word))
+        found = self[word] = [t for t, x in at if self.bitmap[x >> 3] >> (x & 7) & 1]
+        return found
+
+
+def candidate_task(bitmap: np.ndarray):
+    """(h, text) -> (h, place, token) of the tokens that may have a weight."""
+    def run(batches):
+        memo, out = Candidates(bitmap), []
+
+        def handed():
+            h, place, token = zip(*out) if out else ((), (), ())
+            out.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(h, pa.string()), pa.array(place, pa.int64()), pa.array(token, pa.string())],
+                ["h", "place", "token"])
+
+        for batch in batches:
+            for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                out.extend((h, i, t) for i, w in enumerate(WORD.findall(text.lower())) for t in memo[w])
+                if len(out) > FLUSH:
+                    yield handed()
+        yield handed()
+    return run
+
+
+def length_task(columns: list[str]):
+    """The columns without the text, and the number of its words."""
+    def run(batches):
+        for batch in batches:
+            n = [len(WORD.findall(t.lower())) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + [pa.array(n, pa.int64())], columns + ["n_words"])
+    return run
+
+
 class Model:
-    def __init__(self, weights: dict[str, float], scale: float, k: float, slope: float, shift: float):
+    def __init__(self, weights: dict[str, float] | WeightTable, scale: float, k: float, slope: float, shift: float):
         self.weights, self.scale, self.k, self.slope, self.shift = weights, scale, k, slope, shift
 
 
@@ -172,30 +245,40 @@ def fit(docs: DataFrame, labels: DataFrame, trainable: Column) -> Model | None:
         .groupBy("token").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
     a, b = F.col("t") + PRIOR, F.col("c") + PRIOR
     weight = F.log(a / (n_t + 2 * PRIOR - a)) - F.log(b / (n_c + 2 * PRIOR - b))
-    strongest = counts.select("token", weight.alias("weight"), (weight / F.sqrt(1 / a + 1 / b)).alias("z")) \
-        .where((F.col("z") >= MIN_Z) & (F.col("weight") >= MIN_WEIGHT)) \
-        .orderBy(F.desc("z"), "token").limit(VOCABULARY).collect()
-    weights = {r["token"]: r["weight"] for r in strongest}
-    if not weights:
+    strong = scratch.write(
+        counts.select("token", weight.alias("weight"), (weight / F.sqrt(1 / a + 1 / b)).alias("z"))
+        .where((F.col("z") >= MIN_Z) & (F.col("weight") >= MIN_WEIGHT)).select("token", "weight"), "strong")
+    held, average = strong.agg(F.count(F.lit(1)), F.avg("weight")).first()
+    if not held:
         return None
+    weights = {r["token"]: r["weight"] for r in strong.collect()} if held <= BROADCAST_TOKENS else WeightTable(strong)
 
     # score distribution of clean text: words, toxic tokens among them and their mean weight
-    clean = texts.where("toxic = 0").select("text").mapInArrow(
-        background_task(weights), "words bigint, hits bigint, total double") \
-        .agg(F.sum("words"), F.sum("hits"), F.sum("total")).first()
-    words, hits, total = clean[0] or 0, clean[1] or 0, clean[2] or 0.0
-    mean = (total + np.mean(list(weights.values()))) / (hits + 1)
+    words, hits, total = background(texts.where("toxic = 0").select("h", "text"), weights)
+    mean = (total + average) / (hits + 1)
     scale = extreme_value_scale(min((hits + 1) / (words + 2), 0.5 * DRIFT / mean), mean)
     model = Model(weights, scale, 0.1, 1.0, 0.0)
     share = min(1.0, CALIBRATION_ROWS / (n_t + n_c))
     sample = texts.where(F.conv(F.substring("h", 1, 8), 16, 10).cast("bigint") <= int(share * (1 << 32)))
-    pairs = sample.select(F.col("toxic").alias("id"), "text").mapInArrow(
-        score_task(model, ["id"]), f"id int, {SCORED}").select("id", "evidence").collect()
+    pairs = scored(sample.select(F.col("toxic").alias("id"), "text"), model).select("id", "evidence").collect()
     x, y = np.array([r["evidence"] for r in pairs]), np.array([float(r["id"]) for r in pairs])
     model.slope, model.shift = logistic(x, y)
     return model
 
 
+def background(clean: DataFrame, weights: dict[str, float] | WeightTable) -> tuple[int, int, float]:
+    """Words of the texts (h, text), words with a weight among them, and the sum of these weights."""
+    if isinstance(weights, WeightTable):
+        words = clean.select("text").mapInArrow(length_task([]), "n_words bigint").agg(F.sum("n_words")).first()[0]
+        weighed = weights.hits(clean).select(F.explode("hits.weight").alias("weight"))
+        hits, total = weighed.agg(F.count(F.lit(1)), F.sum("weight")).first()
+    else:
+        words, hits, total = clean.select("text").mapInArrow(
+            background_task(weights), "words bigint, hits bigint, total double") \
+            .agg(F.sum("words"), F.sum("hits"), F.sum("total")).first()
+    return words or 0, hits or 0, total or 0.0
+
+
 def background_task(weights: dict[str, float]):
     def run(batches):
         memo = Weights(weights)
@@ -218,37 +301,61 @@ SCORED = ("evidence double, score double, passages array<struct<first_word:bigin
           "score:double,expected:double>>")
 
 
-def score_task(model: Model, columns: list[str]):
+def rated(model: Model, n_words: int, hits: list[tuple[int, float]]):
+    """(evidence, score, passages) of a text."""
+    if not hits:
+        return 0.0, 1 / (1 + math.exp(-model.shift)), []
+    found = segments(hits)
+    x = log_p([s for _, _, s in found], n_words, model.scale, model.k)
+    expected = [model.k * n_words * math.exp(-model.scale * s) for _, _, s in found]
+    return x, 1 / (1 + math.exp(-max(-30.0, min(30.0, model.slope * x + model.shift)))), [
+        dict(first_word=a, last_word=b, score=s, expected=e) for (a, b, s), e in zip(found, expected) if e <= SIGNIFICANT]
+
+
+def rated_batch(ids, rows: list[tuple]) -> pa.RecordBatch:
+    evidence, score, passages = zip(*rows) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays(
+        [ids, pa.array(evidence, pa.float64()), pa.array(score, pa.float64()), pa.array(passages, _PASSAGE)],
+        ["id", "evidence", "score", "passages"])
+
+
+def score_task(model: Model):
+    """(id, text) -> SCORED, with the weights at hand."""
     def run(batches):
         memo = Weights(model.weights)
-        base = 1 / (1 + math.exp(-model.shift))
         for batch in batches:
-            evidence, score, passages = [], [], []
-            for text in batch.column(batch.num_columns - 1).to_pylist():
+            rows = []
+            for text in batch.column(1).to_pylist():
                 words = WORD.findall(text.lower())
-                hits = [(i, v) for i, v in enumerate(map(memo.__getitem__, words)) if v]
-                if not hits:
-                    evidence.append(0.0)
-                    score.append(base)
-                    passages.append([])
-                    continue
-                found = segments(hits)
-                x = log_p([s for _, _, s in found], len(words), model.scale, model.k)
-                evidence.append(x)
-                score.append(1 / (1 + math.exp(-max(-30.0, min(30.0, model.slope * x + model.shift)))))
-                expected = [model.k * len(words) * math.exp(-model.scale * s) for _, _, s in found]
-                passages.append([dict(first_word=a, last_word=b, score=s, expected=e)
-                                 for (a, b, s), e in zip(found, expected) if e <= SIGNIFICANT])
-            yield pa.RecordBatch.from_arrays(
-                batch.columns[:-1] + [pa.array(evidence, pa.float64()), pa.array(score, pa.float64()),
-                                      pa.array(passages, _PASSAGE)],
-                columns + ["evidence", "score", "passages"])
+                rows.append(rated(model, len(words), [(i, v) for i, v in enumerate(map(memo.__getitem__, words)) if v]))
+            yield rated_batch(batch.column(0), rows)
     return run
 
 
+def hits_task(model: Model):
+    """(id, n_words, hits) -> SCORED."""
+    def run(batches):
+        for batch in batches:
+            yield rated_batch(batch.column(0), [
+                rated(model, n, [(x["place"], x["weight"]) for x in hits or ()])
+                for n, hits in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())])
+    return run
+
+
+def scored(rows: DataFrame, model: Model) -> DataFrame:
+    """(id, evidence, score, passages) for every row (id, text)."""
+    kind = rows.schema["id"].dataType.simpleString()
+    if not isinstance(model.weights, WeightTable):
+        return rows.mapInArrow(score_task(model), f"id {kind}, {SCORED}")
+    keyed = rows.select("id", F.sha2("text", 256).alias("h"), "text")
+    sized = keyed.mapInArrow(length_task(["id", "h"]), f"id {kind}, h string, n_words bigint")
+    # the tasks need the scales of the model, not its table
+    scales = Model({}, model.scale, model.k, model.slope, model.shift)
+    return sized.join(model.weights.hits(keyed), "h", "left").select("id", "n_words", "hits") \
+        .mapInArrow(hits_task(scales), f"id {kind}, {SCORED}")
+
+
 def score(docs: DataFrame, model: Model | None, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id, evidence, score, passages) for every row."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, {SCORED}"
-    task = score_task(model or Model({}, 1.0, 0.1, 1.0, -40.0), ["id"])
-    return rows.mapInArrow(task, schema).withColumnRenamed("id", id_col)
+    return scored(rows, model or Model({}, 1.0, 0.1, 1.0, -40.0)).withColumnRenamed("id", id_col)

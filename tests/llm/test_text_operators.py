@@ -272,3 +272,38 @@ def test_toxicity_held_out(spark, edge, empty, labels):
     assert toxicity.fit(empty, labels, F.lit(True)) is None
     assert toxicity.fit(edge, labels.limit(0), F.lit(True)) is None
     assert all(r["score"] < 0.01 for r in toxicity.score(edge, None).collect())
+
+
+def test_toxicity_with_more_tokens_than_are_broadcast(spark, edge, monkeypatch):
+    """Every token above the thresholds counts, and the join with the weight table gives what the broadcast gives."""
+    rng = random.Random(9)
+    vile = ["qq" + "".join(rng.choice("mnop") for _ in range(5)) for _ in range(40)]
+    rows, marks = [], []
+    for i in range(900):
+        w = ["".join(rng.choice("abcde") for _ in range(4)) for _ in range(rng.randint(20, 60))]
+        if i % 3 == 0:
+            # the later words are rarer, so a cut by z would drop them first
+            k = i // 3 % len(vile)
+            w[rng.randrange(len(w))] = vile[k]
+            w[rng.randrange(len(w))] = vile[k // 2]
+        rows.append((i, " ".join(w)))
+        marks.append((i, 1, int(i % 3 == 0)))
+    rows += [(0, rows[0][1]), (-1, None), (None, rows[3][1])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marked = spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+
+    def results(model):
+        return sorted(((r["doc_id"], round(r["evidence"], 9), round(r["score"], 9), [
+            (p["first_word"], p["last_word"], round(p["score"], 9)) for p in r["passages"]])
+            for r in toxicity.score(docs.unionByName(edge.select("doc_id", "text")), model).collect()), key=str)
+
+    held = toxicity.fit(docs, marked, F.lit(True))
+    want = results(held)
+    assert isinstance(held.weights, dict) and len(held.weights) > 10
+    monkeypatch.setattr(toxicity, "BROADCAST_TOKENS" if hasattr(toxicity, "BROADCAST_TOKENS") else "VOCABULARY", 10)
+    joined = toxicity.fit(docs, marked, F.lit(True))
+    assert results(joined) == want
+    assert isinstance(joined.weights, toxicity.WeightTable) and joined.weights.rows.count() == len(held.weights)
+    # an almost full bitmap lets every token through, which changes nothing
+    monkeypatch.setattr(toxicity, "FILTER_BITS", 8)
+    assert results(toxicity.fit(docs, marked, F.lit(True))) == want
