@@ -46,12 +46,18 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = turns.unionByName(spark.createDataFrame(HOSTILE, turns.schema))
     out = chat_format.format_conversations(turns)
     back = chat_format.read_turns(F.col("formatted"))
-    trained = chat_format.trained_text(F.col("formatted"), F.col("examples"))
     whole = F.array_join(F.transform(back, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return out.select("conv_id", F.size(back).cast("bigint").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
-                      F.length(trained).cast("bigint").alias("loss_chars"), F.sha2(trained, 256).alias("loss_sha256"),
-                      F.length("formatted").cast("bigint").alias("formatted_chars"),
-                      F.size("examples").alias("n_examples"))
+    of_all = out.select("conv_id", F.struct(
+        F.size(back).cast("bigint").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars")).alias("whole"))
+    of_each = chat_format.trained_examples(out).select("conv_id", F.struct("example", "trained").alias("one"))
+    # a conversation without an example still has its row
+    both = of_all.unionByName(of_each, allowMissingColumns=True).groupBy("conv_id").agg(
+        F.max("whole").alias("whole"), F.sort_array(F.collect_list("one")).alias("each"))
+    trained = F.array_join(F.col("each.trained"), "")
+    return both.select("conv_id", "whole.n_turns", "whole.turns_sha256",
+                       F.length(trained).cast("bigint").alias("loss_chars"), F.sha2(trained, 256).alias("loss_sha256"),
+                       "whole.formatted_chars", F.size("each").alias("n_examples"))
 
 
 OP4_SQL = r"""

@@ -147,6 +147,17 @@ def test_chat_query_on_the_given_table(spark, small):
     assert rows[-7]["turns_sha256"] == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
 
 
+def test_chat_query_builds_and_reads_every_example(spark, small, monkeypatch):
+    want = {r["conv_id"]: r for r in catalog.op4_chat_format(spark, small).collect()}
+    expand = chat_format.expand
+    short = F.when(F.col("conv_id") == -7, F.lit("")).otherwise(F.col("context"))
+    monkeypatch.setattr(chat_format, "expand", lambda *a: expand(*a).withColumn("context", short))
+    got = {r["conv_id"]: r for r in catalog.op4_chat_format(spark, small).collect()}
+    # an example that lost its context does not count
+    assert want[-7]["n_examples"] == 1 and got[-7]["n_examples"] == got[-7]["loss_chars"] == 0
+    assert all(got[c] == want[c] for c in want if c != -7)
+
+
 # --- licences ---------------------------------------------------------------------
 
 def test_license_scan(spark, edge, empty):
