@@ -98,23 +98,32 @@ class Scanner:
             for offset, seed in seeds:
                 at = words.find(seed)
                 while at >= 0:
-                    ranges.append((max(0, at - offset - edits - 1), at - offset + len(notice) + edits + 1))
+                    # an edit adds one character, of up to four bytes
+                    ranges.append((max(0, at - offset - 4 * edits - 1), at - offset + len(notice) + 4 * edits + 1))
                     at = words.find(seed, at + 1)
-            end = -1
             for lo, hi in merged(ranges):
                 # bytes of a cut character become one replacement character, never part of a match
                 window = words[lo:hi].decode("utf-8", "replace")
-                for m in pattern.finditer(window):
-                    first = lo + len(window[:m.start()].encode())
-                    last = lo + len(window[:m.end()].encode())
-                    if first < end or last <= first:
-                        continue
-                    end = last
-                    similarity = 1 - sum(m.fuzzy_counts) / len(notice)
+                for start, stop, errors in places(pattern, window):
+                    first = lo + len(window[:start].encode())
+                    last = lo + len(window[:stop].encode())
+                    similarity = 1 - errors / len(notice)
                     found.append((words.count(b" ", 1, first + 1), words.count(b" ", 1, max(last - 1, 1)), label, similarity))
         return found
 
 
+def places(pattern, window: str) -> list[tuple[int, int, int]]:
+    """(start, end, errors) of the best match, then of the best ones left and right of it, and so on."""
+    found, todo = [], [(0, len(window))]
+    while todo:
+        lo, hi = todo.pop()
+        m = pattern.search(window[lo:hi])
+        if m and m.end() > m.start():
+            found.append((lo + m.start(), lo + m.end(), sum(m.fuzzy_counts)))
+            todo += [(lo, lo + m.start()), (lo + m.end(), hi)]
+    return sorted(found)
+
+
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for lo, hi in sorted(ranges):

@@ -206,6 +206,21 @@ def test_notices_of_other_licences_get_no_label(text, labels):
     assert sorted({f[2] for f in found}) == labels
 
 
+def test_close_notices_and_wide_characters_are_found():
+    scan = lambda t: license_scan.Scanner().fuzzy(license_scan.normalise(t))
+    # the worse match stands before the better one
+    assert [(a, b, c) for a, b, c, _ in scan("gnu generl public license gnu general public license")] == [
+        (0, 3, "gpl"), (4, 7, "gpl")]
+    three = scan("x gnu general publc license gnu generl public license gnu general public license gnu general public licens")
+    assert [(a, b) for a, b, *_ in three] == [(1, 4), (5, 8), (9, 12), (13, 16)]
+    # six edits, most of them to characters of four bytes
+    wide = "permission is hereby granted free of charge to any person obtaining a copy".replace("person", "😀erson")
+    wide = wide.replace("copy", "c😀y").replace("obtaining", "😀bt😀ining😀")
+    assert [(a, b, c) for a, b, c, _ in scan("aa " + wide + " bb")] == [(1, 13, "mit")]
+    ends = "permissi😀n is hereby granted free of charge to any person obtaining a " + "😀" * 4 + "😀"
+    assert [c for *_, c, _ in scan("aa " + ends + " bb")] == ["mit"]
+
+
 # --- language and toxicity ----------------------------------------------------------
 
 def test_language_held_out_accuracy(spark, edge, empty):
