@@ -129,8 +129,18 @@ def sample_windows(raw: bytes) -> list[np.ndarray]:
     return out
 
 
-def fit(docs: DataFrame, trainable: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id"):
-    """(languages, network) from the labelled rows for which ``trainable`` holds, or None without any."""
+def sample_task(batches):
+    """(lang, h, digest, raw) -> (lang, h, digest, pieces): the sample windows of each text, one after the other."""
+    for batch in batches:
+        pieces = [np.concatenate(sample_windows(raw)).tobytes() for raw in batch.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            batch.columns[:3] + [pa.array(pieces, pa.binary())], ["lang", "h", "digest", "pieces"])
+
+
+def sample(docs: DataFrame, trainable: Column, text_col: str = "text", lang_col: str = "lang",
+           id_col: str = "doc_id") -> DataFrame | None:
+    """(lang, pieces) of the training texts, or None without a labelled row.  The windows are cut where
+    the texts are read, so a text of any length is moved as its windows only."""
     h = free_name(docs, "h")
     labelled = docs.where(trainable & F.col(lang_col).isNotNull()).withColumn(h, F.xxhash64(F.col(id_col), F.lit(5)))
     counts = labelled.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -139,17 +149,24 @@ def fit(docs: DataFrame, trainable: Column, text_col: str = "text", lang_col: st
     # a hash threshold per language leaves about twice the sample, so that only these texts are moved
     share = F.coalesce(*[F.when(F.col(lang_col) == r["lang"], F.lit(2 * SAMPLE_PER_LANGUAGE / r["n"])) for r in counts])
     drawn = labelled.where(F.pmod(h, F.lit(1 << 30)) < share * (1 << 30)).where(has_letter(F.col(text_col))).select(
-        F.col(lang_col).alias("lang"), F.col(h).alias("h"), F.col(text_col).alias("text"))
-    first = Window.partitionBy("lang").orderBy("h", "text")
-    rows = drawn.withColumn("k", F.row_number().over(first)).where(F.col("k") <= SAMPLE_PER_LANGUAGE) \
-        .orderBy("k", "lang").limit(SAMPLE_TOTAL) \
-        .select("lang", F.encode("text", "UTF-8").alias("raw")).collect()
+        F.col(lang_col).alias("lang"), F.col(h).alias("h"), F.sha2(text_col, 256).alias("digest"),
+        F.encode(text_col, "UTF-8").alias("raw"))
+    cut = drawn.mapInArrow(sample_task, "lang string, h bigint, digest string, pieces binary")
+    first = Window.partitionBy("lang").orderBy("h", "digest")
+    return cut.withColumn("k", F.row_number().over(first)).where(F.col("k") <= SAMPLE_PER_LANGUAGE) \
+        .orderBy("k", "lang").limit(SAMPLE_TOTAL).select("lang", "pieces")
+
+
+def fit(docs: DataFrame, trainable: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id"):
+    """(languages, network) from the labelled rows for which ``trainable`` holds, or None without any."""
+    drawn = sample(docs, trainable, text_col, lang_col, id_col)
+    rows = drawn.collect() if drawn is not None else []
     if not rows:
         return None
     names = sorted({r["lang"] for r in rows})
     windows, labels = [], []
     for r in rows:
-        for piece in sample_windows(bytes(r["raw"])):
+        for piece in np.frombuffer(bytes(r["pieces"]), np.uint8).reshape(-1, WINDOW + PAD):
             windows.append(piece)
             labels.append(names.index(r["lang"]))
     return names, train(np.stack(windows), np.array(labels), len(names))

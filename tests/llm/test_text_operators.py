@@ -244,6 +244,15 @@ def test_language_held_out_accuracy(spark, edge, empty):
     assert np.allclose(one[0], two[0]) and np.allclose(two[0], two[1])
 
 
+def test_language_sample_moves_windows_only(spark):
+    rows = [(1, "the of and " * 50_000, "en"), (2, "le la et", "fr"), (3, "é" * 400, "fr"), (4, None, "fr"), (5, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = sorted((r["lang"], bytes(r["pieces"])) for r in language_id.sample(docs, F.lit(True)).collect())
+    assert got == sorted((lang, np.concatenate(language_id.sample_windows(text.encode())).tobytes())
+                         for _, text, lang in rows[:3])
+    assert max(len(p) for _, p in got) == 3 * 259
+
+
 def brute_segments(values):
     """All maximal-scoring segments by recursion: the best one (leftmost, shortest), then left and right of it."""
     best = None
