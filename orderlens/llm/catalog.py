@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import (
-    chat_format, exact_dedup, language_id, license_scan, mixing, ngram_join, piece_encoding, quality,
-    substring_dedup, toxicity,
+    chat_format, divergence, exact_dedup, language_id, lexical_search, license_scan, mixing, ngram_join,
+    piece_encoding, quality, quality_classifier, substring_dedup, toxicity,
 )
 from orderlens.llm.common import Scratch, table
 
@@ -128,6 +128,86 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "size", "source_size", "target", "taken", F.size("copies").alias("copies"))
 
 
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+OP11_SQL = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         coalesce(text, '') AS text FROM documents
+), t AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS (
+  SELECT lang, term, count(*) AS lang_n FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 10
+), v AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY ALL
+), n AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL
+), g AS (
+  SELECT d.lang, d.source, coalesce(any_value(s.total), 0) AS total FROM d
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM n GROUP BY ALL) s USING (lang, source) GROUP BY ALL
+), p AS (
+  SELECT g.lang, g.source, k.term, coalesce(n.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(n.n, 0) + 2)) // (g.total + 2 * v.v) AS p,
+         1 + (1000000000::HUGEINT * (k.lang_n + 2)) // (v.lang_total + 2 * v.v) AS q
+  FROM g JOIN v USING (lang) JOIN kept k USING (lang) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(any_value(x.value), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+             FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) x
+    ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  GROUP BY ALL
+), part AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pair
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM part)
+WHERE part = 'pair' OR rank <= 10
+"""
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    net = quality_classifier.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return quality_classifier.predict(docs, net).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                 table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+OP13_SQL = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, text FROM documents
+), t AS (
+  SELECT r, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), i AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL
+), corpus AS (SELECT count(DISTINCT r) AS n_docs, count(*) AS n_terms FROM t
+), len AS (SELECT r, any_value(doc_id) AS doc_id, count(*) AS n FROM t GROUP BY r
+), f AS (SELECT r, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM i) GROUP BY ALL
+), w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM f, corpus GROUP BY term, n_docs
+), s AS (
+  SELECT i.item_id, f.r, len.doc_id, sum(i.times * w.w *
+           ((1000000000 * f.tf) // (1000 * f.tf + 12 * (75 + (25 * len.n * n_docs) // n_terms)))) AS score
+  FROM i JOIN f USING (term) JOIN w USING (term) JOIN len USING (r), corpus GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+WHERE rank <= 20
+"""
+
+
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op1_language_id": (op1_language_id, None),
     "op2_toxicity": (op2_toxicity, None),
@@ -139,6 +219,9 @@ QUERIES: dict[str, tuple[QueryFn, str | None]] = {
     "op8_quality_rules": (op8_quality_rules, None),
     "op9_exact_dedup": (op9_exact_dedup, OP9_SQL),
     "op10_mixing": (op10_mixing, None),
+    "op11_divergence_audit": (op11_divergence_audit, OP11_SQL),
+    "op12_quality_classifier": (op12_quality_classifier, None),
+    "op13_lexical_search": (op13_lexical_search, OP13_SQL),
 }
 
 
