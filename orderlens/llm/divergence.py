@@ -1,11 +1,11 @@
 """Source divergence audit: which sources of a language use its terms alike, and which terms set one apart.
 
-Chunk factorization.  The task that reads a block of documents counts their blank-separated
-chunks and writes one row for each (block, group, chunk) with the documents that
-hold it.  Each globally distinct chunk is then cut into terms once, its terms are joined
-back to the rows of the chunk, and the documents of a block that reach one term through
-several chunks are merged: so a document counts once for a term, and no row per word
-or per (document, chunk) is ever shuffled.
+Chunk factorization.  The task that reads a block of documents counts the blank-separated
+chunks of each and writes one row for each (block, chunk): the document of every
+occurrence, two bytes each.  Each globally distinct chunk is then cut into terms once, its
+terms are joined back to the rows of the chunk, and a block's rows meet again, where a
+document that reaches one term through several chunks counts once.  So no row per
+word or per (document, chunk) is ever shuffled.
 
 Every group (lang, source) is compared with the other groups of its language over all
 kept terms (part ``pair``) and with the whole language term by term (part ``term``).
@@ -35,9 +35,10 @@ TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: A term is kept in a language if so many of its documents hold it.
 MIN_DOCUMENTS = 10
 TOP_TERMS = 10
-#: Text bytes of a block, whose chunks are counted together (a longer text is a block of its own).
+#: Text bytes and documents of a block, whose chunks are counted together (a longer text is a block of its own).
 BLOCK_BYTES = 24 << 20
-#: Bytes of a text that are split into words at a time.
+BLOCK_DOCUMENTS = 1 << 16
+#: Bytes of a text that are split into chunks at a time.
 PIECE_BYTES = 4 << 20
 #: Rows (term, source) of a language whose pairs are summed in one task.
 PAIR_ROWS = 200_000
@@ -64,70 +65,111 @@ def pieces(text: bytes, size: int = PIECE_BYTES):
     yield text[at:] if at else text
 
 
-class GroupCounts:
-    """Chunks of the documents of one (lang, source) within a block."""
+class Block:
+    """Documents of one block, by group."""
 
     def __init__(self):
-        self.codes: dict[bytes, int] = defaultdict()
-        self.codes.default_factory = self.codes.__len__
-        self.documents, self.code_runs, self.doc_runs = 0, [], []
-
-    def add(self, text: bytes) -> None:
-        for piece in pieces(text):
-            found = piece.split()
-            codes = np.fromiter(map(self.codes.__getitem__, found), np.int64, len(found))
-            self.code_runs.append(codes)
-            self.doc_runs.append(np.full(len(codes), self.documents, np.int64))
-        self.documents += 1
-
-    def rows(self):
-        """(chunks, first, documents, occurrences): documents[first[i]:first[i + 1]] hold chunk i."""
-        if not self.codes:
-            return [], np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
-        code, doc = np.concatenate(self.code_runs), np.concatenate(self.doc_runs)
-        held = np.unique(code * self.documents + doc)
-        occurrences = np.bincount(code, minlength=len(self.codes))
-        first = np.searchsorted(held, np.arange(len(self.codes) + 1) * self.documents)
-        return list(self.codes), first, (held % self.documents).astype(np.int32), occurrences
-
-
-BLOCK_SCHEMA = "block bigint, lang string, source string, chunk string, docs array<int>, n bigint"
+        self.documents: list[tuple[str, str, bytes]] = []
+        self.size = 0
+
+    def add(self, lang: str, source: str, text: bytes) -> None:
+        self.documents.append((lang, source, text))
+        self.size += len(text)
+
+    def full(self, text: bytes) -> bool:
+        return bool(self.documents) and (
+            self.size + len(text) > BLOCK_BYTES or len(self.documents) >= BLOCK_DOCUMENTS)
+
+    def groups(self) -> list[tuple[str, str, int]]:
+        """(lang, source, end): the sorted documents up to ``end`` are those of this group and the ones before."""
+        self.documents.sort(key=lambda d: d[:2])
+        out: list[tuple[str, str, int]] = []
+        for i, (lang, source, _) in enumerate(self.documents):
+            if out and out[-1][:2] == (lang, source):
+                out.pop()
+            out.append((lang, source, i + 1))
+        return out
+
+    def chunks(self):
+        """(chunks, first, documents): documents[first[i]:first[i + 1]] are those of the occurrences of chunk i."""
+        codes: dict[bytes, int] = defaultdict()
+        codes.default_factory = codes.__len__
+        runs, size = [np.zeros(0, np.int64)], len(self.documents)
+        for i, (_, _, text) in enumerate(self.documents):
+            for piece in pieces(text):
+                found = piece.split()
+                runs.append(np.fromiter(map(codes.__getitem__, found), np.int64, len(found)) * size + i)
+        held = np.sort(np.concatenate(runs))
+        first = np.searchsorted(held, np.arange(len(codes) + 1) * size)
+        return list(codes), first, (held % max(1, size)).astype("<u2")
+
+
+BLOCK_SCHEMA = "block bigint, chunk string, docs binary, groups array<struct<lang:string,source:string,until:int>>"
+_GROUPS = pa.list_(pa.struct([("lang", pa.string()), ("source", pa.string()), ("until", pa.int32())]))
 
 
 def count_chunks(batches):
-    """(part, lang, source, text) -> rows of BLOCK_SCHEMA."""
-    schema = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("source", pa.string()), ("chunk", pa.string()),
-                        ("docs", pa.list_(pa.int32())), ("n", pa.int64())])
-    groups: dict[tuple, GroupCounts] = defaultdict(GroupCounts)
-    size, block = 0, 0
-
-    def flush(part):
-        for (lang, source), group in groups.items():
-            chunks, first, docs, n = group.rows()
-            for lo in range(0, len(chunks), CHUNKS_PER_BATCH):
-                hi = min(lo + CHUNKS_PER_BATCH, len(chunks))
-                lists = pa.ListArray.from_arrays(pa.array(first[lo:hi + 1] - first[lo], pa.int32()),
-                                                 pa.array(docs[first[lo]:first[hi]], pa.int32()))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(hi - lo, (part << 32) + block), pa.int64()),
-                    pa.array([lang] * (hi - lo), pa.string()), pa.array([source] * (hi - lo), pa.string()),
-                    pa.array(chunks[lo:hi], pa.binary()).cast(pa.string()), lists, pa.array(n[lo:hi], pa.int64())],
-                    schema=schema)
-
-    part = 0
+    """(part, lang, source, text) -> rows (block, chunk, docs), and one row (block, groups) for each block."""
+    schema = pa.schema([("block", pa.int64()), ("chunk", pa.string()), ("docs", pa.binary()), ("groups", _GROUPS)])
+
+    def rows(block, number):
+        groups = [dict(zip(("lang", "source", "until"), g)) for g in block.groups()]
+        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([None], pa.string()),
+                                          pa.array([None], pa.binary()), pa.array([groups], _GROUPS)], schema=schema)
+        chunks, first, docs = block.chunks()
+        for lo in range(0, len(chunks), CHUNKS_PER_BATCH):
+            hi = min(lo + CHUNKS_PER_BATCH, len(chunks))
+            own = docs[first[lo]:first[hi]].tobytes()
+            ends = pa.py_buffer((2 * (first[lo:hi + 1] - first[lo])).astype(np.int32).tobytes())
+            lists = pa.Array.from_buffers(pa.binary(), hi - lo, [None, ends, pa.py_buffer(own)])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(hi - lo, number), pa.int64()), pa.array(chunks[lo:hi], pa.binary()).cast(pa.string()),
+                lists, pa.nulls(hi - lo, _GROUPS)], schema=schema)
+
+    block, number = Block(), None
     for batch in batches:
         text = batch.column(3).cast(pa.large_binary())
         langs, sources = batch.column(1).to_pylist(), batch.column(2).to_pylist()
         for i in range(batch.num_rows):
-            part = batch.column(0)[i].as_py()
+            if number is None:
+                number = batch.column(0)[i].as_py() << 32
             raw = text[i].as_py()
-            if groups and size + len(raw) > BLOCK_BYTES:
-                yield from flush(part)
-                groups.clear()
-                size, block = 0, block + 1
-            groups[langs[i], sources[i]].add(raw)
-            size += len(raw)
-    yield from flush(part)
+            if block.full(raw):
+                yield from rows(block, number)
+                block, number = Block(), number + 1
+            block.add(langs[i], sources[i], raw)
+    if block.documents:
+        yield from rows(block, number)
+
+
+def block_terms(held: pa.Table, groups: pa.Table) -> pa.Table:
+    """Rows (block, term, times, docs) of a block and its groups -> (lang, source, term, documents, n)."""
+    bounds = groups.column("groups")[0].as_py()
+    until = np.array([g["until"] for g in bounds], np.int64)
+    size = int(until[-1])
+    column = held.column("term").combine_chunks().dictionary_encode()
+    if isinstance(column, pa.ChunkedArray):
+        column = column.unify_dictionaries().combine_chunks()
+    names, code = column.dictionary, column.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    lists = held.column("docs").to_pylist()
+    occurrences = np.fromiter(map(len, lists), np.int64, len(lists)) // 2
+    doc = np.frombuffer(b"".join(lists), "<u2").astype(np.int64)
+    del lists
+    group_of = np.searchsorted(until, np.arange(size), "right")
+    key = np.repeat(code, occurrences) * size + doc
+    times = np.repeat(held.column("times").to_numpy(), occurrences)
+    order = np.argsort(key, kind="stable")
+    key, times = key[order], times[order]
+    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    cell = key[new] // size * len(until) + group_of[key[new] % size]     # ascending, as documents are by group
+    n = np.add.reduceat(times, new) if len(new) else times
+    start = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else new
+    total = np.add.reduceat(n, start) if len(start) else n
+    group = cell[start] % len(until)
+    of = lambda field: pa.array([g[field] for g in bounds], pa.string()).take(pa.array(group))
+    return pa.table({
+        "lang": of("lang"), "source": of("source"), "term": names.take(pa.array(cell[start] // len(until))).cast(pa.string()),
+        "documents": pa.array(np.diff(np.append(start, len(cell))), pa.int64()), "n": pa.array(total, pa.int64())})
 
 
 def term_counts(docs: DataFrame, scratch: Scratch, text_col: str = "text", lang_col: str = "lang",
@@ -136,14 +178,17 @@ def term_counts(docs: DataFrame, scratch: Scratch, text_col: str = "text", lang_
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     read = docs.select(F.spark_partition_id().cast("bigint").alias("part"), text(lang_col).alias("lang"),
                        text(source_col).alias("source"), text(text_col).alias("text"))
-    held = scratch.write(read.mapInArrow(count_chunks, BLOCK_SCHEMA), "chunks")
+    blocks = scratch.write(read.mapInArrow(count_chunks, BLOCK_SCHEMA), "chunks")
+    held = blocks.where(F.col("chunk").isNotNull())
     terms = held.select("chunk").distinct().select("chunk", F.explode(
         F.regexp_extract_all(lower_ascii(F.col("chunk")), F.lit(TERM), F.lit(0))).alias("term"))
     terms = terms.groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("times"))
-    back = held.join(terms, "chunk").groupBy("block", "lang", "source", "term").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("docs")))).cast("bigint").alias("documents"),
-        F.sum(F.col("n") * F.col("times")).alias("n"))
-    out = scratch.write(back.groupBy("lang", "source", "term").agg(
+    back = held.select("block", "chunk", "docs").join(terms, "chunk").select("block", "term", "times", "docs")
+    groups = blocks.where(F.col("chunk").isNull()).select(F.col("block").alias("of"), "groups")
+    # a block's rows are bounded like its text
+    counted = back.groupBy("block").cogroup(groups.groupBy("of")).applyInArrow(
+        block_terms, "lang string, source string, term string, documents bigint, n bigint")
+    out = scratch.write(counted.groupBy("lang", "source", "term").agg(
         F.sum("documents").alias("documents"), F.sum("n").alias("n")), "terms")
     scratch.drop("chunks")
     return out
