@@ -102,9 +102,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    index = exact_dedup.DigestIndex(spark, Scratch(spark, "op9").path("index"))
-    groups = exact_dedup.index_batch(docs, index, "documents")
-    return exact_dedup.membership(docs, groups).select(
+    scratch = Scratch(spark, "op9")
+    index = exact_dedup.DigestIndex(spark, scratch.path("index"))
+    counts, held = exact_dedup.load_falling(docs, index, scratch)
+    held = scratch.write(held, "held")
+    index.close()
+    return exact_dedup.membership(counts, held).select(
         F.col("id").alias("doc_id"), "keep_id", F.col("rows").alias("group_size"), "kept",
         F.col("digest").alias("text_sha256"))
 

@@ -6,6 +6,9 @@ the digests that the index does not hold (the index side is read bucket by
 bucket, without an exchange), and these are appended.  Buckets are a property
 of the table, so a later session re-opens it by path.
 
+A whole table is loaded in batches by falling id, so each batch after the first meets
+a filled index, and the row that the index holds for a text is the one with the largest id.
+
 Defined cases: null text counts as the empty text; a null id ranks below every
 other id; of fully repeated rows (same id, same text) exactly one is kept; an
 empty batch appends nothing.  Input columns other than the id and the text may
@@ -21,6 +24,9 @@ from pyspark.sql import functions as F
 
 from orderlens.llm.common import Scratch, free_name, one_of_repeats
 
+#: Batches in which a whole table is loaded.
+BATCHES = 4
+
 INDEX_SCHEMA = "digest string, keep_id bigint, rows bigint, keep_rows bigint, batch string"
 
 
@@ -58,21 +64,33 @@ class DigestIndex:
             .bucketBy(self.buckets, "digest").sortBy("digest").option("path", self.path).saveAsTable(self.name))
         staging.drop("new")
 
+    def close(self) -> None:
+        """Forget the table's entry in the catalog; its files stay at ``path`` and can be opened again."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
-def digest_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per digest: the largest id, the number of rows, and how many rows carry that id.
+
+def digest_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(digest, id, n): rows of each text and id."""
+    return docs.select(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("digest")) \
+        .groupBy("digest", "id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def groups_of(counts: DataFrame) -> DataFrame:
+    """One row per digest of (digest, id, n): the largest id, the number of rows, and how many rows carry that id.
 
     Both steps aggregate before they shuffle, so a text with a third of all rows
     reaches the second one as at most one row per task.
     """
-    per_id = docs.select(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("digest")) \
-        .groupBy("digest", "id").agg(F.count(F.lit(1)).alias("n"))
     # max(struct) orders nulls first: a null id only stays when there is no other
     best = F.max(F.struct("id", "n"))
-    return per_id.groupBy("digest").agg(best.alias("best"), F.sum("n").alias("rows")) \
+    return counts.groupBy("digest").agg(best.alias("best"), F.sum("n").alias("rows")) \
         .select("digest", F.col("best.id").alias("keep_id"), "rows", F.col("best.n").alias("keep_rows"))
 
 
+def digest_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return groups_of(digest_counts(docs, id_col, text_col))
+
+
 def index_batch(docs: DataFrame, index: DigestIndex, batch: str,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Add ``docs`` to the index; returns the digests the batch contributed."""
@@ -80,15 +98,41 @@ def index_batch(docs: DataFrame, index: DigestIndex, batch: str,
     return index.read().where(F.col("batch") == batch)
 
 
-def membership(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, digest, keep_id, rows, kept) for every row of ``docs``.
+def falling_batches(counts: DataFrame, batches: int) -> list[Column]:
+    """Conditions that part the ids into about equal batches, the largest ids first, null ids last."""
+    at = counts.agg(F.percentile_approx("id", [k / batches for k in range(1, batches)])).first()[0] or []
+    cuts = sorted(set(at), reverse=True)
+    upper, out = None, []
+    for cut in [*cuts, None]:
+        below = F.lit(True) if upper is None else F.coalesce(F.col("id") < upper, F.lit(True))
+        out.append(below if cut is None else below & F.coalesce(F.col("id") >= cut, F.lit(False)))
+        upper = cut
+    return out
+
 
-    The rows are reduced to (digest, id) with a count before the join on the
-    digest, and unfolded afterwards; only the first of fully repeated rows is kept.
+def load_falling(docs: DataFrame, index: DigestIndex, scratch: Scratch, name: str = "load", id_col: str = "doc_id",
+                 text_col: str = "text", batches: int = BATCHES) -> tuple[DataFrame, DataFrame]:
+    """Load all of ``docs`` into the index, batch by batch with falling ids.
+
+    Returns the stored (digest, id, n) of the rows and what the index took from them: one row for each digest
+    that it did not hold before.  Ids must be whole numbers.
     """
-    per_id = docs.select(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("digest")) \
-        .groupBy("digest", "id").agg(F.count(F.lit(1)).alias("n"))
-    joined = per_id.join(groups.select("digest", "keep_id", "rows"), "digest")
+    counts = scratch.write(digest_counts(docs, id_col, text_col), f"{name}-digests")
+    labels = []
+    for k, part in enumerate(falling_batches(counts, batches)):
+        labels.append(f"{name}-{k}")
+        index.append(groups_of(counts.where(part)), labels[-1])
+    return counts, index.read().where(F.col("batch").isin(labels))
+
+
+def membership(counts: DataFrame, held: DataFrame) -> DataFrame:
+    """(id, digest, keep_id, rows, kept) for every row behind ``counts``.
+
+    ``held`` has what the index holds; ``rows`` counts all rows of a text.  The rows are joined as (digest, id)
+    and unfolded afterwards; only the first of fully repeated rows is kept.
+    """
+    sizes = counts.groupBy("digest").agg(F.sum("n").alias("rows"))
+    joined = counts.join(held.select("digest", "keep_id").join(sizes, "digest"), "digest")
     return joined.select(
         "id", "digest", "keep_id", "rows",
         F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))).alias("copy"),

@@ -12,10 +12,20 @@ from orderlens.llm.common import Scratch
 WORD = re.compile("[^\x20\x09-\x0D]+")
 
 
+def indexed(spark, docs, batches=3):
+    scratch = Scratch(spark, "test")
+    index = exact_dedup.DigestIndex(spark, scratch.path("index"), 4)
+    counts, held = exact_dedup.load_falling(docs, index, scratch, batches=batches)
+    held = scratch.write(held, "held")
+    index.close()
+    assert not spark.catalog.tableExists(index.name)
+    return counts, held
+
+
 def test_exact_groups_and_index(spark, edge):
-    index = exact_dedup.DigestIndex(spark, Scratch(spark, "test").path("index"), 4)
-    groups = exact_dedup.index_batch(edge, index, "one")
-    rows = exact_dedup.membership(edge, groups).collect()
+    counts, held = indexed(spark, edge)
+    assert held.select("batch").distinct().count() > 1
+    rows = exact_dedup.membership(counts, held).collect()
     assert len(rows) == edge.count()
     by = {}
     for r in rows:
@@ -23,11 +33,26 @@ def test_exact_groups_and_index(spark, edge):
     empty = by[hashlib.sha256(b"").hexdigest()]
     assert {r["id"] for r in empty} == {4, 5, 6} and {r["keep_id"] for r in empty} == {6} and empty[0]["rows"] == 3
     assert all(sum(r["kept"] for r in g) == 1 for g in by.values())
-    kept = exact_dedup.drop_duplicates(edge, groups)
+    kept = exact_dedup.drop_duplicates(edge, held)
     assert kept.columns == edge.columns and kept.count() == len(by)
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == sorted(r["id"] or -1 for r in rows if r["kept"])
 
 
+def test_exact_result_comes_from_the_anti_join(spark, empty, monkeypatch):
+    """Copies stand in different batches; without the anti-join each batch would add its own."""
+    docs = spark.createDataFrame([(i, f"text {i % 5}") for i in range(40)] + [(None, "text 1")], "doc_id bigint, text string")
+    _, held = indexed(spark, docs, 4)
+    assert sorted((r["keep_id"], r["batch"]) for r in held.collect()) == [(i, "load-0") for i in range(35, 40)]
+    monkeypatch.setattr(exact_dedup.DigestIndex, "unseen", lambda self, groups: groups)
+    _, broken = indexed(spark, docs, 4)
+    assert broken.count() > 5
+    monkeypatch.undo()
+    counts, held = indexed(spark, empty.select("doc_id", "text"))
+    assert counts.count() == held.count() == 0
+    _, held = indexed(spark, docs.where("doc_id is null"))
+    assert [r["keep_id"] for r in held.collect()] == [None]
+
+
 def test_exact_index_over_batches(spark):
     path = Scratch(spark, "test").path("index")
     first = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id bigint, text string")
