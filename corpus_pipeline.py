@@ -15,30 +15,36 @@ from orderlens.llm.common import Scratch, table  # noqa: E402
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules and the log-likelihood ratio keep."""
+    """Documents that the rules and the log-likelihood ratio keep; null, empty and short texts go."""
     return quality.keep(docs, table(spark, sf_dir, "labels"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
-    index = exact_dedup.DigestIndex(spark, Scratch(spark, "pipeline-exact").path("index"))
-    return exact_dedup.drop_duplicates(docs, exact_dedup.index_batch(docs, index, "documents"))
+    """One document of each group of equal texts: the one that a digest index holds after it took the
+    documents in batches of falling ids.  Null text equals empty text; of repeated rows one stays."""
+    scratch = Scratch(spark, "pipeline-exact")
+    index = exact_dedup.DigestIndex(spark, scratch.path("index"))
+    _, held = exact_dedup.load_falling(docs, index, scratch)
+    held = scratch.write(held, "held")
+    index.close()
+    return exact_dedup.drop_duplicates(docs, held)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies (word 5-gram Jaccard similarity of 0.8 or more)."""
+    """One document of each class of near copies (word 5-gram Jaccard similarity of 0.8 or more); texts without
+    a word are no copies of each other."""
     return ngram_join.drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each document as the mix takes."""
+    """As many copies of each document as the mix takes; a null source is a source, a text without words goes."""
     mixed = mixing.mix(docs, F.array("source"), mixing.word_count(F.col("text")),
                        mixing.seeded_key(F.col("doc_id")), docs.columns)
     return mixed.select(*docs.columns, F.explode("copies").alias("copy_source")).select(*docs.columns)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every document, and whether they decode to its text."""
+    """Piece ids of every document, and whether they decode to its text; null text has none."""
     return piece_encoding.round_trip(docs)
 
 
