@@ -226,13 +226,13 @@ def sample(docs: DataFrame, labels: DataFrame, trainable: Column, label_col: str
     of_id = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(
         F.col(id_col).alias("id")).agg(F.max(label_col).alias("label"))
     own = docs.where(trainable).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # the number of labels bounds the number of labelled documents from above; a hash threshold
-    # leaves about twice the sample, so that only these texts are moved
+    # a hash threshold leaves the ids of about twice the sample: a bounded number, sent to where the
+    # texts are read, so that no other text is moved
     count = of_id.groupBy("label").agg(F.count(F.lit(1)).alias("of_label"))
     h = F.xxhash64("id", F.lit(9))
     drawn = of_id.join(F.broadcast(count), "label").where(
         F.pmod(h, F.lit(1 << 30)) < 2 * SAMPLE_PER_CLASS / F.col("of_label") * (1 << 30)).select("id", "label")
-    some = own.join(drawn, "id").select("label", h.alias("h"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"),
+    some = own.join(F.broadcast(drawn), "id").select("label", h.alias("h"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"),
                                         F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("raw"))
     kind = labels.schema[label_col].dataType.simpleString()
     cut = some.mapInArrow(sample_task, f"label {kind}, h bigint, digest string, pieces binary")
