@@ -50,7 +50,8 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     of_all = out.select("conv_id", F.struct(
         F.size(back).cast("bigint").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars")).alias("whole"))
-    of_each = chat_format.trained_examples(out).select("conv_id", F.struct("example", "trained").alias("one"))
+    of_each = chat_format.trained_examples(out, chat_format.examples(turns)).select(
+        "conv_id", F.struct("n", "trained").alias("one"))
     # a conversation without an example still has its row
     both = of_all.unionByName(of_each, allowMissingColumns=True).groupBy("conv_id").agg(
         F.max("whole").alias("whole"), F.sort_array(F.collect_list("one")).alias("each"))
@@ -127,7 +128,7 @@ FROM (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256,
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.mix(
-        docs, F.array("source"), mixing.word_count(F.col("text")), mixing.seeded_key(F.col("doc_id")), ["doc_id"],
+        docs, F.array("source"), mixing.word_count(F.col("text")), mixing.seeded_key(F.col("doc_id"), text=F.col("text")), ["doc_id"],
     ).select("doc_id", "size", "source_size", "target", "taken", F.size("copies").alias("copies"))
 
 

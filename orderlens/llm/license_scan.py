@@ -16,6 +16,10 @@ labels and score 0; overlapping places all count; every row gives one row.
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
+from itertools import accumulate
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +39,8 @@ NOTICES = (
     ("[mozilla] public license", "mpl", 2),
     ("[redistribution] and use in [source] and [binary] forms", "bsd", 4),
 )
+#: Bytes of candidates that are verified at once, in lengths of the notice.
+STRETCH = 8
 #: Shorter naming words (2, nc, by) must be equal: one edit makes another licence of them.
 LEAST_NAME = 3
 
@@ -80,47 +86,82 @@ class Scanner:
             n = marked.replace("[", "").replace("]", "")
             self.notices.append((n, label, k, parts(n, k), regex.compile(bounded(marked, k))))
 
-    def exact(self, words: bytes) -> list[tuple[int, str]]:
-        """(first word, label) of every place of a base phrase."""
+    def exact(self, words: bytes, blanks: list[int]) -> list[tuple[int, str]]:
+        """(first word, label) of every place of a base phrase; ``blanks``: places of the blanks."""
         found = []
         for phrase, label in self.base:
             at = words.find(phrase)
             while at >= 0:
-                found.append((words.count(b" ", 0, at), label))
+                found.append((bisect_left(blanks, at), label))
                 at = words.find(phrase, at + 1)
         return found
 
-    def fuzzy(self, words: bytes) -> list[tuple[int, int, str, float]]:
+    def fuzzy(self, words: bytes, blanks: list[int] | None = None) -> list[tuple[int, int, str, float]]:
         """(first word, last word, label, similarity) of the verified notices."""
+        blanks = places_of_blanks(words) if blanks is None else blanks
         found = []
         for notice, label, edits, seeds, pattern in self.notices:
+            # an edit adds one character, of up to four bytes
+            slack = 4 * edits + 1
             ranges = []
             for offset, seed in seeds:
                 at = words.find(seed)
                 while at >= 0:
-                    # an edit adds one character, of up to four bytes
-                    ranges.append((max(0, at - offset - 4 * edits - 1), at - offset + len(notice) + 4 * edits + 1))
+                    ranges.append((max(0, at - offset - slack), min(len(words), at - offset + len(notice) + slack)))
                     at = words.find(seed, at + 1)
             for lo, hi in merged(ranges):
-                # bytes of a cut character become one replacement character, never part of a match
-                window = words[lo:hi].decode("utf-8", "replace")
-                for start, stop, errors in places(pattern, window):
-                    first = lo + len(window[:start].encode())
-                    last = lo + len(window[:stop].encode())
-                    similarity = 1 - errors / len(notice)
-                    found.append((words.count(b" ", 1, first + 1), words.count(b" ", 1, max(last - 1, 1)), label, similarity))
+                for first, last, errors in stretches(pattern, words, lo, hi, len(notice) + 2 * slack):
+                    found.append((bisect_left(blanks, first) - 1, bisect_left(blanks, last) - 1, label,
+                                  1 - errors / len(notice)))
         return found
 
 
+def places_of_blanks(words: bytes) -> list[int]:
+    return [m.start() for m in re.finditer(rb" ", words)]
+
+
+def stretches(pattern, words: bytes, lo: int, hi: int, longest: int):
+    """(first byte, end byte, errors) of the matches in words[lo:hi].
+
+    A long run of candidates is verified in stretches of a few lengths of a match, so its cost grows with
+    its length.  A match that reaches into the last ``longest`` bytes of a stretch is left to the next one, which
+    begins there or behind the last match taken.
+    """
+    while lo < hi:
+        lo = whole_character(words, lo, 1)
+        end = whole_character(words, min(hi, lo + STRETCH * longest), -1)
+        if end <= lo:
+            break
+        window = words[lo:end].decode("utf-8", "replace")
+        # byte offsets of the characters, where the window is not plain
+        at = None if len(window) == end - lo else [0, *accumulate(len(c.encode()) for c in window)]
+        limit = end if end >= hi - 3 else end - longest
+        nearest = limit
+        for start, stop, errors in places(pattern, window):
+            first, last = (lo + start, lo + stop) if at is None else (lo + at[start], lo + at[stop])
+            if last <= limit:
+                yield first, last, errors
+            elif first < limit:
+                nearest = min(nearest, first)
+        lo = hi if limit == end else nearest - 1 if nearest - 1 > lo else limit
+
+
+def whole_character(words: bytes, at: int, step: int) -> int:
+    """The nearest place from ``at`` on that is no inner byte of a character."""
+    while 0 < at < len(words) and words[at] & 0xC0 == 0x80:
+        at += step
+    return at
+
+
 def places(pattern, window: str) -> list[tuple[int, int, int]]:
     """(start, end, errors) of the best match, then of the best ones left and right of it, and so on."""
     found, todo = [], [(0, len(window))]
     while todo:
         lo, hi = todo.pop()
-        m = pattern.search(window[lo:hi])
+        m = pattern.search(window, lo, hi)
         if m and m.end() > m.start():
-            found.append((lo + m.start(), lo + m.end(), sum(m.fuzzy_counts)))
-            todo += [(lo, lo + m.start()), (lo + m.end(), hi)]
+            found.append((m.start(), m.end(), sum(m.fuzzy_counts)))
+            todo += [(lo, m.start()), (m.end(), hi)]
     return sorted(found)
 
 
@@ -147,13 +188,14 @@ def scan_task(columns: list[str]):
             out: list[tuple] = []
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 words = normalise(text)
-                places, near = scanner.exact(words), scanner.fuzzy(words)
+                blanks = places_of_blanks(words)
+                places, near = scanner.exact(words, blanks), scanner.fuzzy(words, blanks)
                 base = sorted({label for _, label in places})
                 every = sorted({*base, *(x[2] for x in near)})
                 starts = [p for p, _ in places]
                 spans = [dict(first_word=a, last_word=b, label=c, similarity=s) for a, b, c, s in sorted(near)]
                 best = 1.0 if places else max((x[3] for x in near), default=0.0)
-                out.append((len(words.split()), len(places), min(starts, default=None), max(starts, default=None),
+                out.append((len(blanks) - 1 if len(words) > 2 else 0, len(places), min(starts, default=None), max(starts, default=None),
                             ",".join(base), ",".join(every), best, spans))
             cols = list(zip(*out)) if out else [()] * 8
             kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), _SPAN]

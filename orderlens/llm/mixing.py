@@ -62,19 +62,23 @@ def route(words: list[int], members: list[list[int]], quotas: list[int], times:
     """Flow from pattern p to each of its sources: as much of the quotas as can be
     met, at least total cost, where the k-th pass over a pattern costs k a word.
 
-    Successive shortest paths with potentials; each augmentation saturates an arc.
+    Primal-dual: shortest distances give potentials, and a blocking flow then saturates every
+    path of that cost at once.  Passes cost 0 to ``times - 1``, so there are few different costs.
     """
     n_p, n_s = len(words), len(quotas)
     sink = 1 + n_p + n_s
-    arcs: list[list] = []          # [to, capacity, cost, reverse arc]
+    to: list[int] = []             # arc i and i ^ 1 are each other's reverse
+    room: list[int] = []
+    price: list[int] = []
     out: list[list[int]] = [[] for _ in range(sink + 1)]
 
     def arc(a, b, capacity, cost):
-        out[a].append(len(arcs))
-        arcs.append([b, capacity, cost, len(arcs) + 1])
-        out[b].append(len(arcs))
-        arcs.append([a, 0, -cost, len(arcs) - 1])
-        return len(arcs) - 2
+        out[a].append(len(to))
+        out[b].append(len(to) + 1)
+        to.extend((b, a))
+        room.extend((capacity, 0))
+        price.extend((cost, -cost))
+        return len(to) - 2
 
     links: list[dict[int, int]] = []
     for p in range(n_p):
@@ -85,34 +89,72 @@ def route(words: list[int], members: list[list[int]], quotas: list[int], times:
         arc(1 + n_p + s, sink, quotas[s], 0)
 
     potential = [0] * (sink + 1)
-    while True:
+
+    def distances():
         dist: list = [None] * (sink + 1)
-        back: list = [None] * (sink + 1)
         dist[0], heap = 0, [(0, 0)]
         while heap:
             d, a = heapq.heappop(heap)
             if d > dist[a]:
                 continue
             for i in out[a]:
-                b, capacity, cost, _ = arcs[i]
-                if capacity > 0:
-                    nd = d + cost + potential[a] - potential[b]
+                if room[i] > 0:
+                    b = to[i]
+                    nd = d + price[i] + potential[a] - potential[b]
                     if dist[b] is None or nd < dist[b]:
-                        dist[b], back[b] = nd, i
+                        dist[b] = nd
                         heapq.heappush(heap, (nd, b))
+        return dist
+
+    def levels():
+        """Arcs between nodes on the cheapest paths, by breadth."""
+        level = [-1] * (sink + 1)
+        level[0], queue = 0, [0]
+        for a in queue:
+            for i in out[a]:
+                b = to[i]
+                if room[i] > 0 and level[b] < 0 and price[i] + potential[a] == potential[b]:
+                    level[b] = level[a] + 1
+                    queue.append(b)
+        return level
+
+    def block(level):
+        """Push along paths of rising level until none is left; each node goes through its arcs once."""
+        nxt, path, a = [0] * (sink + 1), [], 0
+        while True:
+            if a == sink:
+                push = min(room[i] for i in path)
+                for i in path:
+                    room[i] -= push
+                    room[i ^ 1] += push
+                # back to the first arc that is full
+                keep = next(k for k, i in enumerate(path) if room[i] == 0)
+                a = to[path[keep] ^ 1]
+                del path[keep:]
+                continue
+            while nxt[a] < len(out[a]):
+                i = out[a][nxt[a]]
+                b = to[i]
+                if room[i] > 0 and level[b] == level[a] + 1 and price[i] + potential[a] == potential[b]:
+                    path.append(i)
+                    a = b
+                    break
+                nxt[a] += 1
+            else:
+                if not path:
+                    return
+                a = to[path.pop() ^ 1]
+                nxt[a] += 1
+
+    while True:
+        dist = distances()
         if dist[sink] is None:
             break
         far = max(d for d in dist if d is not None)
         potential = [v + (far if d is None else d) for v, d in zip(potential, dist)]
-        path, a = [], sink
-        while a != 0:
-            path.append(back[a])
-            a = arcs[arcs[back[a]][3]][0]
-        push = min(arcs[i][1] for i in path)
-        for i in path:
-            arcs[i][1] -= push
-            arcs[arcs[i][3]][1] += push
-    return [{s: arcs[arcs[i][3]][1] for s, i in d.items()} for d in links]
+        while (level := levels())[sink] >= 0:
+            block(level)
+    return [{s: room[i ^ 1] for s, i in d.items()} for d in links]
 
 
 def mix(docs: DataFrame, members: Column, size: Column, order_key: Column, carry: list[str],
@@ -202,6 +244,7 @@ def word_count(text: Column) -> Column:
     return F.size(words(text)).cast("bigint")
 
 
-def seeded_key(id_col: Column, seed: int = 0) -> Column:
-    """Order of the documents: hex digest of seed and id."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit(""))))
+def seeded_key(id_col: Column, seed: int = 0, text: Column | None = None) -> Column:
+    """Order of the documents: hex digest of seed and id; a document without an id goes by its text."""
+    instead = F.lit("") if text is None else F.concat(F.lit("text "), F.sha2(F.coalesce(text, F.lit("")), 256))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), instead)))

@@ -125,18 +125,20 @@ def test_chat_round_trip(spark):
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("n", F.lit(1))
     out = chat_format.format_conversations(df)
     got = {r["conv_id"]: r for r in out.select(
-        "conv_id", "formatted", chat_format.read_turns(F.col("formatted")).alias("turns"),
-        chat_format.trained_text(F.col("formatted"), F.col("examples")).alias("trained")).collect()}
+        "conv_id", "formatted", chat_format.read_turns(F.col("formatted")).alias("turns")).collect()}
+    made = chat_format.examples(df)
+    trained = {}
+    for r in sorted(chat_format.trained_examples(out, made).collect(), key=lambda r: r["n"]):
+        trained[r["conv_id"]] = trained.get(r["conv_id"], "") + r["trained"]
     for conv in {r[0] for r in rows}:
         mine = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))
         assert [(t["role"], t["text"]) for t in got[conv]["turns"]] == [(r[2] or "", r[3] or "") for r in mine]
-        assert got[conv]["trained"] == "".join(r[3] or "" for r in mine if r[2] == "assistant")
-    examples = {(r["conv_id"], r["example"]): r for r in chat_format.expand(out).collect()}
-    assert len(examples) == sum(r[2] == "assistant" for r in rows)
-    for (conv, k), e in examples.items():
+        assert trained.get(conv, "") == "".join(r[3] or "" for r in mine if r[2] == "assistant")
+    written = {(r["conv_id"], r["n"]): r for r in chat_format.write_out(out, made).collect()}
+    assert len(written) == sum(r[2] == "assistant" for r in rows)
+    for (conv, n), e in written.items():
         whole = got[conv]["formatted"]
-        assert whole.startswith(e["context"] + e["target"])
-        assert e["context"].count(chat_format.OPEN) == whole[:e["loss_start"]].count(chat_format.OPEN) - 1
+        assert whole.startswith(e["context"] + e["target"]) and e["context"].count(chat_format.OPEN) == n - 1
     assert chat_format.format_conversations(df.limit(0)).count() == 0
 
 
@@ -149,13 +151,27 @@ def test_chat_query_on_the_given_table(spark, small):
 
 def test_chat_query_builds_and_reads_every_example(spark, small, monkeypatch):
     want = {r["conv_id"]: r for r in catalog.op4_chat_format(spark, small).collect()}
-    expand = chat_format.expand
-    short = F.when(F.col("conv_id") == -7, F.lit("")).otherwise(F.col("context"))
-    monkeypatch.setattr(chat_format, "expand", lambda *a: expand(*a).withColumn("context", short))
-    got = {r["conv_id"]: r for r in catalog.op4_chat_format(spark, small).collect()}
-    # an example that lost its context does not count
-    assert want[-7]["n_examples"] == 1 and got[-7]["n_examples"] == got[-7]["loss_chars"] == 0
-    assert all(got[c] == want[c] for c in want if c != -7)
+    examples = chat_format.examples
+    for column, wrong in (("context_digest", F.lit("0-0")), ("context_length", F.col("context_length") + 1)):
+        broken = F.when(F.col("conv_id") == -7, wrong).otherwise(F.col(column))
+        monkeypatch.setattr(chat_format, "examples", lambda t: examples(t).withColumn(column, broken))
+        got = {r["conv_id"]: r for r in catalog.op4_chat_format(spark, small).collect()}
+        # an example that lost its context does not count
+        assert want[-7]["n_examples"] == 1 and got[-7]["n_examples"] == got[-7]["loss_chars"] == 0
+        assert all(got[c] == want[c] for c in want if c != -7)
+
+
+def test_long_conversations_cost_no_square(spark):
+    """The stored output of a conversation of 4,000 turns is about four times that of 1,000."""
+    sizes = []
+    for turns in (1000, 4000):
+        df = spark.range(turns).select(
+            F.lit(1).alias("conv_id"), F.col("id").alias("turn"),
+            F.when(F.col("id") % 2 == 1, "assistant").otherwise("user").alias("role"), F.repeat(F.lit("é<"), 50).alias("text"))
+        out, made = chat_format.format_conversations(df), chat_format.examples(df)
+        assert chat_format.trained_examples(out, made).where(F.length("trained") == 100).count() == turns // 2
+        sizes.append(made.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] + out.agg(F.sum(F.length("formatted"))).first()[0])
+    assert 3.9 < sizes[1] / sizes[0] < 4.2
 
 
 # --- licences ---------------------------------------------------------------------
@@ -221,6 +237,46 @@ def test_close_notices_and_wide_characters_are_found():
     assert [c for *_, c, _ in scan("aa " + ends + " bb")] == ["mit"]
 
 
+def test_long_runs_of_notices_are_all_found_in_linear_time(monkeypatch):
+    import time
+    scanner = license_scan.Scanner()
+    took = []
+    for repeats in (2_000, 8_000):
+        words = license_scan.normalise("licensed undr cc by nc 4 é " * repeats)
+        start = time.process_time()
+        found = scanner.fuzzy(words)
+        places = scanner.exact(words, license_scan.places_of_blanks(words))
+        took.append(time.process_time() - start)
+        assert [(a, b) for a, b, c, _ in found] == [(7 * k, 7 * k + 5) for k in range(repeats)]
+        assert [p for p, _ in places] == [7 * k + 2 for k in range(repeats)]
+    assert took[1] < 8 * took[0]
+    # stretches of any length give the places that one whole window gives
+    text = "licensed under cc by nc 4 xx gnu generl public license licensed undr cc by nc 4 " * 5 + "日本 gnu general publc license"
+    whole = None
+    for stretch in (1000, 8, 3, 2):
+        monkeypatch.setattr(license_scan, "STRETCH", stretch)
+        got = scanner.fuzzy(license_scan.normalise(text))
+        whole = whole or got
+        assert sorted(got) == sorted(whole) and len(got) == 16
+
+
+def test_license_base_columns_equal_brute_force(spark, small):
+    """Whole ``documents``: words, places of base phrases and base labels, counted word by word."""
+    docs = spark.read.parquet(f"{small.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text")
+    word = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    lower = {c: c + 32 for c in range(65, 91)}
+    got = {r["doc_id"]: r for r in license_scan.scan(docs).collect()}
+    phrases = [(p.split(), label) for p, label in license_scan.BASE]
+    for r in docs.collect():
+        w = word.findall((r["text"] or "").translate(lower))
+        places = [(i, label) for i in range(len(w)) for p, label in phrases if w[i:i + len(p)] == p]
+        g, at = got[r["doc_id"]], [i for i, _ in places]
+        base = {label for _, label in places}
+        assert (g["n_words"], g["n_base"], g["first_word"], g["last_word"], g["base_labels"]) == (
+            len(w), len(places), min(at, default=None), max(at, default=None), ",".join(sorted(base)))
+        assert base <= set(g["labels"].split(",")) and 0 <= g["score"] <= 1 and (g["score"] == 1) >= bool(places)
+
+
 # --- language and toxicity ----------------------------------------------------------
 
 def test_language_held_out_accuracy(spark, edge, empty):
