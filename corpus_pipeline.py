@@ -39,7 +39,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many copies of each document as the mix takes; a null source is a source, a text without words goes."""
     mixed = mixing.mix(docs, F.array("source"), mixing.word_count(F.col("text")),
-                       mixing.seeded_key(F.col("doc_id")), docs.columns)
+                       mixing.seeded_key(F.col("doc_id"), text=F.col("text")), docs.columns)
     return mixed.select(*docs.columns, F.explode("copies").alias("copy_source")).select(*docs.columns)
 
 
