@@ -183,14 +183,19 @@ def term_counts(docs: DataFrame, scratch: Scratch, text_col: str = "text", lang_
     terms = held.select("chunk").distinct().select("chunk", F.explode(
         F.regexp_extract_all(lower_ascii(F.col("chunk")), F.lit(TERM), F.lit(0))).alias("term"))
     terms = terms.groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("times"))
-    back = held.select("block", "chunk", "docs").join(terms, "chunk").select("block", "term", "times", "docs")
-    groups = blocks.where(F.col("chunk").isNull()).select(F.col("block").alias("of"), "groups")
+    back = scratch.write(
+        held.select("block", "chunk", "docs").join(terms, "chunk").select("block", "term", "times", "docs"), "back")
+    groups = scratch.write(blocks.where(F.col("chunk").isNull()).select(F.col("block").alias("of"), "groups"), "blocks")
+    # the shuffles of the join go before those of the next step begin
+    scratch.drop("chunks")
+    scratch.release()
     # a block's rows are bounded like its text
     counted = back.groupBy("block").cogroup(groups.groupBy("of")).applyInArrow(
         block_terms, "lang string, source string, term string, documents bigint, n bigint")
     out = scratch.write(counted.groupBy("lang", "source", "term").agg(
         F.sum("documents").alias("documents"), F.sum("n").alias("n")), "terms")
-    scratch.drop("chunks")
+    scratch.drop("back", "blocks")
+    scratch.release()
     return out
 
 
