@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from orderlens.functions.flags import flag_robust
 from orderlens.functions.numeric import exact_mean, money, try_num
@@ -11,6 +11,7 @@ from orderlens.functions.timefn import SALES_TS_FORMATS, SIGNUP_TS_FORMATS, pars
 from orderlens.operators.common import dedup_first, group_lookup, long_rows
 from orderlens.operators.quantiles import quantiles_row
 from orderlens.params import Params
+from orderlens.session import observed
 
 SALES_KEY = ["order_id", "buyer_id", "sku_id"]
 
@@ -36,27 +37,29 @@ def typed_sales(raw: DataFrame) -> DataFrame:
 def clean_sales(raw: DataFrame, params: Params = Params(), keep=None) -> tuple[DataFrame, DataFrame]:
     """CS11: returns ``(sales_clean, audit)``; audit is long ``(metric, value)``.
 
-    ``keep`` (optional ``DataFrame -> DataFrame``) cuts lineage before the
+    ``keep`` (optional ``DataFrame -> DataFrame`` that writes) cuts lineage before the
     quantile cap, so the cap's scalar subquery scans one stored column
-    instead of re-running parsing and de-duplication.
+    instead of re-running parsing and de-duplication.  The counters of the audit are then
+    observed while that table is written; without it they are queries of their own.
     """
     df = stripped_sales(raw)
-    _, branch = parse_ts("order_datetime", SALES_TS_FORMATS, with_branch=True)  # CS4
-    audit_parse = long_rows(df, {                                             # CS5
-        "datetime_strict_parsed_count": F.count_if(branch == 0),
-        "datetime_fallback_parsed_count": F.count_if(branch > 0),
-        "datetime_unparsed_dropped_count": F.count_if(branch.isNull()),
-    })
-    df = df.withColumn("order_datetime", parse_ts("order_datetime", SALES_TS_FORMATS))
-    df = df.where(F.col("order_datetime").isNotNull())                       # CS6
+    ts, branch = parse_ts("order_datetime", SALES_TS_FORMATS, with_branch=True)  # CS4
+    df = df.withColumns({"order_datetime": ts, "_branch": branch})
+    parse_counts = {                                                          # CS5
+        "datetime_strict_parsed_count": F.count(F.when(F.col("_branch") == 0, 1)),
+        "datetime_fallback_parsed_count": F.count(F.when(F.col("_branch") > 0, 1)),
+        "datetime_unparsed_dropped_count": F.count(F.when(F.col("_branch").isNull(), 1)),
+    }
+    df, audit_parse = counted(df, parse_counts, keep is not None)
+    df = df.drop("_branch").where(F.col("order_datetime").isNotNull())       # CS6
     if params.sales_date_bounds:
         lo, hi = params.sales_date_bounds
         df = df.where(F.col("order_datetime").between(F.lit(lo).cast("timestamp_ntz"),
                                                       F.lit(hi).cast("timestamp_ntz")))
     df = dedup_first(df, SALES_KEY, ["_ord"])                                # CS7
     df = df.withColumn("quantity", try_num("quantity"))                      # CS8
-    audit_qty = long_rows(df, {"invalid_quantity_dropped_count":
-                               F.count_if(F.col("quantity").isNull() | (F.col("quantity") <= 0))})
+    df, audit_qty = counted(df, {"invalid_quantity_dropped_count": F.count(F.when(
+        F.col("quantity").isNull() | (F.col("quantity") <= 0), 1))}, keep is not None)
     df = df.where(F.col("quantity") > 0)
     df = df.withColumn("sku_id", norm_key("sku_id"))                         # CS10
     if keep is not None:
@@ -64,7 +67,24 @@ def clean_sales(raw: DataFrame, params: Params = Params(), keep=None) -> tuple[D
     df = cap_at_quantile(df, "quantity", params.quantity_cap_quantile, params.quantity_cap_floor)  # CS9
     audit_cap = long_rows(df, {"quantity_cap_value": F.max("quantity_cap_value"),
                                "quantity_capped_row_count": F.count_if("quantity_was_capped")})
-    return df, audit_parse.unionByName(audit_qty).unionByName(audit_cap)
+    return df, audit_parse().unionByName(audit_qty()).unionByName(audit_cap)
+
+
+def counted(df: DataFrame, metrics: dict[str, F.Column], observe: bool):
+    """``df``, and a function that gives its metrics as long rows.
+
+    With ``observe`` they are collected by the next write of ``df`` and what is derived from it, and the function
+    must be called after it; otherwise they are an aggregate of their own.
+    """
+    if not observe:
+        return df, lambda: long_rows(df, metrics)
+    seen = Observation()
+    spark = df.sparkSession
+
+    def rows():
+        got = observed(seen)
+        return spark.createDataFrame([(k, float(got.get(k) or 0)) for k in metrics], "metric string, value double")
+    return df.observe(seen, *[c.alias(k) for k, c in metrics.items()]), rows
 
 
 def cap_at_quantile(df: DataFrame, col: str, q: float = 0.999, floor_value: float = 3.0) -> DataFrame:

@@ -6,8 +6,8 @@ six metric tables -> lineage registry check -> run audit.
 
 Inputs are either the CSV exports (``--sales --buyers --products``) or the
 driver star schema (``--sf``).  Every output is written under ``--out``; the
-previous profile snapshot found there is the drift baseline (stateful across
-runs, as the reference's EDA step).
+newest committed profile there is the drift baseline; every run commits a profile
+of its own (``sinks.snapshots``), so a run that dies leaves the baseline as it was.
 
     python -m orderlens.plans.batch --sf /root/testdata/sf0.01 --out /shared/run
 """
@@ -23,8 +23,8 @@ from orderlens.operators import metrics as M, profile as PF, quality as Q
 from orderlens.params import TESTBED, Params
 from orderlens.plans.pipeline import Pipeline
 from orderlens.session import materialize_table
-from orderlens.sinks import run_audit, write_metrics, write_report, write_table
-from orderlens.sources.files import read_buyers, read_products, read_profile_snapshot, read_registry, read_sales
+from orderlens.sinks import SnapshotStore, run_audit, write_metrics, write_report, write_table
+from orderlens.sources.files import read_buyers, read_products, read_registry, read_sales
 
 REGISTRY = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "metadata", "derived_fields.json")
 
@@ -57,16 +57,14 @@ def run_batch(p: Pipeline, out: str, formats=("parquet", "csv")) -> dict[str, Da
     write_report(Q.quality_summary(p.buyers, p.sales, p.products, p.lines, p.orders), f"{out}/reports/data_quality_summary")
     written["quality"] = rules
 
-    snap_path = f"{out}/processed/eda/profile_snapshot"                  # step 8, stateful
-    previous = read_profile_snapshot(spark, snap_path)
-    if previous is not None:
-        # the snapshot is overwritten below: read it into a written copy first
-        previous = materialize_table(previous, "profile-previous")
-    # rules, profile and raw rules are read twice each: report and gate, drift and snapshot
-    profile = materialize_table(PF.eda_summary(p.buyers, p.sales, p.sales_audit, p.products, p.lines, p.orders), "profile")
+    # step 8, stateful: the profile is compared with the newest version before, then becomes the newest itself
+    store = SnapshotStore(spark, f"{out}/processed/eda/profile")
+    previous = store.read()
+    writer = store.stage(PF.eda_summary(p.buyers, p.sales, p.sales_audit, p.products, p.lines, p.orders))
+    profile = spark.read.parquet(f"{store.folder}/data/{writer}")
     drift = PF.drift(profile, previous)
     write_report(drift, f"{out}/processed/eda/drift_report")
-    profile.write.mode("overwrite").parquet(snap_path)
+    store.commit(writer)
     written["profile"] = profile
 
     metrics = M.build_metrics(p.orders, p.params)                        # step 9
@@ -77,18 +75,27 @@ def run_batch(p: Pipeline, out: str, formats=("parquet", "csv")) -> dict[str, Da
     write_report(lineage, f"{out}/reports/metadata_validation")
     written["lineage"] = lineage
 
-    gate_raw = raw.agg(F.coalesce(F.bool_and(F.when(F.col("severity").isin("HIGH", "CRITICAL"), F.col("passed"))),
-                                  F.lit(True))).first()[0]
-    gate = Q.gate(rules).first()[0]
-    audit = run_audit({"sales_raw": p.sales_raw, "buyers_raw": p.buyers_raw, "products_raw": p.products_raw,
-                       "sales_clean": p.sales, "buyers_clean": p.buyers, "products_clean": p.products,
-                       "final_line_level": p.prepared_lines, "order_level": p.orders},
-                      {"sales_raw": gate_raw, "order_level": gate})      # step 11
-    write_report(audit.withColumn("params", F.lit(str(p.params.as_dict()))), f"{out}/reports/processing_log")
+    audit = stage_audit(p, raw.unionByName(rules))                       # step 11
+    write_report(audit, f"{out}/reports/processing_log")
     written["audit"] = audit
     return written
 
 
+# The stages of the run audit, the severities that decide whether each passes, and the
+# rule sets that go by another name.
+RAW_GATE, CLEAN_GATE = ("HIGH", "CRITICAL"), ("HIGH", "MEDIUM")
+STAGE_GATES = {"sales_raw": RAW_GATE, "buyers_raw": RAW_GATE, "products_raw": RAW_GATE, "sales_clean": CLEAN_GATE,
+               "buyers_clean": CLEAN_GATE, "products_clean": CLEAN_GATE, "final_line": CLEAN_GATE, "order_level": CLEAN_GATE}
+RULES_OF_STAGE = {"cross_dataset": "sales_raw", "final_dataset_line": "final_line"}
+
+
+def stage_audit(p: Pipeline, rules: DataFrame) -> DataFrame:
+    """SNK4 of a pipeline: rows counted by the writes, pass flags of the rule rows, settings."""
+    stage = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in RULES_OF_STAGE.items() for x in kv]), F.col("dataset")),
+                       F.col("dataset"))
+    return run_audit(rules.sparkSession, p.stage_rows(), rules.withColumn("dataset", stage), STAGE_GATES, p.params.as_dict())
+
+
 def pipeline_from_csv(spark: SparkSession, sales: str, buyers: str, products: str, params: Params,
                       flags: str = "robust") -> Pipeline:
     return Pipeline(read_sales(spark, sales), read_buyers(spark, buyers), read_products(spark, products),

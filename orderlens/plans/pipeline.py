@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from orderlens.operators import clean, lines as lines_op, orders as orders_op
 from orderlens.params import TESTBED, Params
-from orderlens.session import materialize_table
+from orderlens.session import materialize_table, observed
 from orderlens.sources.testbed import Testbed
 
 
@@ -23,6 +23,8 @@ class Pipeline:
     params: Params = Params()
     flags: str = "robust"
     materialize: bool = False
+    #: Rows of every stage written so far, and of the raw tables behind them, counted by the writes themselves.
+    rows: dict[str, int] = field(default_factory=dict)
 
     @classmethod
     def from_testbed(cls, spark: SparkSession, sf_dir: str, params: Params = TESTBED,
@@ -30,16 +32,44 @@ class Pipeline:
         tb = Testbed(spark, sf_dir)
         return cls(tb.sales_raw(), tb.buyers_raw(), tb.products_raw(), params, materialize=materialize)
 
-    def _keep(self, df: DataFrame, name: str, partition_by=()) -> DataFrame:
+    def _keep(self, df: DataFrame, name: str, partition_by=(), raw: Observation | None = None) -> DataFrame:
         """Stage tables are written once (shared checkpoint folder) when
         ``materialize`` is set, so each downstream branch scans Parquet
-        (pruned to the columns it needs) instead of recomputing the stage."""
-        return materialize_table(df, name, partition_by) if self.materialize else df
+        (pruned to the columns it needs) instead of recomputing the stage.
+        The write counts the stage's rows, and those of the ``raw`` table it reads."""
+        if not self.materialize:
+            return df
+        seen = Observation()
+        out = materialize_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), name, partition_by)
+        self.rows[name] = observed(seen).get("rows") or 0
+        if raw is not None:
+            self.rows[f"{name}:raw"] = observed(raw).get("rows") or 0
+        return out
+
+    def _counted(self, raw: DataFrame) -> tuple[DataFrame, Observation | None]:
+        """A raw table whose rows the write of the stage behind it counts.  They are counted in tasks ahead of a shuffle:
+        a task that runs again after a lost executor counts its rows again (those of stages are never counted twice)."""
+        if not self.materialize:
+            return raw, None
+        seen = Observation()
+        return raw.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+    def stage_rows(self) -> dict[str, int]:
+        """Rows of all stages (written where they are not yet)."""
+        if not self.materialize:
+            raise ValueError("stages are counted while they are written: materialize the pipeline")
+        for stage in (self.sales, self.products, self.buyers, self.lines, self.orders):
+            assert stage is not None
+        of = {"sales_raw": "sales_dedup:raw", "buyers_raw": "buyers_clean:raw", "products_raw": "products_clean:raw",
+              "sales_clean": "sales_dedup", "buyers_clean": "buyers_clean", "products_clean": "products_clean",
+              "final_line": "line_fact", "order_level": "order_level"}
+        return {stage: self.rows[table] for stage, table in of.items()}
 
     @cached_property
     def _sales(self):
-        keep = (lambda d: self._keep(d, "sales_dedup")) if self.materialize else None
-        return clean.clean_sales(self.sales_raw, self.params, keep=keep)
+        raw, seen = self._counted(self.sales_raw)
+        keep = (lambda d: self._keep(d, "sales_dedup", raw=seen)) if self.materialize else None
+        return clean.clean_sales(raw, self.params, keep=keep)
 
     @property
     def sales(self) -> DataFrame:
@@ -52,11 +82,13 @@ class Pipeline:
     @cached_property
     def products(self) -> DataFrame:
         # read by the line join, the product rules, profiles and the audit: written once
-        return self._keep(clean.clean_products(self.products_raw, self.params, self.flags), "products_clean")
+        raw, seen = self._counted(self.products_raw)
+        return self._keep(clean.clean_products(raw, self.params, self.flags), "products_clean", raw=seen)
 
     @cached_property
     def buyers(self) -> DataFrame:
-        return self._keep(clean.clean_buyers(self.buyers_raw, self.sales, self.params), "buyers_clean")
+        raw, seen = self._counted(self.buyers_raw)
+        return self._keep(clean.clean_buyers(raw, self.sales, self.params), "buyers_clean", raw=seen)
 
     @cached_property
     def lines(self) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 from orderlens.operators import metrics as M, quality as Q
@@ -9,7 +10,6 @@ from orderlens.params import TESTBED as P
 from orderlens.plans import oracle as O, oracle_dq as S
 from orderlens.plans.catalog import pipeline, register
 from orderlens.plans.queries_core import Q2_SELECT, Q4_SQL, Q5_SQL
-from orderlens.sinks import run_audit
 from orderlens.sources.files import read_registry
 
 REGISTRY = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "metadata", "derived_fields.json")
@@ -91,14 +91,26 @@ def dq19b(spark, sf):
     return Q.peak_dates(pipeline(spark, sf).orders)
 
 
-@register("snk4_run_audit", O.with_base("""
-SELECT * FROM (VALUES ('sales_raw', (SELECT count(*) FROM sales_raw)), ('buyers_raw', (SELECT count(*) FROM buyers_raw)),
-  ('products_raw', (SELECT count(*) FROM products_raw)), ('sales_clean', (SELECT count(*) FROM sales_clean)),
-  ('buyers_clean', (SELECT count(*) FROM buyers_clean)), ('products_clean', (SELECT count(*) FROM products_clean)),
-  ('final_line', (SELECT count(*) FROM line_fact)), ('order_level', (SELECT count(*) FROM order_level))) v(stage, rows),
-  (SELECT CAST(NULL AS BOOLEAN) AS passed)"""))
+def _snk4_sql() -> str:
+    from orderlens.plans import batch
+    from orderlens.plans import queries_quality  # noqa: F401  (the rule queries must be registered)
+    from orderlens.plans.queries_profile import _body
+
+    rules = "\nUNION ALL ".join(f"SELECT dataset, severity, passed FROM ({_body(k)}) r{i}" for i, k in enumerate(
+        ["dq4_buyers_raw_rules", "dq5_sales_raw_rules", "dq6_products_raw_rules", "dq7_cross_dataset_rules", "dq14_quality_report"]))
+    tables = {s: "line_fact" if s == "final_line" else s for s in batch.STAGE_GATES}
+    settings = json.dumps(P.as_dict(), sort_keys=True).replace("'", "''")
+    parts = [f"""SELECT '{stage}' AS stage, (SELECT count(*) FROM {table}) AS rows,
+       count_if(severity IN {batch.STAGE_GATES[stage]} AND NOT passed) = 0 AS passed,
+       count_if(severity IN {batch.STAGE_GATES[stage]} AND NOT passed) AS failed_rules, '{settings}' AS settings
+FROM rules WHERE CASE dataset WHEN 'cross_dataset' THEN 'sales_raw' WHEN 'final_dataset_line' THEN 'final_line' ELSE dataset END = '{stage}'"""
+             for stage, table in tables.items()]
+    return f", rules AS ({rules})\n" + "\nUNION ALL ".join(parts)
+
+
+@register("snk4_run_audit", O.with_base(_snk4_sql()))
 def snk4(spark, sf):
+    from orderlens.plans import batch
     p = pipeline(spark, sf)
-    return run_audit({"sales_raw": p.sales_raw, "buyers_raw": p.buyers_raw, "products_raw": p.products_raw,
-                      "sales_clean": p.sales, "buyers_clean": p.buyers, "products_clean": p.products,
-                      "final_line": p.lines, "order_level": p.orders})
+    return batch.stage_audit(p, batch.raw_rules(p).unionByName(
+        Q.run_quality(p.buyers, p.sales, p.products, p.lines, p.orders, p.params)))

@@ -11,6 +11,8 @@ from orderlens.operators.orders import ORDER_COLUMNS
 from orderlens.params import TESTBED as P
 from orderlens.plans import oracle as O
 from orderlens.plans.catalog import pipeline, register
+from orderlens.session import temporary_folder
+from orderlens.sinks import SnapshotStore
 
 
 def _long(dataset: str, items: list[tuple[str, str]], src: str) -> str:
@@ -262,6 +264,63 @@ def eda15(spark, sf):
                     PF.orders_summary(o.where(F.col("year") == _DRIFT_YEAR - 1)))
 
 
+# Columns of the two runs that eda15b compares: the tables as they come in, and after cleaning.
+_RUN_COLUMNS = {"buyers": ["buyer_id", "region", "state", "timezone", "signup_date", "customer_segment"],
+                "sales": ["order_id", "buyer_id", "sku_id", "quantity", "order_datetime", "order_status"]}
+_RUN_GRAIN = {"buyers": ["buyer_id"], "sales": ["order_id", "buyer_id", "sku_id"]}
+
+
+def _run_profile_sql(name: str, table: str, quantity: str) -> str:
+    keys, cols = ", ".join(_RUN_GRAIN[name]), _RUN_COLUMNS[name]
+    parts = [f"SELECT '{name}' AS dataset, 'rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM {table}",
+             f"SELECT '{name}', 'duplicates', CAST(coalesce(sum(n - 1), 0) AS DOUBLE) FROM (SELECT count(*) AS n FROM {table} GROUP BY {keys}) g"]
+    parts += [f"SELECT '{name}', 'null_profile.{c}', CAST(count_if({c} IS NULL) AS DOUBLE) FROM {table}" for c in cols]
+    if name == "sales":
+        parts += [f"SELECT 'sales', 'quantity.{m}', CAST({f}({quantity}) AS DOUBLE) FROM {table}"
+                  for m, f in (("count", "count"), ("min", "min"), ("max", "max"))]
+        parts += [f"SELECT 'sales', 'quantity.{m}', round(quantile_cont({quantity}, {p}), 8) FROM {table}"
+                  for m, p in (("p25", 0.25), ("median", 0.5), ("p75", 0.75))]
+    return "\nUNION ALL ".join(parts)
+
+
+def run_profile(buyers, sales):
+    """Long profile of one run's tables: rows, duplicate keys, NULLs, quantities."""
+    from orderlens.operators.common import long_rows
+    parts = []
+    for name, df in (("buyers", buyers), ("sales", sales)):
+        own = df.select(*_RUN_COLUMNS[name])
+        parts.append(long_rows(own, {"rows": F.count(F.lit(1)), "duplicates": F.first(PF.grain_duplicates(own, _RUN_GRAIN[name]))}, name))
+        parts.append(PF.null_profile(own, name))
+    parts.append(PF.five_number(sales, "quantity", "sales", "quantity"))
+    return PF.union_rules(parts)
+
+
+@register("eda15b_run_drift", O.with_base(f"""
+, typed AS (SELECT * REPLACE ({O.num('quantity')} AS quantity) FROM s2 WHERE order_datetime IS NOT NULL),
+first_run AS ({_run_profile_sql("buyers", "b1", "")}
+UNION ALL {_run_profile_sql("sales", "typed", "quantity")}),
+second_run AS ({_run_profile_sql("buyers", "buyers_clean", "")}
+UNION ALL {_run_profile_sql("sales", "sales_clean", "quantity")})
+SELECT dataset, metric, f.value AS previous, s.value AS current, s.value - f.value AS delta,
+       CASE WHEN f.value <> 0 THEN (s.value - f.value) / abs(f.value) * 100 END AS pct_change
+FROM first_run f JOIN second_run s USING (dataset, metric) ORDER BY 1, 2"""))
+def eda15b(spark, sf):
+    """Two runs through the snapshot store: the tables as they come in, then the cleaned ones;
+    rows staged by a run that died in between are no version."""
+    from orderlens.functions.numeric import try_num
+    from orderlens.functions.timefn import SIGNUP_TS_FORMATS, parse_ts
+    from orderlens.operators.clean import typed_sales
+    p = pipeline(spark, sf)
+    store = SnapshotStore(spark, temporary_folder(spark, "orderlens-profile"))
+    raw = p.buyers_raw.withColumns({"buyer_id": strip_ws("buyer_id"), "signup_date": parse_ts("signup_date", SIGNUP_TS_FORMATS)})
+    store.write(run_profile(raw, typed_sales(p.sales_raw).withColumn("quantity", try_num("quantity"))))
+    previous = store.read()
+    store.stage(previous.withColumn("value", F.lit(-1.0)))
+    store.write(run_profile(p.buyers, p.sales))
+    first, second = store.versions()
+    return PF.drift(store.read(second), store.read(first))
+
+
 @register("eda20_vendor_summary", O.with_base(f"""
 SELECT vendor, count(*) AS rows, count(DISTINCT sku_id) AS skus, {O.mean('price', 10)} AS mean_price
 FROM products_clean GROUP BY 1 ORDER BY 2 DESC, 1"""))

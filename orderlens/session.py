@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 # Settings that the operators rely on or benefit from.
 BASE_CONF = {
@@ -82,10 +82,16 @@ def materialize_table(df: DataFrame, name: str, partition_by=()) -> DataFrame:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     drop_at_exit(spark, path)
-    out = spark.read.parquet(path)
+    # the schema is known; an empty partitioned table has no file that holds it
+    out = spark.read.schema(df.schema).parquet(path)
     return out.select(*df.columns) if partition_by else out
 
 
+def observed(seen: Observation) -> dict:
+    """Metrics that a write observed; none where the optimizer found that there are no rows to read."""
+    return seen.get if seen._jo.getRow().schema() is not None else {}
+
+
 def drop_at_exit(spark: SparkSession, path: str) -> None:
     """Have the file system remove a temporary table when the application ends."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

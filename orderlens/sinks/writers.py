@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -34,17 +36,18 @@ def write_report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def run_audit(stages: dict[str, DataFrame], passed: dict[str, bool] | None = None) -> DataFrame:
-    """SNK4: one row per stage ``(stage, rows, passed)``.
+def run_audit(spark: SparkSession, stages: dict[str, int], rules: DataFrame, severities: dict[str, tuple[str, ...]],
+              settings: dict) -> DataFrame:
+    """SNK4: one row per stage ``(stage, rows, passed, failed_rules, settings)``.
 
-    Row counts are scalar subqueries over each stage, combined lazily; no
-    stage data reaches the driver.
+    ``stages``: rows of each stage, counted while it was written.  ``rules``: rule rows whose ``dataset``
+    is a stage; a stage passes when none of its rules of the ``severities`` named for it fails.
     """
-    passed = passed or {}
-    spark = SparkSession.getActiveSession() or next(iter(stages.values())).sparkSession
-    rows = None
-    for name, df in stages.items():
-        r = spark.range(1).select(F.lit(name).alias("stage"), df.select(F.count(F.lit(1))).scalar().alias("rows"),
-                                  F.lit(passed.get(name)).cast("boolean").alias("passed"))
-        rows = r if rows is None else rows.unionByName(r)
-    return rows
+    rows = spark.createDataFrame(
+        [(s, n, list(severities.get(s, ()))) for s, n in stages.items()], "stage string, rows bigint, severities array<string>")
+    counted = rules.select(F.col("dataset").alias("stage"), "severity", "passed")
+    failed = F.array_contains("severities", F.col("severity")) & ~F.col("passed")
+    return rows.join(counted, "stage", "left").groupBy("stage", "rows").agg(
+        F.count(F.when(failed, 1)).alias("failed_rules")).select(
+        "stage", "rows", (F.col("failed_rules") == 0).alias("passed"), "failed_rules",
+        F.lit(json.dumps(settings, sort_keys=True)).alias("settings"))

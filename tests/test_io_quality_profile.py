@@ -39,8 +39,11 @@ def test_sinks_and_sources(spark, tmp_path):
         raise AssertionError("expected contract error")
     except ValueError as e:
         assert "m3" in str(e) and "nope" in str(e)
-    audit = {r.stage: r.rows for r in run_audit({"a": df, "b": df.limit(2)}).collect()}
-    assert audit == {"a": 5, "b": 2}
+    rules = spark.createDataFrame([("a", "HIGH", True), ("a", "LOW", False), ("b", "HIGH", False), ("c", "HIGH", False)],
+                                  "dataset string, severity string, passed boolean")
+    audit = {r.stage: r for r in run_audit(spark, {"a": 5, "b": 2, "d": 0}, rules, {s: ("HIGH",) for s in "abd"}, {"x": 1}).collect()}
+    assert {s: (r.rows, r.passed, r.failed_rules) for s, r in audit.items()} == {"a": (5, True, 0), "b": (2, False, 1), "d": (0, True, 0)}
+    assert audit["a"].settings == '{"x": 1}'
     assert read_profile_snapshot(spark, str(tmp_path / "missing")) is None
 
 
