@@ -60,7 +60,9 @@ class DigestIndex:
         staging = Scratch(self.spark, "digest-staging")
         new = staging.write(
             self.unseen(groups).select("digest", "keep_id", "rows", "keep_rows", F.lit(batch).alias("batch")), "new")
-        (new.repartition(self.buckets, "digest").write.format("parquet").mode("append")
+        # a bucket's rows lie in one task, so a batch adds one file to a bucket at most
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))
+        (new.repartition(self.buckets, bucket).write.format("parquet").mode("append")
             .bucketBy(self.buckets, "digest").sortBy("digest").option("path", self.path).saveAsTable(self.name))
         staging.drop("new")
 
