@@ -6,12 +6,16 @@ similarity is >= threshold, else it leads a new group; every raw value maps to
 its group's leader.  Similarity is ``1 - levenshtein / max(length)`` (a
 built-in, deterministic stand-in for a per-row sequence matcher).
 
-Candidate pairs are exact without comparing all pairs.  Let ``k`` be the edits
-that the threshold allows for the longer of two tokens.  Cut the shorter one into
-``k + 1`` parts: at most k of them are touched by k edits, so the longer one holds
-some part unchanged, shifted by at most k places.  Tokens are joined on (length,
-edits, part number, part) - at most a few k^3 short strings per token, whatever
-the alphabet - and then verified.  Leaders are fixed by an iterative job over the
+Candidate pairs are exact without comparing all pairs.  Let ``k`` be the edits that the
+threshold allows for the longer of two tokens, of length L.  Cut both into substrings of q
+characters: an edit touches at most q of them, so similar tokens share at least
+L - q + 1 - kq.  With all substrings put in one order, two tokens that share so many also
+share one among the first kq + 1 of the longer one and, for each character that the other
+is shorter, one less of the other.  The order is by rarity, so a token is met under
+its rarest substrings, and what all tokens have in common (a prefix, a unit) is never used.
+A key that is common all the same is dealt to blocks of at most ``BLOCK`` tokens, and a token is
+compared with a block inside one row: pairs that are not similar never become rows.
+Leaders are fixed by an iterative job over the
 distinct tokens: each round decides at least the lowest-ranked undecided token,
 rounds go on until none is left, and each is a written table.
 """
@@ -34,52 +38,66 @@ def _edits(length, threshold: float) -> F.Column:
     return F.floor(length * F.lit(1 - threshold) + F.lit(1e-9)).cast("int")
 
 
-def _parts(tokens: DataFrame, threshold: float) -> DataFrame:
-    """(token, short, k, part, piece): the parts of a token as the shorter one of a pair,
-    for every number of edits that a longer partner can allow."""
-    length = F.length("token")
-    longest = F.floor(length / F.lit(threshold) + F.lit(1e-9)).cast("int")
-    ks = F.array_distinct(F.transform(F.sequence(length, F.greatest(longest, length)), lambda x: _edits(x, threshold)))
-    t = tokens.select("token", length.alias("short"), F.explode(ks).alias("k")).where("k > 0")
-    t = t.select("*", F.explode(F.sequence(F.lit(0), F.col("k"))).alias("part"))
-    begin, end = _bounds("short", "k", "part")
-    return t.select("token", "short", "k", "part", F.substr("token", begin + 1, end - begin).alias("piece"))
-
-
-def _bounds(short: str, k: str, part: str):
-    cut = lambda i: F.floor(F.col(short) * i / (F.col(k) + 1)).cast("int")
-    return cut(F.col(part)), cut(F.col(part) + 1)
-
-
-def _probes(tokens: DataFrame, threshold: float) -> DataFrame:
-    """(token, short, k, part, piece): what a token holds where such a part may stand,
-    for every length of a shorter or equal partner."""
-    t = tokens.select("token", F.length("token").alias("n"), _edits(F.length("token"), threshold).alias("k")).where("k > 0")
-    t = t.select("*", F.explode(F.sequence(F.greatest(F.lit(1), F.col("n") - F.col("k")), F.col("n"))).alias("short"))
-    t = t.select("*", F.explode(F.sequence(F.lit(0), F.col("k"))).alias("part"))
-    begin, end = _bounds("short", "k", "part")
-    t = t.select("*", begin.alias("begin"), (end - begin).alias("size"))
-    t = t.select("*", F.explode(F.filter(
-        F.sequence(F.col("begin") - F.col("k"), F.col("begin") + F.col("k")),
-        lambda p: (p >= 0) & (p + F.col("size") <= F.col("n")))).alias("at"))
-    return t.select("token", "short", "k", "part", F.substr("token", F.col("at") + 1, F.col("size")).alias("piece")).distinct()
+#: Longest substrings that tokens are met under, and tokens of one key that are compared within a row.
+LONGEST_GRAM = 4
+BLOCK = 256
+
+
+def _roles(tokens: DataFrame, threshold: float) -> DataFrame:
+    """(token, n, longer, q, keep): for each length of a longer or equal partner, how long the
+    substrings are and how many of a token's rarest ones meet it."""
+    n = F.length("token")
+    longest = F.greatest(n, F.floor(n / F.lit(threshold) + F.lit(1e-9)).cast("int"))
+    r = tokens.select("token", n.alias("n"), F.explode(F.sequence(n, longest)).alias("longer"))
+    r = r.withColumn("k", _edits(F.col("longer"), threshold)).where((F.col("k") > 0) & (F.col("longer") - F.col("n") <= F.col("k")))
+    # q is such that a shared substring is certain: longer - q + 1 - kq >= 1
+    q = F.least(F.lit(LONGEST_GRAM), F.floor(F.col("longer") / (F.col("k") + 1)).cast("int"))
+    return r.withColumn("q", F.greatest(F.lit(1), q)).select(
+        "token", "n", "longer", "q", (F.col("k") * F.col("q") + 1 - (F.col("longer") - F.col("n"))).alias("keep"))
+
+
+def _rare_first(roles: DataFrame) -> DataFrame:
+    """(token, q, grams): the substrings of each token, rarest first; repeats within a token are numbered."""
+    held = roles.select("token", "n", "q").distinct()
+    plain = F.transform(F.sequence(F.lit(1), F.col("n") - F.col("q") + 1), lambda i: F.substr("token", i, F.col("q")))
+    numbered = F.transform(F.col("plain"), lambda g, i: F.struct(
+        g.alias("gram"), F.size(F.filter(F.slice(F.col("plain"), 1, i), lambda x: x == g)).alias("nth")))
+    each = held.select("token", "q", plain.alias("plain")).select("token", "q", F.explode(numbered).alias("g"))
+    counts = each.groupBy("q", "g").agg(F.count(F.lit(1)).alias("tokens"))
+    # at most one row for each character of a token
+    return each.join(counts, ["q", "g"]).groupBy("token", "q").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("tokens", "g"))), lambda x: x["g"]).alias("grams"))
+
+
+def candidates(tokens: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(longer, g, block, token) and (longer, g, block, others): tokens meet the blocks of ``others``,
+    their longer or equal partners, under every key."""
+    roles = _roles(tokens, threshold)
+    keys = roles.join(_rare_first(roles), ["token", "q"]).select(
+        "token", "n", "longer", F.explode(F.slice("grams", 1, F.col("keep"))).alias("g"))
+    own = keys.where("n = longer")
+    blocks = own.groupBy("longer", "g").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
+    dealt = own.join(blocks, ["longer", "g"]).groupBy(
+        "longer", "g", F.pmod(F.xxhash64("token"), F.col("blocks")).alias("block")).agg(
+        F.collect_list("token").alias("others"))
+    met = keys.join(blocks, ["longer", "g"]).select(
+        "token", "longer", "g", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"))
+    return met, dealt
 
 
 def similar_pairs(tokens: DataFrame, threshold: float = 0.92) -> DataFrame:
     """(token, earlier) pairs: ``earlier`` ranks before ``token`` and is similar enough."""
-    t = tokens.select("token")
-    on = ["short", "k", "part", "piece"]
-    met = (_parts(t, threshold).withColumnRenamed("token", "a")
-           .join(_probes(t, threshold).withColumnRenamed("token", "b"), on)
-           .where("a != b").select("a", "b").distinct())
-    cand = met.select(F.col("a").alias("token"), F.col("b").alias("earlier")).unionByName(
-        met.select(F.col("b").alias("token"), F.col("a").alias("earlier"))).distinct()
+    met, dealt = candidates(tokens.select("token"), threshold)
+    similar = lambda a, b: (a != b) & (F.lit(1.0) - F.try_divide(
+        F.levenshtein(a, b), F.greatest(F.length(a), F.length(b), F.lit(1))) >= F.lit(threshold))
+    pairs = met.join(dealt, ["longer", "g", "block"]).select(
+        F.col("token").alias("a"), F.explode(F.filter("others", lambda x: similar(F.col("token"), x))).alias("b")).distinct()
+    both = pairs.select(F.col("a").alias("token"), F.col("b").alias("earlier")).unionByName(
+        pairs.select(F.col("b").alias("token"), F.col("a").alias("earlier"))).distinct()
     r = tokens.select("token", "rank")
-    cand = (cand.join(r, "token").join(r.withColumnRenamed("token", "earlier").withColumnRenamed("rank", "earlier_rank"),
-                                       "earlier").where(F.col("earlier_rank") < F.col("rank")))
-    sim = F.lit(1.0) - F.try_divide(F.levenshtein("token", "earlier"),
-                                    F.greatest(F.length("token"), F.length("earlier"), F.lit(1)))
-    return cand.where(sim >= F.lit(threshold)).select("token", "rank", "earlier", "earlier_rank")
+    return (both.join(r, "token").join(r.withColumnRenamed("token", "earlier").withColumnRenamed("rank", "earlier_rank"),
+                                       "earlier").where(F.col("earlier_rank") < F.col("rank"))
+            .select("token", "rank", "earlier", "earlier_rank"))
 
 
 def canonical_map(df: DataFrame, col: str, threshold: float = 0.92) -> DataFrame:

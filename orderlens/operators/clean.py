@@ -8,7 +8,7 @@ from orderlens.functions.flags import flag_robust
 from orderlens.functions.numeric import exact_mean, money, try_num
 from orderlens.functions.text import norm_key, squeeze_ws, strip_ws
 from orderlens.functions.timefn import SALES_TS_FORMATS, SIGNUP_TS_FORMATS, parse_ts
-from orderlens.operators.common import dedup_first, group_lookup, long_rows
+from orderlens.operators.common import dedup_first, group_lookup, long_rows, top_values, value_counts
 from orderlens.operators.quantiles import quantiles_row
 from orderlens.params import Params
 from orderlens.session import observed
@@ -192,8 +192,8 @@ def loss_products(df: DataFrame) -> DataFrame:
 def impute_mode(df: DataFrame, cols, by: str) -> DataFrame:
     """CB2/CB3: fill NULLs with the per-group most frequent value (ties -> smallest),
     computed over the rows given (raw rows, before filters and dedup)."""
-    modes = (df.where(F.col(by).isNotNull())
-               .groupBy(by).agg(*[F.mode(c, deterministic=True).alias(f"_{c}_mode") for c in cols]))
+    top = top_values(value_counts(df.where(F.col(by).isNotNull()), cols, [by]), [by])
+    modes = top.groupBy(by).agg(*[F.max(F.when(F.col("column") == c, F.col("top_value"))).alias(f"_{c}_mode") for c in cols])
     df = group_lookup(df, by, modes)
     return df.withColumns({c: F.coalesce(F.col(c), F.col(f"_{c}_mode")) for c in cols}) \
              .drop(*[f"_{c}_mode" for c in cols])

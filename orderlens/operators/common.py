@@ -43,3 +43,41 @@ def long_rows(df: DataFrame, metrics: dict[str, object], dataset: str | None = N
     if dataset is not None:
         out = out.select(F.lit(dataset).alias("dataset"), "metric", "value")
     return out
+
+
+def value_counts(df: DataFrame, cols, keys=()) -> DataFrame:
+    """(keys..., column, value, n): rows of each distinct value (as text, NULL included) of each column.
+
+    The columns are melted in the tasks and counted there first, so one exchange of distinct
+    values serves all columns; nothing is expanded by the number of distinct counts that are wanted.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
+    return (df.select(*keys, F.explode(cells).alias("_c")).select(*keys, "_c.column", "_c.value")
+              .groupBy(*keys, "column", "value").agg(F.count(F.lit(1)).alias("n")))
+
+
+def top_values(counts: DataFrame, keys=()) -> DataFrame:
+    """(keys..., column, top_value, top_n, present, distinct_values) of ``value_counts``: the most frequent
+    non-NULL value (the smallest of equals), its rows, rows with a value, and distinct values."""
+    held = F.col("value").isNotNull()
+    return counts.groupBy(*keys, "column").agg(
+        F.min_by("value", F.when(held, F.struct(-F.col("n"), F.col("value")))).alias("top_value"),
+        F.coalesce(F.max(F.when(held, F.col("n"))), F.lit(0)).alias("top_n"),
+        F.coalesce(F.sum(F.when(held, F.col("n"))), F.lit(0)).alias("present"),
+        F.count(F.when(held, 1)).alias("distinct_values"))
+
+
+def distinct_counts(df: DataFrame, keys: list[str], wanted: dict[str, str]) -> DataFrame:
+    """(keys..., name...): distinct non-NULL values of ``wanted[name]`` in each group."""
+    counts = value_counts(df, list(wanted.values()), keys).where(F.col("value").isNotNull())
+    return counts.groupBy(*keys).agg(*[F.count(F.when(F.col("column") == c, 1)).alias(n) for n, c in wanted.items()])
+
+
+def join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of two per-group tables; NULL keys are equal."""
+    names = {k: f"_r_{k}" for k in keys}
+    r = right.withColumnsRenamed(names)
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(names[k]))
+    return left.join(r, on, "left").drop(*names.values())

@@ -250,10 +250,9 @@ def payback_curve(orders: DataFrame, params: Params = Params()) -> DataFrame:
              .withColumn("n_effective", F.least("n_ref", "n_nonref")).orderBy("order_rank"))
 
 
-def payback_point(orders: DataFrame, q3: DataFrame, params: Params = Params()) -> DataFrame:
-    """Q3e: first rank whose incremental mean covers the discount per referred
+def payback_point(curve: DataFrame, q3: DataFrame) -> DataFrame:
+    """Q3e, from the curve of Q3d: first rank whose incremental mean covers the discount per referred
     buyer, and incremental revenue = last difference x referred buyers."""
-    curve = payback_curve(orders, params)
     r = q3.where(F.col("referral_group") == "referred")
     disc = r.select(safe_ratio("total_referral_discount", "unique_customers").alias("d")).scalar()
     buyers = r.select(F.col("unique_customers").alias("b")).scalar()

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from orderlens.functions.numeric import exact_mean, money_sum, rounded, safe_ratio
+from orderlens.operators.common import distinct_counts, join_groups
 from orderlens.operators.quantiles import with_group_quantiles
 from orderlens.params import Params
 
@@ -22,6 +23,14 @@ def in_window(orders: DataFrame, params: Params) -> DataFrame:
     return orders.where(F.col("year").between(lo, hi))
 
 
+def _with_people(agg: DataFrame, src: DataFrame, keys: list[str]) -> DataFrame:
+    """``unique_customers`` and ``order_count`` after the group's keys.  Counted apart from the sums, which then need no
+    row copied for each distinct count."""
+    people = distinct_counts(src, keys, {"unique_customers": "buyer_id", "order_count": "order_id"})
+    sums = [c for c in agg.columns if c not in keys]
+    return join_groups(agg, people, keys).select(*keys, "unique_customers", "order_count", *sums)
+
+
 def _with_median(agg: DataFrame, src: DataFrame, keys: list[str]) -> DataFrame:
     """``median_profit_per_order`` of ``src`` per group, attached to ``agg``."""
     m = with_group_quantiles(agg, src, keys, "order_profit", [0.5], ["_median"])
@@ -71,8 +80,6 @@ def referral_impact(orders: DataFrame, params: Params = Params()) -> DataFrame:
           - F.col("order_cogs").cast("decimal(20,6)") - F.col("company_shipping_cost").cast("decimal(20,6)"))
     src = in_window(orders, params).withColumn("referral_group", referral_group())
     g = (src.groupBy("referral_group").agg(
-             F.count_distinct("buyer_id").alias("unique_customers"),
-             F.count_distinct("order_id").alias("order_count"),
              exact_mean("order_profit").alias("avg_profit_per_order"),
              money_sum("order_profit").alias("total_profit"),
              money_sum("order_revenue").alias("total_revenue"),
@@ -83,7 +90,7 @@ def referral_impact(orders: DataFrame, params: Params = Params()) -> DataFrame:
              F.sum(cf).alias("_cf"),
              F.sum(F.col("order_profit").cast("decimal(20,6)")).alias("_tp"),
          ))
-    g = _with_median(g, src, ["referral_group"])
+    g = _with_median(_with_people(g, src, ["referral_group"]), src, ["referral_group"])
     names = [c for c in g.columns if c != "_median"]
     i = names.index("avg_profit_per_order") + 1
     g = g.select(*names[:i], F.col("_median").alias("median_profit_per_order"), *names[i:])
@@ -148,10 +155,8 @@ def peak_day_impact(orders: DataFrame, params: Params = Params()) -> DataFrame:
 
 # ------------------------------------------------------------------ Q5
 def segment_aggs() -> list:
-    """The per-segment aggregates but the median (see ``segment_table``)."""
+    """The per-segment aggregates but the distinct counts and the median (see ``segment_table``)."""
     return [
-        F.count_distinct("buyer_id").alias("unique_customers"),
-        F.count_distinct("order_id").alias("order_count"),
         exact_mean("order_profit").alias("avg_profit_per_order"),
         money_sum("order_profit").alias("total_profit"),
         money_sum("order_revenue").alias("total_revenue"),
@@ -164,7 +169,7 @@ def segment_aggs() -> list:
 
 def segment_table(src: DataFrame, keys: list[str]) -> DataFrame:
     """The ten aggregates per group (median attached by distributed selection)."""
-    g = _with_median(src.groupBy(*keys).agg(*segment_aggs()), src, keys)
+    g = _with_median(_with_people(src.groupBy(*keys).agg(*segment_aggs()), src, keys), src, keys)
     names = [c for c in g.columns if c != "_median"]
     i = names.index("avg_profit_per_order") + 1
     return g.select(*names[:i], F.col("_median").alias("median_profit_per_order"), *names[i:])

@@ -39,25 +39,32 @@ def _ts(df: DataFrame, col: str) -> F.Column:
 
 def prepare_lines(lines: DataFrame, params: Params = Params()) -> DataFrame:
     """PR1-PR6: typing, company time, sanity year, line money, holiday flag."""
-    df = (lines.withColumns({                                                   # PR1
-                "order_datetime": _ts(lines, "order_datetime"),
-                "price": try_num("price"),
-                "quantity": try_num("quantity"),
-                "margin": try_num("margin"),
-                "is_referred": F.coalesce(try_num("is_referred"), F.lit(0.0)).cast("int")})
-               .where(F.col("order_datetime").isNotNull() & F.col("price").isNotNull()
-                      & F.col("quantity").isNotNull() & F.col("margin").isNotNull()))
-    tz = "timezone" if "timezone" in df.columns else None
-    df = with_company_ts(df, "order_datetime", tz, params.company_timezone)    # PR2
-    df = df.where(F.col("order_datetime_company").isNotNull())
+    return usable_lines(add_line_values(lines, params))
+
+
+def add_line_values(lines: DataFrame, params: Params = Params()) -> DataFrame:
+    """Every line, as it is, with order_datetime_company, line_base_revenue, line_cogs, is_black_friday, and
+    ``_usable``: whether PR1-PR3 keep it."""
+    held = lines.columns
+    df = lines.withColumns({"_ts": _ts(lines, "order_datetime"), "_price": try_num("price"), "_quantity": try_num("quantity"),
+                            "_margin": try_num("margin")})
+    tz = "timezone" if "timezone" in held else None
+    df = with_company_ts(df, "_ts", tz, params.company_timezone)               # PR2
     ts = F.col("order_datetime_company")
-    df = df.where(F.year(ts) >= params.line_min_year)                          # PR3
-    rev = F.col("price") * F.col("quantity")                                    # PR4
-    return df.withColumns({
-        "line_base_revenue": dec(rev),
-        "line_cogs": dec(rev * (F.lit(1.0) - F.col("margin"))),
-        "is_black_friday": F.to_date(ts) == holiday_date(F.year(ts)),           # PR5, PR6
-    })
+    rev = F.col("_price") * F.col("_quantity")                                  # PR4
+    return df.select(
+        *held, "order_datetime_company", dec(rev).alias("line_base_revenue"),
+        dec(rev * (F.lit(1.0) - F.col("_margin"))).alias("line_cogs"),
+        (F.to_date(ts) == holiday_date(F.year(ts))).alias("is_black_friday"),   # PR5, PR6
+        (F.col("_ts").isNotNull() & F.col("_price").isNotNull() & F.col("_quantity").isNotNull() & F.col("_margin").isNotNull()
+         & ts.isNotNull() & F.coalesce(F.year(ts) >= params.line_min_year, F.lit(False))).alias("_usable"))      # PR1, PR3
+
+
+def usable_lines(df: DataFrame) -> DataFrame:
+    """Typed lines that PR1-PR3 keep, of a table with line values."""
+    return df.where("_usable").withColumns({                                    # PR1
+        "order_datetime": _ts(df, "order_datetime"), "price": try_num("price"), "quantity": try_num("quantity"),
+        "margin": try_num("margin"), "is_referred": F.coalesce(try_num("is_referred"), F.lit(0.0)).cast("int")}).drop("_usable")
 
 
 def flag_first_orders(df: DataFrame, ts: str = "order_datetime_company") -> DataFrame:

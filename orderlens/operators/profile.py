@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from orderlens.functions.numeric import exact_mean, money_sum, rounded
-from orderlens.operators.common import long_rows
+from orderlens.operators.common import distinct_counts, group_lookup, join_groups, long_rows, top_values, value_counts
 from orderlens.operators.quantiles import quantiles_row, with_group_quantiles
 from orderlens.operators.quality import union_rules
 
@@ -20,7 +20,11 @@ def _all():
 
 def null_profile(df: DataFrame, dataset: str) -> DataFrame:
     """EDA1: NULL count of every column, one aggregate pass -> (dataset, metric, value)."""
-    return long_rows(df, {f"null_profile.{c}": F.count_if(F.col(c).isNull()) for c in df.columns}, dataset)
+    return long_rows(df, null_metrics(df), dataset)
+
+
+def null_metrics(df: DataFrame) -> dict[str, F.Column]:
+    return {f"null_profile.{c}": F.count_if(F.col(c).isNull()) for c in df.columns}
 
 
 def distribution(df: DataFrame, col: str, top_n: int = 20) -> DataFrame:
@@ -48,10 +52,17 @@ def quantile_rows(df: DataFrame, c, named: dict[str, float], dataset: str) -> Da
 
 def five_number(df: DataFrame, col: str, dataset: str, prefix: str) -> DataFrame:
     """EDA4: count, min, p25, median, p75, max of a numeric column (exact percentiles)."""
+    return long_rows(df, extreme_metrics(col, prefix), dataset).unionByName(quartile_rows(df, col, dataset, prefix))
+
+
+def extreme_metrics(col: str, prefix: str) -> dict[str, F.Column]:
     c = F.col(col).try_cast("double")
-    plain = long_rows(df, {f"{prefix}.count": F.count(c), f"{prefix}.min": F.min(c), f"{prefix}.max": F.max(c)}, dataset)
-    return plain.unionByName(quantile_rows(df, c, {f"{prefix}.p25": 0.25, f"{prefix}.median": 0.5,
-                                                   f"{prefix}.p75": 0.75}, dataset))
+    return {f"{prefix}.count": F.count(c), f"{prefix}.min": F.min(c), f"{prefix}.max": F.max(c)}
+
+
+def quartile_rows(df: DataFrame, col: str, dataset: str, prefix: str) -> DataFrame:
+    return quantile_rows(df, F.col(col).try_cast("double"), {
+        f"{prefix}.p25": 0.25, f"{prefix}.median": 0.5, f"{prefix}.p75": 0.75}, dataset)
 
 
 def sales_monthly(sales: DataFrame) -> DataFrame:
@@ -72,13 +83,17 @@ def top_skus(sales: DataFrame, n: int = 100) -> DataFrame:
 
 def numeric_bounds(df: DataFrame, cols, dataset: str) -> DataFrame:
     """EDA8: per numeric column NULL count, min, max, exact mean."""
+    return long_rows(df, bound_metrics(df, cols), dataset)
+
+
+def bound_metrics(df: DataFrame, cols) -> dict[str, F.Column]:
     m = {}
     for c in cols:
         if c in df.columns:
             v = F.col(c).try_cast("double")
             m.update({f"numeric_bounds.{c}.null_count": F.count_if(v.isNull()), f"numeric_bounds.{c}.min": F.min(v),
                       f"numeric_bounds.{c}.max": F.max(v), f"numeric_bounds.{c}.mean": exact_mean(v, 10)})
-    return long_rows(df, m, dataset)
+    return m
 
 
 def category_skus(products: DataFrame) -> DataFrame:
@@ -89,12 +104,16 @@ def category_skus(products: DataFrame) -> DataFrame:
 
 def products_summary(products: DataFrame) -> DataFrame:
     """EDA10: rows, duplicate skus, imputed / conflict / inactive-with-stock counts."""
+    return long_rows(products, product_metrics(products), "products")
+
+
+def product_metrics(products: DataFrame) -> dict[str, F.Column]:
     dups = products.groupBy("sku_id").agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") - 1).alias("d")).scalar()
-    return long_rows(products, {
+    return {
         "rows": F.count(F.lit(1)), "duplicate_sku_id_count": F.coalesce(F.first(dups), F.lit(0)),
         "margin_imputed_count": F.count_if("margin_imputed"),
         "vendor_product_conflict_count": F.sum("vendor_product_conflict"),
-        "inactive_with_stock_count": F.count_if("inactive_with_stock_flag")}, "products")
+        "inactive_with_stock_count": F.count_if("inactive_with_stock_flag")}
 
 
 def grain_duplicates(df: DataFrame, keys) -> F.Column:
@@ -104,9 +123,12 @@ def grain_duplicates(df: DataFrame, keys) -> F.Column:
 
 def line_summary(lines: DataFrame) -> DataFrame:
     """EDA11: rows and duplicate (order, buyer, sku) grain rows."""
-    return long_rows(lines, {"rows": F.count(F.lit(1)),
-                             "duplicate_order_buyer_sku_count": F.first(grain_duplicates(lines, ["order_id", "buyer_id", "sku_id"]))},
-                     "final_line")
+    return long_rows(lines, line_metrics(lines), "final_line")
+
+
+def line_metrics(lines: DataFrame) -> dict[str, F.Column]:
+    return {"rows": F.count(F.lit(1)),
+            "duplicate_order_buyer_sku_count": F.first(grain_duplicates(lines, ["order_id", "buyer_id", "sku_id"]))}
 
 
 def orders_monthly(orders: DataFrame) -> DataFrame:
@@ -119,39 +141,61 @@ def orders_monthly(orders: DataFrame) -> DataFrame:
 
 def orders_summary(orders: DataFrame) -> DataFrame:
     """EDA13: rows, duplicate ids, profit five-number summary and negative count."""
-    base = long_rows(orders, {"rows": F.count(F.lit(1)),
-                              "duplicate_order_id_count": F.first(grain_duplicates(orders, ["order_id"])),
-                              "order_profit_summary.negative_order_profit_count": F.count_if(F.col("order_profit") < 0)},
-                     "order_level")
-    return base.unionByName(five_number(orders, "order_profit", "order_level", "order_profit_summary"))
+    return long_rows(orders, order_metrics(orders), "order_level").unionByName(order_quantiles(orders))
+
+
+def order_metrics(orders: DataFrame) -> dict[str, F.Column]:
+    return {"rows": F.count(F.lit(1)), "duplicate_order_id_count": F.first(grain_duplicates(orders, ["order_id"])),
+            "order_profit_summary.negative_order_profit_count": F.count_if(F.col("order_profit") < 0),
+            **extreme_metrics("order_profit", "order_profit_summary")}
+
+
+def order_quantiles(orders: DataFrame) -> DataFrame:
+    return quartile_rows(orders, "order_profit", "order_level", "order_profit_summary")
 
 
 def buyers_summary(buyers: DataFrame) -> DataFrame:
     """EDA3: rows, duplicate ids, invalid referral codes."""
-    return long_rows(buyers, {"rows": F.count(F.lit(1)),
-                              "duplicate_buyer_id_count": F.first(grain_duplicates(buyers, ["buyer_id"])),
-                              "invalid_referral_count": F.count_if("is_referred_invalid")}, "buyers")
+    return long_rows(buyers, buyer_metrics(buyers), "buyers")
+
+
+def buyer_metrics(buyers: DataFrame) -> dict[str, F.Column]:
+    return {"rows": F.count(F.lit(1)), "duplicate_buyer_id_count": F.first(grain_duplicates(buyers, ["buyer_id"])),
+            "invalid_referral_count": F.count_if("is_referred_invalid")}
 
 
 def sales_summary(sales: DataFrame, audit: DataFrame) -> DataFrame:
     """EDA7: rows, duplicate line grain, quantity summaries and the cleaning audit."""
-    base = long_rows(sales, {"rows": F.count(F.lit(1)),
-                             "duplicate_line_grain_count": F.first(grain_duplicates(sales, ["order_id", "buyer_id", "sku_id"]))},
-                     "sales")
-    qa = audit.select(F.lit("sales").alias("dataset"), F.concat(F.lit("cleaning_audit."), F.col("metric")).alias("metric"), "value")
-    return union_rules([base, five_number(sales, "quantity", "sales", "quantity_summary"),
-                        five_number(sales, "quantity_original", "sales", "quantity_original_summary"), qa])
+    return union_rules([long_rows(sales, sales_metrics(sales), "sales"), *sales_quantiles(sales), sales_audit_rows(audit)])
+
+
+def sales_metrics(sales: DataFrame) -> dict[str, F.Column]:
+    return {"rows": F.count(F.lit(1)),
+            "duplicate_line_grain_count": F.first(grain_duplicates(sales, ["order_id", "buyer_id", "sku_id"])),
+            **extreme_metrics("quantity", "quantity_summary"), **extreme_metrics("quantity_original", "quantity_original_summary")}
+
+
+def sales_quantiles(sales: DataFrame) -> list[DataFrame]:
+    return [quartile_rows(sales, c, "sales", f"{c}_summary") for c in ("quantity", "quantity_original")]
+
+
+def sales_audit_rows(audit: DataFrame) -> DataFrame:
+    return audit.select(F.lit("sales").alias("dataset"), F.concat(F.lit("cleaning_audit."), F.col("metric")).alias("metric"), "value")
 
 
 def eda_summary(buyers, sales, sales_audit, products, lines, orders) -> DataFrame:
-    """EDA14: the run's whole profile as one long table (numeric leaves only)."""
-    return union_rules([
-        buyers_summary(buyers), null_profile(buyers, "buyers"),
-        sales_summary(sales, sales_audit), null_profile(sales, "sales"),
-        products_summary(products), null_profile(products, "products"),
-        numeric_bounds(products, ["price", "margin", "current_stock"], "products"),
-        line_summary(lines), null_profile(lines, "final_line"),
-        orders_summary(orders), null_profile(orders, "order_level")])
+    """EDA14: the run's whole profile as one long table (numeric leaves only).
+
+    The plain aggregates of a table are compiled into one pass over it; what is left are the duplicate
+    counts and the quantiles, which need exchanges of their own.
+    """
+    passes = [
+        (buyers, "buyers", [buyer_metrics]), (sales, "sales", [sales_metrics]),
+        (products, "products", [product_metrics, lambda d: bound_metrics(d, ["price", "margin", "current_stock"])]),
+        (lines, "final_line", [line_metrics]), (orders, "order_level", [order_metrics])]
+    parts = [long_rows(df, {k: v for make in [*makers, null_metrics] for k, v in make(df).items()}, name)
+             for df, name, makers in passes]
+    return union_rules([*parts, *sales_quantiles(sales), sales_audit_rows(sales_audit), order_quantiles(orders)])
 
 
 def drift(current: DataFrame, previous: DataFrame | None) -> DataFrame:
@@ -238,22 +282,19 @@ def co_nulls(df: DataFrame, col: str) -> DataFrame:
 
 def multi_valued_keys(df: DataFrame, key: str, cols) -> DataFrame:
     """EDA32: keys with more than one distinct value in any of ``cols``."""
-    g = df.groupBy(key).agg(*[F.count_distinct(c).alias(f"n_{c}") for c in cols])
-    cond = None
-    for c in cols:
-        cond = (F.col(f"n_{c}") > 1) if cond is None else cond | (F.col(f"n_{c}") > 1)
-    return g.where(cond).orderBy(key)
+    g = join_groups(df.select(key).distinct(), distinct_counts(df, [key], {f"n_{c}": c for c in cols}), [key])
+    return g.where(F.greatest(*[F.col(f"n_{c}") for c in cols], F.lit(0)) > 1).orderBy(key)
 
 
 def dependency_profile(df: DataFrame, key: str, col: str) -> DataFrame:
-    """EDA33: per key the distinct values, whether single-valued, the mode and its share."""
-    g = df.groupBy(key).agg(F.sort_array(F.collect_set(col)).alias("values"),
-                            F.mode(col, deterministic=True).alias("most_common"),
-                            F.count(col).alias("n"))
-    cnt = df.groupBy(key, F.col(col).alias("most_common")).agg(F.count(F.lit(1)).alias("m"))
-    return (g.join(cnt, [key, "most_common"], "left")
-             .select(key, "values", (F.size("values") == 1).alias("single_valued"), "most_common",
-                     F.when(F.col("n") > 0, F.col("m") / F.col("n") * 100).alias("most_common_pct")).orderBy(key))
+    """EDA33: per key the distinct values, whether single-valued, the mode and its share.  The list is
+    the report itself: one entry for each distinct value of the key, from counted values."""
+    counts = value_counts(df, [col], [key])
+    lists = counts.groupBy(key).agg(F.sort_array(F.collect_list("value")).alias("values"))
+    return (join_groups(lists, top_values(counts, [key]).drop("column"), [key])
+            .select(key, "values", (F.size("values") == 1).alias("single_valued"), F.col("top_value").alias("most_common"),
+                    F.when(F.col(key).isNotNull() & (F.col("present") > 0), F.col("top_n") / F.col("present") * 100)
+                    .alias("most_common_pct")).orderBy(key))
 
 
 def signup_vs_first_order(buyers: DataFrame, sales: DataFrame) -> DataFrame:
@@ -299,12 +340,34 @@ def duplicate_diff(df: DataFrame, key: str) -> DataFrame:
                .orderBy(F.col("keys_with_difference").desc(), "column"))
 
 
+def distinct_profile(df: DataFrame, cols=None) -> DataFrame:
+    """EDA39 / EDA41 / DQ19: (column, rows, nulls, distinct_values, min_value, max_value) of every column, exact.
+
+    One exchange for all columns (``value_counts``).  Smallest and largest are by number or time where the column
+    has one, given as text; the number that orders a value rides along with it.
+    """
+    cols = [c for c in (cols or df.columns) if not c.startswith("_")]
+    kinds = dict(df.dtypes)
+
+    def order(c):
+        kind = kinds[c]
+        if kind in ("timestamp", "timestamp_ntz", "date"):
+            return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+        return F.col(c).cast("double") if kind not in ("string", "boolean") else F.lit(None).cast("double")
+
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"), order(c).alias("at")) for c in cols])
+    counts = df.select(F.explode(cells).alias("c")).select("c.*").groupBy("column", "value").agg(
+        F.count(F.lit(1)).alias("n"), F.max("at").alias("at"))
+    key = F.when(F.col("value").isNotNull(), F.struct("at", "value"))
+    return counts.groupBy("column").agg(
+        F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+        F.count("value").alias("distinct_values"), F.min(key)["value"].alias("min_value"), F.max(key)["value"].alias("max_value")) \
+        .orderBy("column")
+
+
 def constant_columns(df: DataFrame) -> DataFrame:
     """EDA39: columns with at most one distinct non-NULL value."""
-    counts = df.agg(*[F.count_distinct(c).alias(c) for c in df.columns])
-    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("distinct_values"))
-                                             for c in df.columns])).alias("x")).select("x.*").where(
-        F.col("distinct_values") <= 1)
+    return distinct_profile(df).where("distinct_values <= 1").select("column", "distinct_values")
 
 
 def whitespace_audit(df: DataFrame, cols) -> DataFrame:
@@ -319,19 +382,37 @@ def headline_shares(buyers: DataFrame) -> DataFrame:
                       F.count_distinct("customer_segment").alias("segments"))
 
 
-def issue_table(df: DataFrame, checks: dict[str, tuple[str, str]], pass_fail: bool = False) -> DataFrame:
+def issue_table(df: DataFrame, checks: dict[str, tuple[str, str]], pass_fail: bool = False,
+                repeated: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """EDA19 / EDA43: one row per named check ``(predicate SQL, severity)`` with
-    affected rows, % of rows and CHECK/OK (or FAIL/PASS) — one aggregate pass."""
-    names = list(checks)
-    a = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.expr(checks[k][0])).alias(f"_c{i}") for i, k in enumerate(names)])
+    affected rows, % of rows and CHECK/OK (or FAIL/PASS) — one aggregate pass.  ``repeated``: checks ``(column, severity)``
+    that count all rows whose value occurs more than once (missing values are equal)."""
+    repeated = repeated or {}
+    counts = {k: F.count_if(F.expr(c)) for k, (c, _) in checks.items()}
+    for k, (col, _) in repeated.items():
+        n = df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.when(F.col("n") > 1, F.col("n"))))
+        counts[k] = F.first(F.coalesce(n.scalar(), F.lit(0)))
+    severity = {k: s for k, (_, s) in {**checks, **repeated}.items()}
+    names = list(counts)
+    a = df.agg(F.count(F.lit(1)).alias("_n"), *[counts[k].alias(f"_c{i}") for i, k in enumerate(names)])
     rows = [F.struct(F.lit(k).alias("issue"), F.col(f"_c{i}").alias("rows"),
                      F.round(F.when(F.col("_n") > 0, F.col(f"_c{i}") / F.col("_n") * 100).otherwise(0.0), 2).alias("pct"),
-                     F.lit(checks[k][1]).alias("severity"),
+                     F.lit(severity[k]).alias("severity"),
                      F.when(F.col(f"_c{i}") > 0, "FAIL" if pass_fail else "CHECK").otherwise("PASS" if pass_fail else "OK")
                      .alias("status")) for i, k in enumerate(names)]
     return a.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def product_issue_table(products: DataFrame, checks: dict[str, tuple[str, str]], missing: dict[str, str],
+                        key: str = "product_num") -> DataFrame:
+    """EDA19: missing critical fields (column -> severity), rows of repeated product numbers, the logical checks;
+    open issues first, the largest first (names break ties)."""
+    fields = {f"Missing {c}": (f"{c} IS NULL", s) for c, s in missing.items() if c in products.columns}
+    t = issue_table(products, {**fields, **checks}, repeated={f"Duplicate {key} rows": (key, "HIGH")})
+    # a report of one row per check
+    return t.orderBy(F.col("status") != "CHECK", F.col("rows").desc(), "issue")
+
+
 # The buyer issue list of the final buyer check (EDA43), in order.
 BUYER_ISSUES = [
     "Missing Primary Identifier (buyer_id)",
@@ -343,6 +424,7 @@ BUYER_ISSUES = [
     "Redundancy: is_active_buyer duplicates customer_group",
 ]
 STILL_REDUNDANT = "INFO: still perfectly redundant"
+NOT_COMPUTED = "not computed"
 
 
 def buyer_issue_table(buyers: DataFrame) -> DataFrame:
@@ -350,7 +432,7 @@ def buyer_issue_table(buyers: DataFrame) -> DataFrame:
 
     Issue 2 counts every copy of a duplicated id (NULL ids count as equal);
     it is a scalar subquery over the per-id counts.  Issue 7 needs an
-    ``is_active_buyer`` column; without it the count is NULL.  For 1-6 PASS
+    ``is_active_buyer`` column; without it the count is NULL and the status says so.  For 1-6 PASS
     means no rows remain; issue 7 passes when the flag is *not* redundant."""
     cols = buyers.columns
     dup = (buyers.groupBy("buyer_id").agg(F.count(F.lit(1)).alias("n"))
@@ -372,7 +454,7 @@ def buyer_issue_table(buyers: DataFrame) -> DataFrame:
     rows = []
     for i, label in enumerate(BUYER_ISSUES):
         c = F.col(f"_c{i}")
-        status = (F.when(c > 0, "PASS").otherwise(STILL_REDUNDANT) if i == 6
+        status = (F.when(c.isNull(), NOT_COMPUTED).when(c > 0, "PASS").otherwise(STILL_REDUNDANT) if i == 6
                   else F.when(c == 0, "PASS").otherwise("FAIL"))
         rows.append(F.struct(F.lit(i + 1).alias("issue_no"), F.lit(label).alias("issue"),
                              c.alias("remaining_issue_rows"), status.alias("status")))
@@ -429,12 +511,24 @@ def slice_vs_all(df: DataFrame, predicate: str, col: str) -> DataFrame:
              .withColumn("skew_points", F.col("pct_slice") - F.col("pct_all")).orderBy("value"))
 
 
-def modal_in_null_slice(df: DataFrame, col: str, other: str) -> DataFrame:
-    """EDA35: most common ``other`` where ``col`` is NULL vs where it is not."""
-    n = F.col(col).isNull()
-    return df.agg(F.mode(F.when(n, F.col(other)), True).alias("mode_null_slice"),
-                  F.mode(F.when(~n, F.col(other)), True).alias("mode_valid_slice")).withColumn(
-        "verdict", F.when(F.col("mode_null_slice") == F.col("mode_valid_slice"), "Same").otherwise("DIFFERENT"))
+def modal_in_null_slice(df: DataFrame, col: str, others) -> DataFrame:
+    """EDA35: for each feature the most common value where ``col`` is NULL and where it is not."""
+    sliced = df.withColumn("_null", F.col(col).isNull())
+    top = top_values(value_counts(sliced, others, ["_null"]), ["_null"])
+    g = top.groupBy(F.col("column").alias("feature")).agg(
+        F.max(F.when(F.col("_null"), F.col("top_value"))).alias("mode_null_slice"),
+        F.max(F.when(~F.col("_null"), F.col("top_value"))).alias("mode_valid_slice"))
+    same = F.col("mode_null_slice").eqNullSafe(F.col("mode_valid_slice"))
+    return g.withColumn("verdict", F.when(same, "Same").otherwise("DIFFERENT")).orderBy("feature")
+
+
+def slice_quality(df: DataFrame, col: str) -> DataFrame:
+    """EDA35: cells of the rows NULL in ``col``, those that hold a value, and their share in percent."""
+    cols = [c for c in df.columns if not c.startswith("_")]
+    n = F.count(F.lit(1)) * len(cols)
+    valid = sum((F.count(F.col(c)) for c in cols), F.lit(0))
+    return df.where(F.col(col).isNull()).agg(n.alias("cells"), valid.alias("valid_cells"), (n - valid).alias("null_cells")).withColumn(
+        "quality_score_pct", F.when(F.col("cells") > 0, F.col("valid_cells") / F.col("cells") * 100))
 
 
 def duplicate_scenarios(df: DataFrame, order_key: str, strict_key, loose_key) -> DataFrame:
@@ -464,9 +558,9 @@ def duplicate_scenarios(df: DataFrame, order_key: str, strict_key, loose_key) ->
 
 def sales_totals(sales: DataFrame) -> DataFrame:
     """EDA41: rows, distinct orders / buyers / SKUs, items per order, cancelled share."""
-    return sales.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("order_id").alias("orders"),
-                     F.count_distinct("buyer_id").alias("buyers"), F.count_distinct("sku_id").alias("skus"),
-                     money_sum("quantity").alias("total_quantity")).withColumn(
+    people = distinct_counts(sales, [], {"orders": "order_id", "buyers": "buyer_id", "skus": "sku_id"})
+    return sales.agg(F.count(F.lit(1)).alias("rows"), money_sum("quantity").alias("total_quantity")).select(
+        "rows", *[people.select(c).scalar().alias(c) for c in ("orders", "buyers", "skus")], "total_quantity").withColumn(
         "items_per_order", F.col("rows") / F.col("orders"))
 
 
@@ -481,13 +575,26 @@ def suspicious_buyers(buyers_raw: DataFrame, sales: DataFrame, active_groups=("R
 
 
 def date_stats_by(df: DataFrame, by: str, col: str) -> DataFrame:
-    """EDA44: min, max and mean date of ``col`` per group.  The mean is the
+    """EDA44: min, max and mean date of ``col`` per group, and the days between the first and the last.  The mean is the
     exact (fixed-point) sum of epoch seconds integer-divided (``div``) by the
     count, so it does not depend on summation order."""
     mean_secs = F.expr(f"sum(CAST(unix_timestamp(CAST(`{col}` AS TIMESTAMP)) AS DECIMAL(38,0))) div count(`{col}`)")
     return df.groupBy(by).agg(F.min(col).alias("min_date"), F.max(col).alias("max_date"),
                               F.timestamp_seconds(mean_secs).cast("timestamp_ntz").alias("mean_date"),
-                              F.count(col).alias("n")).orderBy(by)
+                              F.count(col).alias("n")).withColumn("span_days", _whole_days("min_date", "max_date")).orderBy(by)
+
+
+def _whole_days(first: str, last: str) -> F.Column:
+    secs = F.unix_timestamp(F.col(last).cast("timestamp")) - F.unix_timestamp(F.col(first).cast("timestamp"))
+    return F.floor(secs / 86400).cast("bigint")
+
+
+def date_overview(df: DataFrame, col: str) -> DataFrame:
+    """EDA44: rows, rows without a date and their share, earliest, latest and the whole days between."""
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(col).isNull()).alias("nulls"),
+                  F.min(col).alias("min_date"), F.max(col).alias("max_date")).select(
+        "rows", "nulls", F.when(F.col("rows") > 0, F.col("nulls") / F.col("rows") * 100).alias("null_pct"),
+        "min_date", "max_date", _whole_days("min_date", "max_date").alias("span_days"))
 
 
 def slice_profile(df: DataFrame, predicate: str, cols, top: int = 5) -> DataFrame:
@@ -502,21 +609,33 @@ def slice_profile(df: DataFrame, predicate: str, cols, top: int = 5) -> DataFram
 
 def imputation_audit(raw: DataFrame, col: str, by: str) -> DataFrame:
     """EDA46: NULLs of ``col`` fillable from a non-NULL ``by`` mapping, nulls before / after."""
-    modes = raw.where(F.col(by).isNotNull() & F.col(col).isNotNull()).groupBy(by).agg(F.mode(col, True).alias("_m"))
-    j = raw.join(modes, by, "left")
+    modes = top_values(value_counts(raw.where(F.col(by).isNotNull()), [col], [by]), [by]).select(by, F.col("top_value").alias("_m"))
+    return fill_audit(raw.join(modes, by, "left"), col, F.col("_m"))
+
+
+def fill_audit(df: DataFrame, col: str, filler: F.Column) -> DataFrame:
+    """EDA46: NULLs of ``col`` before, those that ``filler`` fills and those it cannot, and NULLs after."""
     n = F.col(col).isNull()
-    return j.agg(F.count_if(n).alias("nulls_before"), F.count_if(n & F.col("_m").isNotNull()).alias("fillable"),
-                 F.count_if(n & F.col("_m").isNull()).alias("not_fillable"),
-                 F.count_if(F.coalesce(F.col(col), F.col("_m")).isNull()).alias("nulls_after"))
+    return df.agg(F.count_if(n).alias("nulls_before"), F.count_if(n & filler.isNotNull()).alias("fillable"),
+                  F.count_if(n & filler.isNull()).alias("not_fillable"),
+                  F.count_if(F.coalesce(F.col(col), filler).isNull()).alias("nulls_after"))
+
+
+def signup_fill_audit(buyers: DataFrame, sales: DataFrame) -> DataFrame:
+    """EDA46: signup dates filled from each buyer's first order."""
+    first = sales.groupBy("buyer_id").agg(F.min("order_datetime").alias("_first"))
+    return fill_audit(group_lookup(buyers, "buyer_id", first), "signup_date", F.col("_first"))
 
 
 def region_states(buyers: DataFrame) -> DataFrame:
     """EDA47: per region its states, state count and modal zone; plus whether
     every state of the region occurs under this region only."""
-    per_state = buyers.where(F.col("state").isNotNull()).groupBy("state").agg(
-        F.count_distinct("region").alias("regions"))
-    b = buyers.where(F.col("region").isNotNull()).join(per_state, "state", "left")
-    return b.groupBy("region").agg(F.sort_array(F.collect_set("state")).alias("states"),
-                                   F.count_distinct("state").alias("n_states"),
-                                   F.mode("timezone", True).alias("modal_timezone"),
-                                   F.bool_and(F.col("regions") == 1).alias("states_exclusive")).orderBy("region")
+    held = buyers.where(F.col("region").isNotNull())
+    pairs = held.groupBy("region", "state").agg(F.count(F.lit(1)).alias("n"))
+    regions_of = pairs.where(F.col("state").isNotNull()).groupBy("state").agg(F.count(F.lit(1)).alias("regions"))
+    zones = top_values(value_counts(held, ["timezone"], ["region"]), ["region"]).select("region", F.col("top_value").alias("modal_timezone"))
+    # one entry for each distinct state of a region
+    g = pairs.join(regions_of, "state", "left").groupBy("region").agg(
+        F.sort_array(F.collect_list("state")).alias("states"), F.count("state").alias("n_states"),
+        F.bool_and(F.col("regions") == 1).alias("states_exclusive"))
+    return g.join(zones, "region", "left").select("region", "states", "n_states", "modal_timezone", "states_exclusive").orderBy("region")

@@ -7,7 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from orderlens.operators import clean, lines as lines_op, orders as orders_op
+from orderlens.operators import clean, derived, lines as lines_op, orders as orders_op
 from orderlens.params import TESTBED, Params
 from orderlens.session import materialize_table, observed
 from orderlens.sources.testbed import Testbed
@@ -91,15 +91,26 @@ class Pipeline:
         return self._keep(clean.clean_buyers(raw, self.sales, self.params), "buyers_clean", raw=seen)
 
     @cached_property
+    def line_values(self) -> DataFrame:
+        """Line fact with company time, money, holiday flag and whether PR1-PR3 keep the line: the one table of
+        lines that is written, behind both ``lines`` and ``prepared_lines``."""
+        joined = lines_op.build_lines(self.buyers, self.sales, self.products)
+        return self._keep(orders_op.add_line_values(joined, self.params), "line_fact")
+
+    @property
     def lines(self) -> DataFrame:
-        # J2 line fact: read by the line rules, profiles, key diagnostics and
-        # the priced lines, so the three-way join is computed and written once
-        return self._keep(lines_op.build_lines(self.buyers, self.sales, self.products), "line_fact")
+        """J2 line fact: read by the line rules, profiles and key diagnostics."""
+        return self.line_values.drop("order_datetime_company", "line_base_revenue", "line_cogs", "is_black_friday", "_usable")
 
     @cached_property
     def prepared_lines(self) -> DataFrame:
-        """Line fact with company time, money and holiday flag (written once)."""
-        return self._keep(orders_op.prepare_lines(self.lines, self.params), "final_line_level")
+        """Lines that PR1-PR3 keep, with company time, money and holiday flag."""
+        return orders_op.usable_lines(self.line_values)
+
+    @cached_property
+    def payback_curve(self) -> DataFrame:
+        """Q3d, at most one row for each order rank of the curve: Q3e reads it too."""
+        return self._keep(derived.payback_curve(self.orders, self.params), "payback_curve")
 
     @cached_property
     def priced_lines(self) -> DataFrame:

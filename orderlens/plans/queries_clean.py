@@ -111,17 +111,41 @@ def j11(spark, sf):
     return key_overlap(p.sales, p.buyers_raw, "buyer_id")
 
 
-@register("cp11_canonical_map", None)
+def _canon_ctes(col: str, threshold: float = 0.92) -> str:
+    """One token after the other by rank: the first leader that is similar enough, else a leader of its own."""
+    return f"""raw_{col} AS (SELECT DISTINCT {col} AS raw, upper(regexp_replace({col}, '\\s+', '', 'g')) AS token FROM products_raw WHERE {col} IS NOT NULL),
+ranked_{col} AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) AS rank
+  FROM (SELECT upper(regexp_replace({col}, '\\s+', '', 'g')) AS token FROM products_raw WHERE {col} IS NOT NULL) t GROUP BY 1),
+walk_{col} AS (
+  SELECT CAST(0 AS BIGINT) AS rank, CAST([] AS VARCHAR[]) AS leaders, CAST(NULL AS VARCHAR) AS token, CAST(NULL AS VARCHAR) AS leader
+  UNION ALL
+  SELECT rank, CASE WHEN found IS NULL THEN list_append(leaders, token) ELSE leaders END, token, coalesce(found, token)
+  FROM (SELECT r.rank, w.leaders, r.token, list_filter(w.leaders, lambda l:
+          1.0 - levenshtein(l, r.token) / greatest(length(l), length(r.token), 1) >= {threshold})[1] AS found
+        FROM walk_{col} w JOIN ranked_{col} r ON r.rank = w.rank + 1) s),
+map_{col} AS (SELECT raw, token, leader AS canonical FROM raw_{col} JOIN walk_{col} USING (token))"""
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("cp11_canonical_map", _recursive(O.with_base(f", {_canon_ctes('subcategory_name')}\nSELECT raw, token, canonical FROM map_subcategory_name")))
 def cp11(spark, sf):
-    """Iterative (leader fixed point): no SQL twin; tested against a brute-force fixture."""
     from orderlens.operators.canon import canonical_map
-    return canonical_map(pipeline(spark, sf).products_raw, "vendor")
+    return canonical_map(pipeline(spark, sf).products_raw, "subcategory_name")
 
 
-@register("cp11_canonicalise_report", None)
+_CANON = ["vendor", "category_name", "subcategory_name"]
+
+
+@register("cp11_canonicalise_report", _recursive(O.with_base(
+    ", " + ",\n".join(_canon_ctes(c) for c in _CANON) + "\n" + "\nUNION ALL ".join(
+        f"""SELECT '{c}' AS "column", (SELECT count(DISTINCT coalesce({c}, chr(1))) FROM products_raw) AS before_unique,
+       (SELECT count(DISTINCT coalesce(canonical, chr(1))) FROM products_raw LEFT JOIN map_{c} ON raw = {c}) AS after_unique""" for c in _CANON))))
 def cp11r(spark, sf):
     from orderlens.operators.canon import canonicalise
-    _, rep = canonicalise(pipeline(spark, sf).products_raw, ["vendor", "category_name"])
+    _, rep = canonicalise(pipeline(spark, sf).products_raw, _CANON)
     return rep
 
 
@@ -139,3 +163,45 @@ def cb10(spark, sf):
     raw = pipeline(spark, sf).buyers_raw
     after = C.drop_exact_duplicates(raw).agg(F.count(F.lit(1))).scalar()
     return raw.agg(F.count(F.lit(1)).alias("rows_before"), F.first(after).alias("rows_after"))
+
+
+# A catalogue without a key column: some parts are missing.
+_NO_VENDOR = "CASE WHEN length(category_name) % 4 = 1 THEN NULL ELSE vendor END"
+
+
+@register("cp9_composed_keys", O.with_base(f"""
+SELECT product_num, upper({O.squeeze('subcategory_id')} || '-' || {O.squeeze('vendor')} || '-' || {O.squeeze('product_num')}) AS sku_id
+FROM (SELECT * REPLACE ({_NO_VENDOR} AS vendor) FROM products_raw)"""))
+def cp9(spark, sf):
+    p = pipeline(spark, sf)
+    raw = p.products_raw.drop("sku_id").withColumn("vendor", F.expr(_NO_VENDOR))
+    return C.clean_products(raw, p.params).select("product_num", "sku_id")
+
+
+@register("j1_normalised_keys", O.with_base(f"""
+, plain AS (SELECT count(*) AS n FROM sales_raw s JOIN products_raw p ON s.sku_id = p.sku_id JOIN buyers_raw b ON s.buyer_id = b.buyer_id),
+normal AS (SELECT count(*) AS n FROM sales_raw s JOIN products_raw p ON upper({O.strip('s.sku_id')}) = upper({O.strip('p.sku_id')})
+           JOIN buyers_raw b ON upper({O.strip('s.buyer_id')}) = upper({O.strip('b.buyer_id')}))
+SELECT plain.n AS matches_as_they_come, normal.n AS matches_normalised FROM plain, normal"""))
+def j1(spark, sf):
+    """Lines that meet a product and a buyer with the keys as they come, and after J1."""
+    from orderlens.operators.lines import normalize_ids
+    p = pipeline(spark, sf)
+    sides = [p.sales_raw.select("sku_id", "buyer_id"), p.products_raw.select("sku_id"), p.buyers_raw.select("buyer_id")]
+
+    def matches(sales, products, buyers):
+        return sales.join(products, "sku_id").join(buyers, "buyer_id").agg(F.count(F.lit(1)).alias("n")).scalar()
+
+    return spark.range(1).select(matches(*sides).alias("matches_as_they_come"),
+                                 matches(*[normalize_ids(s, ["sku_id", "buyer_id"]) for s in sides]).alias("matches_normalised"))
+
+
+@register("pr3_year_filter", O.with_base("""
+SELECT CAST(year(order_datetime_company) AS INTEGER) AS year, count(*) AS lines FROM l1
+WHERE order_datetime_company IS NOT NULL AND year(order_datetime_company) >= 1998 GROUP BY 1 ORDER BY 1"""))
+def pr3(spark, sf):
+    """Lines by company year under a later bound, which drops the years before it."""
+    from orderlens.operators.orders import prepare_lines
+    p = pipeline(spark, sf)
+    lines = prepare_lines(p.lines, p.params.with_(line_min_year=1998))
+    return lines.groupBy(F.year("order_datetime_company").alias("year")).agg(F.count(F.lit(1)).alias("lines")).orderBy("year")

@@ -238,7 +238,7 @@ CURVE2 = f"""SELECT *, round(sqrt(pow(std_ref, 2) / n_ref + pow(std_nonref, 2) /
 SELECT *, round(inc_mean - 1.96 * se_diff, 8) AS inc_low, round(inc_mean + 1.96 * se_diff, 8) AS inc_high,
        least(n_ref, n_nonref) AS n_effective FROM ({CURVE2}) c ORDER BY order_rank"""))
 def q3d(spark, sf):
-    return D.payback_curve(orders(spark, sf), P)
+    return pipeline(spark, sf).payback_curve.orderBy("order_rank")
 
 
 @register("q3e_payback_point", O.with_base(f"""
@@ -248,8 +248,8 @@ SELECT min(CASE WHEN inc_mean >= (SELECT {O.ratio('d', 'b')} FROM g) THEN order_
        arg_max(inc_mean, order_rank) * (SELECT b FROM g) AS incremental_revenue_total,
        (SELECT {O.ratio('d', 'b')} FROM g) AS discount_per_buyer FROM c"""))
 def q3e(spark, sf):
-    o = orders(spark, sf)
-    return D.payback_point(o, M.referral_impact(o, P), P)
+    p = pipeline(spark, sf)
+    return D.payback_point(p.payback_curve, M.referral_impact(p.orders, P))
 
 
 @register("q3f_referred_cumulative_revenue", O.with_base(f"""

@@ -9,22 +9,41 @@ from orderlens.params import TESTBED as P
 from orderlens.plans import oracle as O
 from orderlens.plans.catalog import pipeline, register
 
-# Fixed checks of the products issue table: (predicate, severity).
+# Fixed checks of the products issue table: (predicate, severity), and the fields that must not be missing.
 PRODUCT_ISSUES = {
     "missing_margin_before_imputation": ("margin IS NULL OR margin_imputed", "MEDIUM"),
     "negative_margin": ("margin < 0", "MEDIUM"),
-    "missing_price": ("price IS NULL", "HIGH"),
     "vendor_product_conflict": ("vendor_product_conflict = 1", "LOW"),
     "inactive_with_stock": ("inactive_with_stock_flag", "LOW"),
 }
+PRODUCT_FIELDS = {"product_num": "HIGH", "vendor": "MEDIUM", "category_id": "MEDIUM", "subcategory_id": "MEDIUM", "price": "HIGH"}
+
+# The catalogue of this table has lost some cells and repeats some numbers.
+CATALOGUE_LOSSES = {
+    "price": "CASE WHEN price > 0 AND length(sku_id) % 3 = 0 AND margin > 0.55 THEN NULL ELSE price END",
+    "vendor": "CASE WHEN margin BETWEEN 0.31 AND 0.325 THEN NULL ELSE vendor END",
+    "product_num": "CASE WHEN margin BETWEEN 0.41 AND 0.425 THEN NULL WHEN margin BETWEEN 0.45 AND 0.465 THEN 'N' || vendor ELSE product_num END",
+}
 
 
-@register("eda19_issue_table", O.with_base("\nUNION ALL ".join(
-    f"SELECT '{k}' AS issue, count_if({c}) AS rows, round(CASE WHEN count(*) > 0 THEN count_if({c}) / count(*) * 100 ELSE 0.0 END, 2) AS pct, "
-    f"'{sev}' AS severity, CASE WHEN count_if({c}) > 0 THEN 'CHECK' ELSE 'OK' END AS status FROM pcx"
-    for k, (c, sev) in PRODUCT_ISSUES.items()).replace("SELECT", ", pcx AS (SELECT *, CAST(coalesce(active_flag = 1 AND vendor_flag = 0, false) AS INTEGER) AS vendor_product_conflict, coalesce(active_flag = 0 AND TRY_CAST(current_stock AS DOUBLE) > 0, false) AS inactive_with_stock_flag FROM (SELECT *, CASE WHEN lower(trim(active_product)) IN ('1', 'true', 'y') THEN 1 WHEN lower(trim(active_product)) IN ('0', 'false', 'n') THEN 0 END AS active_flag, CASE WHEN lower(trim(currently_active_vendor)) IN ('1', 'true', 'y') THEN 1 WHEN lower(trim(currently_active_vendor)) IN ('0', 'false', 'n') THEN 0 END AS vendor_flag FROM products_clean) t) SELECT", 1)))
+@register("eda19_issue_table", O.with_base(f"""
+, flags AS (SELECT *, lower(trim(active_product)) AS a, lower(trim(currently_active_vendor)) AS v FROM products_clean),
+pc AS (SELECT * REPLACE ({', '.join(f'{e} AS {c}' for c, e in CATALOGUE_LOSSES.items())}) FROM flags),
+i AS (
+  SELECT 'Missing product_num' AS issue, count(*) - count(product_num) AS rows, 'HIGH' AS severity FROM pc
+  UNION ALL SELECT 'Missing vendor', count(*) - count(vendor), 'MEDIUM' FROM pc
+  UNION ALL SELECT 'Missing subcategory_id', count(*) - count(subcategory_id), 'MEDIUM' FROM pc
+  UNION ALL SELECT 'Missing price', count(*) - count(price), 'HIGH' FROM pc
+  UNION ALL SELECT 'Duplicate product_num rows', count(*), 'HIGH' FROM (SELECT count(*) OVER (PARTITION BY product_num) AS n FROM pc) WHERE n > 1
+  UNION ALL SELECT 'missing_margin_before_imputation', count_if(margin IS NULL OR margin_imputed), 'MEDIUM' FROM pc
+  UNION ALL SELECT 'negative_margin', count(*), 'MEDIUM' FROM pc WHERE margin < 0
+  UNION ALL SELECT 'vendor_product_conflict', count(*), 'LOW' FROM pc WHERE a IN ('1', 'true', 'y') AND v IN ('0', 'false', 'n')
+  UNION ALL SELECT 'inactive_with_stock', count(*), 'LOW' FROM pc WHERE a IN ('0', 'false', 'n') AND TRY_CAST(current_stock AS DOUBLE) > 0)
+SELECT issue, rows, round(rows / (SELECT count(*) FROM pc) * 100, 2) AS pct, severity, CASE WHEN rows > 0 THEN 'CHECK' ELSE 'OK' END AS status
+FROM i ORDER BY status, rows DESC, issue"""))
 def eda19(spark, sf):
-    return PF.issue_table(pipeline(spark, sf).products, PRODUCT_ISSUES)
+    p = pipeline(spark, sf).products
+    return PF.product_issue_table(p.withColumns({c: F.expr(e) for c, e in CATALOGUE_LOSSES.items()}), PRODUCT_ISSUES, PRODUCT_FIELDS)
 
 
 @register("eda24_margin_breakdown", O.with_base("""
@@ -86,12 +105,34 @@ def eda41(spark, sf):
 @register("eda44_date_stats", O.with_base("""
 SELECT customer_segment, min(signup_date) AS min_date, max(signup_date) AS max_date,
        make_timestamp(CAST(sum(CAST(epoch(signup_date) AS BIGINT)) // count(signup_date) AS BIGINT) * 1000000) AS mean_date,
-       count(signup_date) AS n
+       count(signup_date) AS n, CAST(floor(epoch(max(signup_date) - min(signup_date)) / 86400) AS BIGINT) AS span_days
 FROM buyers_clean GROUP BY 1 ORDER BY 1"""))
 def eda44(spark, sf):
     return PF.date_stats_by(pipeline(spark, sf).buyers, "customer_segment", "signup_date")
 
 
+@register("eda44b_date_overview", O.with_base("""
+SELECT count(*) AS rows, count_if(signup_date IS NULL) AS nulls, count_if(signup_date IS NULL) / count(*) * 100 AS null_pct,
+       min(signup_date) AS min_date, max(signup_date) AS max_date,
+       CAST(floor(epoch(max(signup_date) - min(signup_date)) / 86400) AS BIGINT) AS span_days FROM b1"""))
+def eda44b(spark, sf):
+    from orderlens.functions.timefn import SIGNUP_TS_FORMATS, parse_ts
+    return PF.date_overview(pipeline(spark, sf).buyers_raw.withColumn("signup_date", parse_ts("signup_date", SIGNUP_TS_FORMATS)), "signup_date")
+
+
+@register("eda46c_signup_fill", O.with_base("""
+SELECT count_if(signup_date IS NULL) AS nulls_before,
+       count_if(signup_date IS NULL AND buyer_id IN (SELECT buyer_id FROM sales_clean)) AS fillable,
+       count_if(signup_date IS NULL AND (buyer_id IS NULL OR buyer_id NOT IN (SELECT buyer_id FROM sales_clean))) AS not_fillable,
+       count_if(signup_date IS NULL AND (buyer_id IS NULL OR buyer_id NOT IN (SELECT buyer_id FROM sales_clean))) AS nulls_after FROM b1"""))
+def eda46c(spark, sf):
+    from orderlens.functions.text import strip_ws
+    from orderlens.functions.timefn import SIGNUP_TS_FORMATS, parse_ts
+    p = pipeline(spark, sf)
+    raw = p.buyers_raw.withColumns({"buyer_id": strip_ws("buyer_id"), "signup_date": parse_ts("signup_date", SIGNUP_TS_FORMATS)})
+    return PF.signup_fill_audit(raw, p.sales)
+
+
 @register("eda46_imputation_audit", O.with_base("""
 , m AS (SELECT state, timezone AS _m FROM (SELECT state, timezone, count(*) AS c FROM b1
         WHERE state IS NOT NULL AND timezone IS NOT NULL GROUP BY ALL)
@@ -128,9 +169,6 @@ def q4e(spark, sf):
     return D.peak_day_revenue_impact(pipeline(spark, sf).orders, P)
 
 
-_ = F
-
-
 @register("eda22_non_numeric_values", O.with_base("""
 SELECT price AS value, count(*) AS count FROM products_raw WHERE price IS NOT NULL AND TRY_CAST(price AS DOUBLE) IS NULL
 GROUP BY 1 ORDER BY 2 DESC, 1"""))
@@ -186,10 +224,12 @@ def eda30(spark, sf):
 
 
 @register("eda32_multi_valued_keys", O.with_base("""
-SELECT state, count(DISTINCT region) AS n_region, count(DISTINCT timezone) AS n_timezone FROM buyers_raw
-GROUP BY 1 HAVING count(DISTINCT region) > 1 OR count(DISTINCT timezone) > 1 ORDER BY 1"""))
+SELECT buyer_id, count(DISTINCT region) AS n_region, count(DISTINCT state) AS n_state, count(DISTINCT timezone) AS n_timezone
+FROM b1 GROUP BY 1 HAVING count(DISTINCT region) > 1 OR count(DISTINCT state) > 1 OR count(DISTINCT timezone) > 1 ORDER BY 1"""))
 def eda32(spark, sf):
-    return PF.multi_valued_keys(pipeline(spark, sf).buyers_raw, "state", ["region", "timezone"])
+    from orderlens.functions.text import strip_ws
+    raw = pipeline(spark, sf).buyers_raw.withColumn("buyer_id", strip_ws("buyer_id"))
+    return PF.multi_valued_keys(raw, "buyer_id", ["region", "state", "timezone"])
 
 
 @register("eda33_dependency_profile", O.with_base("""
@@ -204,13 +244,29 @@ def eda33(spark, sf):
     return PF.dependency_profile(pipeline(spark, sf).buyers_raw, "state", "timezone")
 
 
-@register("eda35_modal_in_null_slice", O.with_base("""
-, c AS (SELECT region IS NULL AS sl, timezone, count(*) AS m FROM buyers_raw WHERE timezone IS NOT NULL GROUP BY ALL),
-mc AS (SELECT sl, timezone FROM c QUALIFY row_number() OVER (PARTITION BY sl ORDER BY m DESC, timezone) = 1),
-r AS (SELECT max(timezone) FILTER (WHERE sl) AS mode_null_slice, max(timezone) FILTER (WHERE NOT sl) AS mode_valid_slice FROM mc)
-SELECT *, CASE WHEN mode_null_slice = mode_valid_slice THEN 'Same' ELSE 'DIFFERENT' END AS verdict FROM r"""))
+# Features that the slice without a signup date is compared on.
+_FEATURES = ["customer_group", "preferred_channel", "region", "is_referred"]
+_BUYER_RAW = ["buyer_id", "customer_group", "customer_segment", "preferred_channel", "signup_date", "region", "state", "timezone",
+              "is_referred", "wishlist_size", "is_active_buyer"]
+
+
+@register("eda35_modal_in_null_slice", O.with_base("\n" + ", m AS (" + "\nUNION ALL ".join(f"""
+SELECT '{c}' AS feature, sl, value FROM (SELECT signup_date IS NULL AS sl, CAST({c} AS VARCHAR) AS value, count(*) AS n
+  FROM buyers_raw WHERE {c} IS NOT NULL GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY sl ORDER BY n DESC, value) = 1"""
+    for c in _FEATURES) + """)
+SELECT feature, max(value) FILTER (sl) AS mode_null_slice, max(value) FILTER (NOT sl) AS mode_valid_slice,
+       CASE WHEN max(value) FILTER (sl) IS NOT DISTINCT FROM max(value) FILTER (NOT sl) THEN 'Same' ELSE 'DIFFERENT' END AS verdict
+FROM m GROUP BY 1 ORDER BY 1"""))
 def eda35(spark, sf):
-    return PF.modal_in_null_slice(pipeline(spark, sf).buyers_raw, "region", "timezone")
+    return PF.modal_in_null_slice(pipeline(spark, sf).buyers_raw, "signup_date", _FEATURES)
+
+
+@register("eda35b_slice_quality", O.with_base(f"""
+, s AS (SELECT count(*) * {len(_BUYER_RAW)} AS cells, {' + '.join(f'count({c})' for c in _BUYER_RAW)} AS valid_cells
+        FROM buyers_raw WHERE signup_date IS NULL)
+SELECT cells, valid_cells, cells - valid_cells AS null_cells, valid_cells / cells * 100 AS quality_score_pct FROM s"""))
+def eda35b(spark, sf):
+    return PF.slice_quality(pipeline(spark, sf).buyers_raw.select(*_BUYER_RAW), "signup_date")
 
 
 @register("eda37_duplicate_diff", O.with_base("""
@@ -223,13 +279,24 @@ def eda37(spark, sf):
     return PF.duplicate_diff(pipeline(spark, sf).sales_raw.select("order_id", "sku_id", "quantity", "buyer_id"), "order_id")
 
 
-@register("eda39_constant_columns", O.with_base("""
-SELECT * FROM (SELECT 'subcategory_id' AS "column", count(DISTINCT subcategory_id) AS distinct_values FROM products_clean
-               UNION ALL SELECT 'vendor', count(DISTINCT vendor) FROM products_clean
-               UNION ALL SELECT 'category_name', count(DISTINCT category_name) FROM products_clean) t
-WHERE distinct_values <= 1"""))
+# One vendor's part of the catalogue: its name is the same everywhere, and so may be other columns.
+_ONE_VENDOR = "vendor = 'Brand#7' AND coalesce(margin, 0) < 0"
+
+
+def _columns_sql(table: str, cols: dict[str, str], where: str = "true") -> str:
+    return "\nUNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS rows, count_if({e} IS NULL) AS nulls, count(DISTINCT {e}) AS distinct_values,
+       CAST(min({e}) AS VARCHAR) AS min_value, CAST(max({e}) AS VARCHAR) AS max_value FROM {table} WHERE {where}""" for c, e in cols.items())
+
+
+_PRODUCT_CELLS = {c: c for c in ("sku_id", "subcategory_id", "vendor", "product_num", "category_name", "price", "margin",
+                                 "margin_imputed", "active_product", "currently_active_vendor", "current_stock")}
+
+
+@register("eda39_constant_columns", O.with_base(
+    f"""SELECT "column", distinct_values FROM ({_columns_sql("products_clean", _PRODUCT_CELLS, _ONE_VENDOR)}) t WHERE distinct_values <= 1"""))
 def eda39(spark, sf):
-    return PF.constant_columns(pipeline(spark, sf).products.select("subcategory_id", "vendor", "category_name"))
+    return PF.constant_columns(pipeline(spark, sf).products.where(_ONE_VENDOR).select(*_PRODUCT_CELLS))
 
 
 @register("eda40_whitespace_audit", O.with_base("\nUNION ALL ".join(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from orderlens.operators import quality as Q
 from orderlens.params import TESTBED as P
 from orderlens.plans import oracle as O, oracle_dq as S
@@ -114,3 +116,71 @@ SELECT buyers_rows, sales_rows, products_rows, final_line_rows, order_level_rows
 def dq15(spark, sf):
     p = pipeline(spark, sf)
     return Q.quality_summary(p.buyers, p.sales, p.products, p.lines, p.orders)
+
+
+# The clean tables with faults (columns replaced), so that every rule has something to count.
+TABLE_BREAKS = {
+    "buyers_clean": {"buyer_id": "CASE WHEN wishlist_size = 7 THEN NULL WHEN wishlist_size = 8 THEN 'twice' ELSE buyer_id END"},
+    "sales_clean": {"order_id": "CASE WHEN quantity_original = 11 THEN NULL ELSE order_id END",
+                    "buyer_id": "CASE WHEN quantity_original = 12 THEN NULL ELSE buyer_id END",
+                    "sku_id": "CASE WHEN quantity_original = 13 THEN NULL ELSE sku_id END",
+                    "order_status": "CASE WHEN quantity_original = 14 THEN NULL ELSE order_status END",
+                    "quantity": "CASE WHEN quantity_original = 15 THEN NULL WHEN quantity_original = 16 THEN 0.0 "
+                                "WHEN quantity_original = 17 THEN quantity_cap_value + 1 ELSE quantity END"},
+    "products_clean": {"sku_id": "CASE WHEN margin BETWEEN 0.1 AND 0.115 THEN 'SKU-TWICE' ELSE sku_id END",
+                       "price": "CASE WHEN margin BETWEEN 0.2 AND 0.215 THEN NULL WHEN margin BETWEEN 0.3 AND 0.315 THEN -price ELSE price END",
+                       "margin": "CASE WHEN margin BETWEEN 0.4 AND 0.415 THEN 1.5 WHEN margin BETWEEN 0.5 AND 0.515 THEN -1.5 ELSE margin END"},
+}
+
+
+def _broken_sql() -> str:
+    """Counts of the faults, each stated anew."""
+    from orderlens.plans.queries_audit import _BROKEN_ORDERS
+    tables = {"buyers_clean": "bb", "sales_clean": "bs", "products_clean": "bp"}
+    ctes = [f"{short} AS (SELECT * REPLACE ({', '.join(f'{e} AS {c}' for c, e in TABLE_BREAKS[t].items())}) FROM {t})" for t, short in tables.items()]
+    lo, hi = P.order_year_band
+
+    def rule(rule_id, dataset, text, count, severity="HIGH", info=False):
+        return S.row_sql(rule_id, dataset, text, "true" if info else "v = 0", "v", None if info else 0.0, severity, f"FROM (SELECT ({count}) AS v) a")
+
+    def count(table, cond):
+        return f"SELECT count(*) FROM {table} WHERE {cond}"
+
+    def repeats(table, key):
+        return f"SELECT (SELECT count(*) FROM {table}) - (SELECT count(*) FROM (SELECT DISTINCT {key} FROM {table}))"
+
+    parts = [
+        rule("DQ_B001", "buyers_clean", "rows without a buyer", count("bb", "buyer_id IS NULL")),
+        rule("DQ_B002", "buyers_clean", "buyers that appear more than once", repeats("bb", "buyer_id")),
+        rule("DQ_S001", "sales_clean", "lines without an order", count("bs", "order_id IS NULL")),
+        rule("DQ_S002", "sales_clean", "rows without a buyer", count("bs", "buyer_id IS NULL")),
+        rule("DQ_S003", "sales_clean", "lines without a product key", count("bs", "sku_id IS NULL")),
+        rule("DQ_S004", "sales_clean", "lines without a status", count("bs", "order_status IS NULL")),
+        rule("DQ_S005", "sales_clean", "lines whose quantity is no number", count("bs", "quantity IS NULL")),
+        rule("DQ_S006", "sales_clean", "lines with a quantity of zero or less", count("bs", "quantity <= 0")),
+        rule("DQ_S007", "sales_clean", "lines whose quantity was lowered to the cap", count("bs", "quantity_original > quantity_cap_value"), "INFO", True),
+        rule("DQ_S008", "sales_clean", "lines still above the cap", count("bs", "quantity > quantity_cap_value")),
+        rule("DQ_P001", "products_clean", "product keys that appear more than once", repeats("bp", "sku_id")),
+        rule("DQ_P002", "products_clean", "products without a price", count("bp", "price IS NULL"), "INFO", True),
+        rule("DQ_P003", "products_clean", "products with a price below zero", count("bp", "price < 0")),
+        rule("DQ_P004", "products_clean", "margins below minus one", count("bp", "margin < -1"), "MEDIUM"),
+        rule("DQ_P005", "products_clean", "margins above one", count("bp", "margin > 1"), "MEDIUM"),
+        rule("DQ_O001", "order_level", "orders that appear more than once", repeats("bo", "order_id")),
+        rule("DQ_O005", "order_level", f"orders outside the years {lo} to {hi}", count("bo", f"NOT year BETWEEN {lo} AND {hi}")),
+        rule("DQ_O002", "order_level", "orders with a shipping fee below zero", count("bo", "customer_shipping_fee < 0")),
+        rule("DQ_O003", "order_level", "orders with revenue below zero", count("bo", "order_revenue < 0"), "INFO", True),
+        rule("DQ_O004", "order_level", "orders that lose money", count("bo", "order_profit < 0"), "MEDIUM", True)]
+    return f", {', '.join([*ctes, _BROKEN_ORDERS])}\n" + S.union(*parts)
+
+
+@register("dq14b_broken_tables", O.with_base(_broken_sql()))
+def dq14b(spark, sf):
+    """DQ9, DQ10, DQ11 and DQ13 on tables with faults: each of their rules counts some."""
+    from orderlens.plans.queries_audit import broken_orders
+    p = pipeline(spark, sf)
+
+    def broken(df, name):
+        return df.select(*[F.expr(TABLE_BREAKS[name].get(c, f"`{c}`")).alias(c) for c in df.columns])
+
+    return Q.union_rules([Q.check_buyers_clean(broken(p.buyers, "buyers_clean")), Q.check_sales_clean(broken(p.sales, "sales_clean")),
+                          Q.check_products_clean(broken(p.products, "products_clean")), Q.check_order_level(broken_orders(p.orders), P)])

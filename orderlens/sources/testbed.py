@@ -6,8 +6,9 @@ columns are strings, as in the CSV exports the cleaning layer is built for.
 
 The mapping also plants what the cleaning layer is there for, by arithmetic on the
 keys: padded and mixed-case keys, null ids, a mistyped and a null status, other
-time layouts and no time at all, bad and huge quantities, repeated buyers of
-differing completeness, buyers whose sales carry no id, percent-only margins, a
+time layouts and no time at all, bad quantities and rare huge ones (fewer than one line
+in a thousand, so that they lie above the cap), repeated buyers of
+differing completeness or place, misspelt product group names, buyers whose sales carry no id, percent-only margins, a
 vendor that sells at a loss, mixed flag spellings, doubled blanks, a legacy zone id
 and orders within the hours that clock changes skip and repeat.
 """
@@ -39,11 +40,13 @@ BUYER_EXPRS = [
     ("is_active_buyer", "CASE WHEN c_custkey % 53 = 0 THEN '0' WHEN c_custkey % 31 = 0 THEN '0' ELSE '1' END"),
     ("_ord", "2 * c_custkey"),
 ]
-# Second records of some buyers: full copies, or less complete ones.
+# Second records of some buyers: full copies, less complete ones, and ones from another place.
 BUYER_COPY_FILTER = "c_custkey % 40 IN (5, 6)"
 BUYER_COPY_CHANGES = {
     "signup_date": "CASE WHEN c_custkey % 40 = 5 THEN NULL ELSE {} END",
-    "region": "CASE WHEN c_custkey % 40 = 5 THEN NULL ELSE {} END",
+    "region": "CASE WHEN c_custkey % 40 = 5 THEN NULL WHEN c_custkey % 120 = 46 THEN 'ATLANTIS' ELSE {} END",
+    "state": "CASE WHEN c_custkey % 120 = 86 THEN 'UTOPIA' ELSE {} END",
+    "timezone": "CASE WHEN c_custkey % 120 = 6 THEN 'Pacific/Honolulu' ELSE {} END",
     "_ord": "2 * c_custkey - 1",
 }
 BUYER_COPY_EXPRS = [(n, BUYER_COPY_CHANGES.get(n, "{}").format(e)) for n, e in BUYER_EXPRS]
@@ -62,7 +65,8 @@ SALES_EXPRS = [
     ("sku_id", "CASE WHEN l_partkey % 5 = 1 THEN ' sku-' || CAST(l_partkey AS STRING) || ' ' "
                "ELSE 'SKU-' || CAST(l_partkey AS STRING) END"),
     ("quantity", "CASE l_orderkey % 401 WHEN 0 THEN '0' WHEN 1 THEN '-3' WHEN 2 THEN 'many' WHEN 3 THEN '12d' WHEN 4 THEN 'NaN' "
-                 "WHEN 5 THEN '900' ELSE CAST(l_quantity AS STRING) END"),
+                 "WHEN 5 THEN CASE WHEN l_linenumber = 1 THEN '900' ELSE CAST(l_quantity AS STRING) END "
+                 "ELSE CAST(l_quantity AS STRING) END"),
     ("order_datetime", f"CASE WHEN l_orderkey % 101 = 0 THEN 'soon' "
                        f"WHEN l_orderkey % 13 = 1 THEN {_MONTH_DAY} || {_YEAR} || ' ' || {_CLOCK} "
                        f"WHEN l_orderkey % 13 = 2 THEN {_YEAR} || '-' || lpad(CAST(month(o_orderdate) AS STRING), 2, '0') || '-' "
@@ -75,15 +79,17 @@ SALES_EXPRS = [
 PRODUCT_EXPRS = [
     ("category_name", "CASE WHEN p_partkey % 6 = 0 THEN replace(p_type, ' ', '  ') ELSE p_type END"),
     ("subcategory_id", "CASE WHEN p_partkey % 8 = 3 THEN ' ' || replace(p_type, ' ', '   ') ELSE p_type END"),
-    ("subcategory_name", "p_type"),
+    ("subcategory_name", "CASE WHEN p_partkey % 17 = 3 THEN p_name || ' of typ ' || p_type "
+                         "WHEN p_partkey % 23 = 5 THEN lower(p_name || ' off type ' || p_type) "
+                         "WHEN p_partkey % 29 = 7 THEN p_name || '  of   type ' || p_type ELSE p_name || ' of type ' || p_type END"),
     ("vendor", "CASE WHEN p_partkey % 9 = 4 THEN p_brand || ' ' ELSE p_brand END"),
     ("product_num", "CAST(p_partkey AS STRING)"),
     ("sku_id", "CASE WHEN p_partkey % 4 = 2 THEN 'Sku-' || CAST(p_partkey AS STRING) || ' ' ELSE 'SKU-' || CAST(p_partkey AS STRING) END"),
     ("price", "CASE WHEN p_partkey % 4 = 0 THEN '$' || CAST(p_retailprice AS STRING) "
               "ELSE CAST(p_retailprice AS STRING) END"),
-    ("profit_margin", "CASE WHEN p_partkey % 13 = 0 OR p_partkey % 11 = 5 THEN NULL WHEN p_brand = 'Brand#55' THEN -0.05 "
+    ("profit_margin", "CASE WHEN p_partkey % 13 = 0 OR p_partkey % 11 = 5 THEN NULL WHEN p_brand = 'Brand#7' THEN -0.05 "
                       "ELSE CAST(p_partkey % 60 AS DOUBLE) / 100 END"),
-    ("pct_profit_margin", "CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_brand = 'Brand#55' THEN '-5.0' "
+    ("pct_profit_margin", "CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_brand = 'Brand#7' THEN '-5.0' "
                           "WHEN p_partkey % 19 = 7 THEN CAST(p_partkey % 60 + 1 AS STRING) "
                           "WHEN p_partkey % 3 = 0 OR p_partkey % 11 = 5 THEN CAST(p_partkey % 60 AS STRING) END"),
     ("active_product", "CASE p_partkey % 7 WHEN 0 THEN 'N' WHEN 1 THEN 'False' WHEN 2 THEN ' y ' WHEN 3 THEN 'TRUE' ELSE 'Y' END"),

@@ -15,7 +15,7 @@ from oracle_check import digest  # noqa: E402
 
 SQL = catalog.oracle_sql()
 #: Iterative or schema-only results; other tests compare them with brute force.
-WITHOUT_SQL = {"cp11_canonical_map", "cp11_canonicalise_report", "dq16_registry_check"}
+WITHOUT_SQL = {"dq16_registry_check"}
 
 
 @pytest.fixture(scope="module")

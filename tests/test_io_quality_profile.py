@@ -127,6 +127,23 @@ def test_canonical_map_decides_long_chains_and_long_texts(spark):
         assert got == brute_force_map(vals, threshold) and None not in got.values()
 
 
+def test_tokens_with_one_prefix_are_not_all_compared(spark, monkeypatch):
+    from orderlens.operators import canon
+    rng = random.Random(4)
+    vals = ["SHAREDPREFIXOFALL" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(8)) for _ in range(1500)]
+    vals += [v[:20] + "Q" + v[21:] for v in vals[:1500]]
+    tokens = spark.createDataFrame([(v,) for v in sorted(set(vals))], "token string").cache()
+    met, dealt = canon.candidates(tokens, 0.92)
+    compared = met.join(dealt, ["longer", "g", "block"]).agg(F.sum(F.size("others"))).first()[0]
+    assert compared < len(vals) ** 2 / 20
+    # the same pairs whatever the size of a block
+    ranked = tokens.withColumn("rank", F.row_number().over(Window.orderBy("token")))
+    want = {(r.token, r.earlier) for r in canon.similar_pairs(ranked, 0.92).collect()}
+    assert len(want) >= 1400
+    monkeypatch.setattr(canon, "BLOCK", 3)
+    assert {(r.token, r.earlier) for r in canon.similar_pairs(ranked, 0.92).collect()} == want
+
+
 def test_quoted_header_commas_and_line_breaks(spark, tmp_path):
     (tmp_path / "s.csv").write_text('"order_id","a,b",quantity\n1,"x\ny",2\n3,"say ""hi""",4\n')
     rows = read_sales(spark, str(tmp_path / "s.csv")).orderBy("_ord").collect()
