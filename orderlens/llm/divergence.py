@@ -91,7 +91,8 @@ class Block:
         return out
 
     def chunks(self):
-        """(chunks, first, documents): documents[first[i]:first[i + 1]] are those of the occurrences of chunk i."""
+        """(chunks, first, documents): documents[first[i]:first[i + 1]] are those of the occurrences of chunk i.
+        The chunks are in order, so that neighbours in files and shuffles have beginnings in common."""
         codes: dict[bytes, int] = defaultdict()
         codes.default_factory = codes.__len__
         runs, size = [np.zeros(0, np.int64)], len(self.documents)
@@ -99,9 +100,13 @@ class Block:
             for piece in pieces(text):
                 found = piece.split()
                 runs.append(np.fromiter(map(codes.__getitem__, found), np.int64, len(found)) * size + i)
-        held = np.sort(np.concatenate(runs))
+        ordered = sorted(codes)
+        place = np.empty(len(codes), np.int64)
+        place[np.fromiter(map(codes.__getitem__, ordered), np.int64, len(codes))] = np.arange(len(codes))
+        at = np.concatenate(runs)
+        held = np.sort(place[at // max(1, size)] * size + at % max(1, size)) if len(codes) else at
         first = np.searchsorted(held, np.arange(len(codes) + 1) * size)
-        return list(codes), first, (held % max(1, size)).astype("<u2")
+        return ordered, first, (held % max(1, size)).astype("<u2")
 
 
 BLOCK_SCHEMA = "block bigint, chunk string, docs binary, groups array<struct<lang:string,source:string,until:int>>"
@@ -190,11 +195,13 @@ def term_counts(docs: DataFrame, scratch: Scratch, text_col: str = "text", lang_
     scratch.drop("chunks")
     scratch.release()
     # a block's rows are bounded like its text
-    counted = back.groupBy("block").cogroup(groups.groupBy("of")).applyInArrow(
-        block_terms, "lang string, source string, term string, documents bigint, n bigint")
+    counted = scratch.write(back.groupBy("block").cogroup(groups.groupBy("of")).applyInArrow(
+        block_terms, "lang string, source string, term string, documents bigint, n bigint"), "counted")
+    scratch.drop("back", "blocks")
+    scratch.release()
     out = scratch.write(counted.groupBy("lang", "source", "term").agg(
         F.sum("documents").alias("documents"), F.sum("n").alias("n")), "terms")
-    scratch.drop("back", "blocks")
+    scratch.drop("counted")
     scratch.release()
     return out
 
