@@ -21,7 +21,7 @@ def test_buyer_issue_table_counts_every_copy(spark):
     assert got[2] == (4, "FAIL")                      # both copies of B1 and both NULL ids
     assert got[3] == (1, "FAIL") and got[4] == (1, "FAIL") and got[5] == (1, "FAIL")
     assert got[6] == (1, "FAIL")
-    assert got[7] == (None, PF.STILL_REDUNDANT)       # no is_active_buyer column
+    assert got[7] == (None, PF.NOT_COMPUTED)          # no is_active_buyer column
 
 
 def test_duplicate_scenarios_compare_whole_payloads(spark):
