@@ -95,7 +95,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    scored = quality.score(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    scored = quality.score(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), carry=["doc_id"])
     return scored.select(
         "doc_id", *(f"quality.{c}" for c in (
             "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")))

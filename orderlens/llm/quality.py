@@ -8,9 +8,15 @@ a score below the threshold is rejected.  All of it is built-in expressions: the
 counts are one aggregation to ``BUCKETS`` rows, the ratios travel as one array of
 that fixed length.
 
+The threshold follows the corpus: a fifth of the trusted documents (by a hash of the id) is
+left out of the target counts, and the threshold lies ``SPREADS`` times the distance between
+the median and the lower sixth of their scores below the median.  Both are exact quantiles over all of
+them.
+
 Defined cases: null or word-less text has zero counts, score 0 and fails the length
 rule; an empty corpus or no trusted text gives equal multinomials, so every
-score is 0 and only the rules decide.
+score is 0 and only the rules decide; so do they without a trusted document among
+those left out.  Documents without an id are never left out.
 """
 
 from __future__ import annotations
@@ -19,13 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import Scratch, free_name, let, words
+from orderlens.operators.quantiles import quantiles_row
 
 BUCKETS = 10_000
 PRIOR = 1.0
-#: Mean log ratio per n-gram below which a document is rejected.  Text like the corpus scores near 0;
-#: labelled documents of quality 1 lie above -0.065 even in the smallest table, those with symbols on
-#: every word or shouted throughout mostly below -0.08.
-THRESHOLD = -0.07
+#: Of a normal distribution of scores the threshold loses 1 good document in 30,000.
+SPREADS = 4.0
+#: Quantiles of the median and one standard deviation below it.
+CENTRE, LOWER = 0.5, 0.16
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -98,7 +105,7 @@ def duplicate_lines(text: Column) -> Column:
 
 def measure(docs: DataFrame, ratios: Column, text_col: str = "text", out: str = "quality") -> DataFrame:
     """``docs`` with a struct column ``out``: n_words, word_chars, n_symbols,
-    n_dup_lines, n_repeat_words, score, base_failed, kept."""
+    n_dup_lines, n_repeat_words, score, base_failed."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     features = let(words(text), lambda w: F.struct(
         F.size(w).cast("bigint").alias("n_words"),
@@ -111,8 +118,7 @@ def measure(docs: DataFrame, ratios: Column, text_col: str = "text", out: str =
         x["f"]["n_words"].alias("n_words"), x["f"]["word_chars"].alias("word_chars"),
         x["n_symbols"].alias("n_symbols"), x["n_dup_lines"].alias("n_dup_lines"),
         x["f"]["n_repeat_words"].alias("n_repeat_words"), x["f"]["score"].alias("score"),
-        base_failed(x["f"]["n_words"], x["f"]["n_repeat_words"]).alias("base_failed"),
-        (~base_failed(x["f"]["n_words"], x["f"]["n_repeat_words"]) & (x["f"]["score"] >= THRESHOLD)).alias("kept")))
+        base_failed(x["f"]["n_words"], x["f"]["n_repeat_words"]).alias("base_failed")))
     return docs.withColumn(out, f)
 
 
@@ -120,21 +126,47 @@ def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
     return (n_words < MIN_WORDS) | (100 * n_repeat_words > MAX_REPEAT_PERCENT * n_words)
 
 
+def left_out(id_col: str = "doc_id") -> Column:
+    """Trusted documents that set the threshold and do not count for the target."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
+
+
+def good_ids(labels: DataFrame) -> DataFrame:
+    """(doc_id, trusted); a document labelled more than once counts once."""
+    return labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.max("quality") == 1).alias("trusted"))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Ratios (one stored row): documents labelled quality 1 are the trusted target,
-    all documents the raw corpus.  A document labelled more than once counts once."""
-    trusted = labels.groupBy("doc_id").agg((F.max("quality") == 1).alias("trusted"))
+    """Ratios (one stored row): documents labelled quality 1, but those left out, are the trusted target,
+    all documents the raw corpus."""
+    trusted = good_ids(labels).select("doc_id", (F.col("trusted") & ~left_out()).alias("trusted"))
     # the label side is the small one of each partition; the text side needs no sort
     texts = docs.select("doc_id", "text").join(trusted.hint("shuffle_hash"), "doc_id", "left")
     return Scratch(docs.sparkSession, "quality").write(log_ratios(texts), "ratios")
 
 
-def score(docs: DataFrame, labels: DataFrame, out: str = "quality") -> DataFrame:
-    """``docs`` with the struct column ``out``.  The ratios, ``BUCKETS`` numbers whatever
-    the corpus size, become one constant of the plan."""
+def threshold(measured: DataFrame, labels: DataFrame, out: str = "quality") -> float | None:
+    """Threshold from the scores of the trusted documents left out, or None without any.  ``measured``: stored (doc_id, out)."""
+    good = good_ids(labels).where(F.col("trusted") & left_out())
+    scores = measured.select("doc_id", F.col(out)["score"].alias("__score"), F.col(out)["base_failed"].alias("__failed")) \
+        .join(good, "doc_id").where(~F.col("__failed"))
+    q = quantiles_row(scores, "__score", [CENTRE, LOWER], ["centre", "lower"]).first()
+    return None if q["centre"] is None else q["centre"] - SPREADS * (q["centre"] - q["lower"])
+
+
+def score(docs: DataFrame, labels: DataFrame, out: str = "quality", carry: list[str] | None = None) -> DataFrame:
+    """The columns ``carry`` (by default all) of ``docs``, and the struct column ``out``, with ``kept``.  The
+    ratios, ``BUCKETS`` numbers whatever the corpus size, become one constant of the plan; the scores are stored,
+    since the threshold needs those of the documents left out first."""
     ratios = fit(docs, labels).first()["ratios"]
     constant = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
-    return measure(docs, constant, out=out)
+    kept = list(dict.fromkeys([*(carry or docs.columns), "doc_id"]))
+    measured = Scratch(docs.sparkSession, "quality").write(measure(docs, constant, out=out).select(*kept, out), "measured")
+    least = threshold(measured, labels, out)
+    verdict = ~F.col(out)["base_failed"]
+    if least is not None:
+        verdict = verdict & (F.col(out)["score"] >= least)
+    return measured.select(*(carry or docs.columns), F.col(out).withField("kept", verdict).alias(out))
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -15,7 +16,8 @@ WORD = re.compile("[^\x20\x09-\x0D]+")
 
 # --- quality rules --------------------------------------------------------------
 
-def brute_quality(texts, trusted, buckets=quality.BUCKETS):
+def brute_quality(texts, trusted, left_out, buckets=quality.BUCKETS):
+    """``trusted``: texts that count for the target; ``left_out``: trusted texts that set the threshold."""
     def grams(w):
         h = lambda s, seed=42: xxhash.xxh64_intdigest(s.encode(), seed)
         signed = lambda x: x - (1 << 64) if x >> 63 else x
@@ -43,8 +45,13 @@ def brute_quality(texts, trusted, buckets=quality.BUCKETS):
         score = float(np.mean([ratio[x] for x in g])) if g else 0.0
         failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
         out.append((len(w), sum(map(len, w)), len(re.findall(quality.SYMBOLS, t)), len(lines) - len(set(lines)),
-                    len(covered), failed, not failed and score >= quality.THRESHOLD, score))
-    return out
+                    len(covered), failed, score))
+    of = [x[6] for x, chosen in zip(out, left_out) if chosen and not x[5]]
+    least = -np.inf
+    if of:
+        centre, lower = np.quantile(of, 0.5), np.quantile(of, 0.16)
+        least = centre - 4 * (centre - lower)
+    return out, least
 
 
 def test_quality_equals_brute_force(spark, small):
@@ -54,13 +61,31 @@ def test_quality_equals_brute_force(spark, small):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     rows += [(-1, None), (-2, ""), (-3, "a b c " * 40), (-4, "a a a a\nb\n\nb\n \t\nb"), (-5, "* " * 60)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    want = brute_quality([t for _, t in rows], [d in good for d, _ in rows])
+    chosen = [d in good and zlib.crc32(str(d).encode()) % 5 == 0 for d, _ in rows]
+    assert sum(chosen) >= 5
+    want, least = brute_quality([t for _, t in rows], [d in good and not c for (d, _), c in zip(rows, chosen)], chosen)
     got = {r["doc_id"]: r["quality"] for r in quality.score(df, labels).collect()}
     for (d, _), w in zip(rows, want):
         q = got[d]
         assert (q["n_words"], q["word_chars"], q["n_symbols"], q["n_dup_lines"], q["n_repeat_words"],
                 q["base_failed"]) == w[:6], d
-        assert q["score"] == pytest.approx(w[7], abs=1e-9) and (q["kept"] == w[6] or abs(w[7] - quality.THRESHOLD) < 1e-9)
+        assert q["score"] == pytest.approx(w[6], abs=1e-9)
+        assert q["kept"] == (not w[5] and w[6] >= least) or abs(w[6] - least) < 1e-9
+
+
+def test_quality_keeps_good_documents(spark, small):
+    """Good documents that count for nothing are kept, most junk goes; no labelled document sets both sides."""
+    folder = small.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    scored = quality.score(docs.select("doc_id", "text"), labels, out="q", carry=["doc_id"])
+    rows = scored.join(labels, "doc_id").where("not q.base_failed").select(
+        "quality", "q.kept", quality.left_out().alias("out")).collect()
+    good = [r["kept"] for r in rows if r["quality"] == 1]
+    assert np.mean(good) >= 0.99 and np.mean([r["kept"] for r in rows if r["quality"] == 1 and r["out"]]) >= 0.97
+    assert np.mean([r["kept"] for r in rows if r["quality"] == 0]) <= 0.25
+    turned = labels.withColumn("quality", F.when(quality.left_out() & (F.col("quality") == 1), 0).otherwise(F.col("quality")))
+    a, b = (quality.fit(docs, x).first()["ratios"] for x in (labels, turned))
+    assert a == b
 
 
 def test_quality_edge_cases(spark, edge, empty, labels):
@@ -69,7 +94,7 @@ def test_quality_edge_cases(spark, edge, empty, labels):
     assert got[11]["n_repeat_words"] == 3000 and got[11]["base_failed"] and got[4]["base_failed"]
     assert not got[12]["base_failed"]
     assert quality.keep(empty, labels).count() == 0
-    assert quality.score(edge, labels.limit(0)).where("quality.score != 0").count() == 0
+    assert quality.score(edge, labels.limit(0)).where("quality.score != 0 or quality.kept = quality.base_failed").count() == 0
 
 
 # --- pieces -----------------------------------------------------------------------
