@@ -16,7 +16,7 @@ paths meet at every word start, and words are looked up in a bounded memo.
 
 The vocabulary is read on the driver from a given model file and travels with
 the tasks (its size is fixed by the model).  Null text is encoded like the
-empty text: no pieces.  Decoding returns the text; as in the model itself, the
+empty text: no pieces; equal rows give equal rows, and an empty table none.  Decoding returns the text; as in the model itself, the
 blank mark (U+2581) inside a text decodes to a blank.
 """
 
@@ -35,10 +35,11 @@ from orderlens.llm.common import Scratch, free_name
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Characters of a chunk; texts of up to twice as many are encoded in one piece.
-CHUNK = 1 << 15
+CHUNK = 1 << 13
 BREAK = "\n"
-#: Words that a task's memo holds before it starts anew.
+#: Words, and characters in them, that a task's memo holds before it starts anew.
 MEMO = 60_000
+MEMO_CHARACTERS = 1 << 20
 #: Texts that a task turns into ids or back at once.
 SLICE = 256
 #: Longest run of a word's characters that is encoded by merging.
@@ -278,7 +279,9 @@ class Lattice:
         new = [w for w in words if w not in memo and 0 < len(w) < SHORT]
         if len(memo) + len(new) > MEMO:
             memo.clear()
+            memo.characters = 0
             new = [w for w in words if 0 < len(w) < SHORT]
+        memo.characters += sum(map(len, new))
         new.sort(key=len)       # the arrays of a call are as wide as its longest string
         for lo in range(0, len(new), STRINGS):
             some = new[lo:lo + STRINGS]
@@ -434,14 +437,20 @@ class Memo(dict):
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.characters = make, 0
 
     def __missing__(self, key):
-        if len(self) >= MEMO:
-            self.clear()
+        self.fit(key)
         value = self[key] = self.make(key)
         return value
 
+    def fit(self, key):
+        """Make room for ``key``: a text without blanks is one long key."""
+        self.characters += len(key)
+        if len(self) >= MEMO or self.characters > MEMO_CHARACTERS:
+            self.clear()
+            self.characters = len(key)
+
 
 RUN = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 

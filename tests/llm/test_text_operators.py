@@ -423,3 +423,21 @@ def test_toxicity_with_more_tokens_than_are_broadcast(spark, edge, monkeypatch):
     # an almost full bitmap lets every token through, which changes nothing
     monkeypatch.setattr(toxicity, "FILTER_BITS", 8)
     assert results(toxicity.fit(docs, marked, F.lit(True))) == want
+
+
+def test_scan_takes_part_in_the_given_table(spark, monkeypatch):
+    """Some texts of ``documents`` go through the chunks: without their matrices the query's ids are gone."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    giant = docs.where(F.length("text") >= 2 * piece_encoding.CHUNK).count()
+    assert giant >= 5
+    monkeypatch.setattr(piece_encoding, "resolve_task", lambda frame: frame[["key", "k"]].iloc[:0].assign(
+        in_start=0, in_end=0, out_start=0, out_end=0))
+    assert catalog.op5_piece_encoding(spark, "/root/testdata/sf0.01").count() == docs.count() - giant
+
+
+def test_memo_is_bounded_by_characters():
+    memo = piece_encoding.Memo(len)
+    for i in range(300):
+        memo[f"{i}" + "x" * 10_000]
+        assert sum(map(len, memo)) <= piece_encoding.MEMO_CHARACTERS
+    assert memo["x" * (2 * piece_encoding.MEMO_CHARACTERS)] == 2 * piece_encoding.MEMO_CHARACTERS and len(memo) == 1
