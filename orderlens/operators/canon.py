@@ -39,7 +39,7 @@ def _edits(length, threshold: float) -> F.Column:
 
 
 #: Longest substrings that tokens are met under, and tokens of one key that are compared within a row.
-LONGEST_GRAM = 4
+LONGEST_GRAM = 3
 BLOCK = 256
 
 

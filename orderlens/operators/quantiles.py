@@ -29,6 +29,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from orderlens.operators.running import blocks_of
 from orderlens.session import materialize_table
 
 
@@ -55,8 +56,7 @@ def group_quantiles(df: DataFrame, keys: list[str], value, probs: list[float], n
                     keep_key: bool = False, blocks: int | None = None) -> DataFrame:
     """One row per group with a non-null ``value``: ``keys`` + one double per
     probability (linear interpolation, NULLs ignored, as ``percentile``)."""
-    spark = df.sparkSession
-    nb = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    nb = blocks or blocks_of(df)
     val = F.col(value) if isinstance(value, str) else value
     v = df.select(_group_key(keys).alias("_g"), val.cast("double").alias("_v")).where(F.col("_v").isNotNull())
     vc = v.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))

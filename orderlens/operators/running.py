@@ -20,11 +20,24 @@ from pyspark.sql import DataFrame, Window, functions as F
 from orderlens.session import materialize_table
 
 
+#: Bytes of the tables read for each block of a range-partitioned scan.
+BLOCK_BYTES = 128 << 20
+_UNKNOWN = 1 << 62
+
+
+def blocks_of(df: DataFrame, bytes_per_block: int = BLOCK_BYTES) -> int:
+    """Blocks for a range partitioning of ``df``: the configured shuffle partitions, or more when the tables that it
+    reads are so large that a block would hold more than ``bytes_per_block`` of them."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return max(least, -(-sum(s for s in sizes if s < _UNKNOWN) // bytes_per_block))
+
+
 def running_rank_sum(df: DataFrame, key: str, order_cols: list[str], value: str | None = None,
                      rank_col: str = "rank", sum_col: str = "running", partitions: int | None = None,
                      sum_type: str = "decimal(20,6)") -> DataFrame:
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or blocks_of(df)
     r = (df.repartitionByRange(n, key, *order_cols)
            .withColumn("_pid", F.spark_partition_id()))
     r = materialize_table(r, "running-scan")
@@ -54,8 +67,7 @@ def global_rank(df: DataFrame, order_cols: list, rank_col: str = "rank", partiti
     range-partition on the order, write the block id once, rank inside each
     block, and add the row count of the earlier blocks (a table of at most
     ``partitions`` rows)."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or blocks_of(df)
     r = materialize_table(df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id()),
                           "global-rank")
     loc = r.withColumn("_lrank", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols)))

@@ -4,7 +4,7 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from conftest import SF_SMALL
 from orderlens.operators import profile as PF, quality as Q
@@ -127,6 +127,59 @@ def test_canonical_map_decides_long_chains_and_long_texts(spark):
         assert got == brute_force_map(vals, threshold) and None not in got.values()
 
 
+def test_headers_are_read_without_the_file(spark, tmp_path, monkeypatch):
+    """A long file costs a few reads of its beginning; a quoted line break in a header belongs to the name."""
+    import gzip
+
+    from orderlens.sources import files
+    (tmp_path / "a.csv").write_text('"order_id","two\nlines",q\n' + "".join(f"{i},x,1\n" for i in range(200_000)))
+    (tmp_path / "b.csv").write_text("\ufefforder_id,q\r\n1,2\r\n")
+    (tmp_path / "empty.csv").write_text("")
+    with gzip.open(tmp_path / "c.csv.gz", "wt") as f:
+        f.write("order_id,other\n7,8\n")
+    reads = []
+    whole = files._first_record
+    monkeypatch.setattr(files, "_first_record", lambda t: reads.append(len(t)) or whole(t))
+    got = {k: [p.rsplit("/", 1)[1] for p in v] for k, v in files._layouts(spark, [str(tmp_path)]).items()}
+    assert got == {("order_id", "two\nlines", "q"): ["a.csv"], ("order_id", "q"): ["b.csv"], ("order_id", "other"): ["c.csv.gz"]}
+    assert max(reads) <= files.HEADER_BYTES
+    df = read_sales(spark, str(tmp_path))
+    assert df.count() == 200_002 and df.where("other = '8' and order_id = '7'").count() == 1
+    # a name longer than one read, and a file that ends within its header
+    (tmp_path / "d.csv").write_text('"' + "n" * 200_000 + '",b\n1,2\n')
+    (tmp_path / "e.csv").write_text("only,names")
+    assert [len(files._header(spark, str(tmp_path / f"{x}.csv"))) for x in "de"] == [200_004, 10]
+
+
+def test_files_are_split_unless_a_value_holds_a_line_break(spark, tmp_path):
+    from orderlens.sources import files
+    row = 'a,"b, c",1\n'
+    (tmp_path / "plain.csv").write_text("order_id,buyer_id,quantity\n" + row * 300_000)
+    (tmp_path / "broken.csv").write_text("order_id,buyer_id,quantity\n" + row * 10 + 'a,"b\nc",2\n' + row)
+    assert {p.rsplit("/", 1)[1] for p in files._with_quoted_breaks(spark, [str(tmp_path)])} == {"broken.csv"}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512k")
+    try:
+        assert read_sales(spark, str(tmp_path / "plain.csv")).rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    both = read_sales(spark, str(tmp_path))
+    assert both.count() == 300_012 and [r["buyer_id"] for r in both.where("quantity = '2'").collect()] == ["b\nc"]
+
+
+def test_blocks_grow_with_the_tables(spark, tmp_path):
+    from orderlens.operators.running import blocks_of
+    for n in (1, 10):
+        spark.range(n * 200_000).select(F.rand(n).alias("v"), F.uuid().alias("u")).write.parquet(str(tmp_path / f"t{n}"))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    one, ten = (spark.read.parquet(str(tmp_path / f"t{n}")) for n in (1, 10))
+    assert blocks_of(one) == least
+    a, b = blocks_of(one, 1 << 18), blocks_of(ten, 1 << 18)
+    assert a > least and 9 <= b / a <= 11
+    # a join's estimate is a product; the blocks follow the tables that are read
+    assert blocks_of(one.join(ten, "u"), 1 << 18) <= a + b
+
+
 def test_tokens_with_one_prefix_are_not_all_compared(spark, monkeypatch):
     from orderlens.operators import canon
     rng = random.Random(4)
