@@ -177,31 +177,37 @@ def block_terms(held: pa.Table, groups: pa.Table) -> pa.Table:
         "documents": pa.array(np.diff(np.append(start, len(cell))), pa.int64()), "n": pa.array(total, pa.int64())})
 
 
-def term_counts(docs: DataFrame, scratch: Scratch, text_col: str = "text", lang_col: str = "lang",
+def chunk_terms(held: DataFrame, least: int) -> DataFrame:
+    """(chunk, term, times) of every distinct chunk, but for the terms that fewer than ``least`` documents can hold:
+    a term's documents are at most the occurrences of its chunks.  Most distinct chunks are rare words, and what no
+    language keeps need not be joined back."""
+    sums = held.groupBy("chunk").agg(F.sum(F.octet_length("docs")).alias("bytes"))
+    terms = sums.select("chunk", "bytes", F.explode(
+        F.regexp_extract_all(lower_ascii(F.col("chunk")), F.lit(TERM), F.lit(0))).alias("term"))
+    terms = terms.groupBy("chunk", "bytes", "term").agg(F.count(F.lit(1)).alias("times"))
+    frequent = terms.groupBy("term").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") >= 2 * least).select("term")
+    return terms.join(frequent, "term").select("chunk", "term", "times")
+
+
+def term_counts(docs: DataFrame, scratch: Scratch, least: int, text_col: str = "text", lang_col: str = "lang",
                 source_col: str = "source") -> DataFrame:
-    """(lang, source, term, documents, n): stored counts of every term in every group."""
+    """(lang, source, term, documents, n): stored counts in every group, of all terms that ``least`` documents may hold."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     read = docs.select(F.spark_partition_id().cast("bigint").alias("part"), text(lang_col).alias("lang"),
                        text(source_col).alias("source"), text(text_col).alias("text"))
     blocks = scratch.write(read.mapInArrow(count_chunks, BLOCK_SCHEMA), "chunks")
-    held = blocks.where(F.col("chunk").isNotNull())
-    terms = held.select("chunk").distinct().select("chunk", F.explode(
-        F.regexp_extract_all(lower_ascii(F.col("chunk")), F.lit(TERM), F.lit(0))).alias("term"))
-    terms = terms.groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("times"))
-    back = scratch.write(
-        held.select("block", "chunk", "docs").join(terms, "chunk").select("block", "term", "times", "docs"), "back")
-    groups = scratch.write(blocks.where(F.col("chunk").isNull()).select(F.col("block").alias("of"), "groups"), "blocks")
-    # the shuffles of the join go before those of the next step begin
-    scratch.drop("chunks")
+    held = blocks.where(F.col("chunk").isNotNull()).select("block", "chunk", "docs")
+    terms = scratch.write(chunk_terms(held, least), "chunk-terms")
+    # each step's shuffles go before those of the next one begin
     scratch.release()
+    back = held.join(terms, "chunk").select("block", "term", "times", "docs")
+    groups = blocks.where(F.col("chunk").isNull()).select(F.col("block").alias("of"), "groups")
     # a block's rows are bounded like its text
-    counted = scratch.write(back.groupBy("block").cogroup(groups.groupBy("of")).applyInArrow(
-        block_terms, "lang string, source string, term string, documents bigint, n bigint"), "counted")
-    scratch.drop("back", "blocks")
-    scratch.release()
+    counted = back.groupBy("block").cogroup(groups.groupBy("of")).applyInArrow(
+        block_terms, "lang string, source string, term string, documents bigint, n bigint")
     out = scratch.write(counted.groupBy("lang", "source", "term").agg(
         F.sum("documents").alias("documents"), F.sum("n").alias("n")), "terms")
-    scratch.drop("counted")
+    scratch.drop("chunks", "chunk-terms")
     scratch.release()
     return out
 
@@ -248,7 +254,7 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
           min_documents: int = MIN_DOCUMENTS, top_terms: int = TOP_TERMS, pair_rows: int = PAIR_ROWS) -> DataFrame:
     """(lang, source, part, item, value, rank)."""
     scratch = Scratch(docs.sparkSession, "divergence")
-    counts = term_counts(docs, scratch, text_col, lang_col, source_col)
+    counts = term_counts(docs, scratch, min_documents, text_col, lang_col, source_col)
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     every = docs.groupBy(text(lang_col).alias("lang"), text(source_col).alias("source")).agg(F.count(F.lit(1)).alias("rows"))
     of_lang = counts.groupBy("lang", "term").agg(F.sum("documents").alias("documents"), F.sum("n").alias("lang_n"))
