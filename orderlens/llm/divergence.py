@@ -91,8 +91,7 @@ class Block:
         return out
 
     def chunks(self):
-        """(chunks, first, documents): documents[first[i]:first[i + 1]] are those of the occurrences of chunk i.
-        The chunks are in order, so that neighbours in files and shuffles have beginnings in common."""
+        """(chunks, first, documents): documents[first[i]:first[i + 1]] are those of the occurrences of chunk i."""
         codes: dict[bytes, int] = defaultdict()
         codes.default_factory = codes.__len__
         runs, size = [np.zeros(0, np.int64)], len(self.documents)
@@ -100,13 +99,9 @@ class Block:
             for piece in pieces(text):
                 found = piece.split()
                 runs.append(np.fromiter(map(codes.__getitem__, found), np.int64, len(found)) * size + i)
-        ordered = sorted(codes)
-        place = np.empty(len(codes), np.int64)
-        place[np.fromiter(map(codes.__getitem__, ordered), np.int64, len(codes))] = np.arange(len(codes))
-        at = np.concatenate(runs)
-        held = np.sort(place[at // max(1, size)] * size + at % max(1, size)) if len(codes) else at
+        held = np.sort(np.concatenate(runs))
         first = np.searchsorted(held, np.arange(len(codes) + 1) * size)
-        return ordered, first, (held % max(1, size)).astype("<u2")
+        return list(codes), first, (held % max(1, size)).astype("<u2")
 
 
 BLOCK_SCHEMA = "block bigint, chunk string, docs binary, groups array<struct<lang:string,source:string,until:int>>"
@@ -200,14 +195,16 @@ def term_counts(docs: DataFrame, scratch: Scratch, least: int, text_col: str = "
     terms = scratch.write(chunk_terms(held, least), "chunk-terms")
     # each step's shuffles go before those of the next one begin
     scratch.release()
-    back = held.join(terms, "chunk").select("block", "term", "times", "docs")
-    groups = blocks.where(F.col("chunk").isNull()).select(F.col("block").alias("of"), "groups")
+    back = scratch.write(held.join(terms, "chunk").select("block", "term", "times", "docs"), "back")
+    groups = scratch.write(blocks.where(F.col("chunk").isNull()).select(F.col("block").alias("of"), "groups"), "blocks")
+    scratch.drop("chunks", "chunk-terms")
+    scratch.release()
     # a block's rows are bounded like its text
     counted = back.groupBy("block").cogroup(groups.groupBy("of")).applyInArrow(
         block_terms, "lang string, source string, term string, documents bigint, n bigint")
     out = scratch.write(counted.groupBy("lang", "source", "term").agg(
         F.sum("documents").alias("documents"), F.sum("n").alias("n")), "terms")
-    scratch.drop("chunks", "chunk-terms")
+    scratch.drop("back", "blocks")
     scratch.release()
     return out
 
