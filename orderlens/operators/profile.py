@@ -598,13 +598,13 @@ def date_overview(df: DataFrame, col: str) -> DataFrame:
 
 
 def slice_profile(df: DataFrame, predicate: str, cols, top: int = 5) -> DataFrame:
-    """EDA45: NULLs and top values with share for each column inside a slice."""
+    """EDA45: top values with share for each column inside a slice (NULL is a value)."""
     s = df.where(predicate)
-    parts = [distribution(s, c, top) for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    total = s.agg(F.count(F.lit(1))).scalar()
+    # a task ranks at most ``top`` values of a column before the exchange
+    first = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value").asc_nulls_last())
+    return value_counts(s, cols).withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= top).select(
+        "column", "value", F.col("n").alias("count"), F.round(F.col("n") / total * 100, 4).alias("pct"), "rank").orderBy("column", "rank")
 
 
 def imputation_audit(raw: DataFrame, col: str, by: str) -> DataFrame:

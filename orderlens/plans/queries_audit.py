@@ -136,16 +136,35 @@ WHERE strategic_bucket <> CASE WHEN hp AND hv THEN 'CORE' WHEN hp THEN 'EXPAND'
     S.row_sql("AUD_RECOMPUTE_BUCKET", "q5_customer_base_kpis", Q.RECOMPUTE_BUCKET, "v = 0", "v", 0.0, "HIGH", f"FROM ({_Q5_BAD}) a"))))
 def dq18(spark, sf):
     o = pipeline(spark, sf).orders
-    # independent recomputation: from the raw order rows, not from the metric operator
+    return Q.recompute_audit(M.profit_by_quarter_segment(o, P), _recomputed_q2(o), M.segment_kpis(o, P))
+
+
+def _recomputed_q2(o):
+    """Independent recomputation: from the raw order rows, not by the metric operator."""
     from orderlens.functions.numeric import exact_mean, money_sum, rounded
     from orderlens.operators.quantiles import with_group_quantiles
     w, keys = M.in_window(o, P), ["quarter", "customer_segment"]
-    re = with_group_quantiles(w.groupBy(*keys).agg(
+    return with_group_quantiles(w.groupBy(*keys).agg(
         exact_mean("order_profit").alias("avg_profit_per_order"),
         money_sum("order_profit").alias("total_profit"), F.count_distinct("order_id").alias("order_count")),
         w, keys, "order_profit", [0.5], ["median_profit_per_order"]).withColumn(
         "median_profit_per_order", rounded("median_profit_per_order"))
-    return Q.recompute_audit(M.profit_by_quarter_segment(o, P), re, M.segment_kpis(o, P))
+
+
+@register("dq18b_broken_recompute", O.with_base(f", q5 AS ({Q5_SQL})\n" + S.union(
+    S.row_sql("AUD_RECOMPUTE_Q2", "q2_profit_by_quarter_segment", Q.RECOMPUTE_Q2, "v = 0", "v", 0.0, "HIGH",
+              "FROM (SELECT count(*) AS v FROM (SELECT DISTINCT quarter, customer_segment FROM ow WHERE right(quarter, 2) IN ('Q1', 'Q2', 'Q4'))) a"),
+    S.row_sql("AUD_RECOMPUTE_BUCKET", "q5_customer_base_kpis", Q.RECOMPUTE_BUCKET, "v = 0", "v", 0.0, "HIGH",
+              "FROM (SELECT count(*) AS v FROM q5 WHERE strategic_bucket IN ('CORE', 'DEPRIORITIZE')) a"))))
+def dq18b(spark, sf):
+    """The audit on metric tables with wrong means, counts and buckets and without the fourth quarters."""
+    o = pipeline(spark, sf).orders
+    q2 = M.profit_by_quarter_segment(o, P).where("quarter NOT LIKE '%Q4'").withColumns({
+        "avg_profit_per_order": F.expr("CASE WHEN quarter LIKE '%Q1' THEN avg_profit_per_order + 1 ELSE avg_profit_per_order END"),
+        "order_count": F.expr("CASE WHEN quarter LIKE '%Q2' THEN order_count + 1 ELSE order_count END")})
+    q5 = M.segment_kpis(o, P).withColumn("strategic_bucket", F.expr(
+        "CASE strategic_bucket WHEN 'CORE' THEN 'EXPAND' WHEN 'DEPRIORITIZE' THEN 'CORE' ELSE strategic_bucket END"))
+    return Q.recompute_audit(q2, _recomputed_q2(o), q5)
 
 
 # The order table with faults: columns replaced; orders of the hour 23 appear twice.

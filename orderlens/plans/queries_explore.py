@@ -8,6 +8,7 @@ from orderlens.operators import derived as D, profile as PF
 from orderlens.params import TESTBED as P
 from orderlens.plans import oracle as O
 from orderlens.plans.catalog import pipeline, register
+from orderlens.sources.files import SALES_COLUMNS
 
 # Fixed checks of the products issue table: (predicate, severity), and the fields that must not be missing.
 PRODUCT_ISSUES = {
@@ -301,9 +302,13 @@ def eda39(spark, sf):
 
 @register("eda40_whitespace_audit", O.with_base("\nUNION ALL ".join(
     f"SELECT 'whitespace' AS dataset, 'padded.{c}' AS metric, CAST(count_if(length({c}) <> length(trim({c}))) AS DOUBLE) AS value FROM sales_raw"
-    for c in ["order_id", "buyer_id", "sku_id"])))
+    for c in SALES_COLUMNS)))
 def eda40(spark, sf):
-    return PF.whitespace_audit(pipeline(spark, sf).sales_raw, ["order_id", "buyer_id", "sku_id"])
+    return PF.whitespace_audit(pipeline(spark, sf).sales_raw, SALES_COLUMNS)
+
+
+# Columns of the profiled slice of buyers.
+_SLICE = ["customer_group", "customer_segment", "preferred_channel", "region", "state", "timezone", "wishlist_size"]
 
 
 @register("eda42_suspicious_buyers", O.with_base("""
@@ -324,6 +329,6 @@ def eda42(spark, sf):
 SELECT * FROM (SELECT '{c}' AS "column", value, count, round(count / sum(count) OVER () * 100, 4) AS pct,
        CAST(row_number() OVER (ORDER BY count DESC, value ASC NULLS LAST) AS INTEGER) AS rank
 FROM (SELECT CAST({c} AS STRING) AS value, count(*) AS count FROM buyers_clean WHERE is_referred_invalid GROUP BY 1) g
-QUALIFY rank <= 5) t{i}""" for i, c in enumerate(["customer_segment", "region", "timezone"]))))
+QUALIFY rank <= 5) t{i}""" for i, c in enumerate(_SLICE))))
 def eda45(spark, sf):
-    return PF.slice_profile(pipeline(spark, sf).buyers, "is_referred_invalid", ["customer_segment", "region", "timezone"])
+    return PF.slice_profile(pipeline(spark, sf).buyers, "is_referred_invalid", _SLICE)

@@ -61,6 +61,39 @@ def src3(spark, sf):
     return read_products(spark, folder).select("sku_id", "price", "vendor", "current_stock", "category_name")
 
 
+@register("src4_required_columns", O.with_base("""
+SELECT order_status AS name, count(*) AS rows FROM sales_clean GROUP BY 1
+UNION ALL SELECT 'missing: buyer_id, sku_id', 0"""))
+def src4(spark, sf):
+    """SRC4: a table that fulfils its contract is read; one that lacks columns is refused with their names."""
+    path = _folder(spark, "contract")
+    pipeline(spark, sf).sales.select("order_id", "order_status").write.parquet(path)
+    rows = read_table(spark, path, ["order_id", "order_status"]).groupBy(F.col("order_status").alias("name")).agg(
+        F.count(F.lit(1)).alias("rows"))
+    try:
+        read_table(spark, path, ["order_id", "buyer_id", "sku_id"])
+        refused = "nothing"
+    except ValueError as e:
+        refused = ", ".join(c for c in ("order_id", "buyer_id", "sku_id") if repr(c) in str(e))
+    return rows.unionByName(spark.createDataFrame([(f"missing: {refused}", 0)], "name string, rows bigint"))
+
+
+@register("src7_registry_json", O.with_base("""
+SELECT customer_segment AS name, 'order' AS grain, min(quarter) AS definition, max(quarter) AS formula,
+       list_sort(list(DISTINCT region)) AS inputs FROM order_level GROUP BY 1"""))
+def src7(spark, sf):
+    """SRC7: a JSON document with one entry for each segment goes out as the lineage registry does, and comes back as rows."""
+    from orderlens.sources.files import read_registry
+    path, orders = _folder(spark, "registry"), pipeline(spark, sf).orders
+    pairs = orders.groupBy("customer_segment", "region").agg(F.min("quarter").alias("lo"), F.max("quarter").alias("hi"))
+    entries = pairs.groupBy(F.col("customer_segment").alias("name")).agg(
+        F.first(F.lit("order")).alias("grain"), F.min("lo").alias("definition"), F.max("hi").alias("formula"),
+        F.sort_array(F.collect_list("region")).alias("inputs"))
+    # one document, as small as the number of segments
+    entries.agg(F.collect_list(F.struct("name", "grain", "definition", "formula", "inputs")).alias("fields")).coalesce(1).write.json(path)
+    return read_registry(spark, path)
+
+
 @register("src5_clean_tables", O.with_base("""
 SELECT 'parquet' AS source, order_id, sku_id, CAST(quantity AS VARCHAR) AS quantity FROM sales_clean
 UNION ALL SELECT 'csv', buyer_id, timezone, NULL FROM buyers_clean"""))
