@@ -2,9 +2,10 @@
 
 A conversation is formatted once.  Every assistant turn becomes an example row of its
 own: its context is the formatted text of all preceding turns, its target the
-turn's own formatted text, and only the reply in the target is trainable.  The context is kept by
-reference, as its length and a running digest of its turns, so the examples grow with the
-conversation and not with its square; ``write_out`` puts the contexts in.
+turn's own formatted text, and only the reply in the target is trainable.  Stored examples keep the
+context by reference, as its length and a running digest of its turns, so they grow with the
+conversation and not with its square; ``write_out`` expands them, each to its context's text and
+its target, row by row and without a shuffle of the expanded text.
 
 Template of a turn: ``<turn>role``, a line feed, the text, ``</turn>`` and a line
 feed.  Backslash and ``<`` inside texts and roles are replaced by two-character
@@ -77,25 +78,28 @@ def examples(turns: DataFrame) -> DataFrame:
         F.col("head").alias("loss_start"), (F.length("piece") - len(CLOSE)).alias("loss_end"))
 
 
-def write_out(formatted: DataFrame, example_rows: DataFrame) -> DataFrame:
-    """The examples with the text of their contexts, for a trainer that wants each whole: grows with the square
-    of a conversation, as that text does."""
+def write_out(formatted: DataFrame, example_rows: DataFrame, keep=()) -> DataFrame:
+    """The examples with the text of their contexts, as a trainer reads them: grows with the square
+    of a conversation, as that text does.  ``keep``: further columns of either side."""
     return example_rows.join(formatted.withColumnRenamed("conv_id", "of"), F.col("conv_id").eqNullSafe(F.col("of"))).select(
         "conv_id", "n", F.substring("formatted", F.lit(1), F.col("context_length").cast("int")).alias("context"),
-        "target", "loss_start", "loss_end")
+        "target", "loss_start", "loss_end", *keep)
 
 
 def trained_examples(formatted: DataFrame, example_rows: DataFrame) -> DataFrame:
-    """(conv_id, n, trained): the unescaped loss text of every example, read from its target.  An example whose
-    context is not the turns that the formatted conversation has before its own is no example."""
+    """(conv_id, n, trained): the unescaped loss text of every example, read from the expanded example (the text of its
+    context, then its target) at the loss span.  An example whose context is not the turns that the formatted
+    conversation has before its own, or that the conversation does not hold as it stands, is no example."""
     read = formatted.select("conv_id", F.posexplode(pieces_of(F.col("formatted"))).alias("at", "piece"))
     held = with_context(read.select(F.col("conv_id").alias("of"), (F.col("at") + 1).alias("n"), "piece")
                         .withColumnRenamed("of", "conv_id")).select(
         F.col("conv_id").alias("of"), F.col("n").alias("at"), F.col("context_length").alias("length"),
         F.col("context_digest").alias("digest"))
-    loss = F.substr("target", F.col("loss_start") + 1, F.col("loss_end") - F.col("loss_start"))
-    return example_rows.join(held, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("n") == F.col("at"))).where(
-        (F.col("context_length") == F.col("length")) & (F.col("context_digest") == F.col("digest"))).select(
+    checked = example_rows.join(held, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("n") == F.col("at"))).where(
+        (F.col("context_length") == F.col("length")) & (F.col("context_digest") == F.col("digest"))).drop("of", "at")
+    example = F.concat("context", "target")
+    loss = F.substr(example, F.length("context") + F.col("loss_start") + 1, F.col("loss_end") - F.col("loss_start"))
+    return write_out(formatted, checked, keep=["formatted"]).where(F.startswith(F.col("formatted"), example)).select(
         "conv_id", "n", unescape(loss).alias("trained"))
 
 

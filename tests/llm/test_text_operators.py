@@ -186,6 +186,19 @@ def test_chat_query_builds_and_reads_every_example(spark, small, monkeypatch):
         assert all(got[c] == want[c] for c in want if c != -7)
 
 
+def test_loss_is_read_from_expanded_examples(spark, monkeypatch):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "é<a"), (1, 2, "user", "r"), (1, 3, "assistant", "b\\")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    out, made = chat_format.format_conversations(df), chat_format.examples(df)
+    got = lambda: {r["n"]: r["trained"] for r in chat_format.trained_examples(out, made).collect()}
+    assert got() == {2: "é<a", 4: "b\\"}
+    # an example whose expanded context is not the conversation's text does not count
+    write_out = chat_format.write_out
+    monkeypatch.setattr(chat_format, "write_out", lambda *a, **k: write_out(*a, **k).withColumn(
+        "context", F.when(F.col("n") == 4, F.replace("context", F.lit("q"), F.lit("Q"))).otherwise(F.col("context"))))
+    assert got() == {2: "é<a"}
+
+
 def test_long_conversations_cost_no_square(spark):
     """The stored output of a conversation of 4,000 turns is about four times that of 1,000."""
     sizes = []
