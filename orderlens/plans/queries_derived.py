@@ -75,7 +75,7 @@ SELECT (SELECT count(DISTINCT buyer_id) FROM order_level) AS num_customers,
        round(""" + O.ratio("c", "n") + """ * 100, 2) AS coverage_pct FROM cov"""))
 def q1f(spark, sf):
     p = pipeline(spark, sf)
-    return D.headline_counts(p.orders, p.lines, p.sales)
+    return D.headline_counts(p.orders, p.line_amounts, p.sales)
 
 
 @register("q1g_night_audit", O.with_base(f"""
@@ -479,7 +479,7 @@ def q5d2(spark, sf):
 @register("pr9_stacked_orders", O.with_base(O.variant_orders_sql("stacked", "base") + "SELECT * FROM order_level_v"))
 def pr9(spark, sf):
     p = pipeline(spark, sf)
-    priced = OP.apply_discounts(OP.flag_first_orders(p.prepared_lines), P, "stacked")
+    priced = OP.apply_discounts(OP.flag_first_orders(p.order_lines), P, "stacked")
     return OP.roll_up_orders(priced, P)
 
 
