@@ -22,8 +22,10 @@ blank mark (U+2581) inside a text decodes to a blank.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import uuid
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +42,9 @@ BREAK = "\n"
 #: Words, and characters in them, that a task's memo holds before it starts anew.
 MEMO = 60_000
 MEMO_CHARACTERS = 1 << 20
-#: Texts that a task turns into ids or back at once.
+#: Texts that a task turns into ids or back at once; chunks that it works on at once.
 SLICE = 256
+CHUNKS = 32
 #: Longest run of a word's characters that is encoded by merging.
 SHORT = 24
 #: Strings that are merged at once.
@@ -55,6 +58,7 @@ class Vocabulary:
     def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int], unknown: int, surface: list[bytes]):
         self.pieces, self.byte_ids, self.unknown, self.surface = pieces, byte_ids, unknown, surface
         self.longest = max(map(len, pieces))
+        self.token = hashlib.sha256(repr((pieces, byte_ids, unknown)).encode("utf-8", "surrogatepass")).hexdigest()
         #: Neighbouring characters that some piece holds; a merge never crosses any others.
         self.neighbours = {piece[i:i + 2] for piece in pieces for i in range(len(piece) - 1)}
 
@@ -142,43 +146,54 @@ class Merges:
         return out
 
     def encode(self, strings: list[str]) -> list[list[int] | bytes]:
-        """Piece numbers of each string as bytes; a list where a character is no piece."""
-        length = np.array([len(x) for x in strings])
-        width = int(length.max())
+        """Piece numbers of each string (none empty) as bytes; a list where a character is no piece.
+
+        The strings' parts lie one after the other; in a round every string merges its best pair.
+        """
+        size = np.array([len(x) for x in strings])
+        ends = np.cumsum(size)
+        begins = starts = ends - size
         point = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
         at = np.minimum(np.searchsorted(self.points, point), len(self.points) - 1)
-        flat = np.where(self.points[at] == point, self.numbers[at], self.unknown + point)
-        row = np.repeat(np.arange(len(strings)), length)
-        column = np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)
-        ids = np.full((len(strings), width + 1), -1, np.int64)
-        ids[row, column] = flat
-        pair = self.find(ids[:, :-1].reshape(-1), ids[:, 1:].reshape(-1)).reshape(len(strings), width)
-        pair = np.concatenate([pair, np.full((len(strings), 1), -1, np.int64)], axis=1)
+        ids = np.where(self.points[at] == point, self.numbers[at], self.unknown + point)
+        after = np.append(ids[1:], -1)
+        after[ends - 1] = -1
+        pair = self.find(ids, after)
         score = self.score[pair]
-        columns, live = np.arange(width + 1), np.arange(len(strings))
-        while len(live):
-            best = score[live].argmax(axis=1)
-            on = score[live, best] > NEG
-            live, best = live[on], best[on]
-            if not len(live):
-                break
-            made = pair[live, best]
-            after = np.minimum(columns + (columns > best[:, None]), width)
-            new = np.take_along_axis(ids[live], after, axis=1)
-            new[np.arange(len(live)), best] = made
-            ids[live] = new
-            after = np.minimum(columns + (columns >= best[:, None]), width)
-            pair[live] = np.take_along_axis(pair[live], after, axis=1)
-            pair[live, best] = self.find(made, ids[live, np.minimum(best + 1, width)])
-            inner = best > 0
-            pair[live[inner], best[inner] - 1] = self.find(ids[live[inner], best[inner] - 1], made[inner])
-            score[live] = self.score[pair[live]]
-        used = ids >= 0
-        ends = np.cumsum(used.sum(axis=1))
-        out = ids[used].astype(np.int32)
-        raw, odd = out.tobytes(), (ids >= self.unknown).any(axis=1)
+        # a finished piece stands where its first character stood
+        out, place = np.full(len(ids), -1, np.int64), np.arange(len(ids))
+        while True:
+            best = np.maximum.reduceat(score, starts)
+            on = best > NEG
+            if not on.all():
+                stay = np.repeat(on, size)
+                out[place[~stay]] = ids[~stay]
+                ids, place, pair, score, size, best = ids[stay], place[stay], pair[stay], score[stay], size[on], best[on]
+                if not len(size):
+                    break
+                starts = np.cumsum(size) - size
+            hits = np.flatnonzero(score == np.repeat(best, size))
+            first = hits[np.searchsorted(hits, starts)]
+            made = ids[first] = pair[first]
+            stay = np.ones(len(ids), bool)
+            stay[first + 1] = False
+            ids, place, pair, score, size = ids[stay], place[stay], pair[stay], score[stay], size - 1
+            ends = np.cumsum(size)
+            starts = ends - size
+            first -= np.arange(len(first))      # a part has gone from each string before
+            pair[first] = self.find(made, np.where(first + 1 < ends, ids[np.minimum(first + 1, len(ids) - 1)], -1))
+            score[first] = self.score[pair[first]]
+            inner = first > starts
+            before = first[inner] - 1
+            pair[before] = self.find(ids[before], made[inner])
+            score[before] = self.score[pair[before]]
+        used = out >= 0
+        odd = np.logical_or.reduceat(out >= self.unknown, begins)
+        stops = np.cumsum(np.add.reduceat(used, begins, dtype=np.int64))
+        out = out[used].astype(np.int32)
+        raw = out.tobytes()
         return [out[a:b].tolist() if o else raw[4 * a:4 * b]
-                for a, b, o in zip((ends - used.sum(axis=1)).tolist(), ends.tolist(), odd.tolist())]
+                for a, b, o in zip([0, *stops.tolist()], stops.tolist(), odd.tolist())]
 
 
 class Lattice:
@@ -192,9 +207,13 @@ class Lattice:
         self.joins_lines = any(BREAK in pair for pair in self.neighbours)
         self.known: dict[tuple[str, str], bool] = {}
         self.parts = Memo(self.encode_part)
-        self.words = Memo(lambda w: self.encode_run(MARK + w))
+        self.words = Memo(lambda w: self.encode_run(marked(w)))
         self.heads = Memo(self.encode_run)
-        self.merges = Merges(vocabulary)
+        self.run = RUN if self.joins_lines else LINE_RUN
+
+    @cached_property
+    def merges(self) -> Merges:
+        return Merges(self.v)
 
     def merge(self, text: str) -> list[str]:
         """The model's own procedure on a short string: best pair first, leftmost of equals."""
@@ -218,7 +237,7 @@ class Lattice:
         key = (left, right)
         found = self.known.get(key)
         if found is None:
-            if len(self.known) >= 4 * MEMO:
+            if len(self.known) >= MEMO:
                 self.known.clear()
             found = self.known[key] = self.merge(left + right) == [left, right]
         return found
@@ -274,19 +293,21 @@ class Lattice:
         return not (MARK in text or "  " in text or text[0] == " " or text[-1] == " "
                     or BREAK + " " in text or " " + BREAK in text or self.joins_lines)
 
-    def learn(self, memo: "Memo", words: set[str], prefix: str) -> None:
-        """Put the short ones of ``words`` into ``memo``, all at once."""
-        new = [w for w in words if w not in memo and 0 < len(w) < SHORT]
+    def learn(self, memo: "Memo", strings: set[str], form=str) -> None:
+        """Put the short ones of ``strings`` into ``memo``, all at once; ``form`` gives what is encoded of one."""
+        new = [x for x in strings.difference(memo) if 0 < len(x) < SHORT]
         if len(memo) + len(new) > MEMO:
+            # frequent words, which are in most slices, stay
+            kept = {x: memo[x] for x in strings if x in memo}
             memo.clear()
-            memo.characters = 0
-            new = [w for w in words if 0 < len(w) < SHORT]
+            memo.update(kept)
+            memo.characters = sum(map(len, kept))
         memo.characters += sum(map(len, new))
-        new.sort(key=len)       # the arrays of a call are as wide as its longest string
+        new.sort(key=len)       # strings of a length end in about the same round
         for lo in range(0, len(new), STRINGS):
             some = new[lo:lo + STRINGS]
-            for w, ids in zip(some, self.merges.encode([prefix + w for w in some])):
-                memo[w] = ids if isinstance(ids, bytes) else self.spelled(ids)
+            for x, ids in zip(some, self.merges.encode([form(x) for x in some])):
+                memo[x] = ids if isinstance(ids, bytes) else self.spelled(ids)
 
     def spelled(self, ids: list[int]) -> bytes:
         out = []
@@ -295,44 +316,29 @@ class Lattice:
                 self.v.byte_ids[b] for b in chr(i - self.merges.unknown).encode("utf-8", "surrogatepass")]
         return np.array(out, np.int32).tobytes()
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
+    def learn_all(self, texts: list[str]) -> None:
+        """Put the words and runs of ``texts`` into the memos, all at once."""
         words: set[str] = set()
-        heads: set[str] = set()
+        runs: set[str] = set()
         for text in texts:
             if text and self.plain(text):
-                first, *lines = text.split(BREAK)
-                words.update(first.split(" "))
-                for line in lines:
-                    head, *rest = line.split(" ")
-                    heads.add(head)
-                    words.update(rest)
+                words.update(split(text))
             elif text:
-                heads.update(RUN.findall(MARK + text.replace(" ", MARK)))
-        self.learn(self.words, words, MARK)
-        self.learn(self.heads, heads, "")
+                runs.update(self.run.findall(MARK + text.replace(" ", MARK)))
+        self.learn(self.words, words, marked)
+        self.learn(self.heads, runs)
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        self.learn_all(texts)
         return [self.encode(text) for text in texts]
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text."""
         if not text:
             return b""
-        if not self.plain(text):
-            return self.encode_marked(MARK + text.replace(" ", MARK))
-        words, heads, line_feed, out = self.words.__getitem__, self.heads, self.parts[BREAK], []
-        for k, line in enumerate(text.split(BREAK)):
-            # a line's first word follows a line feed, no mark
-            first, *rest = line.split(" ")
-            if k:
-                out.append(line_feed)
-                if first:
-                    out.append(heads[first])
-            else:
-                out.append(words(first))
-            out.extend(map(words, rest))
-        return b"".join(out)
-
-    def encode_marked(self, marked: str) -> bytes:
-        return b"".join(map(self.heads.__getitem__, RUN.findall(marked)))
+        if self.plain(text):
+            return b"".join(map(self.words.__getitem__, split(text)))
+        return b"".join(map(self.heads.__getitem__, self.run.findall(MARK + text.replace(" ", MARK))))
 
     # --- chunks of giant texts -------------------------------------------------
 
@@ -402,16 +408,23 @@ class Lattice:
                     weights[i, j] = 0.0
         return entries, exits, weights
 
+    def middle(self, text: str, entry: tuple[int, int], leave: tuple[int, int]) -> tuple[int, int] | None:
+        """Borders of the whole words between two states, if any."""
+        if entry == leave and entry[1]:
+            return None
+        border = last_word_start(text, entry[1], leave[0])
+        return None if border is None else (first_word_start(text, entry[1], border), border)
+
     def trace(self, text: str, entry: tuple[int, int], leave: tuple[int, int]) -> bytes:
         """Ids of the pieces after ``entry`` up to and with ``leave``."""
         if entry == leave and entry[1]:
             return b""
-        start, border = entry[1], last_word_start(text, entry[1], leave[0])
-        if border is None:
+        found = self.middle(text, entry, leave)
+        if found is None:
             return self.ids(self.back(text, entry, leave))
-        head = first_word_start(text, start, border)
-        out = b"" if head == start else self.ids(self.back_to(text, entry, head))
-        out += self.encode_marked(text[head:border]) if border > head else b""
+        head, border = found
+        out = b"" if head == entry[1] else self.ids(self.back_to(text, entry, head))
+        out += self.encode(unmarked(text[head:border]))
         return out + self.ids(self.back(text, (border, border), leave))
 
     def back_to(self, text: str, entry: tuple[int, int], border: int) -> list[str]:
@@ -432,6 +445,18 @@ class Lattice:
         return out[::-1]
 
 
+#: The lattice of the last model used, with its bounded memos: a Python worker keeps it for its later tasks.
+KEPT: dict[str, Lattice] = {}
+
+
+def lattice_of(vocabulary: Vocabulary) -> Lattice:
+    found = KEPT.get(vocabulary.token)
+    if found is None:
+        KEPT.clear()
+        found = KEPT[vocabulary.token] = Lattice(vocabulary)
+    return found
+
+
 class Memo(dict):
     """Computes missing values; the owner empties it between texts when it is full."""
 
@@ -453,6 +478,22 @@ class Memo(dict):
 
 
 RUN = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+#: Where no piece joins a line feed to anything, runs end at line feeds too.
+LINE_RUN = re.compile(f"{BREAK}|{MARK}+[^{MARK}{BREAK}]*|[^{MARK}{BREAK}]+")
+
+
+def split(text: str) -> list[str]:
+    """Words of a plain text: those that follow a line feed, no mark, begin with it."""
+    return text.replace(BREAK, " " + BREAK).split(" ")
+
+
+def marked(word: str) -> str:
+    return word if word[:1] == BREAK else MARK + word
+
+
+def unmarked(run: str) -> str:
+    """The text whose marked form is ``run``, which is empty or begins with a mark."""
+    return run[1:].replace(MARK, " ")
 
 
 def first_word_start(text: str, lo: int, hi: int):
@@ -491,17 +532,17 @@ def cuts(length: int, chunk: int = CHUNK) -> list[int]:
 def encode_task(vocabulary: Vocabulary, columns: list[str]):
     """Batches whose last column is the text: the text is replaced by its ids."""
     def run(batches):
-        lattice = Lattice(vocabulary)
+        lattice = lattice_of(vocabulary)
         for batch in slices(batches):
             ids = lattice.encode_all(batch.column(batch.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays(batch.columns[:-1] + [id_lists(ids)], columns + ["ids"])
     return run
 
 
-def slices(batches):
+def slices(batches, rows: int = SLICE):
     for batch in batches:
-        for lo in range(0, batch.num_rows, SLICE):
-            yield batch.slice(lo, SLICE)
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
 
 
 def id_lists(ids: list[bytes]) -> pa.Array:
@@ -537,15 +578,16 @@ def chunk_task(columns: list[str], longest: int, chunk: int):
 
 def matrix_task(vocabulary: Vocabulary):
     def run(batches):
-        lattice = Lattice(vocabulary)
-        for batch in batches:
+        lattice = lattice_of(vocabulary)
+        for batch in slices(batches, CHUNKS):
+            out = []
             for r in batch.to_pylist():
                 entries, exits, w = lattice.matrix(
                     r["piece"], r["left"], r["right"], r["k"] == 0, r["k"] == r["chunks"] - 1)
                 move = lambda states: [[s + r["at"], e + r["at"]] for s, e in states]
-                yield pa.RecordBatch.from_pylist([{
-                    "key": r["key"], "k": r["k"], "entries": move(entries), "exits": move(exits),
-                    "open": [int(x) for x in np.flatnonzero(w == 0.0)]}], MATRIX)
+                out.append({"key": r["key"], "k": r["k"], "entries": move(entries), "exits": move(exits),
+                            "open": [int(x) for x in np.flatnonzero(w == 0.0)]})
+            yield pa.RecordBatch.from_pylist(out, MATRIX)
     return run
 
 
@@ -580,14 +622,17 @@ def resolve_task(frame):
 
 def trace_task(vocabulary: Vocabulary):
     def run(batches):
-        lattice = Lattice(vocabulary)
-        for batch in batches:
-            for r in batch.to_pylist():
-                at = r["at"]
-                ids = lattice.trace(r["piece"], (r["in_start"] - at, r["in_end"] - at) if r["k"] else (0, 0),
-                                    (r["out_start"] - at, r["out_end"] - at))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["key"]]), pa.array([r["k"]], pa.int32()), id_lists([ids])], ["key", "k", "ids"])
+        lattice = lattice_of(vocabulary)
+        for batch in slices(batches, CHUNKS):
+            rows = batch.to_pylist()
+            steps = [(r["piece"], (r["in_start"] - r["at"], r["in_end"] - r["at"]) if r["k"] else (0, 0),
+                      (r["out_start"] - r["at"], r["out_end"] - r["at"])) for r in rows]
+            spans = [lattice.middle(*x) for x in steps]
+            lattice.learn_all([unmarked(text[x[0]:x[1]]) for (text, _, _), x in zip(steps, spans) if x])
+            ids = [lattice.trace(*x) for x in steps]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r["key"] for r in rows], pa.string()), pa.array([r["k"] for r in rows], pa.int32()),
+                 id_lists(ids)], ["key", "k", "ids"])
     return run
 
 
@@ -621,7 +666,8 @@ def encode(docs: DataFrame, text_col: str = "text", out: str = "ids", model_file
     return both.select(*(F.col(a).alias(c) for c, a in zip(others, rest)), F.col("ids").alias(out))
 
 
-def decode_task(surface: list[bytes], columns: list[str]):
+def decode_task(surface: list[bytes], columns: list[str], keep: bool = False):
+    """Batches whose last column is the ids: they are replaced by their text, or stay before it."""
     def run(batches):
         get = surface.__getitem__
         for batch in slices(batches):
@@ -629,18 +675,22 @@ def decode_task(surface: list[bytes], columns: list[str]):
             for ids in batch.column(batch.num_columns - 1):
                 raw = b"".join(map(get, ids.values.to_numpy().tolist())) if ids.is_valid else b""
                 texts.append(raw.decode("utf-8", "replace")[1:])
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + [pa.array(texts, pa.string())], columns + ["text"])
+            rest = batch.columns if keep else batch.columns[:-1]
+            yield pa.RecordBatch.from_arrays(rest + [pa.array(texts, pa.string())], columns + ["text"])
     return run
 
 
-def decode(encoded: DataFrame, ids_col: str = "ids", out: str = "text", model_file: str = MODEL) -> DataFrame:
-    """``encoded`` with the id array replaced by the text ``out``."""
+def decode(encoded: DataFrame, ids_col: str = "ids", out: str = "text", model_file: str = MODEL,
+           keep: bool = False) -> DataFrame:
+    """``encoded`` with the id array replaced by the text ``out``; with ``keep`` the ids stay before it."""
     vocabulary = Vocabulary.load(model_file)
     others = [c for c in encoded.columns if c != ids_col]
     rest = [f"c{i}" for i in range(len(others))]
     plain = encoded.select(*(F.col(f"`{c}`").alias(a) for c, a in zip(others, rest)), F.col(f"`{ids_col}`").alias("ids"))
-    fields = "".join(f"{c} {t}, " for c, t in plain.dtypes if c != "ids")
-    done = plain.mapInArrow(decode_task(vocabulary.surface, rest), f"{fields}text string")
+    if keep:
+        others, rest = [*others, ids_col], [*rest, "ids"]
+    fields = "".join(f"{c} {t}, " for c, t in plain.dtypes if c in rest)
+    done = plain.mapInArrow(decode_task(vocabulary.surface, rest, keep), f"{fields}text string")
     return done.select(*(F.col(a).alias(c) for c, a in zip(others, rest)), F.col("text").alias(out))
 
 
@@ -650,6 +700,6 @@ def round_trip(docs: DataFrame, text_col: str = "text", model_file: str = MODEL,
     expected = F.translate(F.coalesce(F.col(text_col), F.lit("")), MARK, " ")
     encoded = encode(docs.withColumn(want, F.xxhash64(expected)), text_col, "ids", model_file, chunk)
     ids = [c for c in encoded.columns if c not in (want, "ids")]
-    back = decode(encoded.select(*ids, want, "ids", F.col("ids").alias(got)), got, got, model_file)
+    back = decode(encoded, "ids", got, model_file, keep=True)
     return back.select(*ids, "ids", F.size("ids").alias("n_pieces"),
                        (F.xxhash64(got) == F.col(want)).alias("round_trip"))

@@ -4,6 +4,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -134,6 +135,48 @@ def test_chunks_of_awkward_texts(spark, library):
         assert all(got[n] == library.encode(t) for n, t in rows)
 
 
+def test_merges_at_once_equal_the_single_procedure():
+    lattice = piece_encoding.Lattice(piece_encoding.Vocabulary.load())
+    rng = random.Random(5)
+    parts = ["a", "e", "th", "ing", "tion", "s", "é", "日", "😀", "▁", "0", "(", ".", "\n", "ß", "\u0301", "hello"]
+    strings = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 9))) for _ in range(3000)] + ["a" * 23, "x"]
+    for some in (strings, strings[:1], ["0"], ["0", "aaa", "日"]):
+        got = [x if isinstance(x, bytes) else lattice.spelled(x) for x in lattice.merges.encode(some)]
+        assert got == [lattice.ids(lattice.merge(x)) for x in some]
+
+
+def test_words_are_merged_once(monkeypatch):
+    """Slices and chunks have their missing words merged together, frequent ones never again, and tasks share a lattice."""
+    vocabulary = piece_encoding.Vocabulary.load()
+    assert piece_encoding.lattice_of(vocabulary) is piece_encoding.lattice_of(piece_encoding.Vocabulary.load())
+    monkeypatch.setattr(piece_encoding, "KEPT", {})
+    monkeypatch.setattr(piece_encoding, "MEMO", 40)
+    seen, single = [], []
+    merges, merge = piece_encoding.Merges.encode, piece_encoding.Lattice.merge
+    monkeypatch.setattr(piece_encoding.Merges, "encode", lambda self, x: seen.extend(x) or merges(self, x))
+    monkeypatch.setattr(piece_encoding.Lattice, "merge", lambda self, x: single.append(x) or merge(self, x))
+    lattice = piece_encoding.lattice_of(vocabulary)
+    for k in range(10):
+        lattice.encode_all(["often here " + " ".join(f"w{k}x{i}" for i in range(20)) + "\nhere often"])
+    assert seen.count("▁often") == seen.count("▁here") == seen.count("\nhere") == 1
+    text = piece_encoding.MARK + piece_encoding.MARK.join(f"tok{i}en" for i in range(30))
+    row = {"key": "a", "k": 0, "at": 0, "piece": text, "in_start": 0, "in_end": 0,
+           "out_start": len(text) - 2, "out_end": len(text)}
+    del seen[:], single[:]
+    out = list(piece_encoding.trace_task(vocabulary)([pa.RecordBatch.from_pylist([row] * 5)]))
+    assert [b.num_rows for b in out] == [5]
+    assert sorted(seen) == sorted(f"▁tok{i}en" for i in range(1, 29))       # those between the two cuts
+    assert not [x for x in single if x in seen]
+
+
+def test_decode_can_keep_the_ids(spark):
+    df = spark.createDataFrame([("a b\nc", 1), (None, 2)], "text string, n int")
+    out = piece_encoding.decode(piece_encoding.encode(df), keep=True, out="back")
+    assert out.columns == ["n", "ids", "back"]
+    rows = {r["n"]: r for r in out.collect()}
+    assert rows[1]["back"] == "a b\nc" and len(rows[1]["ids"]) > 0 and rows[2]["back"] == "" and rows[2]["ids"] == []
+
+
 def test_max_plus_is_associative():
     rng = np.random.default_rng(0)
     a, b, c = (np.where(rng.random((5, 5)) < 0.5, 0.0, -np.inf) for _ in range(3))
