@@ -5,10 +5,10 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from orderlens.operators import profile as PF, quality as Q
+from orderlens.operators import profile as PF
 from orderlens.operators.common import parts_of
 from orderlens.params import Params
-from orderlens.plans import pipeline as PL, queries_audit, queries_reports
+from orderlens.plans import pipeline as PL, queries_audit
 from orderlens.plans.pipeline import Pipeline
 from orderlens.session import materialize_parts
 
@@ -52,25 +52,37 @@ def left_after(spark, before, seconds=10):
     return shuffles(spark) - before
 
 
-def test_stages_in_parts_have_the_same_rows(spark):
-    one, some = (Pipeline(*tables(spark), Params(), materialize=True, batches=n) for n in (1, 5))
-    # the narrow lines are stored for the orders, the whole ones where they are there already
-    assert rows(one.orders) == rows(some.orders) and one.orders.count() > 20 and "line_fact" not in some.rows
-    other = Pipeline(*tables(spark), Params(), materialize=True, batches=2)
-    assert rows(other.lines) == rows(some.lines) == rows(one.lines) and rows(other.orders) == rows(one.orders)
-    assert rows(other.line_amounts) == rows(some.line_amounts) and "line_amounts" not in other.rows
-    for name in ("sales", "sales_audit", "buyers", "products", "prepared_lines", "line_amounts", "max_amount_lines"):
+@pytest.fixture(scope="module")
+def one(spark):
+    return Pipeline(*tables(spark), Params(), materialize=True, batches=1)
+
+
+@pytest.fixture(scope="module")
+def some(spark):
+    return Pipeline(*tables(spark), Params(), materialize=True, batches=3)
+
+
+def test_registry_check_leaves_no_shuffle_of_the_stages(spark, monkeypatch, some):
+    monkeypatch.setattr(queries_audit, "pipeline", lambda *_: some)
+    before = shuffles(spark)
+    checks = queries_audit.dq16(spark, "")
+    assert not left_after(spark, before)
+    assert {"sales_dedup", "buyers_clean", "products_clean", "line_fact", "order_level"} <= set(some.rows)
+    assert len(checks.collect()) == 5
+
+
+def test_stages_in_parts_have_the_same_rows(one, some):
+    for name in ("sales", "sales_audit", "buyers", "products", "lines", "line_amounts", "orders"):
         assert rows(getattr(one, name)) == rows(getattr(some, name)), name
-    assert one.stage_rows() == some.stage_rows() == other.stage_rows() and one.stage_rows()["sales_raw"] == 440
-    assert len(some._line_amounts[1]) == 5 and sum(df.count() for df in some._line_amounts[1]) == one.line_amounts.count()
+    assert some.orders.count() > 20 and one.stage_rows() == some.stage_rows() and one.stage_rows()["sales_raw"] == 440
+    assert "line_amounts" not in some.rows
 
 
-def test_a_buyer_is_in_one_part(spark):
-    p = Pipeline(*tables(spark), Params(), materialize=True, batches=4)
-    buyers = [{r.buyer_id for r in df.select("buyer_id").distinct().collect()} for df in p._line_amounts[1]]
-    assert sum(map(len, buyers)) == len(set().union(*buyers)) > 5
-    some = parts_of(spark.createDataFrame([(None,), ("a",), ("a",), ("b",)], "k string"), F.col("k"), 3)
-    assert sorted(str(r.k) for df in some for r in df.collect()) == ["None", "a", "a", "b"]
+def test_a_buyer_is_in_one_part(spark, some):
+    buyers = [{r.buyer_id for r in df.select("buyer_id").distinct().collect()} for df in some._line_amounts[1]]
+    assert len(buyers) == 3 and sum(map(len, buyers)) == len(set().union(*buyers)) > 5
+    each = parts_of(spark.createDataFrame([(None,), ("a",), ("a",), ("b",)], "k string"), F.col("k"), 3)
+    assert sorted(str(r.k) for df in each for r in df.collect()) == ["None", "a", "a", "b"]
 
 
 def test_parts_grow_with_the_sales(spark, monkeypatch):
@@ -88,11 +100,29 @@ def test_no_shuffle_of_a_part_stays(spark):
     assert whole.count() == sum(d.count() for d in each) == 50 and whole.agg(F.sum("t")).first()[0] == 2999 * 1500
 
 
-def test_registry_check_leaves_no_shuffle_of_the_stages(spark, monkeypatch):
-    p = Pipeline(*tables(spark), Params(), materialize=True, batches=3)
+@pytest.mark.parametrize("passes", [1, 3, 50])
+def test_profile_in_passes_is_that_of_one_pass(spark, passes):
+    df = spark.createDataFrame([(i % 7, None if i % 3 else f"v{i % 5}", i / 4, i % 2 == 0, f"{i}") for i in range(60)],
+                               "n int, v string, x double, b boolean, t string")
+    stored = []
+
+    def keep(one):
+        stored.append(materialize_parts([one], "profile")[0])
+        return stored[-1]
+
+    got = PF.distinct_profile(df, passes=passes, keep=keep)
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in PF.distinct_profile(df).collect()]
+    assert len(stored) == (0 if passes == 1 else min(passes, 5)) and sorted(r.column for d in stored for r in d.collect()) == (
+        [] if passes == 1 else ["b", "n", "t", "v", "x"])
+
+
+def test_order_columns_are_profiled_a_few_at_a_time(spark, monkeypatch, one):
+    p = Pipeline(*tables(spark), Params(), materialize=True, batches=2)
     monkeypatch.setattr(queries_audit, "pipeline", lambda *_: p)
+    seen, keep = [], Pipeline.stored
+    monkeypatch.setattr(Pipeline, "stored", lambda self, df, name: seen.append(keep(self, df, name)) or seen[-1])
     before = shuffles(spark)
-    checks = queries_audit.dq16(spark, "")
-    assert {"sales_dedup", "buyers_clean", "products_clean", "line_fact", "order_level"} <= set(p.rows)
+    got = queries_audit.dq19c(spark, "")
     assert not left_after(spark, before)
-    assert len(checks.collect()) == 5
+    assert [df.count() for df in seen] == [11, 11] and "line_fact" not in p.rows
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in PF.distinct_profile(one.orders, queries_audit.ORDER_COLUMNS).collect()]
