@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orderlens.operators import profile as PF
 from orderlens.operators.common import parts_of
 from orderlens.params import Params
-from orderlens.plans import pipeline as PL, queries_audit
+from orderlens.plans import pipeline as PL, queries_audit, queries_quality
 from orderlens.plans.pipeline import Pipeline
 from orderlens.session import materialize_parts
 
@@ -126,3 +126,14 @@ def test_order_columns_are_profiled_a_few_at_a_time(spark, monkeypatch, one):
     assert not left_after(spark, before)
     assert [df.count() for df in seen] == [11, 11] and "line_fact" not in p.rows
     assert [tuple(r) for r in got.collect()] == [tuple(r) for r in PF.distinct_profile(one.orders, queries_audit.ORDER_COLUMNS).collect()]
+
+
+def test_quality_report_of_stages_in_parts(spark, monkeypatch, one, some):
+    got = {}
+    for p in (one, some):
+        monkeypatch.setattr(queries_quality, "pipeline", lambda *_, p=p: p)
+        got[p.parts] = queries_quality.dq14(spark, "")
+    before = shuffles(spark)
+    report = materialize_parts([got[3]], "report", release=True)[0]
+    assert not left_after(spark, before)
+    assert rows(report) == rows(got[1]) and report.count() == 22 and report.where("value > 0").count() == 2
