@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orderlens.operators import profile as PF
 from orderlens.operators.common import parts_of
 from orderlens.params import Params
-from orderlens.plans import pipeline as PL, queries_audit, queries_quality
+from orderlens.plans import pipeline as PL, queries_audit, queries_quality, queries_reports
 from orderlens.plans.pipeline import Pipeline
 from orderlens.session import materialize_parts
 
@@ -137,3 +137,12 @@ def test_quality_report_of_stages_in_parts(spark, monkeypatch, one, some):
     report = materialize_parts([got[3]], "report", release=True)[0]
     assert not left_after(spark, before)
     assert rows(report) == rows(got[1]) and report.count() == 22 and report.where("value > 0").count() == 2
+
+
+def test_rules_of_a_gate_are_stored_before_the_next_gate(spark, monkeypatch):
+    p = Pipeline(*tables(spark), Params(), materialize=True, batches=1)
+    monkeypatch.setattr(queries_reports, "pipeline", lambda *_: p)
+    gates = {r.gate: (r.passed, r.checks) for r in queries_reports.snk4b(spark, "").collect()}
+    order = [*p.rows]
+    assert order.index("raw_gate") < order.index("cross_gate") < order.index("sales_dedup") < order.index("order_level") < order.index("quality_gate")
+    assert {g: n for g, (_, n) in gates.items()} == {"raw": p.rows["raw_gate"], "cross": 2, "quality": 22} and not gates["raw"][0]
