@@ -59,7 +59,7 @@ def one(spark):
 
 @pytest.fixture(scope="module")
 def some(spark):
-    return Pipeline(*tables(spark), Params(), materialize=True, batches=3)
+    return Pipeline(*tables(spark), Params(), materialize=True, batches=5)
 
 
 def test_registry_check_leaves_no_shuffle_of_the_stages(spark, monkeypatch, some):
@@ -80,7 +80,7 @@ def test_stages_in_parts_have_the_same_rows(one, some):
 
 def test_a_buyer_is_in_one_part(spark, some):
     buyers = [{r.buyer_id for r in df.select("buyer_id").distinct().collect()} for df in some._line_amounts[1]]
-    assert len(buyers) == 3 and sum(map(len, buyers)) == len(set().union(*buyers)) > 5
+    assert len(buyers) == 5 and sum(map(len, buyers)) == len(set().union(*buyers)) > 5
     each = parts_of(spark.createDataFrame([(None,), ("a",), ("a",), ("b",)], "k string"), F.col("k"), 3)
     assert sorted(str(r.k) for df in each for r in df.collect()) == ["None", "a", "a", "b"]
 
@@ -134,7 +134,7 @@ def test_quality_report_of_stages_in_parts(spark, monkeypatch, one, some):
         monkeypatch.setattr(queries_quality, "pipeline", lambda *_, p=p: p)
         got[p.parts] = queries_quality.dq14(spark, "")
     before = shuffles(spark)
-    report = materialize_parts([got[3]], "report", release=True)[0]
+    report = materialize_parts([got[5]], "report", release=True)[0]
     assert not left_after(spark, before)
     assert rows(report) == rows(got[1]) and report.count() == 22 and report.where("value > 0").count() == 2
 
